@@ -1,0 +1,16 @@
+"""The daily fraud report as a stored table, refreshed for changed days only."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from tallyforge.sources.writers import refresh_partitions
+
+from .fraud import daily_fraud_report
+
+
+def refresh_daily_report(txn: DataFrame, path: str, changed_days: DataFrame | None = None) -> None:
+    """Recompute the report for the days in ``changed_days`` (column ``transaction_date``), or for all."""
+    if changed_days is not None:
+        txn = txn.join(changed_days.select("transaction_date").distinct(), "transaction_date", "left_semi")
+    refresh_partitions(daily_fraud_report(txn), path, "transaction_date")
