@@ -280,7 +280,7 @@ def churn() -> dict[str, str]:
           count(*) FILTER (try_cast(trim(TotalCharges) AS double) IS NULL) AS invalid_count,
           count(*) FILTER ({PAID} IS NULL) AS remaining_nulls, {r(f'sum({PAID})')} AS total_charges FROM telecom""",
         "charge_discrepancy": f"""SELECT customerID, tenure, MonthlyCharges, paid AS TotalCharges,
-            round(due, 6) AS expected_total, round(gap, 6) AS diff_percentage
+            {r('due', 6)} AS expected_total, {r('gap', 6)} AS diff_percentage
           FROM (SELECT *, abs(paid - due) / (due + 1) * 100e0 AS gap
             FROM (SELECT *, {PAID} AS paid, MonthlyCharges * tenure AS due FROM telecom)) WHERE gap > 10""",
         "churn_by_demographics": by_each(["gender", "SeniorCitizen", "Partner", "Dependents"], f"{LEFT_RATE} AS churn_rate"),
@@ -401,7 +401,7 @@ def trend(minutes: int, label: str) -> str:
 TRENDS = " UNION ALL ".join(trend(m, lab) for m, lab in ((1, "1 minute"), (5, "5 minutes"), (15, "15 minutes")))
 VIEWS = f"""SELECT {span(5)}, page, views FROM (SELECT {windowed(5)} AS s, page, count(*) AS views
   FROM page_view GROUP BY ALL)"""
-SENSED = f"""SELECT {span(5)}, sensor_id, round(a, 6) AS avg_temp, n AS reading_count FROM (
+SENSED = f"""SELECT {span(5)}, sensor_id, {r('a', 6)} AS avg_temp, n AS reading_count FROM (
   SELECT {windowed(5)} AS s, sensor_id, avg(temperature) AS a, count(*) AS n FROM sensor GROUP BY ALL)"""
 VIRAL = f"""SELECT post_id, {span(5)}, n AS like_count FROM (SELECT post_id, {windowed(5)} AS s, count(*) AS n
   FROM social WHERE event_type = 'LIKE' AND post_id IS NOT NULL GROUP BY ALL) WHERE n >= 2"""
@@ -470,7 +470,7 @@ def events() -> dict[str, str]:
         "window_versions": f"""WITH seen AS (SELECT {windowed(60)} AS s, sensor_id, reading_id % 3 AS b, temperature
             FROM sensor),
           steps AS (SELECT DISTINCT s, sensor_id, b FROM seen)
-          SELECT {span(60, 'steps.s')}, steps.sensor_id, round(avg(temperature), 6) AS avg_temp,
+          SELECT {span(60, 'steps.s')}, steps.sensor_id, {r('avg(temperature)', 6)} AS avg_temp,
             count(*) AS reading_count, row_number() OVER (PARTITION BY steps.s, steps.sensor_id ORDER BY steps.b) AS version,
             version > 1 AS is_correction
           FROM steps JOIN seen ON seen.s = steps.s AND seen.sensor_id = steps.sensor_id AND seen.b <= steps.b

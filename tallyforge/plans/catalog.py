@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyforge.functions import udfs
+from tallyforge.functions.numbers import tidy
 from tallyforge.operators.checks import source_counts
 from tallyforge.operators.profile import column_roles, quality_report
 from tallyforge.session import fresh_path
@@ -108,7 +109,7 @@ def _window_versions(readings: DataFrame) -> DataFrame:
 
 
 def _sensor_windows(readings: DataFrame) -> DataFrame:
-    return sensors.sensor_windows(readings).withColumn("avg_temp", F.round("avg_temp", 6))
+    return sensors.sensor_windows(readings).withColumn("avg_temp", tidy(F.col("avg_temp"), 6))
 
 
 def _merge_records(records: DataFrame) -> DataFrame:
@@ -263,7 +264,7 @@ def _stream_sensor_windows(spark: SparkSession, data_dir: str) -> DataFrame:
     log = run_stream(spark, stream, updates.log_updates, "update")
     newest = updates.current(log, ["window_start", "sensor_id"])
     return ntz(newest.select(
-        "window_start", "window_end", "sensor_id", F.round("avg_temp", 6).alias("avg_temp"), "reading_count"
+        "window_start", "window_end", "sensor_id", tidy(F.col("avg_temp"), 6).alias("avg_temp"), "reading_count"
     ))
 
 

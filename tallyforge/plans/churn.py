@@ -72,8 +72,8 @@ def charge_discrepancy(customers: DataFrame, limit_pct: float = 10.0) -> DataFra
         .withColumn("diff_percentage", gap)
         .where(F.col("diff_percentage") > limit_pct)
         .withColumns({
-            "expected_total": F.round("expected_total", 6),
-            "diff_percentage": F.round("diff_percentage", 6),
+            "expected_total": tidy(F.col("expected_total"), 6),
+            "diff_percentage": tidy(F.col("diff_percentage"), 6),
         })
     )
 

@@ -2,6 +2,8 @@
 
 Each text is valid for Spark and DuckDB once its markers are filled in: table names in
 braces, ``<iso_dow>`` (day of week, Monday = 1) and ``<array>`` (array constructor).
+Amounts pass through six decimals before they are cut to cents, because engines disagree on
+which way a binary half cent goes.
 """
 
 from __future__ import annotations
@@ -57,7 +59,7 @@ SELECT c_name AS customerID, CASE WHEN c_custkey % 2 = 0 THEN 'Male' ELSE 'Femal
     + CASE WHEN h % 9 = 0 THEN 300 ELSE 0 END AS decimal(12,2)) AS string) END AS TotalCharges,
   CASE WHEN (h % 3 = 0 AND tenure <= 24) OR h % 17 = 0 THEN 'Yes' ELSE 'No' END AS Churn
 FROM (SELECT *, (c_custkey * 7919 + 13) % 1009 AS h, cast((c_custkey * 31) % 73 AS int) AS tenure,
-        cast(cast(20 + abs(c_acctbal) / 100 AS decimal(12,2)) AS double) AS monthly,
+        cast(cast(cast(20 + abs(c_acctbal) / 100 AS decimal(12,6)) AS decimal(12,2)) AS double) AS monthly,
         CASE (c_custkey * 17) % 5 WHEN 0 THEN 'No' WHEN 1 THEN 'DSL' WHEN 2 THEN 'DSL'
           ELSE 'Fiber optic' END AS inet FROM {customer}) c
 """

@@ -44,7 +44,7 @@ def window_versions(readings: DataFrame, batch: str, size: str = "1 hour") -> Da
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),
         "sensor_id",
-        F.round(F.sum("t").over(so_far) / F.sum("n").over(so_far), 6).alias("avg_temp"),
+        tidy(F.sum("t").over(so_far) / F.sum("n").over(so_far), 6).alias("avg_temp"),
         F.sum("n").over(so_far).alias("reading_count"),
         F.row_number().over(Window.partitionBy("w", "sensor_id").orderBy(batch)).cast("bigint").alias("version"),
     )
