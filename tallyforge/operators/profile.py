@@ -6,33 +6,61 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyforge.functions.bands import first_match
 from tallyforge.functions.numbers import percent
 
-from .aggregate import is_numeric, stack_dimensions
+from .aggregate import is_numeric
+
+
+def _typed_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per row and column: the name and the value in the slot of its type.
+
+    Numbers and times stay numbers, which keeps the shuffled rows narrow and spares
+    formatting them as text.
+    """
+    slots = {"whole": "bigint", "real": "double", "other": "string"}
+    cells = []
+    for field in (f for f in df.schema.fields if f.name in columns):
+        value, kind = F.col(field.name), field.dataType
+        if isinstance(kind, T.IntegralType):
+            used, value = "whole", value.cast("bigint")
+        elif isinstance(kind, T.DateType):
+            used, value = "whole", F.unix_date(value).cast("bigint")
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            used, value = "whole", F.unix_micros(value.cast("timestamp"))
+        elif isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+            used, value = "real", value.cast("double")
+        else:
+            used, value = "other", value.cast("string")
+        cells.append(F.lit(field.name))
+        cells += [value if slot == used else F.lit(None).cast(t) for slot, t in slots.items()]
+    return df.select(F.stack(F.lit(len(cells) // 4), *cells).alias("column_name", *slots))
 
 
 def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows, nulls, distinct values and numeric range per column.
+    """Rows, nulls, distinct values and numeric range per column, from one scan.
 
-    Values are stacked as (column, text) and counted, so a value that fills a
-    third of the table leaves each task as one row. The second aggregation sees
-    one row per distinct value and combines them per task again.
+    Cells are counted per column and value, so a value that fills a third of the table
+    leaves each task as one row. The second aggregation sees one row per distinct value
+    and combines them per task again.
     """
     numeric = [f.name for f in df.schema.fields if f.name in columns and is_numeric(f.dataType)]
     counted = (
-        stack_dimensions(df, columns, [], name_as="column_name", value_as="value")
-        .groupBy("column_name", "value")
+        _typed_cells(df, columns)
+        .groupBy("column_name", "whole", "real", "other")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    as_number = F.when(F.col("column_name").isin(numeric), F.col("value").try_cast("double"))
+    known = F.col("whole").isNotNull() | F.col("real").isNotNull() | F.col("other").isNotNull()
+    number = F.coalesce("real", F.col("whole").cast("double"), F.col("other").try_cast("double"))
+    in_range = F.when(F.col("column_name").isin(numeric), number)
     return counted.groupBy("column_name").agg(
         F.sum("n").alias("row_count"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
-        F.count("value").alias("distinct_count"),
-        F.min(as_number).alias("min_value"),
-        F.max(as_number).alias("max_value"),
+        F.sum(F.when(known, 0).otherwise(F.col("n"))).alias("null_count"),
+        F.sum(F.when(known, 1).otherwise(0)).alias("distinct_count"),
+        F.min(in_range).alias("min_value"),
+        F.max(in_range).alias("max_value"),
     )
 
 

@@ -17,7 +17,7 @@ from tallyforge.sources import messages, readers, schemas, updates, writers
 from tallyforge.streaming import jobs, sinks
 
 from . import churn, fraud, mart, orders, sensors, social
-from .inputs import INPUTS, load
+from .inputs import BASE_TABLES, INPUTS, load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -238,8 +238,7 @@ def _refreshed_daily_report(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def stream_table(spark: SparkSession, data_dir: str, base: str, view: str) -> DataFrame:
     """An input table as a stream over the files of its base table, event time as an instant."""
-    schema = spark.read.parquet(f"{data_dir}/{base}.parquet").schema
-    files = spark.readStream.schema(schema).parquet(f"{data_dir}/{base}.parque[t]")
+    files = spark.readStream.schema(BASE_TABLES[base]).parquet(f"{data_dir}/{base}.parque[t]")
     text = INPUTS[view].replace("<array>", "array")
     return spark.sql(text, **{base: files}).withColumn("ts", F.col("ts").cast("timestamp"))
 

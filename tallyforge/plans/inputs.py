@@ -9,6 +9,9 @@ which way a binary half cent goes.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from tallyforge.sources.schemas import table
 
 KEYED_EVENTS = "(SELECT *, cast(regexp_extract(props, '([0-9]+)', 1) AS int) AS k FROM {events})"
 
@@ -148,13 +151,33 @@ INPUTS = {
     "user_txn": USER_TXN,
 }
 
-BASE_TABLES = ["region", "nation", "customer", "part", "orders", "events"]
+NTZ = T.TimestampNTZType()
+BASE_TABLES = {
+    "region": table(r_regionkey="int", r_name="string"),
+    "nation": table(n_nationkey="int", n_name="string", n_regionkey="int"),
+    "customer": table(
+        c_custkey="bigint", c_name="string", c_nationkey="int", c_acctbal="double", c_mktsegment="string"
+    ),
+    "part": table(
+        p_partkey="bigint", p_name="string", p_brand="string", p_type="string", p_size="int", p_retailprice="double"
+    ),
+    "orders": table(
+        o_orderkey="bigint", o_custkey="bigint", o_orderstatus="string", o_totalprice="double", o_orderdate=NTZ,
+        o_orderpriority="string",
+    ),
+    "events": table(
+        event_id="bigint", ts=NTZ, user_id="bigint", event_type="string", value="double", props="string"
+    ),
+}
 
 
 def load(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """The input table ``name`` over the Parquet files in ``data_dir``."""
     text = INPUTS[name].replace("<iso_dow>", "(weekday(e.ts) + 1)").replace("<array>", "array")
-    used = {t: spark.read.parquet(f"{data_dir}/{t}.parquet") for t in BASE_TABLES if "{" + t + "}" in text}
+    used = {
+        t: spark.read.schema(schema).parquet(f"{data_dir}/{t}.parquet")
+        for t, schema in BASE_TABLES.items() if "{" + t + "}" in text
+    }
     return spark.sql(text, **used)
 
 
