@@ -92,6 +92,17 @@ def scalar(df: DataFrame, value: Column) -> Column:
     return df.agg(value.alias("value")).scalar()
 
 
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``limit`` rows, else ``df`` itself.
+
+    Counts ``df``, so pass narrow rows that are cheap to compute.
+    """
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def rank_by_level(df: DataFrame, level: str, rank_as: str) -> DataFrame:
     """Rank all rows by an integer column, largest first, without sorting the rows.
 
@@ -108,7 +119,7 @@ def rank_by_level(df: DataFrame, level: str, rank_as: str) -> DataFrame:
         F.col(level).alias("__level"),
         (F.coalesce(F.sum("__rows").over(above), F.lit(0)) + 1).alias(rank_as),
     )
-    return df.join(ranked, F.col(level).eqNullSafe(F.col("__level")), "left").drop("__level")
+    return df.join(small(ranked), F.col(level).eqNullSafe(F.col("__level")), "left").drop("__level")
 
 
 def is_numeric(data_type: T.DataType) -> bool:

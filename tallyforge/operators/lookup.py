@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 def lookup(facts: DataFrame, dim: DataFrame, key: str, values: dict[str, str], *, spread: int = 512) -> DataFrame:
     """Left join ``facts`` to the dimension's ``values`` (``{column: new name}``) on ``key``.
 
-    No side is forced into memory: Spark broadcasts the dimension only when its real size
+    No side is forced into memory: Spark broadcasts the dimension only when its size
     allows it, and otherwise splits hot keys while joining. Facts without a key would all
-    meet in one task, so they are spread over ``spread`` key values that match nothing.
+    meet in one task, so they get one of ``spread`` stand-in keys; the join condition keeps
+    those from matching anything.
     """
-    slim = dim.select(F.col(key).alias("__dim_key"), F.lit(0).alias("__dim_spread"),
-                      *[F.col(c).alias(n) for c, n in values.items()])
-    place = 1 + F.pmod(F.xxhash64(*[c for c, t in facts.dtypes if not t.startswith("map")]), F.lit(spread))
-    spread_by = F.when(facts[key].isNull(), place).otherwise(0).cast("int")
-    keyed = facts.withColumns({"__key": F.coalesce(facts[key].cast("string"), F.lit("")), "__spread": spread_by})
-    matches = (F.col("__key") == F.col("__dim_key")) & (F.col("__spread") == F.col("__dim_spread"))
-    return keyed.join(slim, matches, "left").drop("__key", "__spread", "__dim_key", "__dim_spread")
+    slim = dim.select(F.col(key).cast("string").alias("__dim_key"), *[F.col(c).alias(n) for c, n in values.items()])
+    hashable = [c for c, kind in facts.dtypes if "map<" not in kind]
+    stand_in = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*hashable), F.lit(spread)))
+    keyed = facts.withColumn("__key", F.coalesce(F.col(key).cast("string"), stand_in))
+    matches = (F.col("__key") == F.col("__dim_key")) & keyed[key].isNotNull()
+    return keyed.join(slim, matches, "left").drop("__key", "__dim_key")

@@ -42,14 +42,20 @@ def place_in_blocks(df: DataFrame, order: Sequence[Column], blocks: int | None =
     return ranged.withColumn(BLOCK, F.spark_partition_id()).checkpoint()
 
 
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    return reduce(and_, [left[n].eqNullSafe(right[f"__on_{n}"]) for n in names])
-
-
 def _attach(left: DataFrame, right: DataFrame, on: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Left join on null-safe keys; ``right`` is a per-block summary."""
+    """Left join on null-safe keys."""
     slim = right.select(*[F.col(n).alias(f"__on_{n}") for n in on], *values)
-    return left.join(slim, _same(left, slim, on), "left").drop(*[f"__on_{n}" for n in on])
+    same = reduce(and_, [left[n].eqNullSafe(slim[f"__on_{n}"]) for n in on])
+    return left.join(slim, same, "left").drop(*[f"__on_{n}" for n in on])
+
+
+def _attach_carried(rows: DataFrame, carried: DataFrame, on: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Add what a key brings along from earlier blocks.
+
+    Ranges are contiguous, so at most one key crosses each boundary between two blocks:
+    ``carried`` has fewer rows than there are blocks, which bounds the broadcast.
+    """
+    return _attach(rows, F.broadcast(carried), on, values)
 
 
 def number_rows(
@@ -85,7 +91,7 @@ def number_rows(
     ).where(F.col("__n0").isNotNull())  # only keys that began in an earlier block
 
     carries = ["__n0", *[f"__s0_{name}" for name in sums]]
-    joined = _attach(inside, carried, on, carries)
+    joined = _attach_carried(inside, carried, on, carries)
     zero = F.lit(0)
     return joined.withColumns(
         {
@@ -114,12 +120,14 @@ def rank_rows(placed: DataFrame, keys: Sequence[str], by: str, *, rank_as: str)
     summary = summary.withColumn("__n0", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     # rank of the value a block ends with: the smallest over the blocks that end with it
     ends = summary.groupBy(*keys, "__last").agg(F.min(F.col("__n0") + F.col("__last_r")).alias("__end_rank"))
-    starts = _attach(summary.withColumnRenamed("__last", "__own_last"),
-                     ends.withColumnRenamed("__last", "__first"), [*keys, "__first"], ["__end_rank"])
-    starts = starts.withColumn("__start", F.least(F.col("__n0") + 1, F.col("__end_rank")))
+    ends = ends.withColumnRenamed("__last", "__first")
+    carried = _attach(summary.where("__n0 > 0").drop("__last"), ends, [*keys, "__first"], ["__end_rank"])
+    carried = carried.withColumn("__start", F.least(F.col("__n0") + 1, F.col("__end_rank")))
 
-    joined = _attach(inside, starts, on, ["__n0", "__start"])
-    rank = F.when(F.col("__r") == 1, F.col("__start")).otherwise(F.col("__n0") + F.col("__r"))
+    joined = _attach_carried(inside, carried, on, ["__n0", "__start"])
+    rank = F.when(F.col("__r") == 1, F.coalesce("__start", F.lit(1))).otherwise(
+        F.coalesce("__n0", F.lit(0)) + F.col("__r")
+    )
     return joined.withColumn(rank_as, rank.cast("bigint")).drop("__r", "__n0", "__start", BLOCK)
 
 

@@ -22,7 +22,7 @@ def rolling_stats(
     * the slot at the far end is a running sum backwards, over copies of its rows moved
       one range ahead so that they meet the rows that need them.
 
-    A task holds one (key, slot) at a time, never a whole key.
+    A task holds one (key, slot) at a time, never a whole key. ``key`` must not be NULL.
     """
     if seconds % slots:
         raise ValueError("seconds must be a multiple of slots")
@@ -66,9 +66,8 @@ def rolling_stats(
         F.col("__slot").alias("__mid_slot"),
         *[fn(f"__{k}").over(inner).alias(f"__mid_{k}") for k, fn in combine.items()],
     )
-    joined = edges.join(
-        middle, edges[key].eqNullSafe(middle["__key"]) & (edges["__slot"] == middle["__mid_slot"]), "left"
-    )
+    # plain equality on the window's own keys: the rows are not shuffled again
+    joined = edges.join(middle, (edges[key] == middle["__key"]) & (edges["__slot"] == middle["__mid_slot"]), "left")
 
     def total(k):
         return sum((F.coalesce(f"__{p}_{k}", F.lit(0)) for p in ("near", "mid", "far")), F.lit(0))

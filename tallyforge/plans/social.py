@@ -121,7 +121,7 @@ def trending_rollup(events: DataFrame, sizes: Sequence[str] = TREND_SIZES) -> Da
     The other sizes must be multiples of it; they sum those counts, which all branches
     share through one shuffle.
     """
-    finest = count_mentions(hashtag_mentions(events), sizes[0]).select("window_start", "hashtag", "mention_count")
+    finest = count_mentions(hashtag_mentions(events), sizes[0])
 
     def rolled(size: str) -> DataFrame:
         span = F.window("window_start", size).alias("w")
@@ -130,7 +130,7 @@ def trending_rollup(events: DataFrame, sizes: Sequence[str] = TREND_SIZES) -> Da
             F.col("w.end").alias("window_end"), "mention_count",
         )
 
-    return reduce(DataFrame.unionByName, [rolled(size) for size in sizes])
+    return reduce(DataFrame.unionByName, [finest, *[rolled(size) for size in sizes[1:]]])
 
 
 def sliding_hashtags(events: DataFrame, size: str = "15 minutes", slide: str = "5 minutes") -> DataFrame:
