@@ -18,6 +18,7 @@ from tallyforge.streaming import jobs, sinks
 
 from . import churn, fraud, mart, orders, sensors, social
 from .inputs import BASE_TABLES, INPUTS, load
+from .stored import refresh_daily_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -224,8 +225,6 @@ def _materialized_mart(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def _refreshed_daily_report(spark: SparkSession, data_dir: str) -> DataFrame:
     """The stored daily report: built from half of the rows, then refreshed for the days that changed."""
-    from .refresh import refresh_daily_report
-
     txn, path = load(spark, data_dir, "bank_txn"), fresh_path(spark, "daily-report")
     early = "transaction_date < DATE '2024-01-10' OR transaction_id % 2 = 0"
     refresh_daily_report(txn.where(early), path)
@@ -260,7 +259,7 @@ def _stream_page_views(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def _stream_sensor_windows(spark: SparkSession, data_dir: str) -> DataFrame:
     stream = jobs.sensor_windows(stream_table(spark, data_dir, "events", "sensor"), "60 days")
-    log = run_stream(spark, stream, updates.log_updates, "update")
+    log = run_stream(spark, stream, sinks.sensor_versions, "update")
     newest = updates.current(log, ["window_start", "sensor_id"])
     return ntz(newest.select(
         "window_start", "window_end", "sensor_id", tidy(F.col("avg_temp"), 6).alias("avg_temp"), "reading_count"
@@ -269,7 +268,7 @@ def _stream_sensor_windows(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def _stream_trending(spark: SparkSession, data_dir: str) -> DataFrame:
     stream = jobs.trending(stream_table(spark, data_dir, "events", "social"), "60 days")
-    log = run_stream(spark, stream, updates.log_updates, "update")
+    log = run_stream(spark, stream, sinks.trends, "update")
     newest = updates.current(log, ["window_size", "window_start", "hashtag"])
     return ntz(newest.select("hashtag", "window_size", "window_start", "window_end", "mention_count"))
 
@@ -284,7 +283,7 @@ def _stream_viral(spark: SparkSession, data_dir: str) -> DataFrame:
 def _stream_ranking(spark: SparkSession, data_dir: str) -> DataFrame:
     stream = jobs.engagement(stream_table(spark, data_dir, "events", "social"))
     log = run_stream(spark, stream, sinks.rank_users, "complete")
-    return updates.latest_batch(log).drop("batch_id")
+    return updates.latest_batch(log).drop("batch_id", "calculated_at")
 
 
 def _stream_landing(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -307,13 +306,13 @@ def _stream_enriched(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def _stream_sentiment(spark: SparkSession, data_dir: str) -> DataFrame:
     stream = jobs.sentiments(stream_table(spark, data_dir, "events", "social"))
-    return ntz(run_stream(spark, stream, updates.log_updates, "append").drop("batch_id"))
+    return ntz(run_stream(spark, stream, sinks.sentiments, "append").drop("batch_id", "processed_at"))
 
 
 def _stream_running_totals(spark: SparkSession, data_dir: str) -> DataFrame:
-    stream = jobs.running_totals(stream_table(spark, data_dir, "orders", "user_txn"))
-    log = run_stream(spark, stream, updates.log_updates, "append").drop("batch_id")
-    return log.withColumn("customer_id", F.col("customer_id").cast("bigint"))
+    stream = jobs.high_value(stream_table(spark, data_dir, "orders", "user_txn"))
+    log = run_stream(spark, stream, lambda path: sinks.running_totals(path, f"{path}-totals"), "append")
+    return log.drop("batch_id").withColumn("customer_id", F.col("customer_id").cast("bigint"))
 
 
 def queries() -> dict[str, Query]:

@@ -1,4 +1,4 @@
-"""The daily fraud report as a stored table, refreshed for changed days only."""
+"""Fraud reports that live on: a view, and a stored table refreshed for changed days only."""
 
 from __future__ import annotations
 
@@ -6,7 +6,12 @@ from pyspark.sql import DataFrame
 
 from tallyforge.sources.writers import refresh_partitions
 
-from .fraud import daily_fraud_report
+from .fraud import daily_fraud_report, high_risk_view
+
+
+def create_high_risk_view(txn: DataFrame, name: str = "vw_high_risk_transactions") -> None:
+    """Register the high-risk transactions for SQL users of this session."""
+    high_risk_view(txn).createOrReplaceTempView(name)
 
 
 def refresh_daily_report(txn: DataFrame, path: str, changed_days: DataFrame | None = None) -> None:

@@ -57,6 +57,13 @@ SOCIAL_EVENT = table(
     hashtags="array<string>", comment_text="string", content_type="string", video_duration_sec="double",
     watch_time_sec="double", timestamp="string",
 )
+USER_DIM = table(
+    user_id="string", username="string", user_type="string", follower_count="int", following_count="int",
+    post_count="int", country="string", created_at="timestamp",
+)
+POST_DIM = table(
+    post_id="string", user_id="string", content_type="string", hashtags="string", created_at="timestamp"
+)
 API_USER = table(
     id="int", name="string", email="string", address=table(city="string"),
     company=table(name="string"),

@@ -17,11 +17,19 @@ from pyspark.sql.window import Window
 from .writers import write_batch
 
 
-def log_updates(path: str, shape: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that logs each batch at ``path``."""
+def log_updates(
+    path: str, shape: Callable[[DataFrame], DataFrame] | None = None, *, stamped_as: str | None = None
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that logs each batch at ``path``.
+
+    ``shape`` is applied to the batch first; ``stamped_as`` names a column for the time of writing.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_batch(shape(batch) if shape else batch, path, batch_id)
+        rows = shape(batch) if shape else batch
+        if stamped_as:
+            rows = rows.withColumn(stamped_as, F.current_timestamp())
+        write_batch(rows, path, batch_id)
 
     return sink
 

@@ -16,6 +16,11 @@ def refresh_partitions(df: DataFrame, path: str, *by: str) -> None:
     df.write.mode("overwrite").partitionBy(*by).option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def reload_table(df: DataFrame, path: str) -> None:
+    """Empty the table at ``path`` and fill it with ``df``, which must not read from it."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
 def append_checked(spark: SparkSession, df: DataFrame, path: str) -> None:
     """Create the table if it is missing, else append; the columns must be the table's."""
     try:

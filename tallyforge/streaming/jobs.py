@@ -6,15 +6,12 @@ stream to be written. Sources and sinks are chosen by the caller.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tallyforge.functions.numbers import tidy
 from tallyforge.plans import sensors, social
 
 # How long late rows are waited for, per source, and trigger intervals.
@@ -54,42 +51,10 @@ def sentiments(stream: DataFrame) -> DataFrame:
     return social.comment_sentiment(stream)
 
 
-RUNNING_TOTAL = (
-    "customer_id string, running_total double, latest_transaction_id bigint, latest_amount double, "
-    "transactions_counted bigint"
-)
-
-
-def _add_to_total(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    total, count = state.get if state.exists else (0.0, 0)
-    rows = pd.concat(list(chunks)).sort_values("transaction_id")
-    running = total + rows["amount"].cumsum()
-    counted = count + pd.Series(range(1, len(rows) + 1), index=rows.index)
-    state.update((float(running.iloc[-1]), int(counted.iloc[-1])))
-    yield pd.DataFrame({
-        "customer_id": str(key[0]),
-        "running_total": running,
-        "latest_transaction_id": rows["transaction_id"],
-        "latest_amount": rows["amount"],
-        "transactions_counted": counted,
-    })
-
-
-def running_totals(stream: DataFrame, threshold: float = sensors.HIGH_VALUE) -> DataFrame:
-    """Running total and count of a customer's transactions above ``threshold``, one row per input.
-
-    State is one pair of numbers per customer, kept by the executors. A call sees one
-    customer's rows of one micro-batch, so bound the trigger (``maxOffsetsPerTrigger``).
-    """
-    high = stream.where(F.col("amount") > threshold).select(
-        F.col("customer_id").cast("string").alias("customer_id"),
-        F.col("transaction_id").cast("bigint").alias("transaction_id"),
-        F.col("amount").cast("double").alias("amount"),
-    )
-    totals = high.groupBy("customer_id").applyInPandasWithState(
-        _add_to_total, RUNNING_TOTAL, "total double, n bigint", "append", GroupStateTimeout.NoTimeout
-    )
-    return totals.withColumn("running_total", tidy(F.col("running_total")))
+def high_value(stream: DataFrame, threshold: float = sensors.HIGH_VALUE) -> DataFrame:
+    """Transactions above ``threshold``, for the running totals of :func:`sinks.running_totals`."""
+    customer = F.coalesce(F.col("customer_id").cast("string"), F.lit("UNKNOWN")).alias("customer_id")
+    return stream.where(F.col("amount") > threshold).select(customer, "transaction_id", "amount")
 
 
 def start(

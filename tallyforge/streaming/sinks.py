@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.functions.numbers import tidy
 from tallyforge.operators.aggregate import rank_by_level
+from tallyforge.operators.lookup import lookup
+from tallyforge.operators.ordered import asc, number_rows, place_in_blocks
 from tallyforge.plans import social
 from tallyforge.plans.sensors import ALERT_DEVIATIONS, MIN_READINGS
-from tallyforge.sources.messages import to_keyed_messages
-from tallyforge.sources.updates import log_updates
+from tallyforge.sources.messages import merge_records, to_keyed_messages
+from tallyforge.sources.updates import current, log_updates
 from tallyforge.sources.writers import refresh_partitions, write_batch, write_dead_letters
 
 Sink = Callable[[DataFrame, int], None]
 
+TOTALS = "total double, transactions bigint"
+
 
 def land(raw_path: str, dead_letter_path: str) -> Sink:
     """Landing rows to the raw table, invalid ones also to the dead letters."""
@@ -48,13 +53,87 @@ def enrich(
     return log_updates(path, curated)
 
 
+def trends(path: str) -> Sink:
+    return log_updates(path, stamped_as="calculated_at")
+
+
+def sensor_versions(path: str) -> Sink:
+    """Window averages; ``updates.current`` and ``updates.history`` are the two tables over it."""
+    return log_updates(path, stamped_as="recorded_at")
+
+
+def sentiments(path: str) -> Sink:
+    return log_updates(path, stamped_as="processed_at")
+
+
 def keep_viral(path: str, threshold: int = social.VIRAL_LIKES) -> Sink:
-    return log_updates(path, lambda batch: batch.where(F.col("like_count") >= threshold))
+    return log_updates(path, lambda batch: batch.where(F.col("like_count") >= threshold), stamped_as="detected_at")
 
 
 def rank_users(path: str) -> Sink:
     """Rank all users of a complete-mode batch; readers take the latest batch."""
-    return log_updates(path, lambda batch: rank_by_level(batch, "total_engagement", "rank"))
+    return log_updates(path, lambda batch: rank_by_level(batch, "total_engagement", "rank"), stamped_as="calculated_at")
+
+
+def merge(path: str, order: str, *, size: int = 1000) -> Sink:
+    """JSON arrays of at most ``size`` records; the trigger interval bounds their age."""
+    return log_updates(path, lambda batch: merge_records(batch, order, size=size))
+
+
+def running_totals(
+    path: str, totals_path: str, *, snapshot_every: int = 20, publish: Callable[[DataFrame], None] | None = None
+) -> Sink:
+    """Running total and count per customer, one row per transaction, in the order of its id.
+
+    Sums within the batch come from the block-wise running sum, so one customer may fill
+    the batch. What a customer brings from earlier batches lies in a table of totals: each
+    batch adds the customers it touched, and every ``snapshot_every`` batches all of them,
+    so no batch reads further back than the last snapshot. A retried batch reads only
+    batches before it and replaces what it wrote.
+    """
+
+    def totals_before(spark: SparkSession, batch_id: int) -> DataFrame:
+        since = (batch_id - 1) // snapshot_every * snapshot_every
+        rows = spark.read.schema(f"customer_id string, {TOTALS}, batch_id bigint").parquet(totals_path)
+        rows = rows.where(F.col("batch_id").between(since, batch_id - 1))
+        return current(rows, ["customer_id"]).drop("batch_id", "version")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark, order = batch.sparkSession, [asc("transaction_id")]
+        rows = batch.withColumn("customer_id", F.col("customer_id").cast("string"))
+        placed = place_in_blocks(rows, [asc("customer_id"), *order])
+        inside = number_rows(placed, ["customer_id"], order, number_as="n", sums={"running": "amount"})
+        if batch_id > 0:
+            earlier = totals_before(spark, batch_id)
+        else:
+            earlier = spark.createDataFrame([], f"customer_id string, {TOTALS}")
+        carried = lookup(inside, earlier, "customer_id", {"total": "before", "transactions": "count_before"})
+        running = F.col("running") + F.coalesce("before", F.lit(0.0))
+        counted = F.col("n") + F.coalesce("count_before", F.lit(0))
+        shown = carried.select(
+            "customer_id",
+            tidy(running).alias("running_total"),
+            F.col("transaction_id").alias("latest_transaction_id"),
+            F.col("amount").alias("latest_amount"),
+            counted.alias("transactions_counted"),
+        )
+        write_batch(shown, path, batch_id)
+
+        added = placed.groupBy("customer_id").agg(
+            F.sum("amount").alias("total"), F.count(F.lit(1)).alias("transactions")
+        )
+        both = added.withColumn("touched", F.lit(True)).unionByName(earlier.withColumn("touched", F.lit(False)))
+        whole = both.groupBy("customer_id").agg(
+            F.sum("total").alias("total"),
+            F.sum("transactions").alias("transactions"),
+            F.max("touched").alias("touched"),
+        )
+        kept = whole if batch_id % snapshot_every == 0 else whole.where("touched")
+        write_batch(kept.drop("touched"), totals_path, batch_id)
+        if publish:
+            publish(to_keyed_messages(spark.read.parquet(f"{path}/batch_id={batch_id}"), "customer_id"))
+
+    return sink
 
 
 def sensor_alerts(

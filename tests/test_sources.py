@@ -10,7 +10,7 @@ from tallyforge.operators.checks import require_rows, run_table_tests
 from tallyforge.operators.profile import column_roles, duplicate_rows
 from tallyforge.plans import mart
 from tallyforge.plans.fraud import daily_fraud_report
-from tallyforge.plans.refresh import refresh_daily_report
+from tallyforge.plans.stored import create_high_risk_view, refresh_daily_report
 from tallyforge.sources import messages, readers, schemas, updates, writers
 
 
@@ -158,3 +158,16 @@ def test_mart_is_readable_again(spark, folder):
     built = mart.materialize(spark, load(spark, "/root/testdata/sf0.001", "telecom"), folder)
     assert sorted(os.listdir(folder)) == sorted(mart.STORED)
     assert spark.table("mart_churn_kpis").count() == built["mart_churn_kpis"].count() == 3
+
+
+def test_high_risk_view(spark):
+    from tallyforge.plans.inputs import load
+
+    create_high_risk_view(load(spark, "/root/testdata/sf0.01", "bank_txn"))
+    assert spark.sql("SELECT count(*) FROM vw_high_risk_transactions").first()[0] == 415
+
+
+def test_reload_replaces_rows(spark, folder):
+    for rows in ([("u1",), ("u2",)], [("u3",)]):
+        writers.reload_table(spark.createDataFrame(rows, "user_id string"), f"{folder}/dim")
+    assert [r.user_id for r in spark.read.parquet(f"{folder}/dim").collect()] == ["u3"]

@@ -157,23 +157,56 @@ def test_viral_threshold(spark, folder):
     assert [(r.post_id, r.like_count, r.batch_id) for r in rows] == [("p", 5, 1)]
 
 
+AMOUNTS = [("C100", 500.0), ("C200", 15000.0), ("C100", 12000.0), ("C300", 9999.99), ("C200", 22000.0),
+           ("C100", 300.0), ("C100", 18000.0), ("C300", 50000.0), ("C200", 11000.0), ("C300", 7500.0)]
+TXN = schemas.table(transaction_id="bigint", customer_id="string", amount="double")
+
+
+def transactions(amounts):
+    return [{"transaction_id": i, "customer_id": c, "amount": a} for i, (c, a) in enumerate(amounts, 1)]
+
+
+def totals(frame):
+    return {(r.latest_transaction_id, r.customer_id, r.running_total, r.transactions_counted) for r in frame.collect()}
+
+
 def test_running_totals_golden(spark, folder):
-    amounts = [("C100", 500.0), ("C200", 15000.0), ("C100", 12000.0), ("C300", 9999.99), ("C200", 22000.0),
-               ("C100", 300.0), ("C100", 18000.0), ("C300", 50000.0), ("C200", 11000.0), ("C300", 7500.0)]
-    rows = [{"transaction_id": i, "customer_id": c, "amount": a} for i, (c, a) in enumerate(amounts, 1)]
     expected = {(2, "C200", 15000.0, 1), (3, "C100", 12000.0, 1), (5, "C200", 37000.0, 2), (7, "C100", 30000.0, 2),
                 (8, "C300", 50000.0, 1), (9, "C200", 48000.0, 3)}
-
-    def shown(frame):
-        return {(r.latest_transaction_id, r.customer_id, r.running_total, r.transactions_counted) for r in frame.collect()}
-
-    schema = schemas.table(transaction_id="bigint", customer_id="string", amount="double")
+    rows = transactions(AMOUNTS)
     path = drop(f"{folder}/in", [rows[5::-1], rows[6:]])  # unordered within a batch
-    stream = readers.stream_json_dir(spark, path, schema, files_per_trigger=1)
-    run(jobs.running_totals(stream), updates.log_updates(f"{folder}/log"), folder)
-    assert shown(updates.read_log(spark, f"{folder}/log")) == expected
-    batch = spark.createDataFrame([tuple(r.values()) for r in rows], "transaction_id long, customer_id string, amount double")
-    assert shown(sensors.high_value_running_totals(batch, blocks=3)) == expected
+    stream = readers.stream_json_dir(spark, path, TXN, files_per_trigger=1)
+    published = []
+    sink = sinks.running_totals(
+        f"{folder}/log", f"{folder}/totals", publish=lambda m: published.extend(m.collect()))
+    run(jobs.high_value(stream), sink, folder)
+    assert totals(updates.read_log(spark, f"{folder}/log")) == expected
+    assert len(published) == 6 and {m.key for m in published} == {"C100", "C200", "C300"}
+    batch = spark.createDataFrame([tuple(r.values()) for r in rows], TXN)
+    assert totals(sensors.high_value_running_totals(batch, blocks=3)) == expected
+
+
+@pytest.mark.parametrize("snapshot_every", [1, 2, 20])
+def test_running_totals_over_snapshots_and_a_retry(spark, folder, snapshot_every):
+    rows = transactions([("hot" if i % 3 else f"c{i % 4}", 10_001.0 + i) for i in range(40)])
+    batches = [rows[n:n + 8] for n in range(0, 40, 8)]
+    sink = sinks.running_totals(f"{folder}/log", f"{folder}/totals", snapshot_every=snapshot_every)
+    for n, part in enumerate(batches):
+        frame = spark.createDataFrame([tuple(r.values()) for r in part], TXN)
+        sink(frame, n)
+        if n == 3:
+            sink(frame, n)  # the batch failed after writing and runs again
+    whole = spark.createDataFrame([tuple(r.values()) for r in rows], TXN)
+    assert totals(updates.read_log(spark, f"{folder}/log")) == totals(sensors.high_value_running_totals(whole))
+
+
+def test_merged_batches(spark, folder):
+    path = drop(f"{folder}/in", [transactions(AMOUNTS[:5]), transactions(AMOUNTS)[5:]])
+    stream = readers.stream_json_dir(spark, path, TXN, files_per_trigger=1)
+    run(stream, sinks.merge(f"{folder}/log", "transaction_id", size=3), folder)
+    rows = updates.read_log(spark, f"{folder}/log").collect()
+    assert sorted((r.batch_id, r.batch_no, r.record_count) for r in rows) == [(0, 0, 3), (0, 1, 2), (1, 0, 3), (1, 1, 2)]
+    assert sorted(e["transaction_id"] for r in rows for e in json.loads(r.records)) == list(range(1, 11))
 
 
 def test_sensor_alerts_and_retry(spark, folder):
