@@ -15,14 +15,14 @@ from .aggregate import is_numeric
 
 
 def _typed_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per row and column: the name and the value in the slot of its type.
+    """One row per row and column: the column's number and the value in the slot of its type.
 
-    Numbers and times stay numbers, which keeps the shuffled rows narrow and spares
-    formatting them as text.
+    Numbers and times stay numbers and columns are numbered, which keeps the shuffled rows
+    narrow and spares formatting values as text.
     """
     slots = {"whole": "bigint", "real": "double", "other": "string"}
     cells = []
-    for field in (f for f in df.schema.fields if f.name in columns):
+    for number, field in enumerate((df.schema[c] for c in columns), 1):
         value, kind = F.col(field.name), field.dataType
         if isinstance(kind, T.IntegralType):
             used, value = "whole", value.cast("bigint")
@@ -34,9 +34,9 @@ def _typed_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             used, value = "real", value.cast("double")
         else:
             used, value = "other", value.cast("string")
-        cells.append(F.lit(field.name))
+        cells.append(F.lit(number))
         cells += [value if slot == used else F.lit(None).cast(t) for slot, t in slots.items()]
-    return df.select(F.stack(F.lit(len(cells) // 4), *cells).alias("column_name", *slots))
+    return df.select(F.stack(F.lit(len(cells) // 4), *cells).alias("column_no", *slots))
 
 
 def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -46,22 +46,24 @@ def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     leaves each task as one row. The second aggregation sees one row per distinct value
     and combines them per task again.
     """
-    numeric = [f.name for f in df.schema.fields if f.name in columns and is_numeric(f.dataType)]
+    numeric = [n for n, c in enumerate(columns, 1) if is_numeric(df.schema[c].dataType)]
     counted = (
         _typed_cells(df, columns)
-        .groupBy("column_name", "whole", "real", "other")
+        .groupBy("column_no", "whole", "real", "other")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     known = F.col("whole").isNotNull() | F.col("real").isNotNull() | F.col("other").isNotNull()
     number = F.coalesce("real", F.col("whole").cast("double"), F.col("other").try_cast("double"))
-    in_range = F.when(F.col("column_name").isin(numeric), number)
-    return counted.groupBy("column_name").agg(
+    in_range = F.when(F.col("column_no").isin(numeric), number)
+    stats = counted.groupBy("column_no").agg(
         F.sum("n").alias("row_count"),
         F.sum(F.when(known, 0).otherwise(F.col("n"))).alias("null_count"),
         F.sum(F.when(known, 1).otherwise(0)).alias("distinct_count"),
         F.min(in_range).alias("min_value"),
         F.max(in_range).alias("max_value"),
     )
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("column_no"))
+    return stats.withColumn("column_name", name).drop("column_no")
 
 
 def profile_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

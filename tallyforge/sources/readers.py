@@ -20,27 +20,26 @@ def read_csv(
     """Typed rows of a headed CSV file; rows that do not fit the schema are skipped.
 
     A row fits when it has the right number of fields and every field casts to its type.
-    Fields are read as text and cast here, so what counts as a bad row does not depend on
-    which columns a later query selects.
+    Fields are read as text and cast here, and all of them are parsed, so what counts as a
+    bad row does not depend on which columns a later query selects.
     """
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     raw = (
         spark.read.schema(texts.add("__bad", "string"))
-        .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="__bad", enforceSchema=True)
+        .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="__bad", columnPruning=False)
         .csv(path)
     )
     values = raw.select(
         "__bad",
         *[F.when(~F.col(f.name).isin(list(null_markers)), F.col(f.name)).alias(f.name) for f in schema.fields],
     )
-    typed = values.select(
-        "__bad",
-        *[F.struct(F.col(f.name).alias("text"), F.col(f.name).try_cast(f.dataType).alias("value")).alias(f.name)
-          for f in schema.fields],
-    )
-    fits = [F.col(f"{f.name}.text").isNull() | F.col(f"{f.name}.value").isNotNull() for f in schema.fields]
-    return typed.where(reduce(and_, fits, F.col("__bad").isNull())).select(
-        *[F.col(f"{f.name}.value").alias(f.name) for f in schema.fields]
+    cast = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    fits = [
+        F.col(f.name).isNull() | cast[f.name].isNotNull()
+        for f in schema.fields if not isinstance(f.dataType, T.StringType)
+    ]
+    return values.where(reduce(and_, fits, F.col("__bad").isNull())).select(
+        *[value.alias(name) for name, value in cast.items()]
     )
 
 
