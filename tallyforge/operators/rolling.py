@@ -2,83 +2,108 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .aggregate import scalar
+
 MICROS = 1_000_000
 
+# Mergeable parts of a set of readings, and how two sets merge.
+PARTS = {"n": F.sum, "s": F.sum, "q": F.sum, "lo": F.min, "hi": F.max}
 
-def rolling_stats(
-    df: DataFrame, key: str, ts: str, value: str, *, seconds: int, slots: int = 60
-) -> DataFrame:
-    """Mean, population deviation, count and "values differ" of the last ``seconds`` up to each row.
+# A (key, slot) with more rows than this is summed per instant first.
+LARGEST_SLOT = 5_000_000
 
-    The frame is ``[ts - seconds, ts]`` per key. A plain RANGE window re-reads the whole
-    frame for every row and keeps a key in one task. Here the range is cut into ``slots``:
 
-    * full slots between the two ends come from per-slot sums (one row per key and slot),
-    * the row's own slot is a running sum up to the row,
-    * the slot at the far end is a running sum backwards, over copies of its rows moved
-      one range ahead so that they meet the rows that need them.
+def micros(ts: str) -> Column:
+    return F.unix_micros(F.col(ts).cast("timestamp"))
 
-    A task holds one (key, slot) at a time, never a whole key. ``key`` must not be NULL.
+
+def rolling_stats(
+    df: DataFrame, key: str, ts: str, value: str, *, seconds: int, slots: int = 60, largest_slot: int = LARGEST_SLOT
+) -> DataFrame:
+    """Mean, population deviation and count of the last ``seconds`` up to each row, ties included.
+
+    The frame is ``[ts - seconds, ts]`` per key; ``key`` and ``ts`` must not be NULL. A plain
+    RANGE window re-reads the whole frame for every row and keeps a key in one task. Here a
+    task holds one (key, slot) of ``seconds / slots`` at a time. If a burst puts too many rows
+    into one slot, rows are summed per instant and slots are cut to a second, so that a slot
+    holds a million rows at most; each row then looks its instant up.
     """
     if seconds % slots:
         raise ValueError("seconds must be a multiple of slots")
-    step = seconds // slots * MICROS
-    span = seconds * MICROS
-
-    centre = df.agg(F.avg(value).alias("c")).scalar()  # keeps the squares small
-    timed = df.withColumns({
-        "__t": F.unix_micros(F.col(ts).cast("timestamp")),
-        "__x": F.col(value) - centre,
-        "__own": F.lit(True),
-    })
-    timed = timed.withColumn("__slot", F.floor(F.col("__t") / step))
-
-    copies = timed.select(
+    centre = scalar(df, F.avg(value))  # keeps the squares small
+    x = F.col(value) - centre
+    own = {"n": F.lit(1).cast("bigint"), "s": x, "q": x * x, "lo": F.col(value), "hi": F.col(value)}
+    rows = df.withColumns({"__t": micros(ts), **{f"__{k}": part for k, part in own.items()}})
+
+    slot = F.floor(F.col("__t") / (seconds // slots * MICROS))
+    counted = df.select(key, micros(ts).alias("__t")).groupBy(key, slot).agg(F.count(F.lit(1)).alias("c"))
+    if (counted.agg(F.max("c")).first()[0] or 0) <= largest_slot:
+        framed = _framed(rows, key, seconds, slots)
+    else:
+        instants = rows.groupBy(key, "__t").agg(*[merge(f"__{k}").alias(f"__{k}") for k, merge in PARTS.items()])
+        framed = _framed(instants, key, seconds, seconds)
+        framed = rows.select(*df.columns, "__t").join(framed, [key, "__t"], "left")
+
+    mean = F.col("__all_s") / F.col("__all_n")
+    variance = F.col("__all_q") / F.col("__all_n") - mean * mean
+    deviation = F.when(F.col("__all_lo") == F.col("__all_hi"), F.lit(0.0)).otherwise(
+        F.sqrt(F.greatest(variance, F.lit(0.0)))
+    )
+    return framed.select(
+        *df.columns,
+        F.col("__all_n").alias("rolling_count"),
+        (mean + centre).alias("rolling_avg"),
+        deviation.alias("rolling_stddev"),
+    )
+
+
+def _framed(rows: DataFrame, key: str, seconds: int, slots: int) -> DataFrame:
+    """Each row with the merged parts (``__all_*``) of its frame.
+
+    Full slots between the two ends come from per-slot sums, one row per key and slot. The
+    row's own slot is a running sum up to the row. The slot at the far end is a running sum
+    backwards, over copies of its rows moved one range ahead to meet the rows that need them.
+    """
+    step, span = seconds // slots * MICROS, seconds * MICROS
+    rows = rows.withColumns({"__own": F.lit(True), "__slot": F.floor(F.col("__t") / step)})
+    copies = rows.select(
         key,
         (F.col("__t") + span).alias("__t"),
-        "__x",
+        *[f"__{k}" for k in PARTS],
         F.lit(False).alias("__own"),
         (F.col("__slot") + slots).alias("__slot"),
     )
-    both = timed.unionByName(copies, allowMissingColumns=True)
-
-    def parts(mine):
-        x = F.when(mine, F.col("__x"))
-        return {"n": F.count(x), "s": F.sum(x), "q": F.sum(x * x), "lo": F.min(x), "hi": F.max(x)}
+    both = rows.unionByName(copies, allowMissingColumns=True)
 
-    def framed(prefix, mine, order):
+    def running(prefix: str, mine: Column, order: Column) -> dict[str, Column]:
         frame = Window.partitionBy(key, "__slot").orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
-        return {f"__{prefix}_{k}": agg.over(frame) for k, agg in parts(mine).items()}
+        return {f"__{prefix}_{k}": merge(F.when(mine, F.col(f"__{k}"))).over(frame) for k, merge in PARTS.items()}
 
-    edges = both.withColumns(framed("near", F.col("__own"), F.asc("__t")))
-    edges = edges.withColumns(framed("far", ~F.col("__own"), F.desc("__t")))
-    edges = edges.where("__own")
+    edges = both.withColumns(running("near", F.col("__own"), F.asc("__t")))
+    edges = edges.withColumns(running("far", ~F.col("__own"), F.desc("__t"))).where("__own")
 
-    per_slot = timed.groupBy(key, "__slot").agg(*[a.alias(f"__{k}") for k, a in parts(F.lit(True)).items()])
+    per_slot = rows.groupBy(key, "__slot").agg(*[merge(f"__{k}").alias(f"__{k}") for k, merge in PARTS.items()])
     inner = Window.partitionBy(key).orderBy("__slot").rangeBetween(-(slots - 1), -1)
-    combine = {"n": F.sum, "s": F.sum, "q": F.sum, "lo": F.min, "hi": F.max}
     middle = per_slot.select(
-        F.col(key).alias("__key"),
+        F.col(key).alias("__mid_key"),
         F.col("__slot").alias("__mid_slot"),
-        *[fn(f"__{k}").over(inner).alias(f"__mid_{k}") for k, fn in combine.items()],
-    )
-    # plain equality on the window's own keys: the rows are not shuffled again
-    joined = edges.join(middle, (edges[key] == middle["__key"]) & (edges["__slot"] == middle["__mid_slot"]), "left")
-
-    def total(k):
-        return sum((F.coalesce(f"__{p}_{k}", F.lit(0)) for p in ("near", "mid", "far")), F.lit(0))
-
-    n, mean = total("n"), F.try_divide(total("s"), total("n"))
-    variance = F.try_divide(total("q"), n) - mean * mean
-    low = F.least(*[f"__{p}_lo" for p in ("near", "mid", "far")])
-    high = F.greatest(*[f"__{p}_hi" for p in ("near", "mid", "far")])
-    return joined.select(
-        *df.columns,
-        n.alias("rolling_count"),
-        (mean + centre).alias("rolling_avg"),
-        F.when(low == high, F.lit(0.0)).otherwise(F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("rolling_stddev"),
+        *[merge(f"__{k}").over(inner).alias(f"__mid_{k}") for k, merge in PARTS.items()],
     )
+    # plain equality on the windows' own keys: the rows are not shuffled again
+    same = (edges[key] == middle["__mid_key"]) & (edges["__slot"] == middle["__mid_slot"])
+    joined = edges.join(middle, same, "left")
+
+    def whole(k: str) -> Column:
+        parts = [F.col(f"__{p}_{k}") for p in ("near", "mid", "far")]
+        if PARTS[k] is F.min:
+            return F.least(*parts)
+        if PARTS[k] is F.max:
+            return F.greatest(*parts)
+        return parts[0] + F.coalesce(parts[1], F.lit(0)) + F.coalesce(parts[2], F.lit(0))
+
+    kept = [c for c in rows.columns if c not in ("__own", "__slot", *[f"__{k}" for k in PARTS])]
+    return joined.select(*kept, *[whole(k).alias(f"__all_{k}") for k in PARTS])

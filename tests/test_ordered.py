@@ -106,17 +106,19 @@ def test_lookup_keeps_all_facts(spark):
         assert row.found == {"hot": 1, "k2": 2}.get(row.k)
 
 
-@pytest.mark.parametrize("slots", [4, 60])
-def test_rolling_stats(spark, slots):
+@pytest.mark.parametrize("slots, largest_slot", [(4, 10_000), (60, 10_000), (60, 5)])
+def test_rolling_stats(spark, slots, largest_slot):
     rng = random.Random(3)
     rows = [
         (i, "hot" if i % 3 else rng.choice("ab"), rng.randrange(0, 20_000) * 1_000_000 + rng.randrange(3), 20 + rng.random())
         for i in range(400)
     ]
     rows += [(1000 + i, "flat", i * 60_000_000, 21.3) for i in range(30)]
+    rows += [(3000 + i, "hot", 5_000_000_000, 22.0 + i) for i in range(50)]  # a burst at one instant
     rows += [(2000, "hot", 0, 1.0), (2001, "hot", 3600_000_000, 2.0), (2002, "hot", 7200_000_001, 3.0)]  # frame edges
     frame = spark.createDataFrame(rows, "id long, k string, us long, v double").withColumn("ts", F.timestamp_micros("us"))
-    got = {r.id: r for r in rolling_stats(frame, "k", "ts", "v", seconds=3600, slots=slots).collect()}
+    got = {r.id: r for r in rolling_stats(
+        frame, "k", "ts", "v", seconds=3600, slots=slots, largest_slot=largest_slot).collect()}
     assert len(got) == len(rows)
     for i, key, us, _ in rows:
         frame_values = [v for _, k, t, v in rows if k == key and us - 3600_000_000 <= t <= us]
