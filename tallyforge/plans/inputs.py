@@ -2,6 +2,7 @@
 
 Each text is valid for Spark and DuckDB once its markers are filled in: table names in
 braces, ``<iso_dow>`` (day of week, Monday = 1) and ``<array>`` (array constructor).
+The dimensions leave out one segment and one part type, so that some users and posts are unknown.
 Amounts pass through six decimals before they are cut to cents, because engines disagree on
 which way a binary half cent goes.
 """
@@ -73,7 +74,7 @@ SELECT CASE WHEN event_id % 211 = 0 THEN NULL ELSE cast(event_id AS string) END
   CASE WHEN et IN ('LIKE','COMMENT','SHARE','VIDEO_VIEW','POST_CREATED') AND event_id % 53 <> 0
     THEN concat('P', cast(k % 20 AS string)) END AS post_id,
   CASE WHEN et IN ('FOLLOW','PROFILE_VISIT') OR event_id % 2 = 0
-    THEN concat('U', cast((user_id + k) % 150 AS string)) END AS target_user_id,
+    THEN concat('U', cast(user_id + k AS string)) END AS target_user_id,
   CASE WHEN et = 'POST_CREATED' THEN
     <array>(concat('#t', cast(k % 10 AS string)), concat('#t', cast(k % 7 + 3 AS string))) END AS hashtags,
   CASE WHEN et = 'COMMENT' THEN CASE k % 6 WHEN 0 THEN 'Love this! ' WHEN 1 THEN 'Amazing content and great work'
@@ -119,17 +120,18 @@ SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS amount
 
 USER_DIM = """
 SELECT concat('U', cast(c_custkey AS string)) AS user_id, concat('user_', cast(c_custkey AS string)) AS username,
-  CASE WHEN c_custkey < 10 THEN 'influencer' ELSE 'regular' END AS user_type,
+  CASE WHEN c_acctbal > 9000 THEN 'influencer' ELSE 'regular' END AS user_type,
   cast(50 + (c_custkey * 7919) % 4950 AS int) AS follower_count,
-  n_name AS country FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey WHERE c_custkey < 140
+  n_name AS country FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
+WHERE c_mktsegment <> 'HOUSEHOLD'
 """
 
 POST_DIM = """
 SELECT concat('P', cast(p_partkey AS string)) AS post_id,
-  concat('U', cast((p_partkey * 7) % 150 AS string)) AS user_id,
+  concat('U', cast(p_partkey * 7 AS string)) AS user_id,
   CASE p_partkey % 3 WHEN 0 THEN 'image' WHEN 1 THEN 'reel' END AS content_type,
   CASE WHEN p_partkey % 5 = 4 THEN NULL ELSE concat('["#t', cast(p_partkey % 6 AS string), '"]') END AS hashtags
-FROM {part} WHERE p_partkey < 18
+FROM {part} WHERE p_type <> 'PROMO'
 """
 
 USER_TXN = """
