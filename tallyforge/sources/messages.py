@@ -68,15 +68,14 @@ def merge_records(
     position of a record is found without sorting the table in one task.
     """
     by = [F.asc_nulls_last(order)]
-    packed = df.select(order, F.to_json(F.struct(*df.columns), TIME_FORMATS).alias("__json"))
-    numbered = number_rows(place_in_blocks(packed, by, blocks), [], by, number_as="__n")
+    numbered = number_rows(place_in_blocks(df, by, blocks), [], by, number_as="__n")
     batch = F.floor((F.col("__n") - 1) / size).cast("bigint")
-    records = F.array_sort(F.collect_list(F.struct("__n", "__json")))
+    packed = F.struct("__n", F.to_json(F.struct(*df.columns), TIME_FORMATS).alias("__json"))
     merged = numbered.groupBy(batch.alias("batch_no")).agg(
         F.count(F.lit(1)).alias("record_count"),
         F.min(order).alias("first_record"),
         F.max(order).alias("last_record"),
-        records.alias("__records"),
+        F.array_sort(F.collect_list(packed)).alias("__records"),
     )
     array = F.concat(F.lit("["), F.array_join(F.col("__records.__json"), ","), F.lit("]"))
     return merged.withColumn("records", array).drop("__records")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import math
+import os
 
 import duckdb
 
@@ -15,7 +16,10 @@ def connect(data_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
     for table in TABLES:
-        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{data_dir}/{table}.parquet'")
+        path = f"{data_dir}/{table}.parquet"
+        if os.path.exists(path):
+            files = f"{path}/*.parquet" if os.path.isdir(path) else path
+            con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{files}'")
     return con
 
 
