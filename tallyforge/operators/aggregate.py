@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,23 +105,25 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def rank_by_level(df: DataFrame, level: str, rank_as: str) -> DataFrame:
-    """Rank all rows by an integer column, largest first, without sorting the rows.
+def rank_by_level(df: DataFrame, level: str, rank_as: str, within: Sequence[str] = ()) -> DataFrame:
+    """Rank all rows (of each ``within``) by a counter, largest first, without sorting the rows.
 
     Rows are counted per level, the few levels are ranked, and each row looks its
     level up. Distinct levels of a counter grow with the square root of what was
-    counted, so the single-partition window stays small where rows would not.
+    counted, so the window over them stays small where rows would not.
     The rows are read twice, so they are checkpointed rather than computed twice.
     """
     ensure_checkpoints(df.sparkSession)
     df = df.checkpoint()
-    levels = df.groupBy(level).agg(F.count(F.lit(1)).alias("__rows"))
-    above = Window.orderBy(F.desc_nulls_last(level)).rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*within, level]
+    levels = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    above = Window.partitionBy(*within).orderBy(F.desc_nulls_last(level)).rowsBetween(Window.unboundedPreceding, -1)
     ranked = levels.select(
-        F.col(level).alias("__level"),
+        *[F.col(k).alias(f"__on_{k}") for k in keys],
         (F.coalesce(F.sum("__rows").over(above), F.lit(0)) + 1).alias(rank_as),
     )
-    return df.join(small(ranked), F.col(level).eqNullSafe(F.col("__level")), "left").drop("__level")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__on_{k}")) for k in keys])
+    return df.join(small(ranked), same, "left").drop(*[f"__on_{k}" for k in keys])
 
 
 def is_numeric(data_type: T.DataType) -> bool:

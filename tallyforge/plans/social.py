@@ -182,7 +182,9 @@ def engagement(
 
 
 def influencer_ranking(events: DataFrame, **options) -> DataFrame:
-    return rank_by_level(engagement(events, **options), "total_engagement", "rank")
+    """Users ranked by their points; with ``size``, within each window."""
+    within = ["window_start"] if options.get("size") else []
+    return rank_by_level(engagement(events, **options), "total_engagement", "rank", within)
 
 
 def event_breakdown(events: DataFrame) -> DataFrame:
