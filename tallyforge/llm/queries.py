@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import byte_bpe, packing, quality_ledger, secret_scan, shards, stream_dedup
+from tallyforge.llm import byte_bpe, license_scan, packing, quality_ledger, secret_scan, shards, stream_dedup
 from tallyforge.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op4_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_dedup.groups(documents(spark, sf_dir))
 
@@ -52,7 +57,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {query.__name__: query for query in (
-        op1_byte_bpe, op4_stream_dedup, op5_shards, op7_secret_scan, op8_quality_ledger, op9_packing)}
+        op1_byte_bpe, op2_license_scan, op4_stream_dedup, op5_shards, op7_secret_scan, op8_quality_ledger, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
