@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import byte_bpe, license_scan, packing, quality_ledger, secret_scan, shards, stream_dedup
+from tallyforge.llm import byte_bpe, license_scan, minhash, packing, quality_ledger, secret_scan, shards, stream_dedup
 from tallyforge.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.groups(documents(spark, sf_dir), words_each=2)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(documents(spark, sf_dir))
 
@@ -57,7 +61,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {query.__name__: query for query in (
-        op1_byte_bpe, op2_license_scan, op4_stream_dedup, op5_shards, op7_secret_scan, op8_quality_ledger, op9_packing)}
+        op1_byte_bpe, op2_license_scan, op4_stream_dedup, op5_shards, op6_minhash, op7_secret_scan, op8_quality_ledger, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
