@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import byte_bpe, license_scan, minhash, packing, quality_ledger, secret_scan, shards, stream_dedup
+from tallyforge.llm import byte_bpe, license_scan, minhash, packing, pu_classifier, quality_ledger, secret_scan, shards, stream_dedup
 from tallyforge.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,9 +59,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op10_pu_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_classifier.scored(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def queries() -> dict[str, Query]:
     return {query.__name__: query for query in (
-        op1_byte_bpe, op2_license_scan, op4_stream_dedup, op5_shards, op6_minhash, op7_secret_scan, op8_quality_ledger, op9_packing)}
+        op1_byte_bpe, op2_license_scan, op4_stream_dedup, op5_shards, op6_minhash, op7_secret_scan, op8_quality_ledger, op9_packing, op10_pu_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
