@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import byte_bpe, license_scan, minhash, packing, pu_classifier, quality_ledger, secret_scan, shards, stream_dedup
+from tallyforge.llm import byte_bpe, class_lm, license_scan, minhash, packing, pu_classifier, quality_ledger, secret_scan, shards, stream_dedup
 from tallyforge.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.scored(documents(spark, sf_dir))
+
+
 def op4_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_dedup.groups(documents(spark, sf_dir))
 
@@ -65,7 +69,7 @@ def op10_pu_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {query.__name__: query for query in (
-        op1_byte_bpe, op2_license_scan, op4_stream_dedup, op5_shards, op6_minhash, op7_secret_scan, op8_quality_ledger, op9_packing, op10_pu_classifier)}
+        op1_byte_bpe, op2_license_scan, op3_class_lm, op4_stream_dedup, op5_shards, op6_minhash, op7_secret_scan, op8_quality_ledger, op9_packing, op10_pu_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
