@@ -4,9 +4,10 @@ Documents become a few dozen measurements of form. A logistic model minimises th
 
     prior * E_positive[loss(+)] + max(0, E_unlabelled[loss(-)] - prior * E_positive[loss(-)])
 
-with the class prior estimated from the labelled rows. For the logistic loss the unbiased part is convex, so Newton steps
-fit it; a step that would make the second term negative is halved until it does not, and the fit ends there. Every sum of
-a step runs over all positives and all unlabelled documents, as one small row per task.
+with the class prior estimated from the labelled rows. It is minimised in two steps. For the logistic loss the risk without
+the bound is convex, and Newton steps under a small ridge give a direction. Along it, the place of the boundary is the
+minimum of the bounded risk itself, with the loss that counts errors: from histograms of the projections of all positives and
+all unlabelled documents. Every sum of a step runs over all rows, as one small row per task.
 
 Labels, languages, sources and ids are no inputs. Edge cases: null and empty texts measure zero and get a score like any
 other; repeated rows count as often as they occur; a label that is null or repeated for an id counts as unlabelled or
@@ -36,6 +37,12 @@ MEASURES = (
 #: Ridge on all weights but the bias, a share of the unlabelled mass.
 RIDGE = 1e-4
 STEPS = 25
+#: The ridge of a fit to one positive; it falls with their number.
+PULL = 3.0
+#: Deviations that a measurement counts at most.
+MOST = 3.0
+#: Projections are counted in cells from -REACH to REACH.
+REACH, CELLS = 20.0, 4000
 
 _SPACE = frozenset(SPACE.encode())
 _GROUPS = {
@@ -95,6 +102,11 @@ def fold(doc_id: str = "doc_id", folds: int = 5) -> Column:
     return F.crc32(utf8(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))) % folds
 
 
+def standard(x: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Measurements in deviations from the corpus mean; no single one can outweigh the rest."""
+    return np.clip((x - centre) / scale, -MOST, MOST)
+
+
 @dataclass
 class Model:
     weights: np.ndarray
@@ -104,11 +116,10 @@ class Model:
 
     def score(self, x: str = "x") -> Column:
         """Probability of label 1, as an expression over the measurements."""
-        factor = (self.weights / self.scale).tolist()
-        offset = float(-(self.weights * self.centre / self.scale).sum())
-        total = F.lit(offset)
-        for at, value in enumerate(factor):
-            total = total + F.get(F.col(x), F.lit(at)) * F.lit(float(value))
+        total = F.lit(float(self.weights[0]))
+        for at in range(1, len(self.weights)):
+            z = (F.get(F.col(x), F.lit(at)) - F.lit(float(self.centre[at]))) / F.lit(float(self.scale[at]))
+            total = total + F.lit(float(self.weights[at])) * F.greatest(F.lit(-MOST), F.least(F.lit(MOST), z))
         return 1 / (1 + F.exp(-total))
 
 
@@ -130,11 +141,13 @@ def _sums(rows: DataFrame, summarise, size: int) -> np.ndarray:
 
 
 def fit(rows: DataFrame, prior: float, steps: int = STEPS, ridge: float = RIDGE) -> Model:
-    """``rows`` has x and role: 1 for trusted positives, 0 for unlabelled documents."""
+    """``rows`` has x and role, 1 for trusted positives; all rows together are the unlabelled corpus.
+
+    That the positives are also part of the corpus keeps the difference of the two means steady when there are few.
+    """
     d = len(MEASURES)
 
     def moments(x, role):
-        x = x[role == 0]
         return np.concatenate([[len(x), (role == 1).sum()], x.sum(0), (x * x).sum(0)])
 
     found = _sums(rows, moments, 2 + 2 * d)
@@ -147,61 +160,76 @@ def fit(rows: DataFrame, prior: float, steps: int = STEPS, ridge: float = RIDGE)
     spread = np.sqrt(np.maximum(found[2 + d:] / n_unlabelled - centre ** 2, 0))
     centre[0], spread[0] = 0, 1
     scale = np.where(spread > 1e-9, spread, 1.0)
-    penalty = np.full(d, ridge)
+    penalty = np.full(d, max(ridge, PULL / n_positive))  # few positives say little about many weights
     penalty[0] = 0
 
     def at(weights):
         """Gradient, curvature and the two risks at ``weights``."""
 
         def part(x, role):
-            z = (x - centre) / scale
+            z = standard(x, centre, scale)
             g = z @ weights
-            u, p = role == 0, role == 1
-            s = 1 / (1 + np.exp(-g[u]))
-            curve = (z[u] * (s * (1 - s))[:, None]).T @ z[u]
+            p = role == 1
+            s = 1 / (1 + np.exp(-g))
+            curve = (z * (s * (1 - s))[:, None]).T @ z
             minus = np.logaddexp(0, g)  # loss of calling a row negative
             plus = np.logaddexp(0, -g)
-            return np.concatenate([z[u].T @ s, z[p].sum(0), curve.ravel(), [minus[u].sum(), minus[p].sum(), plus[p].sum()]])
+            return np.concatenate([z.T @ s, z[p].sum(0), curve.ravel(), [minus.sum(), minus[p].sum(), plus[p].sum()]])
 
         v = _sums(rows, part, 2 * d + d * d + 3)
         gradient = v[:d] / n_unlabelled - prior * v[d:2 * d] / n_positive + penalty * weights
         curve = v[2 * d:2 * d + d * d].reshape(d, d) / n_unlabelled + np.diag(penalty + 1e-9)
-        negative = v[-3] / n_unlabelled - prior * v[-2] / n_positive
-        risk = prior * v[-1] / n_positive + max(0.0, negative) + float(penalty @ weights ** 2) / 2
-        return gradient, curve, negative, risk
+        risk = v[-3] / n_unlabelled + prior * (v[-1] - v[-2]) / n_positive + float(penalty @ weights ** 2) / 2
+        return gradient, curve, risk
 
     weights[0] = math.log(prior / (1 - prior))
-    gradient, curve, negative, risk = at(weights)
+    gradient, curve, risk = at(weights)
     for _ in range(steps):
         step = np.linalg.solve(curve, gradient)
-        for _ in range(6):
+        for _ in range(4):
             trial = at(weights - step)
-            if trial[2] >= 0 and trial[3] <= risk + 1e-12:
+            if trial[2] <= risk:
                 break
             step /= 2
         else:
             break
-        weights = weights - step
-        better = risk - trial[3]
-        gradient, curve, negative, risk = trial
+        weights, better = weights - step, risk - trial[2]
+        gradient, curve, risk = trial
         if better < 1e-6:
             break
+    place, slope = boundary(rows, weights, centre, scale, prior)
+    weights *= slope
+    weights[0] -= slope * place
     return Model(weights, centre, scale, prior)
 
 
+def boundary(rows: DataFrame, weights: np.ndarray, centre: np.ndarray, scale: np.ndarray, prior: float) -> tuple[float, float]:
+    """Where along the direction the non-negative risk is least, and a slope that fits the room there."""
+
+    def histogram(x, role):
+        at = np.clip((standard(x, centre, scale) @ weights + REACH) / (2 * REACH) * CELLS, 0, CELLS - 1).astype(np.int64)
+        return np.concatenate([np.bincount(at, minlength=CELLS), np.bincount(at[role == 1], minlength=CELLS)])
+
+    counts = _sums(rows, histogram, 2 * CELLS)
+    everything, positive = counts[:CELLS] / counts[:CELLS].sum(), counts[CELLS:] / counts[CELLS:].sum()
+    lost = np.concatenate([[0], np.cumsum(positive)])  # share of positives below each cell's start
+    called = 1 - np.concatenate([[0], np.cumsum(everything)])  # share of the corpus from there on
+    risk = prior * lost + np.maximum(0, called - prior * (1 - lost))
+    first = int(np.argmin(risk))
+    last = first
+    while last < CELLS and risk[last + 1] <= risk[first] + 1e-9:
+        last += 1
+    width = 2 * REACH / CELLS
+    return (first + last) / 2 * width - REACH, 4 / max((last - first) * width, 0.5)
+
+
 def train(measured_docs: DataFrame, labels: DataFrame, held_out: Column) -> Model:
     """A model from the rows of ``measured_docs`` that are not held out; ``labels`` has doc_id and quality."""
     known = labels.groupBy("doc_id").agg(F.max("quality").alias("quality")).where("quality IS NOT NULL AND doc_id IS NOT NULL")
     rows = measured_docs.where(~held_out).join(known, "doc_id", "left")
-    # unlabelled: everything without a label, so that both classes are in it as in the corpus
-    role = F.when(F.col("quality") == 1, 1).when(F.col("quality").isNull(), 0)
-    rows = written(rows.select("x", "quality", role.cast("int").alias("role")), "roles")
-    counted = rows.agg(F.avg("quality").alias("share"), F.count_if(F.col("role") == 0).alias("n")).first()
-    share = 0.5 if counted["share"] is None else float(counted["share"])
-    used = rows.where("role IS NOT NULL")
-    if not counted["n"]:  # labels cover everything: the positives are also part of the unlabelled corpus
-        used = rows.where("role = 1").select("x", "role").union(rows.select("x", F.lit(0).alias("role")))
-    return fit(used, min(max(share, 0.01), 0.99))
+    rows = written(rows.select("x", "quality", F.coalesce((F.col("quality") == 1).cast("int"), F.lit(0)).alias("role")), "roles")
+    share = rows.agg(F.avg("quality").alias("share")).first()["share"]
+    return fit(rows, min(max(0.5 if share is None else float(share), 0.01), 0.99))
 
 
 def scored(docs: DataFrame, labels: DataFrame, folds: int = 5, least: float = 0.3) -> DataFrame:
