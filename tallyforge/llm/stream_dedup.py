@@ -55,6 +55,8 @@ def remember(spark: SparkSession, path: str, doc_type: str, checkpoint: str, bat
     for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
         session.conf.set(key, spark.conf.get(key))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # a store per partition, most of them small: no room reserved ahead for their logs
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     rows = (
         session.readStream.schema(f"doc_id {doc_type}, __llm_digest string, __llm_points bigint, {UID} bigint")
         .option("maxBytesPerTrigger", batch_bytes).parquet(path)
@@ -73,8 +75,9 @@ def remember(spark: SparkSession, path: str, doc_type: str, checkpoint: str, bat
 def unequal(rows: DataFrame, state: DataFrame) -> DataFrame:
     """Rows (number, digest, id, length, normalised text) that share a digest with a text that is not theirs."""
     met = state.where("n > 1")
-    hits = rows.select(UID, F.col("__llm_digest").alias("digest"), "doc_id", "__llm_points", normalised().alias("body")).join(
-        met, "digest")  # Spark splits a digest that holds many rows
+    # Spark splits a digest that holds many rows; written, so that both sides below share the one shuffle of texts
+    hits = written(rows.select(UID, F.col("__llm_digest").alias("digest"), "doc_id", "__llm_points", normalised().alias("body")).join(
+        met, "digest"), "dedup-hits")
     # a large group is dealt to several tasks, each with a copy of the staying text
     tasks = (F.floor(F.col("n") / COMPARED_TOGETHER) + 1).cast("int")
     members = hits.where(F.col(UID) != F.col("keep_uid")).withColumn("deal", F.pmod(F.xxhash64(UID), tasks).cast("int"))
