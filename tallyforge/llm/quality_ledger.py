@@ -138,6 +138,12 @@ def passes(policy: str, failed: str = "failed") -> Column:
     return F.col(failed).bitwiseAND(F.lit(POLICIES[policy])) == 0
 
 
+def kept_rows(docs: DataFrame, policy: str) -> DataFrame:
+    """The rows of ``docs`` that pass ``policy``, with their columns, whatever these are called."""
+    rows = measured(docs.select(F.struct(*docs.columns).alias("__q_row"), F.col("text").alias("text")))
+    return rows.withColumn("failed", failure_bits()).where(passes(policy)).select("__q_row.*")
+
+
 def ablations(entries: DataFrame, policies: dict[str, int] | None = None) -> DataFrame:
     """Per policy and rule in it: documents kept with all rules, kept without this rule, failing it, failing only it.
 

@@ -146,7 +146,7 @@ def report(docs: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span replaced by ``mark``; texts without a span are unchanged. ``n_chars`` follows if present."""
     rows = written(with_uid(docs), "secrets")
-    found = _scan(rows.select(UID, "doc_id", "text")).where(F.size("found") > 0).select(F.col(UID).alias("__llm_on"), "found")
+    found = _scan(rows.select(UID, "doc_id", "text")).where(F.size("found") > 0).select(F.col(UID).alias("__llm_on"), F.col("found").alias("__llm_found"))
     met = rows.join(found, F.col(UID) == F.col("__llm_on"), "left")
     state = F.struct(F.lit("").alias("done"), F.lit(0).cast("bigint").alias("upto"))
 
@@ -156,10 +156,10 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         joined = F.when(start < acc["upto"], acc["done"]).otherwise(F.concat(acc["done"], ahead, F.lit(mark)))
         return F.struct(joined.alias("done"), F.greatest(acc["upto"], end).alias("upto"))
 
-    clean = F.aggregate("found", state, step, lambda acc: F.concat(
+    clean = F.aggregate("__llm_found", state, step, lambda acc: F.concat(
         acc["done"], F.substring(F.col("text"), (acc["upto"] + 1).cast("int"), F.length("text"))))
-    text = F.when(F.col("found").isNull(), F.col("text")).otherwise(clean)
+    text = F.when(F.col("__llm_found").isNull(), F.col("text")).otherwise(clean)
     out = [text.alias(c) if c == "text" else
-           F.when(F.col("found").isNull(), F.col(c)).otherwise(F.length(clean)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
+           F.when(F.col("__llm_found").isNull(), F.col(c)).otherwise(F.length(clean)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
            else F.col(c) for c in docs.columns]
     return met.select(*out)
