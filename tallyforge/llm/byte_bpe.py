@@ -12,7 +12,7 @@ kept by ``decode``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -35,14 +35,25 @@ def offsets(text: bytes, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarr
     return character[starts].astype("<i4"), (character[ends - 1] + 1).astype("<i4")
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
 def encode(docs: DataFrame, path: str, pattern: str = units.BUILT_IN, with_offsets: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids, and with ``with_offsets`` the packed 32-bit columns starts and ends."""
     ship(docs.sparkSession)
+    source = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return source.mapInArrow(_encoding(path, pattern, with_offsets), _encoded_schema(docs, with_offsets))
+
+
+def _encoded_schema(docs: DataFrame, with_offsets: bool) -> T.StructType:
     fields = [docs.schema["doc_id"], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
     if with_offsets:
         fields += [T.StructField("starts", T.BinaryType()), T.StructField("ends", T.BinaryType())]
+    return T.StructType(fields)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _encoding(path: str, pattern: str, with_offsets: bool) -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
         encoder = units.encoder_of(path, pattern)
         for batch in slices(batches, "text"):
             texts = batch.column("text").to_pylist()
@@ -59,7 +70,7 @@ def encode(docs: DataFrame, path: str, pattern: str = units.BUILT_IN, with_offse
                 columns["ends"] = pa.array([other.tobytes() for _, other in both], pa.binary())
             yield pa.RecordBatch.from_pydict(columns)
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, T.StructType(fields))
+    return run
 
 
 @cache
@@ -89,15 +100,26 @@ def decode(encoded: DataFrame, path: str, with_text: bool = True) -> DataFrame:
     vocabulary stand for no bytes.
     """
     ship(encoded.sparkSession)
-    added = ["decoded", *(["head", "whole", "tail"] if with_text else [])]
-    kept = [field for field in encoded.schema.fields if field.name not in added]
-    kinds = {"whole": T.StringType()}
-    schema = T.StructType([*kept, *[T.StructField(name, kinds.get(name, T.BinaryType())) for name in added]])
+    schema = _decoded_schema(encoded.schema, with_text)
+    kept = [field.name for field in encoded.schema.fields if field.name not in _added(with_text)]
+    return encoded.select(*kept).mapInArrow(_decoding(path, with_text), schema)
+
+
+def _added(with_text: bool) -> list[str]:
+    return ["decoded", *(["head", "whole", "tail"] if with_text else [])]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _decoded_schema(source: T.StructType, with_text: bool) -> T.StructType:
+    added, kinds = _added(with_text), {"whole": T.StringType()}
+    return T.StructType([*[field for field in source.fields if field.name not in added],
+                         *[T.StructField(name, kinds.get(name, T.BinaryType())) for name in added]])
+
+
+def _decoding(path: str, with_text: bool) -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
         table = _bytes_of_ids(path)
         known = dict(enumerate(table))
-        for batch in slices(batches, "ids", 16 << 20):
+        for batch in slices(batches, "ids"):
             data = []
             for ids in batch.column("ids").to_pylist():
                 numbers = np.frombuffer(ids or b"", "<u4").tolist()
@@ -105,7 +127,7 @@ def decode(encoded: DataFrame, path: str, with_text: bool = True) -> DataFrame:
                     data.append(b"".join([table[i] for i in numbers]))
                 except IndexError:
                     data.append(b"".join([known.get(i, b"") for i in numbers]))
-            columns = {name: batch.column(name) for name in batch.schema.names if name not in added}
+            columns = {name: batch.column(name) for name in batch.schema.names}
             columns["decoded"] = pa.array(data, pa.binary())
             if with_text:
                 parts = [cut_ends(one) for one in data]
@@ -114,4 +136,13 @@ def decode(encoded: DataFrame, path: str, with_text: bool = True) -> DataFrame:
                 columns["tail"] = pa.array([tail for _, _, tail in parts], pa.binary())
             yield pa.RecordBatch.from_pydict(columns)
 
-    return encoded.select(*[field.name for field in kept]).mapInArrow(run, schema)
+    return run
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str = units.BUILT_IN) -> DataFrame:
+    """``decode(encode(docs))`` without offsets and text, in one pass of the workers instead of two."""
+    ship(docs.sparkSession)
+    there, back = _encoding(path, pattern, False), _decoding(path, False)
+    schema = _decoded_schema(_encoded_schema(docs, False), False)
+    source = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return source.mapInArrow(lambda batches: back(there(batches)), schema)

@@ -19,8 +19,7 @@ VOCABULARY = "byte_bpe_50k.json"
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
-    encoded = byte_bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN, with_offsets=False)
-    return byte_bpe.decode(encoded, path, with_text=False).select(
+    return byte_bpe.round_trip(documents(spark, sf_dir), path, public_tokenizers.PATTERN).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -16,8 +16,8 @@ from functools import cache
 
 import numpy as np
 
-#: Distinct units in each of the two generations a worker remembers: about 100 MB a generation.
-REMEMBERED = 400_000
+#: Distinct units in each of the two generations a worker remembers: about 70 MB a generation.
+REMEMBERED = 300_000
 #: Units that are encoded in one call.
 TOGETHER = 4000
 #: Fixed value: the splitting rule that the library has built in.
