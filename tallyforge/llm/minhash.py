@@ -6,10 +6,9 @@ smallest hash, and an empty bin takes the value of a bin that a fixed random seq
 every set, which keeps the estimate unbiased). Runs of bins form bands, equal bands a bucket.
 
 A bucket proposes a star: its smallest node against each of the others, at most as many pairs as members. Pairs are
-confirmed on full sets. Members that fail form the bucket's remainder and get stars of their own, first in finer
-buckets that also agree in a second band, so that texts which only share a passage part quickly. A member that failed is
-also compared with those linked to the centre, but only where the exact distances to the centre allow a link at all: the
-triangle inequality of the Jaccard distance rules out the rest without loss. No bucket is capped.
+confirmed on full sets. Where a member fails, it may still belong to another member of the bucket. Such buckets are compared
+through their signatures, in blocks of bounded size; only members of different components whose signatures agree in far more
+bins than chance leaves to a pair below the limit go on to their full sets. No bucket is capped.
 
 Edge cases: null and empty texts, and texts without words, are linked with nothing and stay; fewer words than a shingle
 has count as one shingle; rows with equal ids stand or fall together; a null id never names a group unless all its
@@ -20,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache, reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,8 @@ BINS = BANDS * ROWS
 #: Percent of the union that linked documents have in common.
 LEAST = 80
 ATTEMPTS = 64
+#: Nodes of a bucket that are compared together.
+BLOCK = 256
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -120,7 +122,8 @@ def sketched(docs: DataFrame, words_each: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = shingle_sets(batch.column("text").to_pylist(), words_each)
-            keys = [band_keys(signature(one)) for one in sets if len(one)]
+            values = [signature(one) if len(one) else None for one in sets]
+            keys = [band_keys(one) for one in values if one is not None]
             sizes = np.array([BANDS if len(one) else 0 for one in sets], np.int64)
             bounds = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
@@ -128,10 +131,12 @@ def sketched(docs: DataFrame, words_each: int) -> DataFrame:
             columns["__llm_n"] = pa.array([len(one) for one in sets], pa.int64())
             columns["__llm_set"] = pa.array(
                 [xxhash.xxh3_128_digest(one.tobytes()) if len(one) else None for one in sets], pa.binary())
+            columns["__llm_signature"] = pa.array(
+                [None if one is None else (one & np.uint64(0xFF)).astype(np.uint8).tobytes() for one in values], pa.binary())
             columns["__llm_bands"] = pa.ListArray.from_arrays(bounds, pa.array(flat, pa.int64()))
             yield pa.RecordBatch.from_pydict(columns)
 
-    return docs.mapInArrow(run, f"{schema}, __llm_n long, __llm_set binary, __llm_bands array<long>")
+    return docs.mapInArrow(run, f"{schema}, __llm_n long, __llm_set binary, __llm_signature binary, __llm_bands array<long>")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words_each: int) -> DataFrame:
@@ -197,17 +202,63 @@ class Search:
         return members.join(own, "node", "left").join(centre, "centre", "left").withColumns({
             "of_node": F.coalesce("of_node", "node"), "of_centre": F.coalesce("of_centre", "centre")})
 
-    def straddling(self, members: DataFrame) -> DataFrame:
-        """Pairs of a bucket, one linked to the centre and one not, whose distances to it leave a link possible."""
-        apart = _united(self.tested).select(
-            F.col("a").alias("centre"), F.col("b").alias("node"), ((F.col("either") - F.col("both")) / F.col("either")).alias("far"))
-        reach = 1 - self.least / 100 + 1e-9
-        known = members.where("node <> centre").join(apart, ["centre", "node"])
-        out = known.where("of_node <> of_centre").where(F.col("far") <= 2 * reach).select(
-            "bucket", F.col("node").alias("x"), F.col("far").alias("far_x"))
-        near = known.where("of_node = of_centre").select("bucket", F.col("node").alias("y"), F.col("far").alias("far_y"))
-        return out.join(near, "bucket").where(F.abs(F.col("far_x") - F.col("far_y")) <= reach).select(
-            F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+def close_pairs(members: DataFrame, signatures: DataFrame, least: int) -> DataFrame:
+    """Pairs (a < b) within a bucket, of different components, whose sizes and signatures allow a link.
+
+    ``members`` has bucket, node, of_node; ``signatures`` node, n and one byte per bin. A large bucket is dealt into blocks,
+    and every pair of its blocks is a group of its own of at most about 2 * BLOCK rows.
+    """
+    ship(members.sparkSession)
+    sizes = members.groupBy("bucket").agg((F.floor((F.count(F.lit(1)) - 1) / BLOCK) + 1).cast("int").alias("blocks"))
+    other = F.sequence(F.lit(0), F.col("blocks") - 1)
+    rows = members.join(sizes, "bucket").join(signatures, "node").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(other))
+    rows = rows.select(
+        "bucket", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
+        "block", "node", "of_node", "n", "signature")
+    group = ["bucket", "one", "two"]
+    # a pair agrees in this share of bins at least, but for one in some ten millions
+    enough = BINS * (least / 100) - 5.5 * (BINS * least / 100 * (1 - least / 100)) ** 0.5
+
+    def compare(table: pa.Table) -> tuple[list, list]:
+        bins = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, BINS)
+        node, of_node, n, block = (table.column(c).to_numpy() for c in ("node", "of_node", "n", "block"))
+        found_a, found_b = [], []
+        for at in range(len(node) - 1):
+            fits = (of_node[at + 1:] != of_node[at]) & (
+                100 * np.minimum(n[at], n[at + 1:]) >= least * np.maximum(n[at], n[at + 1:]))
+            if table.column("one")[0] != table.column("two")[0]:  # pairs within a block have a group of their own
+                fits &= block[at + 1:] != block[at]
+            rest = np.flatnonzero(fits) + at + 1
+            if len(rest):
+                rest = rest[(bins[rest] == bins[at]).sum(1) >= enough]
+                found_a += np.minimum(node[rest], node[at]).tolist()
+                found_b += np.maximum(node[rest], node[at]).tolist()
+        return found_a, found_b
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                table = pa.Table.from_batches([batch])
+                held = table if held is None else pa.concat_tables([held, table])
+            if held is None or not held.num_rows:
+                continue
+            keys = np.stack([held.column(c).to_numpy() for c in group], 1)
+            starts = np.flatnonzero(np.any(keys[1:] != keys[:-1], 1)) + 1
+            bounds = [0, *starts.tolist(), held.num_rows]
+            last = len(bounds) - 1 if batch is None else len(bounds) - 2  # the last group may go on
+            a, b = [], []
+            for begin, end in zip(bounds[:last], bounds[1:last + 1]):
+                if end - begin > 1:
+                    some_a, some_b = compare(held.slice(begin, end - begin))
+                    a += some_a
+                    b += some_b
+            held = held.slice(bounds[last]) if batch is not None else None
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, "a long, b long")
 
 
 def stars(members: DataFrame) -> DataFrame:
@@ -219,7 +270,7 @@ def stars(members: DataFrame) -> DataFrame:
 def links(nodes: DataFrame, texts: DataFrame, words_each: int, least: int = LEAST) -> DataFrame | None:
     """Confirmed links (a, b) that join every component; None if no two nodes share a bucket.
 
-    ``nodes`` has node and bands, one row per distinct set, ``texts`` node and text; both are written tables.
+    ``nodes`` has node, n, signature and bands, one row per distinct set, ``texts`` node and text; both are written tables.
     """
     members = written(stars(nodes.select("node", F.explode("bands").alias("bucket"))), "buckets")
     if members.isEmpty():
@@ -227,23 +278,15 @@ def links(nodes: DataFrame, texts: DataFrame, words_each: int, least: int = LEAS
     wanted = members.select("node").distinct()
     search = Search(written(texts.join(wanted, "node", "left_semi"), "bucket-texts"), words_each, least)
     others = members.where("node <> centre")
-    # one centre per node settles most of them
+    # one centre per node settles most of them, the other centres follow where the components still differ
     search.test(others.groupBy("node").agg(F.min("centre").alias("a")).select("a", F.col("node").alias("b")))
-    finer = True
-    while True:
-        apart = search.with_labels(members).where("of_node <> of_centre")
-        search.test(apart.select(F.col("centre").alias("a"), F.col("node").alias("b")))
-        placed = written(search.with_labels(members), "placed")
-        left = placed.where("of_node <> of_centre").select("bucket", "node")
-        if left.isEmpty():
-            return search.links()
-        search.test(search.straddling(placed))
-        if finer:  # those who failed must agree in a second band to meet again
-            rows = left.join(nodes, "node").select("node", "bucket", F.explode("bands").alias("band")).where("bucket <> band")
-            left = rows.select("node", F.xxhash64(F.least("bucket", "band"), F.greatest("bucket", "band")).alias("bucket")).distinct()
-        members, finer = written(stars(left), "buckets"), False
-        if members.isEmpty():
-            return search.links()
+    apart = search.with_labels(members).where("of_node <> of_centre")
+    search.test(apart.select(F.col("centre").alias("a"), F.col("node").alias("b")))
+    placed = written(search.with_labels(members), "placed")
+    mixed = placed.where("of_node <> of_centre").select("bucket").distinct()
+    left = placed.join(mixed, "bucket", "left_semi").select("bucket", "node", "of_node")
+    search.test(close_pairs(left, nodes.select("node", "n", "signature"), least))
+    return search.links()
 
 
 def resolved(docs: DataFrame, words_each: int = 5, least: int = LEAST) -> DataFrame:
@@ -251,7 +294,8 @@ def resolved(docs: DataFrame, words_each: int = 5, least: int = LEAST) -> DataFr
     rows = written(sketched(with_uid(docs), words_each), "sketches")
     sets = written(rows.where("__llm_set IS NOT NULL").groupBy("__llm_set").agg(
         F.min(UID).alias("node"), F.min("doc_id").alias("least_id")), "sets")
-    nodes = written(rows.select(F.col(UID).alias("node"), F.col("__llm_bands").alias("bands")).join(
+    own = {"node": UID, "n": "__llm_n", "signature": "__llm_signature", "bands": "__llm_bands"}
+    nodes = written(rows.select(*[F.col(c).alias(name) for name, c in own.items()]).join(
         sets.select("node"), "node", "left_semi"), "nodes")
     texts = rows.select(F.col(UID).alias("node"), "text")
     found = links(nodes, texts, words_each, least)
