@@ -63,7 +63,7 @@ ALERTS = f"""SELECT * FROM (
     is_international, is_night_transaction, is_fraud,
     CASE WHEN {AMT} > m + 3 * s THEN 'High Amount Anomaly'
          WHEN failed_attempts > 3 THEN 'Multiple Failed Attempts'
-         WHEN is_international + is_night_transaction = 2 AND failed_attempts > 2 THEN 'International Night Fraud'
+         WHEN is_international = 1 AND is_night_transaction = 1 AND failed_attempts > 2 THEN 'International Night Fraud'
          WHEN is_international = 1 AND credit_score < 600 AND {AMT} > m THEN 'High Risk International'
     END AS alert_type
   FROM bank_txn, (SELECT avg({AMT}) AS m, stddev_samp({AMT}) AS s FROM bank_txn)) WHERE alert_type IS NOT NULL"""
@@ -116,7 +116,7 @@ def fraud() -> dict[str, str]:
             {r(f'(SELECT stddev_samp({AMT}) FROM big)')} AS stddev_amount, is_fraud,
             if(is_fraud = 1, 'Confirmed Fraud Anomaly', 'Suspicious — Not Flagged as Fraud') AS anomaly_report FROM big""",
         "repeat_failures": """SELECT customer_id, max(failed_attempts) AS max_failed_attempts, count(*) AS txn_count,
-          cast(sum(is_fraud) AS bigint) AS fraud_count FROM bank_txn WHERE failed_attempts >= 4 AND is_fraud = 1 GROUP BY 1""",
+          cast(sum(is_fraud) AS bigint) AS fraud_count FROM bank_txn WHERE failed_attempts > 3 AND is_fraud = 1 GROUP BY 1""",
         "fraud_by_pin": fraud_rates("if(pin_changed_recently = 1, 'PIN Changed Recently', 'PIN Not Changed')", "pin_status"),
         "fraud_by_international": fraud_rates("if(is_international = 1, 'International', 'Domestic')", "transaction_type"),
         "risk_ranking": f"""SELECT customer_id, count(*) AS txn_count, {HIT} AS fraud_count,
@@ -128,7 +128,7 @@ def fraud() -> dict[str, str]:
           FROM (SELECT country, customer_id, round(sum({AMT}), 6) AS spent FROM bank_txn GROUP BY ALL)""",
         "top_n_per_group": f"""SELECT merchant_category, transaction_id, customer_id, {AMT},
             row_number() OVER (PARTITION BY merchant_category ORDER BY {AMT} DESC NULLS LAST, transaction_id) AS row_num
-          FROM bank_txn QUALIFY row_num < 6""",
+          FROM bank_txn QUALIFY row_num <= 5""",
         "running_total": f"""SELECT transaction_id, customer_id, transaction_date, {AMT},
           {r(f'(sum({AMT}) OVER (PARTITION BY customer_id ORDER BY transaction_date RANGE UNBOUNDED PRECEDING))')}
           AS cumulative_amount FROM bank_txn""",
@@ -152,14 +152,14 @@ def fraud() -> dict[str, str]:
           FROM bank_txn""",
         "high_risk_view": f"""SELECT transaction_id, customer_id, transaction_date, {AMT}, country, merchant_category,
             payment_method, failed_attempts, is_fraud
-          FROM bank_txn WHERE is_international + is_night_transaction = 2 AND failed_attempts >= 3""",
+          FROM bank_txn WHERE is_international = 1 AND is_night_transaction = 1 AND failed_attempts > 2""",
         "daily_fraud_report": f"""SELECT transaction_date, count(*) AS total_transactions, {HIT} AS fraud_cases,
           {pct(HIT, 'count(*)')} AS fraud_rate, {r(f'sum({AMT})')} AS total_amount FROM bank_txn GROUP BY transaction_date""",
         "suspicious_customers": f"""SELECT customer_id, {r(f'avg({AMT})')} AS avg_transaction_amount,
             {r('avg(credit_score)')} AS avg_credit_score, max(failed_attempts) AS max_failed_attempts,
             count(*) AS txn_count, {HIT} AS confirmed_frauds
           FROM bank_txn, (SELECT avg({AMT}) AS m FROM bank_txn)
-          WHERE is_international = 1 AND failed_attempts >= 3 AND credit_score <= 599 AND {AMT} > m GROUP BY customer_id""",
+          WHERE is_international = 1 AND failed_attempts > 2 AND credit_score < 600 AND {AMT} > m GROUP BY customer_id""",
         "fraud_summary": f"""SELECT country, merchant_category, count(*) AS total_transactions, {HIT} AS total_fraud,
           {pct(HIT, 'count(*)')} AS fraud_rate_pct, {r(f'avg({AMT})')} AS avg_amount FROM bank_txn GROUP BY ALL""",
         "fraud_alerts": ALERTS,
@@ -316,7 +316,7 @@ def churn() -> dict[str, str]:
         "fiber_cohort": f"""SELECT count(*) AS matching_customers, {LEFT} AS churned, {LEFT_RATE} AS churn_rate FROM telecom
           WHERE (InternetService, TechSupport, OnlineSecurity) = ('Fiber optic', 'No', 'No')""",
         "bundle_value": f"""SELECT {bundle} AS bundle, count(*) AS customer_count, {r('avg(MonthlyCharges)')} AS avg_monthly,
-            {LEFT_RATE} AS churn_rate, {r(f'avg({PAID})')} AS avg_clv FROM telecom GROUP BY 1 HAVING count(*) > 29
+            {LEFT_RATE} AS churn_rate, {r(f'avg({PAID})')} AS avg_clv FROM telecom GROUP BY 1 HAVING count(*) >= 30
           ORDER BY avg_clv DESC, 1 LIMIT 10""",
         "churn_features": f"""SELECT customerID, tenure, MonthlyCharges AS monthly_charges, {PAID} AS total_charges,
           round(MonthlyCharges * tenure, 6) AS clv, SeniorCitizen AS is_senior, {yes('Partner')} AS has_partner,
@@ -348,8 +348,13 @@ def churn() -> dict[str, str]:
 
 # --- orders, sensors, social -----------------------------------------------------------
 
-RISK_LEVEL = """CASE WHEN greatest(amount, 10000) > 10000 OR credit_score <= 499 OR failed_attempts >= 4 THEN 'high'
-  WHEN amount > 5000 OR credit_score <= 649 THEN 'medium' ELSE 'low' END"""
+CSV = """SELECT cast(transaction_id AS varchar) AS transaction_id, cast(customer_id AS varchar) AS customer_id,
+  transaction_date, hour_of_day, is_weekend, is_night_transaction, country, city || CASE transaction_id % 4
+    WHEN 0 THEN ', "x"' WHEN 1 THEN chr(92) WHEN 2 THEN <breaks> ELSE '' END AS city,
+  merchant_category, payment_method, device_type, customer_age, credit_score, account_balance, transaction_amount,
+  transaction_freq_monthly, is_international, failed_attempts, pin_changed_recently, is_fraud, fraud_type FROM bank_txn"""
+RISK_LEVEL = """CASE WHEN amount > 10000 OR credit_score < 500 OR failed_attempts > 3 THEN 'high'
+  WHEN amount > 5000 OR credit_score < 650 THEN 'medium' ELSE 'low' END"""
 CITY_TOP = f"""SELECT customer_id, name, city, {r('spent')} AS total_spend, "rank" FROM (
   SELECT *, rank() OVER (PARTITION BY city ORDER BY spent DESC NULLS LAST) AS "rank" FROM (
     SELECT customer_id, name, city, round(sum(amount), 6) AS spent
@@ -433,7 +438,8 @@ def events() -> dict[str, str]:
         "routed_tables": f"""SELECT 'risk_' || {RISK_LEVEL} AS source, count(*) AS row_count, false AS is_empty
           FROM risk GROUP BY 1""",
         "merge_records": """SELECT (rn - 1) // 1000 AS batch_no, count(*) AS record_count,
-            min(transaction_id) AS first_record, max(transaction_id) AS last_record, count(*) AS array_length
+            min(transaction_id) AS first_record, max(transaction_id) AS last_record, count(*) AS array_length,
+            string_agg(transaction_id, ',' ORDER BY transaction_id) AS record_ids
           FROM (SELECT *, row_number() OVER (ORDER BY transaction_id) AS rn FROM user_txn) GROUP BY 1""",
         "validate_events": CHECKED,
         "dead_letter": f"SELECT * EXCLUDE (is_valid) FROM ({CHECKED}) WHERE NOT is_valid",
@@ -482,13 +488,16 @@ def events() -> dict[str, str]:
           WHERE n >= 10 AND s > 0 AND temperature > m + 3 * s""",
         "high_value_running_totals": TOTALS,
         "stream_running_totals": TOTALS,
-        "csv_load": f"""SELECT transaction_date, count(*) AS transactions, count(credit_score) AS known_scores,
-          {HIT} AS frauds, round(sum({AMT}), 2) AS amount FROM bank_txn GROUP BY 1""",
-        "decode_events": "SELECT event_id, event_type, user_id, post_id, watch_time_sec, ts FROM social",
-        "keyed_messages": "SELECT cast(transaction_id AS varchar) AS key, transaction_id, customer_id FROM user_txn",
+        "csv_load": CSV.replace("<breaks>", "' - '"),
+        "csv_load_lines": CSV.replace("<breaks>", "chr(10) || '.'"),
+        "csv_rejects": "SELECT count(*) AS rejected FROM bank_txn WHERE transaction_id % 100 = 0",
+        "decode_events": """SELECT event_id, event_type, user_id, post_id, target_user_id, comment_text, content_type,
+          video_duration_sec, watch_time_sec, array_to_string(hashtags, ',') AS hashtags, event_id AS message_key, ts FROM social""",
+        "keyed_messages": "SELECT cast(transaction_id AS varchar) AS key, transaction_id, customer_id, amount, ts FROM user_txn",
         "flatten_json_users": """SELECT cast(customer_id AS int) AS id, name, name || '@example.com' AS email, city,
           'Company ' || cast(customer_id % 10 AS varchar) AS company FROM city_customers""",
-        "refreshed_daily_report": fraud()["daily_fraud_report"],
+        "refreshed_daily_report": "SELECT * FROM (" + fraud()["daily_fraud_report"]
+          + ") WHERE day(transaction_date) % 7 <> 3",
     }
 
 

@@ -1,36 +1,48 @@
-"""The user-defined-function surface.
+"""The rules by name, for SQL users.
 
-The built-in expressions of :mod:`scores` and :mod:`text` are the ones to use.
-These Arrow-batched twins exist for SQL users who call the rules by name.
+``register`` makes SQL functions of them, which Spark inlines into the query like any other expression.
+``classify_sentiment_udf`` is the sample of an Arrow-batched function, for rules that have no expression.
 """
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import NEGATIVE_WORDS, POSITIVE_WORDS
+from .text import NEGATIVE_WORDS, POSITIVE_WORDS, WORD_BREAK
+
+_POSITIVE, _NEGATIVE = frozenset(POSITIVE_WORDS), frozenset(NEGATIVE_WORDS)
 
 
 @F.pandas_udf(T.StringType())
-def classify_risk(amount: pd.Series, credit_score: pd.Series, failed_attempts: pd.Series) -> pd.Series:
-    # a missing value compares as False, as in the Column version
-    high = (amount > 10000) | (credit_score < 500) | (failed_attempts > 3)
-    medium = (amount > 5000) | (credit_score < 650)
-    return pd.Series(np.select([high, medium], ["high", "medium"], "low"))
+def classify_sentiment_udf(text: pd.Series) -> pd.Series:
+    labels = []
+    for words in text.fillna("").str.lower().str.split():
+        balance = len(_POSITIVE.intersection(words)) - len(_NEGATIVE.intersection(words))
+        labels.append("positive" if balance > 0 else "negative" if balance < 0 else "neutral")
+    return pd.Series(labels)
 
 
-@F.pandas_udf(T.StringType())
-def classify_sentiment(text: pd.Series) -> pd.Series:
-    words = text.fillna("").str.lower().str.split()
-    balance = words.map(lambda w: len(set(w) & set(POSITIVE_WORDS)) - len(set(w) & set(NEGATIVE_WORDS)))
-    return pd.Series(np.select([balance > 0, balance < 0], ["positive", "negative"], "neutral"))
+def _array(words: list[str]) -> str:
+    return "array(" + ", ".join(f"'{word}'" for word in words) + ")"
+
+
+# The bounds of the risk classes.
+RISK = """CASE WHEN amount > 10000 OR credit_score < 500 OR failed_attempts > 3 THEN 'high'
+  WHEN amount > 5000 OR credit_score < 650 THEN 'medium' ELSE 'low' END"""
+
+_BREAK = WORD_BREAK.replace("\\", "\\\\")  # as a SQL literal
+_SPOKEN = f"split(lower(coalesce(text, '')), '{_BREAK}')"
+SENTIMENT = f"""CASE sign(size(array_intersect({_SPOKEN}, {_array(POSITIVE_WORDS)}))
+    - size(array_intersect({_SPOKEN}, {_array(NEGATIVE_WORDS)})))
+  WHEN 1 THEN 'positive' WHEN -1 THEN 'negative' ELSE 'neutral' END"""
 
 
 def register(spark: SparkSession) -> None:
-    """Make the functions callable from SQL text."""
-    spark.udf.register("classify_risk", classify_risk)
-    spark.udf.register("classify_sentiment", classify_sentiment)
+    """Make the rules callable from SQL text of this session."""
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION classify_risk(
+        amount DOUBLE, credit_score INT, failed_attempts INT) RETURNS STRING RETURN {RISK}""")
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION classify_sentiment(text STRING)
+        RETURNS STRING RETURN {SENTIMENT}""")

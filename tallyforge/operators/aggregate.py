@@ -94,17 +94,6 @@ def scalar(df: DataFrame, value: Column) -> Column:
     return df.agg(value.alias("value")).scalar()
 
 
-BROADCAST_ROWS = 1_000_000
-
-
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``limit`` rows, else ``df`` itself.
-
-    Counts ``df``, so pass narrow rows that are cheap to compute.
-    """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 def rank_by_level(df: DataFrame, level: str, rank_as: str, within: Sequence[str] = ()) -> DataFrame:
     """Rank all rows (of each ``within``) by a counter, largest first, without sorting the rows.
 
@@ -123,7 +112,7 @@ def rank_by_level(df: DataFrame, level: str, rank_as: str, within: Sequence[str]
         (F.coalesce(F.sum("__rows").over(above), F.lit(0)) + 1).alias(rank_as),
     )
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__on_{k}")) for k in keys])
-    return df.join(small(ranked), same, "left").drop(*[f"__on_{k}" for k in keys])
+    return df.join(ranked, same, "left").drop(*[f"__on_{k}" for k in keys])
 
 
 def is_numeric(data_type: T.DataType) -> bool:

@@ -13,24 +13,19 @@ MICROS = 1_000_000
 # Mergeable parts of a set of readings, and how two sets merge.
 PARTS = {"n": F.sum, "s": F.sum, "q": F.sum, "lo": F.min, "hi": F.max}
 
-# A (key, slot) with more rows than this is summed per instant first.
-LARGEST_SLOT = 5_000_000
-
-
 def micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
 def rolling_stats(
-    df: DataFrame, key: str, ts: str, value: str, *, seconds: int, slots: int = 60, largest_slot: int = LARGEST_SLOT
+    df: DataFrame, key: str, ts: str, value: str, *, seconds: int, slots: int = 60
 ) -> DataFrame:
     """Mean, population deviation and count of the last ``seconds`` up to each row, ties included.
 
     The frame is ``[ts - seconds, ts]`` per key; ``key`` and ``ts`` must not be NULL. A plain
     RANGE window re-reads the whole frame for every row and keeps a key in one task. Here a
-    task holds one (key, slot) of ``seconds / slots`` at a time. If a burst puts too many rows
-    into one slot, rows are summed per instant and slots are cut to a second, so that a slot
-    holds a million rows at most; each row then looks its instant up.
+    task holds one (key, slot) of ``seconds / slots`` at a time, and reads it once per end of
+    the frame, whatever its size.
     """
     if seconds % slots:
         raise ValueError("seconds must be a multiple of slots")
@@ -39,14 +34,7 @@ def rolling_stats(
     own = {"n": F.lit(1).cast("bigint"), "s": x, "q": x * x, "lo": F.col(value), "hi": F.col(value)}
     rows = df.withColumns({"__t": micros(ts), **{f"__{k}": part for k, part in own.items()}})
 
-    slot = F.floor(F.col("__t") / (seconds // slots * MICROS))
-    counted = df.select(key, micros(ts).alias("__t")).groupBy(key, slot).agg(F.count(F.lit(1)).alias("c"))
-    if (counted.agg(F.max("c")).first()[0] or 0) <= largest_slot:
-        framed = _framed(rows, key, seconds, slots)
-    else:
-        instants = rows.groupBy(key, "__t").agg(*[merge(f"__{k}").alias(f"__{k}") for k, merge in PARTS.items()])
-        framed = _framed(instants, key, seconds, seconds)
-        framed = rows.select(*df.columns, "__t").join(framed, [key, "__t"], "left")
+    framed = _framed(rows, key, seconds, slots)
 
     mean = F.col("__all_s") / F.col("__all_n")
     variance = F.col("__all_q") / F.col("__all_n") - mean * mean
@@ -69,15 +57,11 @@ def _framed(rows: DataFrame, key: str, seconds: int, slots: int) -> DataFrame:
     backwards, over copies of its rows moved one range ahead to meet the rows that need them.
     """
     step, span = seconds // slots * MICROS, seconds * MICROS
-    rows = rows.withColumns({"__own": F.lit(True), "__slot": F.floor(F.col("__t") / step)})
-    copies = rows.select(
-        key,
-        (F.col("__t") + span).alias("__t"),
-        *[f"__{k}" for k in PARTS],
-        F.lit(False).alias("__own"),
-        (F.col("__slot") + slots).alias("__slot"),
-    )
-    both = rows.unionByName(copies, allowMissingColumns=True)
+    rows = rows.withColumn("__slot", F.floor(F.col("__t") / step))
+    at = lambda own, t, slot: F.struct(F.lit(own).alias("__own"), t.alias("__t"), slot.alias("__slot"))
+    twice = F.explode(F.array(
+        at(True, F.col("__t"), F.col("__slot")), at(False, F.col("__t") + span, F.col("__slot") + slots)))
+    both = rows.withColumn("__at", twice).drop("__t", "__slot").select("*", "__at.*").drop("__at")
 
     def running(prefix: str, mine: Column, order: Column) -> dict[str, Column]:
         frame = Window.partitionBy(key, "__slot").orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
@@ -87,12 +71,16 @@ def _framed(rows: DataFrame, key: str, seconds: int, slots: int) -> DataFrame:
     edges = edges.withColumns(running("far", ~F.col("__own"), F.desc("__t"))).where("__own")
 
     per_slot = rows.groupBy(key, "__slot").agg(*[merge(f"__{k}").alias(f"__{k}") for k, merge in PARTS.items()])
-    inner = Window.partitionBy(key).orderBy("__slot").rangeBetween(-(slots - 1), -1)
-    middle = per_slot.select(
+    # a frame reaches into the stretch of slots before its own: each slot stands in its own stretch and the next one
+    stretch = F.floor(F.col("__slot") / slots)
+    placed = per_slot.withColumn("__home", stretch).withColumn("__stretch", F.explode(F.array(stretch, stretch + 1)))
+    inner = Window.partitionBy(key, "__stretch").orderBy("__slot").rangeBetween(-(slots - 1), -1)
+    middle = placed.select(
         F.col(key).alias("__mid_key"),
         F.col("__slot").alias("__mid_slot"),
+        (F.col("__home") == F.col("__stretch")).alias("__mid_own"),
         *[merge(f"__{k}").over(inner).alias(f"__mid_{k}") for k, merge in PARTS.items()],
-    )
+    ).where("__mid_own")
     # plain equality on the windows' own keys: the rows are not shuffled again
     same = (edges[key] == middle["__mid_key"]) & (edges["__slot"] == middle["__mid_slot"])
     joined = edges.join(middle, same, "left")

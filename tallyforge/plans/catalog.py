@@ -18,7 +18,7 @@ from tallyforge.streaming import jobs, sinks
 
 from . import churn, fraud, mart, orders, sensors, social
 from .inputs import BASE_TABLES, INPUTS, load
-from .stored import refresh_daily_report
+from .stored import refresh_daily_report, stored_daily_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,27 +115,45 @@ def _sensor_windows(readings: DataFrame) -> DataFrame:
 
 def _merge_records(records: DataFrame) -> DataFrame:
     merged = messages.merge_records(records, "transaction_id")
+    ids = F.from_json("records", "array<struct<transaction_id: bigint>>")["transaction_id"]
     return merged.select(
         "batch_no", "record_count", "first_record", "last_record",
-        F.json_array_length("records").cast("bigint").alias("array_length"),
+        F.json_array_length("records").cast("bigint").alias("array_length"), F.array_join(ids, ",").alias("record_ids"),
     )
 
 
 # --- round trips through files and messages --------------------------------------------
 
 
-def _csv_load(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Transactions written as CSV with null markers, read back typed, summed per day."""
+def _written_csv(spark: SparkSession, data_dir: str, breaks: str) -> tuple[str, StructType]:
+    """Transactions as CSV whose cities end in a comma and quotes, a backslash, ``breaks`` or nothing special."""
     txn, path = load(spark, data_dir, "bank_txn"), fresh_path(spark, "csv-load")
-    known = [f for f in schemas.BANK_TRANSACTION.fields if f.name in txn.columns]
-    txn.select(*[f.name for f in known]).write.option("header", True).option("nullValue", "NULL").csv(path)
-    loaded = readers.read_csv(spark, path, StructType(known))
-    return loaded.groupBy("transaction_date").agg(
-        F.count(F.lit(1)).alias("transactions"),
-        F.count("credit_score").alias("known_scores"),
-        F.sum("is_fraud").cast("bigint").alias("frauds"),
-        F.round(F.sum("transaction_amount"), 2).alias("amount"),
-    )
+    known = StructType([f for f in schemas.BANK_TRANSACTION.fields if f.name in txn.columns])
+    kind = F.col("transaction_id") % 4
+    ending = F.when(kind == 0, ', "x"').when(kind == 1, "\\").when(kind == 2, breaks).otherwise("")
+    rows = txn.withColumn("city", F.concat("city", ending)).select(*known.fieldNames())
+    rows.write.options(header=True, nullValue="NULL", quote='"', escape='"', ignoreTrailingWhiteSpace=False).csv(f"{path}/rows")
+    # lines with two fields of the many
+    short = rows.where(F.col("transaction_id") % 100 == 0).select("transaction_id", "customer_id")
+    short.write.options(header=True).csv(f"{path}/short")
+    return f"{path}/*", known
+
+
+def _csv_load(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Transactions written as CSV with null markers and awkward texts, read back typed."""
+    path, known = _written_csv(spark, data_dir, " - ")
+    return readers.read_csv(spark, path, known)
+
+
+def _csv_load_lines(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The same with line breaks inside quotes."""
+    path, known = _written_csv(spark, data_dir, "\n.")
+    return readers.read_csv(spark, path, known, multi_line=True)
+
+
+def _csv_rejects(spark: SparkSession, data_dir: str) -> DataFrame:
+    path, known = _written_csv(spark, data_dir, " - ")
+    return readers.csv_rejects(spark, path, known).agg(F.count(F.lit(1)).alias("rejected"))
 
 
 def _json_scan(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -154,12 +172,14 @@ def _decode_events(spark: SparkSession, data_dir: str) -> DataFrame:
     decoded = messages.decode_events(
         _social_messages(spark, data_dir), schemas.SOCIAL_EVENT, time_column="timestamp"
     )
-    return ntz(decoded.select("event_id", "event_type", "user_id", "post_id", "watch_time_sec", "ts"))
+    joined = F.array_join("hashtags", ",").alias("hashtags")
+    plain = [c for c in schemas.SOCIAL_EVENT.fieldNames() if c not in ("hashtags", "timestamp")]
+    return ntz(decoded.select(*plain, joined, "message_key", "ts"))
 
 
 def _keyed_messages(spark: SparkSession, data_dir: str) -> DataFrame:
     sent = messages.to_keyed_messages(load(spark, data_dir, "user_txn"), "transaction_id")
-    field = {"transaction_id": "bigint", "customer_id": "bigint"}
+    field = {"transaction_id": "bigint", "customer_id": "bigint", "amount": "double", "ts": "timestamp_ntz"}
     return sent.select(
         "key", *[F.get_json_object("value", f"$.{n}").cast(t).alias(n) for n, t in field.items()]
     )
@@ -226,9 +246,10 @@ def _materialized_mart(spark: SparkSession, data_dir: str) -> DataFrame:
 def _refreshed_daily_report(spark: SparkSession, data_dir: str) -> DataFrame:
     """The stored daily report: built from the mornings, then refreshed for the days that went on."""
     txn, path = load(spark, data_dir, "bank_txn"), fresh_path(spark, "daily-report")
-    refresh_daily_report(txn.where("hour_of_day < 12"), path)
-    refresh_daily_report(txn, path, txn.where("hour_of_day >= 12"))
-    return spark.read.parquet(path)
+    emptied = "day(transaction_date) % 7 = 3"  # these days lose all transactions afterwards
+    refresh_daily_report(txn.where(f"hour_of_day < 12 OR {emptied}"), path)
+    refresh_daily_report(txn.where(f"NOT ({emptied})"), path, txn.where(f"hour_of_day >= 12 OR {emptied}"))
+    return stored_daily_report(spark, path)
 
 
 # --- streams over the event and order files --------------------------------------------
@@ -344,6 +365,8 @@ def queries() -> dict[str, Query]:
         "sensor_anomalies": over("sensor", lambda readings: sensors.sensor_anomalies(readings, 6 * 3600)),
         "high_value_running_totals": over("user_txn", sensors.high_value_running_totals),
         "csv_load": _csv_load,
+        "csv_load_lines": _csv_load_lines,
+        "csv_rejects": _csv_rejects,
         "json_scan": _json_scan,
         "decode_events": _decode_events,
         "keyed_messages": _keyed_messages,

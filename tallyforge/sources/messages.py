@@ -17,16 +17,23 @@ TIME_FORMATS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
+# Columns of a message beside its value, and their names after decoding.
+ARRIVAL = {
+    "key": "message_key", "partition": "message_partition", "offset": "message_offset", "timestamp": "message_time",
+}
+
 
 def decode_events(messages: DataFrame, schema: T.StructType, *, time_column: str | None = None) -> DataFrame:
     """Fields of a JSON ``value``, beside the original text as ``raw_payload``.
 
     ``time_column`` names a text field to parse into the event time ``ts`` (NULL if it is no
-    timestamp). Malformed JSON gives a row of NULLs, so it can be counted and routed.
+    timestamp). Malformed JSON gives a row of NULLs, so it can be counted and routed. What the
+    broker knows of a message stays with it under the names of ``ARRIVAL``, where it is present.
     """
     text = F.col("value").cast("string")
-    rows = messages.select(text.alias("raw_payload"), F.from_json(text, schema).alias("d"))
-    rows = rows.select("d.*", "raw_payload")
+    known = [F.col(c).alias(name) for c, name in ARRIVAL.items() if c in messages.columns]
+    rows = messages.select(text.alias("raw_payload"), F.from_json(text, schema).alias("d"), *known)
+    rows = rows.select("d.*", "raw_payload", *[name for c, name in ARRIVAL.items() if c in messages.columns])
     return rows.withColumn("ts", F.col(time_column).try_cast("timestamp")) if time_column else rows
 
 

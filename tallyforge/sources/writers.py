@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,17 +22,20 @@ def reload_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def append_checked(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Create the table if it is missing, else append; the columns must be the table's."""
+def append_checked(spark: SparkSession, df: DataFrame, path: str, batch_id: int) -> None:
+    """Create the table if it is missing, else append; the columns must be the table's.
+
+    Rows lie under ``batch_id=<n>``, so a retried batch replaces what it wrote before.
+    """
     try:
-        existing = spark.read.parquet(path).schema
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
+        existing = spark.read.parquet(path).drop("batch_id").schema
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         existing = None
     if existing is not None and {(f.name, f.dataType) for f in existing} != {(f.name, f.dataType) for f in df.schema}:
         raise ValueError(f"columns differ from the table at {path}")
-    df.write.mode("append").parquet(path)
+    write_batch(df, path, batch_id)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, *by: str, format: str = "parquet") -> None:

@@ -172,8 +172,10 @@ def sensor_alerts(
                 "batch_id": F.lit(batch_id).cast("bigint"),
             })
             refresh_partitions(stored, readings_path, "event_date", "event_hour", "batch_id")
-            recent = spark.read.parquet(readings_path).where(
-                (F.col("event_date") >= F.to_date(since)) & (F.col("event_ts") >= since)
+            # both folder levels are pruned, and no file is opened for its schema
+            hour = F.expr("timestampadd(HOUR, event_hour, cast(event_date AS timestamp))")
+            recent = spark.read.schema(stored.schema).parquet(readings_path).where(
+                (hour >= F.date_trunc("hour", since)) & (F.col("event_ts") >= since)
                 & (F.col("batch_id") <= batch_id)  # a retried batch must not see later ones
             )
             stats = recent.groupBy("sensor_id").agg(

@@ -55,9 +55,11 @@ def test_sentiment_words(spark):
         "good bad bad great": "positive", "": "neutral",
     }
     frame = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
-    got = frame.select("t", text.sentiment(F.col("t")), udfs.classify_sentiment("t")).collect()
+    udfs.register(spark)
+    got = frame.select(
+        "t", text.sentiment(F.col("t")), udfs.classify_sentiment_udf("t"), F.expr("classify_sentiment(t)")).collect()
     for row in got:
-        assert row[1] == row[2] == texts.get(row[0], "neutral"), row
+        assert row[1] == row[2] == row[3] == texts.get(row[0], "neutral"), row
 
 
 def test_risk_class_and_udf_agree_also_on_nulls(spark):
@@ -65,7 +67,9 @@ def test_risk_class_and_udf_agree_also_on_nulls(spark):
             (1.0, 700, 4), (None, 700, 0), (None, None, None), (20000.0, None, None)]
     frame = spark.createDataFrame(rows, "amount double, credit_score int, failed_attempts int")
     args = ["amount", "credit_score", "failed_attempts"]
-    got = frame.select(scores.risk_class(*map(F.col, args)), udfs.classify_risk(*args)).collect()
+    udfs.register(spark)
+    got = frame.select(
+        scores.risk_class(*map(F.col, args)), F.expr("classify_risk(amount, credit_score, failed_attempts)")).collect()
     expected = ["high", "medium", "high", "medium", "medium", "low", "high", "low", "low", "high"]
     assert [r[0] for r in got] == expected
     assert [r[1] for r in got] == expected

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyforge.operators import ordered
-from tallyforge.operators.aggregate import rank_by_level, small
+from tallyforge.operators.aggregate import rank_by_level
 from tallyforge.operators.lookup import lookup
 from tallyforge.operators.rolling import rolling_stats
 
@@ -93,21 +93,20 @@ def test_rank_by_level(spark):
     frame = spark.createDataFrame([(i, v) for i, v in enumerate(levels)], "id long, score long")
     got = {(r.score, r["rank"]) for r in rank_by_level(frame, "score", "rank").collect()}
     assert got == {(9, 1), (7, 2), (5, 4), (3, 304), (None, 305)}
-    assert small(frame, 10) is frame  # too many rows to broadcast
 
 
 def test_lookup_keeps_all_facts(spark):
     facts = spark.createDataFrame(
         [(i, "hot" if i % 3 == 0 else None if i % 2 else f"k{i % 7}") for i in range(500)], "id long, k string")
-    dim = spark.createDataFrame([("hot", 1), ("k2", 2), (None, 3), ("", 4)], "k string, v int")
+    dim = spark.createDataFrame([("hot", 1), ("hot", 0), ("k2", 2), (None, 3), ("", 4)], "k string, v int")
     got = lookup(facts, dim, "k", {"v": "found"}, spread=8).collect()
     assert len(got) == 500
     for row in got:
         assert row.found == {"hot": 1, "k2": 2}.get(row.k)
 
 
-@pytest.mark.parametrize("slots, largest_slot", [(4, 10_000), (60, 10_000), (60, 5)])
-def test_rolling_stats(spark, slots, largest_slot):
+@pytest.mark.parametrize("slots", [4, 60])
+def test_rolling_stats(spark, slots):
     rng = random.Random(3)
     rows = [
         (i, "hot" if i % 3 else rng.choice("ab"), rng.randrange(0, 20_000) * 1_000_000 + rng.randrange(3), 20 + rng.random())
@@ -117,8 +116,7 @@ def test_rolling_stats(spark, slots, largest_slot):
     rows += [(3000 + i, "hot", 5_000_000_000, 22.0 + i) for i in range(50)]  # a burst at one instant
     rows += [(2000, "hot", 0, 1.0), (2001, "hot", 3600_000_000, 2.0), (2002, "hot", 7200_000_001, 3.0)]  # frame edges
     frame = spark.createDataFrame(rows, "id long, k string, us long, v double").withColumn("ts", F.timestamp_micros("us"))
-    got = {r.id: r for r in rolling_stats(
-        frame, "k", "ts", "v", seconds=3600, slots=slots, largest_slot=largest_slot).collect()}
+    got = {r.id: r for r in rolling_stats(frame, "k", "ts", "v", seconds=3600, slots=slots).collect()}
     assert len(got) == len(rows)
     for i, key, us, _ in rows:
         frame_values = [v for _, k, t, v in rows if k == key and us - 3600_000_000 <= t <= us]

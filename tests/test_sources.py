@@ -49,6 +49,25 @@ def test_bank_csv_types(spark, folder):
     assert first.fraud_type is None and first.is_fraud == 1
 
 
+def test_csv_quoting(spark, folder):
+    lines = ["id,text,n", '1,"say ""hi"", ok",2', '2,"ends with \\",3', "3,plain,4", '4,"one"', '5,"a, b",x']
+    schema = schemas.table(id="int", text="string", n="int")
+    path = write(folder, "q.csv", lines)
+    rows = {r.id: (r.text, r.n) for r in readers.read_csv(spark, path, schema).collect()}
+    assert rows == {1: ('say "hi", ok', 2), 2: ("ends with \\", 3), 3: ("plain", 4)}
+    assert sorted(r.id for r in readers.csv_rejects(spark, path, schema).collect()) == ["4", "5"]
+    path = write(folder, "m.csv", ["id,text,n", '1,"two', 'lines",2', "2,plain,3"])
+    rows = {r.id: r.text for r in readers.read_csv(spark, path, schema, multi_line=True).collect()}
+    assert rows == {1: "two\nlines", 2: "plain"}
+
+
+def test_decode_keeps_what_the_broker_knows(spark):
+    frame = spark.createDataFrame(
+        [(b"k", b'{"event_id": "1"}', 2, 7)], "key binary, value binary, partition int, offset long")
+    row = messages.decode_events(frame, schemas.SOCIAL_EVENT).first()
+    assert (bytes(row.message_key), row.message_partition, row.message_offset) == (b"k", 2, 7)
+
+
 def test_decode_keeps_unknown_fields_and_survives_bad_json(spark):
     good = json.dumps({"event_id": "1", "hashtags": ["#a"], "watch_time_sec": 67.3, "timestamp": "2026-06-17T10:00:00",
                        "later": 1})
@@ -79,11 +98,12 @@ def test_merge_records_in_order(spark):
 
 def test_append_needs_the_same_columns(spark, folder):
     path = f"{folder}/users"
-    writers.append_checked(spark, spark.range(2), path)
-    writers.append_checked(spark, spark.range(3), path)
+    writers.append_checked(spark, spark.range(2), path, 0)
+    for _ in range(2):  # a retried batch replaces itself
+        writers.append_checked(spark, spark.range(3), path, 1)
     assert spark.read.parquet(path).count() == 5
     with pytest.raises(ValueError):
-        writers.append_checked(spark, spark.range(1).withColumnRenamed("id", "other"), path)
+        writers.append_checked(spark, spark.range(1).withColumnRenamed("id", "other"), path, 2)
 
 
 def test_repeated_writes_replace_themselves(spark, folder):
