@@ -70,9 +70,9 @@ FROM (SELECT *, (c_custkey * 7919 + 13) % 1009 AS h, cast((c_custkey * 31) % 73
 
 SOCIAL = f"""
 SELECT CASE WHEN event_id % 211 = 0 THEN NULL ELSE cast(event_id AS string) END AS event_id, et AS event_type,
-  concat('U', cast(user_id AS string)) AS user_id,
+  concat('U', cast(user_id + CASE WHEN event_id % 29 = 0 THEN 900000000 ELSE 0 END AS string)) AS user_id,
   CASE WHEN et IN ('LIKE','COMMENT','SHARE','VIDEO_VIEW','POST_CREATED') AND event_id % 53 <> 0
-    THEN concat('P', cast(k % 20 AS string)) END AS post_id,
+    THEN concat('P', cast(CASE WHEN k < 60 THEN k % 20 ELSE event_id END AS string)) END AS post_id,
   CASE WHEN et IN ('FOLLOW','PROFILE_VISIT') OR event_id % 2 = 0
     THEN concat('U', cast(user_id + k AS string)) END AS target_user_id,
   CASE WHEN et = 'POST_CREATED' THEN
@@ -123,7 +123,6 @@ SELECT concat('U', cast(c_custkey AS string)) AS user_id, concat('user_', cast(c
   CASE WHEN c_acctbal > 9000 THEN 'influencer' ELSE 'regular' END AS user_type,
   cast(50 + (c_custkey * 7919) % 4950 AS int) AS follower_count,
   n_name AS country FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
-WHERE c_mktsegment <> 'HOUSEHOLD'
 """
 
 POST_DIM = """
@@ -131,7 +130,7 @@ SELECT concat('P', cast(p_partkey AS string)) AS post_id,
   concat('U', cast(p_partkey * 7 AS string)) AS user_id,
   CASE p_partkey % 3 WHEN 0 THEN 'image' WHEN 1 THEN 'reel' END AS content_type,
   CASE WHEN p_partkey % 5 = 4 THEN NULL ELSE concat('["#t', cast(p_partkey % 6 AS string), '"]') END AS hashtags
-FROM {part} WHERE p_type <> 'PROMO'
+FROM {part}
 """
 
 USER_TXN = """

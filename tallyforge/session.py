@@ -31,7 +31,7 @@ def build_session(app_name: str = "tallyforge", **overrides: str) -> SparkSessio
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
+    """The folder every executor can reach, as named in ``spark.checkpoint.dir`` or by ``setCheckpointDir``.
 
     Only a local master may fall back to a folder of this machine: on a cluster
     such a folder would be lost with the machine that holds it.
@@ -39,6 +39,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if spark.sparkContext.getCheckpointDir() is not None:  # set by setCheckpointDir
+        return spark.sparkContext.getCheckpointDir()
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return _local_dir()

@@ -6,7 +6,7 @@ stream to be written. Sources and sinks are chosen by the caller.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,10 +51,10 @@ def sentiments(stream: DataFrame) -> DataFrame:
     return social.comment_sentiment(stream)
 
 
-def high_value(stream: DataFrame, threshold: float = sensors.HIGH_VALUE) -> DataFrame:
-    """Transactions above ``threshold``, for the running totals of :func:`sinks.running_totals`."""
+def high_value(stream: DataFrame, threshold: float = sensors.HIGH_VALUE, arrival: Sequence[str] = ()) -> DataFrame:
+    """Transactions above ``threshold``, for the running totals of :func:`sinks.running_totals`; ``arrival`` stays."""
     customer = F.coalesce(F.col("customer_id").cast("string"), F.lit("UNKNOWN")).alias("customer_id")
-    return stream.where(F.col("amount") > threshold).select(customer, "transaction_id", "amount")
+    return stream.where(F.col("amount") > threshold).select(customer, "transaction_id", "amount", *arrival)
 
 
 def start(

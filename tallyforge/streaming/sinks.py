@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,9 +81,14 @@ def merge(path: str, order: str, *, size: int = 1000) -> Sink:
 
 
 def running_totals(
-    path: str, totals_path: str, *, snapshot_every: int = 20, publish: Callable[[DataFrame], None] | None = None
+    path: str, totals_path: str, *, snapshot_every: int = 20, arrival: Sequence[str] = (),
+    publish: Callable[[DataFrame], None] | None = None,
 ) -> Sink:
-    """Running total and count per customer, one row per transaction, in the order of its id.
+    """Running total and count per customer, one row per transaction, in the order of arrival.
+
+    ``arrival`` names the columns that give this order, such as the message's partition and offset; the id breaks
+    ties. With them the totals do not depend on how the stream was cut into batches. Without them
+    rows of a batch are taken by id.
 
     Sums within the batch come from the block-wise running sum, so one customer may fill
     the batch. What a customer brings from earlier batches lies in a table of totals: each
@@ -99,7 +104,7 @@ def running_totals(
         return current(rows, ["customer_id"]).drop("batch_id", "version")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark, order = batch.sparkSession, [asc("transaction_id")]
+        spark, order = batch.sparkSession, [*map(asc, arrival), asc("transaction_id")]
         rows = batch.withColumn("customer_id", F.col("customer_id").cast("string"))
         placed = place_in_blocks(rows, [asc("customer_id"), *order])
         inside = number_rows(placed, ["customer_id"], order, number_as="n", sums={"running": "amount"})

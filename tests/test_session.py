@@ -7,10 +7,10 @@ import pytest
 from tallyforge import session
 
 
-def fake(master, configured=None):
+def fake(master, configured=None, checkpoints=None):
     return SimpleNamespace(
         conf=SimpleNamespace(get=lambda key, default=None: configured if key == "spark.checkpoint.dir" else default),
-        sparkContext=SimpleNamespace(master=master),
+        sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoints),
     )
 
 
@@ -20,6 +20,10 @@ def test_the_configured_folder_wins():
     assert one.startswith("hdfs://store/chk/t-") and one != two
 
 
+def test_a_checkpoint_folder_set_on_the_context_counts():
+    assert session.shared_dir(fake("yarn", checkpoints="hdfs://store/own")) == "hdfs://store/own"
+
+
 def test_only_a_local_master_may_use_its_own_folder():
     assert session.shared_dir(fake("local[4]")) == session.shared_dir(fake("local[4]"))
     with pytest.raises(RuntimeError):

@@ -252,3 +252,17 @@ def test_dead_letters_of_a_batch_frame(spark, folder):
     for _ in range(2):
         writers.write_dead_letters(frame, f"{folder}/dead", 5)
     assert [r.event_id for r in spark.read.schema("event_id string").json(f"{folder}/dead").collect()] == ["2"]
+
+
+def test_running_totals_do_not_depend_on_batch_cuts(spark, folder):
+    rows = [("C1", "T9", 20_000.0, 0, 1), ("C1", "T10", 30_000.0, 0, 2)]
+    schema = "customer_id string, transaction_id string, amount double, message_partition int, message_offset long"
+    found = []
+    for name, batches in (("one", [rows]), ("two", [rows[:1], rows[1:]])):
+        sink = sinks.running_totals(
+            f"{folder}/{name}", f"{folder}/{name}-totals", arrival=["message_partition", "message_offset"])
+        for batch_id, batch in enumerate(batches):
+            sink(spark.createDataFrame(batch, schema), batch_id)
+        log = updates.read_log(spark, f"{folder}/{name}").collect()
+        found.append({r.latest_transaction_id: (r.running_total, r.transactions_counted) for r in log})
+    assert found == [{"T9": (20_000.0, 1), "T10": (50_000.0, 2)}] * 2
