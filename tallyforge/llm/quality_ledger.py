@@ -141,7 +141,9 @@ def passes(policy: str, failed: str = "failed") -> Column:
 def kept_rows(docs: DataFrame, policy: str) -> DataFrame:
     """The rows of ``docs`` that pass ``policy``, with their columns, whatever these are called."""
     rows = measured(docs.select(F.struct(*docs.columns).alias("__q_row"), F.col("text").alias("text")))
-    return rows.withColumn("failed", failure_bits()).where(passes(policy)).select("__q_row.*")
+    # one bit mask per row by way of explode: a filter is not pushed below it, and so the measurements are not
+    # copied into its condition over and over
+    return rows.withColumn("failed", F.explode(F.array(failure_bits()))).where(passes(policy)).select("__q_row.*")
 
 
 def ablations(entries: DataFrame, policies: dict[str, int] | None = None) -> DataFrame:
