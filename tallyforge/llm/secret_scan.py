@@ -158,8 +158,11 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     clean = F.aggregate("__llm_found", state, step, lambda acc: F.concat(
         acc["done"], F.substring(F.col("text"), (acc["upto"] + 1).cast("int"), F.length("text"))))
-    text = F.when(F.col("__llm_found").isNull(), F.col("text")).otherwise(clean)
-    out = [text.alias(c) if c == "text" else
-           F.when(F.col("__llm_found").isNull(), F.col(c)).otherwise(F.length(clean)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-           else F.col(c) for c in docs.columns]
-    return met.select(*out)
+    met = met.withColumn("__llm_clean", F.when(F.col("__llm_found").isNotNull(), clean))
+    out = {
+        "text": F.coalesce("__llm_clean", "text"),
+        "n_chars": F.when(F.col("__llm_found").isNull(), F.col("n_chars")).otherwise(F.length("__llm_clean"))
+        if "n_chars" in docs.columns else None,
+    }
+    return met.select(*[
+        out[c].cast(docs.schema[c].dataType).alias(c) if out.get(c) is not None else F.col(c) for c in docs.columns])
