@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm import byte_bpe, class_lm, license_scan, minhash, packing, pu_classifier, quality_ledger, secret_scan, shards, stream_dedup
 from tallyforge.llm.common import documents
+from tallyforge.llm.oracle import oracle_sql  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,7 +70,3 @@ def op10_pu_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {query.__name__: query for query in (
         op1_byte_bpe, op2_license_scan, op3_class_lm, op4_stream_dedup, op5_shards, op6_minhash, op7_secret_scan, op8_quality_ledger, op9_packing, op10_pu_classifier)}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
