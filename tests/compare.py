@@ -9,7 +9,7 @@ import os
 
 import duckdb
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels")
 
 
 def connect(data_dir: str) -> duckdb.DuckDBPyConnection:
