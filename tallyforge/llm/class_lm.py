@@ -7,7 +7,7 @@ exchange algorithm: each unit moves to the class that raises the likelihood of t
    per hash range and handed back to the chunks that asked, so a word costs one entry per chunk, not one per occurrence.
 2. Each chunk turns its documents into units of two bytes and sums what depends on the words alone.
 3. Exchange rounds read only the units: every task counts which classes stand before and after each unit, the counts
-   are summed per block of units, and each block decides its units' moves. In a round half of the units may move.
+   are summed per block of units, and each block decides its units' moves. In a round a quarter of the units may move.
 
 Units: a word with at least 2**-17 of all training tokens (so at most 2**17 words) has a unit by its hash; rarer words share
 units by their ending, apart for words seen once. An unknown word belongs to the class of the once-seen words with its ending.
@@ -38,7 +38,9 @@ FOLDS, HELD_OUT = 7, 2
 #: Bytes of text per chunk: bounds a task's memory.
 CHUNK_BYTES = 16 << 20
 CLASSES = 32
-ROUNDS = 6
+ROUNDS = 12
+#: Rounds in which every unit may move once; moving all at once would overshoot.
+TURNS = 4
 FREQUENT, TAIL = 1 << 15, 1 << 13
 RARE_AT, ONCE_AT, UNKNOWN_AT = FREQUENT, FREQUENT + TAIL, FREQUENT + 2 * TAIL
 TRAINED, UNITS = FREQUENT + 2 * TAIL, FREQUENT + 3 * TAIL
@@ -301,9 +303,16 @@ def _exchanged(table: DataFrame, now: Classes, turn: int) -> np.ndarray:
             for block, value in zip(blocks, batch.column("counts").to_pylist()):
                 counts = np.frombuffer(value, "<i8").reshape(BLOCK, 2, CLASSES)
                 own = classes[block * BLOCK:(block + 1) * BLOCK].copy()
+                now = pairs.astype(float)
                 for at in np.flatnonzero(counts.any((1, 2))):
-                    if (at + block) % 2 == turn % 2:
-                        own[at] = moves(counts[at, 0], counts[at, 1], own[at], pairs)
+                    if (at * 7 + block * 3) % TURNS == turn % TURNS:
+                        before, after, old = counts[at, 0], counts[at, 1], own[at]
+                        new = own[at] = moves(before, after, old, now)
+                        if new != old:  # the block's next units see this move
+                            now[:, old] -= before
+                            now[old, :] -= after
+                            now[:, new] += before
+                            now[new, :] += after
                 packed.append(own.astype("<u1").tobytes())
             yield pa.RecordBatch.from_pydict({"block": batch.column("block"), "classes": pa.array(packed, pa.binary())})
 
