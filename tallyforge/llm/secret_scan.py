@@ -88,7 +88,6 @@ def entropy_spans(candidates: DataFrame) -> DataFrame:
     same = Window.partitionBy(*run, "character").orderBy("at")
     inside = F.count(F.lit(1)).over(same.rangeBetween(-(WINDOW - 1), -1))
     staying = F.count(F.lit(1)).over(same.rangeBetween(1, WINDOW - 1))
-    term = F.lit(None).cast("array<bigint>")
     term = F.array(*[F.lit(value).cast("bigint") for value in TERM])
     changes = characters.withColumns({
         "entering": F.get(term, (inside + 1).cast("int")) - F.get(term, inside.cast("int")),
