@@ -1,19 +1,22 @@
 r"""A class-based bigram model in the manner of Brown et al., trained by exchange clustering.
 
 A word's probability is that of its class after the class before, times its share of the class. Classes come from the
-exchange algorithm: each unit moves to the class that raises the likelihood of the class bigrams most.
+exchange algorithm: each word moves to the class that raises the likelihood of the class bigrams most.
 
-1. Documents are dealt to chunks. Each chunk counts its distinct words; the counts, packed and split by hash, are summed
+1. Documents are dealt to chunks. Each chunk numbers its distinct words; their counts, packed and split by hash, are summed
    per hash range and handed back to the chunks that asked, so a word costs one entry per chunk, not one per occurrence.
-2. Each chunk turns its documents into units of two bytes and sums what depends on the words alone.
-3. Exchange rounds read only the units: every task counts which classes stand before and after each unit, the counts
-   are summed per block of units, and each block decides its units' moves. In a round a quarter of the units may move.
-
-Units: a word with at least 2**-17 of all training tokens (so at most 2**17 words) has a unit by its hash; rarer words share
-units by their ending, apart for words seen once. An unknown word belongs to the class of the once-seen words with its ending.
-Within a class, the share of words seen once is the probability of an unknown word (one event, as in the base score).
-
-The number of units and classes bounds everything that reaches the driver or a closure; counts cover all documents.
+2. Each chunk turns its documents into numbers of units and sums what depends on the words alone. Both tables are bucketed by
+   chunk, so that later steps read a chunk's documents without a shuffle.
+3. In an exchange round every chunk counts which classes stand before and after the units of this turn, the counts are summed
+   per unit in ranges of hashes, each range decides its units' moves, and the new classes go back to the chunks that have these
+   units, one byte each. A unit may move once in ``TURNS`` rounds. Only the table of class bigrams is sent to every task.
+   Rounds go on until the likelihood stops rising.
+
+Units: every word seen twice or more is a unit, known by its 64-bit hash; words seen once share units by their ending. An
+unknown word belongs to the class of the once-seen words with its ending. Within a class, the share of words seen once is the
+probability of an unknown word (one event, as in the base score).
+
+Only class bigrams reach the driver or a closure; counts cover all documents.
 Edge cases: null and empty texts hold the end token alone; repeated rows count as often as they occur; a missing id counts
 as an empty text in the fold; without training tokens the model's score is the base score; other columns are ignored.
 """
@@ -21,10 +24,12 @@ as an empty text in the fold; without training tokens the model's score is the b
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,24 +38,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import ship, text_of, utf8, written
+from tallyforge.session import fresh_path
 
 FOLDS, HELD_OUT = 7, 2
 #: Bytes of text per chunk: bounds a task's memory.
 CHUNK_BYTES = 16 << 20
 CLASSES = 32
-ROUNDS = 12
 #: Rounds in which every unit may move once; moving all at once would overshoot.
 TURNS = 4
-FREQUENT, TAIL = 1 << 15, 1 << 13
-RARE_AT, ONCE_AT, UNKNOWN_AT = FREQUENT, FREQUENT + TAIL, FREQUENT + 2 * TAIL
-TRAINED, UNITS = FREQUENT + 2 * TAIL, FREQUENT + 3 * TAIL
-FREQUENT_SHARE = 1 << 17
-BLOCK = 512
+#: The likelihood has stopped rising when TURNS rounds gain less than this share of it.
+LEAST_GAIN = 1e-3
+#: Endings that words seen once share.
+TAIL = 1 << 13
+#: Units that are moved together have at most this share of all tokens, and are at most so many.
+STEP_SHARE, STEP_UNITS = 0.0005, 1024
+#: Chunks per hash range of the exchange.
+RANGE_CHUNKS = 4
+#: Set in the number of an unknown word beside its unit.
+UNKNOWN = 1 << 31
 #: Added to every class bigram.
 ADDED = 0.5
 #: The end of a document: no word contains white space.
 END = b"\n"
-END_UNIT = 0
+END_HASH = np.uint64(xxhash.xxh3_64_intdigest(END))
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -91,31 +101,70 @@ def dealt(docs: DataFrame) -> tuple[DataFrame, int]:
         F.pmod(F.xxhash64("doc_id", text), F.lit(chunks)).cast("int").alias("chunk")), chunks
 
 
-def counted(docs: DataFrame, chunks: int) -> DataFrame:
-    """Per chunk and hash range: the hashes of the chunk's words in order, and their training counts, both packed."""
+def _bucketed(df: DataFrame, label: str, buckets: int) -> DataFrame:
+    """``df`` as a table in the shared folder that is read by chunk without a shuffle."""
+    name = f"llm_{uuid.uuid4().hex}"
+    df.write.format("parquet").option("compression", "zstd").option("path", fresh_path(df.sparkSession, label)).bucketBy(
+        buckets, "chunk").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """Per document: chunk, doc_id, train and its words as packed numbers of the chunk's distinct words.
+
+    One row of a chunk also has the hashes of these words, in order, their training counts and their endings, packed.
+    """
 
-    def count(group: pa.Table) -> pa.Table:
-        words, counts = Words(), np.zeros(0, np.int64)
-        for text, train in zip(group.column("text"), group.column("train")):
-            numbers = words.numbers(text.as_py())
-            if len(words.index) > len(counts):
-                counts = np.concatenate([counts, np.zeros(2 * len(words.index) - len(counts), np.int64)])
-            if train.as_py():
-                np.add.at(counts, numbers, 1)
+    def number(group: pa.Table) -> pa.Table:
+        words = Words()
+        numbers = [words.numbers(text.as_py()) for text in group.column("text")]
+        train = group.column("train").to_pylist()
+        counts = np.zeros(len(words.index), np.int64)
+        for some, counted in zip(numbers, train):
+            if counted:
+                np.add.at(counts, some, 1)
         hashes = words.hashes()
         order = np.argsort(hashes)
-        hashes, counts = hashes[order], counts[:len(hashes)][order]
-        part = ((hashes >> np.uint64(32)) * np.uint64(chunks)) >> np.uint64(32)
-        cuts = np.searchsorted(part, np.arange(chunks + 1, dtype=np.uint64))
-        some = [at for at in range(chunks) if cuts[at] < cuts[at + 1]]
+        place = np.empty(len(order), "<u4")
+        place[order] = np.arange(len(order))
+        empty = [None] * (len(numbers) - 1)
         return pa.table({
-            "part": pa.array(some, pa.int32()),
-            "chunk": pa.array([group.column("chunk")[0].as_py()] * len(some), pa.int32()),
-            "hashes": pa.array([hashes[cuts[at]:cuts[at + 1]].tobytes() for at in some], pa.binary()),
-            "counts": pa.array([counts[cuts[at]:cuts[at + 1]].astype("<u4").tobytes() for at in some], pa.binary()),
+            "chunk": group.column("chunk"),
+            "doc_id": group.column("doc_id"),
+            "train": group.column("train"),
+            "numbers": pa.array([place[one].tobytes() for one in numbers], pa.binary()),
+            "hashes": pa.array([hashes[order].astype("<u8").tobytes(), *empty], pa.binary()),
+            "counts": pa.array([counts[order].astype("<u4").tobytes(), *empty], pa.binary()),
+            "endings": pa.array([words.endings()[order].astype("<u2").tobytes(), *empty], pa.binary()),
         })
 
-    return docs.groupBy("chunk").applyInArrow(count, "part int, chunk int, hashes binary, counts binary")
+    id_type = dict(docs.dtypes)["doc_id"]
+    return docs.groupBy("chunk").applyInArrow(
+        number, f"chunk int, doc_id {id_type}, train boolean, numbers binary, hashes binary, counts binary, endings binary")
+
+
+def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+
+
+def counted(numbers: DataFrame, chunks: int) -> DataFrame:
+    """Per chunk and hash range: the hashes of the chunk's words in order, and their training counts, both packed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, hashes, counts in zip(*[batch.column(n).to_pylist() for n in ("chunk", "hashes", "counts")]):
+                hashes, counts = np.frombuffer(hashes, "<u8"), np.frombuffer(counts, "<u4")
+                cuts = np.searchsorted(_part(hashes, chunks), np.arange(chunks + 1, dtype=np.uint64))
+                some = [at for at in range(chunks) if cuts[at] < cuts[at + 1]]
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array(some, pa.int32()),
+                    "chunk": pa.array([chunk] * len(some), pa.int32()),
+                    "hashes": pa.array([hashes[cuts[at]:cuts[at + 1]].tobytes() for at in some], pa.binary()),
+                    "counts": pa.array([counts[cuts[at]:cuts[at + 1]].tobytes() for at in some], pa.binary()),
+                })
+
+    vocabulary = numbers.where("hashes IS NOT NULL").select("chunk", "hashes", "counts")
+    return vocabulary.mapInArrow(run, "part int, chunk int, hashes binary, counts binary")
 
 
 def summed(counts: DataFrame) -> DataFrame:
@@ -143,115 +192,214 @@ def summed(counts: DataFrame) -> DataFrame:
         total, "part int, chunk int, hashes binary, totals binary, tokens long, distinct long")
 
 
-def units_of(counts: np.ndarray, hashes: np.ndarray, endings: np.ndarray, tokens: int) -> np.ndarray:
-    own = 1 + (hashes % np.uint64(FREQUENT - 1)).astype(np.int64)
-    tail = np.where(counts == 0, UNKNOWN_AT, np.where(counts == 1, ONCE_AT, RARE_AT)) + endings
-    return np.where((counts > 1) & (counts * FREQUENT_SHARE >= tokens), own, tail)
+@cache
+def _once_hashes() -> np.ndarray:
+    """The hashes of the units that words seen once share; no word begins with white space."""
+    return np.array([xxhash.xxh3_64_intdigest(END + at.to_bytes(2, "little")) for at in range(TAIL)], np.uint64)
 
 
-def coded(docs: DataFrame, totals: DataFrame, tokens: int, distinct: int) -> DataFrame:
-    """Per document: doc_id, train, n_tokens, n_known, base_score, log_counts (of its known tokens) and packed units."""
+def coded(numbers: DataFrame, totals: DataFrame, tokens: int, distinct: int) -> DataFrame:
+    """Per document: chunk, doc_id, train, n_tokens, n_known, base_score, log_counts (of its known tokens) and ``numbers``
+    of the chunk's units. One row of a chunk, of a training document if it has any, has the hashes of these units, in order,
+    and which are shared by words seen once, packed."""
     shift = math.log10(tokens + distinct + 1)
 
     def code(texts: pa.Table, vocabulary: pa.Table) -> pa.Table:
-        words = Words()
-        numbers = [words.numbers(text.as_py()) for text in texts.column("text")]
-        vocabulary = vocabulary.sort_by("part")  # ranges of hashes, so the joined hashes are in order
-        known = np.frombuffer(b"".join(value.as_py() for value in vocabulary.column("hashes")), "<u8")
-        totals = np.frombuffer(b"".join(value.as_py() for value in vocabulary.column("totals")), "<i8")
-        hashes = words.hashes()
-        counts = totals[np.searchsorted(known, hashes)] if len(hashes) else totals[:0]
-        units = units_of(counts, hashes, words.endings(), tokens)
-        if len(hashes):
-            units[words.index[END]] = END_UNIT
+        vocabulary = vocabulary.sort_by("part")  # ranges of hashes, so the joined totals are in the order of the hashes
+        counts = np.frombuffer(b"".join(vocabulary.column("totals").to_pylist()), "<i8")
+        first = lambda name, kind: np.frombuffer(next((v for v in texts.column(name).to_pylist() if v is not None), b""), kind)
+        hashes, endings = first("hashes", "<u8"), first("endings", "<u2")
+        once = (counts < 2) & (hashes != END_HASH)
+        units, place = np.unique(np.where(once, _once_hashes()[endings], hashes), return_inverse=True)
+        shared = np.zeros(len(units), "u1")
+        shared[place[once]] = 1
+        place = place.astype("<u4") | np.where(counts == 0, np.uint32(UNKNOWN), np.uint32(0)).astype("<u4")
         log_more, log_own = np.log10(counts + 1.0), np.log10(np.maximum(counts, 1))
-        units = units.astype("<u2")
+        lines = [np.frombuffer(value, "<u4") for value in texts.column("numbers").to_pylist()]
+        train = texts.column("train").to_pylist()
+        keeper = train.index(True) if True in train else 0
+        only = lambda value: pa.array([value if at == keeper else None for at in range(len(lines))], pa.binary())
         return pa.table({
+            "chunk": texts.column("chunk"),
             "doc_id": texts.column("doc_id"),
             "train": texts.column("train"),
-            "n_tokens": pa.array([len(one) for one in numbers], pa.int64()),
-            "n_known": pa.array([int((counts[one] > 0).sum()) for one in numbers], pa.int64()),
-            "base_score": pa.array([float(log_more[one].sum()) - len(one) * shift for one in numbers]),
-            "log_counts": pa.array([float(log_own[one].sum()) for one in numbers]),
-            "units": pa.array([units[one].tobytes() for one in numbers], pa.binary()),
+            "n_tokens": pa.array([len(one) for one in lines], pa.int64()),
+            "n_known": pa.array([int((counts[one] > 0).sum()) for one in lines], pa.int64()),
+            "base_score": pa.array([float(log_more[one].sum()) - len(one) * shift for one in lines], pa.float64()),
+            "log_counts": pa.array([float(log_own[one].sum()) for one in lines], pa.float64()),
+            "numbers": pa.array([place[one].tobytes() for one in lines], pa.binary()),
+            "hashes": only(units.astype("<u8").tobytes()),
+            "shared": only(shared.tobytes()),
         })
 
-    id_type = dict(docs.dtypes)["doc_id"]
-    return docs.groupBy("chunk").cogroup(totals.where("chunk >= 0").groupBy("chunk")).applyInArrow(
-        code, f"doc_id {id_type}, train boolean, n_tokens long, n_known long, base_score double, log_counts double, units binary")
-
-
-def _sequences(batches: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterator[np.ndarray]:
-    """Units of many documents in one row, an end before the first; every document ends with its end unit."""
-    held, size = [], 0
-    for batch in batches:
-        for value in batch.column("units").to_pylist():
-            held.append(np.frombuffer(value, "<u2"))
-            size += len(held[-1])
-            if size >= most:
-                yield np.concatenate([np.zeros(1, "<u2"), *held])
-                held, size = [], 0
-    if held:
-        yield np.concatenate([np.zeros(1, "<u2"), *held])
-
-
-def contexts(train: DataFrame, classes: np.ndarray) -> DataFrame:
-    """Per block of units: how often each class stands before and after each unit (BLOCK x 2 x CLASSES, packed)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, after = np.zeros(TRAINED * CLASSES, np.int64), np.zeros(TRAINED * CLASSES, np.int64)
-        for line in _sequences(batches):
-            line = line.astype(np.int64)
-            kinds = classes[line]
-            before += np.bincount(line[1:] * CLASSES + kinds[:-1], minlength=len(before))
-            after += np.bincount(line[:-1] * CLASSES + kinds[1:], minlength=len(after))
-        both = np.stack([before.reshape(-1, CLASSES), after.reshape(-1, CLASSES)], 1).reshape(-1, BLOCK * 2 * CLASSES)
-        some = np.flatnonzero(both.any(1))
-        yield pa.RecordBatch.from_pydict({
-            "block": pa.array(some, pa.int32()),
-            "counts": pa.array([both[at].astype("<i4").tobytes() for at in some], pa.binary())})
-
-    def total(group: pa.Table) -> pa.Table:
-        whole = np.zeros(BLOCK * 2 * CLASSES, np.int64)
-        for value in group.column("counts"):
-            kind = "<i4" if len(value.as_buffer()) == 4 * len(whole) else "<i8"
-            whole += np.frombuffer(value.as_py(), kind)
-        return pa.table({"block": group.column("block")[:1], "counts": pa.array([whole.astype("<i8").tobytes()], pa.binary())})
+    id_type = dict(numbers.dtypes)["doc_id"]
+    return numbers.drop("counts").groupBy("chunk").cogroup(totals.where("chunk >= 0").groupBy("chunk")).applyInArrow(
+        code, f"chunk int, doc_id {id_type}, train boolean, n_tokens long, n_known long, base_score double, log_counts double, "
+              "numbers binary, hashes binary, shared binary")
+
+
+MOVED = "chunk int, turn int, part int, classes binary"
+
+
+def _turns(hashes: np.ndarray) -> np.ndarray:
+    return (hashes % np.uint64(TURNS)).astype(np.int64)
+
+
+class _Chunk:
+    """The units of a chunk with their present classes, and its training documents in one row."""
+
+    def __init__(self, texts: pa.Table, moved: pa.Table):
+        first = lambda name, kind: np.frombuffer(next((v for v in texts.column(name).to_pylist() if v is not None), b""), kind)
+        self.hashes, self.shared = first("hashes", "<u8"), first("shared", "u1").astype(bool)
+        self.turns = _turns(self.hashes)
+        self.classes = ((self.hashes >> np.uint64(8)) % np.uint64(CLASSES)).astype(np.int64)
+        moved = moved.sort_by([("turn", "ascending"), ("part", "ascending")])  # a chunk's units are in order of their hashes
+        turn = np.array(moved.column("turn").to_pylist(), np.int64)
+        packed = moved.column("classes").to_pylist()
+        for at in np.unique(turn):
+            self.classes[self.turns == at] = np.frombuffer(b"".join(packed[i] for i in np.flatnonzero(turn == at)), "u1")
+
+    def line(self, texts: pa.Table) -> np.ndarray:
+        """An end before the first document; every document ends with its end."""
+        values = [v for v, train in zip(texts.column("numbers").to_pylist(), texts.column("train").to_pylist()) if train]
+        line = np.frombuffer(b"".join(values), "<u4").astype(np.int64)
+        return np.concatenate([line[-1:], line])
+
+
+def _with_classes(units: DataFrame, moved: list[DataFrame], run, schema: str) -> DataFrame:
+    spark = units.sparkSession
+    rows = reduce(DataFrame.unionByName, moved) if moved else spark.createDataFrame([], MOVED)
+    return units.groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(run, schema)
+
+
+def contexts(units: DataFrame, moved: list[DataFrame], turn: int, parts: int) -> DataFrame:
+    """Per chunk and range of hashes: the units of this turn with their classes, and how often each class stands before and
+    after each of them (keys are unit * 2 * CLASSES + side * CLASSES + class), all packed."""
+
+    def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
+        own = _Chunk(texts, rows) if texts.num_rows else None
+        some = np.flatnonzero(own.turns == turn) if own else np.zeros(0, np.int64)
+        found = []
+        if len(some):
+            slot = np.full(len(own.hashes), -1, np.int64)
+            slot[some] = np.arange(len(some))
+            line = own.line(texts)
+            kinds, slots = own.classes[line], slot[line]
+            here, ahead = slots[1:] >= 0, slots[:-1] >= 0
+            keys = np.concatenate([slots[1:][here] * 2 * CLASSES + kinds[:-1][here],
+                                   (slots[:-1][ahead] * 2 + 1) * CLASSES + kinds[1:][ahead]])
+            counts = np.bincount(keys, minlength=len(some) * 2 * CLASSES)
+            keys = np.flatnonzero(counts)
+            counts = counts[keys]
+            hashes, classes = own.hashes[some], own.classes[some]
+            cuts = np.searchsorted(_part(hashes, parts), np.arange(parts + 1, dtype=np.uint64))
+            ends = np.searchsorted(keys, cuts * 2 * CLASSES)
+            for part in range(parts):
+                a, b, c, d = cuts[part], cuts[part + 1], ends[part], ends[part + 1]
+                if a < b:
+                    found.append((part, hashes[a:b].astype("<u8").tobytes(), classes[a:b].astype("u1").tobytes(),
+                                  (keys[c:d] - a * 2 * CLASSES).astype("<u4").tobytes(), counts[c:d].astype("<u4").tobytes()))
+        binary = lambda at: pa.array([one[at] for one in found], pa.binary())
+        return pa.table({
+            "part": pa.array([one[0] for one in found], pa.int32()),
+            "chunk": pa.array([texts.column("chunk")[0].as_py()] * len(found) if found else [], pa.int32()),
+            "hashes": binary(1), "classes": binary(2), "keys": binary(3), "counts": binary(4)})
 
-    schema = "block int, counts binary"
-    dealt_first = train.select("units").mapInArrow(run, schema).withColumn("deal", F.pmod(F.spark_partition_id(), F.lit(16)))
-    half = dealt_first.groupBy("block", "deal").applyInArrow(total, schema)  # a block has a row per task: summed in two steps
-    return half.groupBy("block").applyInArrow(total, schema)
+    columns = units.select("chunk", "train", "numbers", "hashes", "shared")
+    return _with_classes(columns.withColumn("numbers", F.when(F.col("train"), F.col("numbers"))), moved, run,
+                         "part int, chunk int, hashes binary, classes binary, keys binary, counts binary")
 
 
 def _phi(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
-def moves(before: np.ndarray, after: np.ndarray, own: int, pairs: np.ndarray) -> int:
-    """The class to which a unit of class ``own`` should move.
+def exchanged(keys: np.ndarray, counts: np.ndarray, own: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The classes of units after each moved to the class with the greatest likelihood.
 
-    ``before`` and ``after`` count the classes around the unit, ``pairs`` all class bigrams. The likelihood is compared
-    with the unit taken out of its class and put into each other one.
+    ``keys`` (in order) and ``counts`` say which classes stand around the units, ``own`` has their classes and ``pairs``
+    counts all class bigrams. The likelihood is compared with a unit taken out of its class and put into each other one.
+    Frequent units go first and see the moves before them; units are taken together up to a small share of all tokens.
     """
-    rest = pairs.astype(float)
-    rest[:, own] -= before
-    rest[own, :] -= after
-    rest = np.maximum(rest, 0)
-    column = (_phi(rest + before[:, None]) - _phi(rest)).sum(0)
-    row = (_phi(rest + after[None, :]) - _phi(rest)).sum(1)
-    corner = np.diagonal(rest)
-    both = _phi(corner + before + after) - _phi(corner + before) - _phi(corner + after) + _phi(corner)
-    n = before.sum()
-    first, second = rest.sum(1), rest.sum(0)
-    cost = _phi(first + n) - _phi(first) + _phi(second + n) - _phi(second)
-    gain = column + row + both - cost
-    return int(np.argmax(gain)) if gain.max() > gain[own] + 1e-6 else own
+    own, now = own.copy(), pairs.astype(float)
+    unit = keys // (2 * CLASSES)
+    size = np.bincount(unit, counts * (keys // CLASSES % 2 == 0), minlength=len(own))
+    order = np.argsort(-size, kind="stable")[:np.count_nonzero(size)]  # the others have no contexts
+    rank = np.empty(len(own), np.int64)
+    rank[order] = np.arange(len(order))
+    sort = np.argsort(rank[unit], kind="stable")
+    unit, side, kind, n = rank[unit][sort], (keys // CLASSES % 2)[sort], (keys % CLASSES)[sort], counts[sort].astype(float)
+    starts = np.searchsorted(unit, np.arange(len(order) + 1))
+    upto = np.cumsum(size[order])
+    most = STEP_SHARE * pairs.sum()
+    first = 0
+    while first < len(order):
+        held = upto[first - 1] if first else 0
+        last = min(max(first + 1, int(np.searchsorted(upto, held + most, "right"))), first + STEP_UNITS, len(order))
+        some, these, many = order[first:last], slice(starts[first], starts[last]), last - first
+        w, s, k, b = unit[these] - first, side[these], kind[these], n[these]
+        around = np.zeros((many, 2, CLASSES))
+        around[w, s, k] = b
+        before, after, old, all_of = around[:, 0], around[:, 1], own[some], np.arange(many)
+        sums = []
+        for which, table, other in ((0, now, after), (1, now.T, before)):
+            one = s == which
+            x, y, z = w[one], k[one], b[one][:, None]
+            rest = table[y]
+            rest[np.arange(len(x)), old[x]] -= z[:, 0]
+            within = y == old[x]
+            rest[within] -= other[x[within]]
+            rest = np.maximum(rest, 0)
+            sums.append(np.add.reduceat(_phi(rest + z) - _phi(rest), np.searchsorted(x, all_of), axis=0))
+        corner = np.tile(np.diagonal(now), (many, 1))
+        corner[all_of, old] -= before[all_of, old] + after[all_of, old]
+        corner = np.maximum(corner, 0)
+        both = _phi(corner + before + after) - _phi(corner + before) - _phi(corner + after) + _phi(corner)
+        # what stands before a unit counts in the rows of its own classes wherever the unit is, and so do columns
+        total, second = np.tile(now.sum(1), (many, 1)), np.tile(now.sum(0), (many, 1))
+        n_after, n_before = after.sum(1, keepdims=True), before.sum(1, keepdims=True)
+        total[all_of, old] -= n_after[:, 0]
+        second[all_of, old] -= n_before[:, 0]
+        total, second = np.maximum(total, 0), np.maximum(second, 0)
+        cost = _phi(total + n_after) - _phi(total) + _phi(second + n_before) - _phi(second)
+        gain = sums[0] + sums[1] + both - cost
+        new = gain.argmax(1)
+        moves = np.flatnonzero(gain[all_of, new] > gain[all_of, old] + 1e-6)
+        own[some[moves]] = new[moves]
+        for classes, sign in ((old[moves], -1), (new[moves], 1)):
+            np.add.at(now.T, classes, sign * before[moves])
+            np.add.at(now, classes, sign * after[moves])
+        first = last
+    return own
+
+
+def _exchanged(units: DataFrame, moved: list[DataFrame], turn: int, parts: int, pairs: np.ndarray) -> DataFrame:
+    """The new classes of the units of this turn, packed for the chunks that have them."""
+
+    def move(group: pa.Table) -> pa.Table:
+        hashes = [np.frombuffer(v, "<u8") for v in group.column("hashes").to_pylist()]
+        ends = np.cumsum([len(one) for one in hashes])
+        distinct, first, place = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        classes = np.frombuffer(b"".join(group.column("classes").to_pylist()), "u1").astype(np.int64)[first]
+        keys = []
+        for begin, value in zip([0, *ends[:-1]], group.column("keys").to_pylist()):
+            key = np.frombuffer(value, "<u4").astype(np.int64)
+            keys.append(place[begin + key // (2 * CLASSES)] * 2 * CLASSES + key % (2 * CLASSES))
+        counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), "<u4")
+        keys, at = np.unique(np.concatenate(keys), return_inverse=True)
+        better = exchanged(keys, np.bincount(at, counts, len(keys)), classes, pairs).astype("u1")
+        return pa.table({
+            "chunk": group.column("chunk"),
+            "turn": pa.array([turn] * len(hashes), pa.int32()),
+            "part": group.column("part"),
+            "classes": pa.array([one.tobytes() for one in np.split(better[place], ends[:-1])], pa.binary())})
+
+    return contexts(units, moved, turn, parts).groupBy("part").applyInArrow(move, MOVED)
 
 
 @dataclass
 class Classes:
-    of_unit: np.ndarray  # class of each of UNITS units
+    of_unit: np.ndarray  # class of each code in a document's units: a class, or CLASSES more for an unknown word
     pairs: np.ndarray  # class bigrams
     once: np.ndarray  # tokens of words seen once, per class
 
@@ -268,76 +416,68 @@ class Classes:
         return (np.log10(pairs / pairs.sum(1, keepdims=True)), np.log10((1 - unknown) / size), np.log10(unknown))
 
 
-def _with_unknown(classes: np.ndarray) -> np.ndarray:
-    return np.concatenate([classes[:TRAINED], classes[ONCE_AT:UNKNOWN_AT]])
-
+def _measured(units: DataFrame, moved: list[DataFrame]) -> Classes:
+    """Class bigrams and once-seen tokens of an assignment."""
 
-def _measured(table: DataFrame, classes: np.ndarray) -> Classes:
-    """Class bigrams and once-seen tokens of an assignment, from the summed contexts (one row per block)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, once = np.zeros((CLASSES, CLASSES), np.int64), np.zeros(CLASSES, np.int64)
-        for batch in batches:
-            for block, value in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-                before = np.frombuffer(value, "<i8").reshape(BLOCK, 2, CLASSES)[:, 0]
-                units = np.arange(block * BLOCK, (block + 1) * BLOCK)
-                np.add.at(pairs.T, classes[units], before)
-                seen_once = units >= ONCE_AT
-                np.add.at(once, classes[units[seen_once]], before[seen_once].sum(1))
-        flat = np.concatenate([pairs.ravel(), once])
-        yield pa.RecordBatch.from_pydict({"at": pa.array(range(len(flat)), pa.int32()), "n": pa.array(flat)})
+    def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
+        flat = np.zeros(CLASSES * (CLASSES + 1), np.int64)
+        if texts.num_rows:
+            own = _Chunk(texts, rows)
+            line = own.line(texts)
+            kinds = own.classes[line]
+            flat[:CLASSES ** 2] = np.bincount(kinds[:-1] * CLASSES + kinds[1:], minlength=CLASSES ** 2)
+            flat[CLASSES ** 2:] = np.bincount(kinds[1:][own.shared[line[1:]]], minlength=CLASSES)
+        return pa.table({"at": pa.array(range(len(flat)), pa.int32()), "n": pa.array(flat)})
 
+    columns = units.select("chunk", "train", "numbers", "hashes", "shared")
+    table = _with_classes(columns.withColumn("numbers", F.when(F.col("train"), F.col("numbers"))), moved, run, "at int, n long")
     found = np.zeros(CLASSES * (CLASSES + 1), np.int64)
-    for row in table.mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+    for row in table.groupBy("at").agg(F.sum("n").alias("n")).collect():
         found[row["at"]] = row["n"]  # CLASSES * (CLASSES + 1) rows
-    return Classes(classes, found[:CLASSES * CLASSES].reshape(CLASSES, CLASSES), found[CLASSES * CLASSES:])
-
+    return Classes(np.arange(2 * CLASSES) % CLASSES, found[:CLASSES ** 2].reshape(CLASSES, CLASSES), found[CLASSES ** 2:])
 
-def _exchanged(table: DataFrame, now: Classes, turn: int) -> np.ndarray:
-    """Classes after the units of this turn have moved."""
-    classes, pairs = now.of_unit, now.pairs
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            blocks, packed = batch.column("block").to_pylist(), []
-            for block, value in zip(blocks, batch.column("counts").to_pylist()):
-                counts = np.frombuffer(value, "<i8").reshape(BLOCK, 2, CLASSES)
-                own = classes[block * BLOCK:(block + 1) * BLOCK].copy()
-                now = pairs.astype(float)
-                for at in np.flatnonzero(counts.any((1, 2))):
-                    if (at * 7 + block * 3) % TURNS == turn % TURNS:
-                        before, after, old = counts[at, 0], counts[at, 1], own[at]
-                        new = own[at] = moves(before, after, old, now)
-                        if new != old:  # the block's next units see this move
-                            now[:, old] -= before
-                            now[old, :] -= after
-                            now[:, new] += before
-                            now[new, :] += after
-                packed.append(own.astype("<u1").tobytes())
-            yield pa.RecordBatch.from_pydict({"block": batch.column("block"), "classes": pa.array(packed, pa.binary())})
-
-    better = classes.copy()
-    for row in table.mapInArrow(run, "block int, classes binary").collect():  # TRAINED / BLOCK rows
-        better[row["block"] * BLOCK:(row["block"] + 1) * BLOCK] = np.frombuffer(row["classes"], "<u1")
-    return _with_unknown(better)
-
-
-def cluster(train: DataFrame, rounds: int = ROUNDS) -> Classes:
-    """Exchange clustering of the units of ``train`` (column units); the likeliest assignment met."""
-    classes = _with_unknown(np.arange(UNITS) % CLASSES)
-    best = None
-    for turn in range(rounds + 1):
-        table = written(contexts(train, classes), "contexts")
-        now = _measured(table, classes)
+def _clustered(units: DataFrame, rounds: int | None, parts: int) -> tuple[Classes, list[DataFrame]]:
+    """The likeliest assignment met: its class bigrams, and the classes of the units that have moved."""
+    moved: dict[int, DataFrame] = {}
+    best, kept, sweep, turn = None, [], -math.inf, 0
+    while True:
+        now = _measured(units, list(moved.values()))
         if best is None or now.likelihood() > best.likelihood():
-            best = now
-        if turn < rounds:
-            classes = _exchanged(table, now, turn)
-    return best
+            best, kept = now, list(moved.values())
+        if turn % TURNS == 0 and rounds is None:
+            if best.likelihood() - sweep <= LEAST_GAIN * abs(best.likelihood()):
+                break
+            sweep = best.likelihood()
+        if turn == rounds:
+            break
+        moved[turn % TURNS] = written(_exchanged(units, list(moved.values()), turn % TURNS, parts, now.pairs), "classes")
+        turn += 1
+    return best, kept
+
+
+def cluster(train: DataFrame, rounds: int | None = None) -> Classes:
+    """Exchange clustering of the units of ``train`` (from ``trained``): ``rounds`` rounds, or until the likelihood stops rising."""
+    chunks = train.agg(F.max("chunk")).first()[0] or 0
+    return _clustered(train, rounds, 1 + chunks // RANGE_CHUNKS)[0]
+
+
+def classed(units: DataFrame, moved: list[DataFrame]) -> DataFrame:
+    """``units`` with the documents as packed codes of two bytes: a token's class, or CLASSES more for an unknown word."""
+
+    def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return texts.append_column("units", pa.array([], pa.binary()))
+        own, lines = _Chunk(texts, rows), [np.frombuffer(v, "<u4") for v in texts.column("numbers").to_pylist()]
+        codes = [(own.classes[line & np.uint32(UNKNOWN - 1)] + CLASSES * (line >= UNKNOWN)).astype("<u2") for line in lines]
+        return texts.append_column("units", pa.array([one.tobytes() for one in codes], pa.binary()))
+
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in units.dtypes)
+    return _with_classes(units, moved, run, f"{schema}, units binary")
 
 
 def scores(units: DataFrame, model: Classes, tokens: int) -> DataFrame:
-    """The rows of ``coded`` with the model's score."""
+    """The rows of ``classed`` with the model's score."""
     after, share, unknown = model.tables()
     classes = model.of_unit
 
@@ -347,28 +487,31 @@ def scores(units: DataFrame, model: Classes, tokens: int) -> DataFrame:
             for packed, base, own in zip(*[batch.column(n).to_pylist() for n in ("units", "base_score", "log_counts")]):
                 line = np.frombuffer(packed, "<u2").astype(np.int64)
                 kinds = classes[line]
-                first = np.concatenate([classes[END_UNIT:END_UNIT + 1], kinds[:-1]])
-                emitted = np.where(line >= UNKNOWN_AT, unknown[kinds], share[kinds])
+                first = np.concatenate([kinds[-1:], kinds[:-1]])  # the last is the end
+                emitted = np.where(line >= CLASSES, unknown[kinds], share[kinds])
                 found.append(float(after[first, kinds].sum() + emitted.sum() + own) if tokens else base)
             columns = {n: batch.column(n) for n in ("doc_id", "train", "n_tokens", "n_known", "base_score")}
             yield pa.RecordBatch.from_pydict(columns | {"score": pa.array(found, pa.float64())})
 
     id_type = dict(units.dtypes)["doc_id"]
-    return units.mapInArrow(run, f"doc_id {id_type}, train boolean, n_tokens long, n_known long, base_score double, score double")
+    return units.select("doc_id", "train", "n_tokens", "n_known", "base_score", "log_counts", "units").mapInArrow(
+        run, f"doc_id {id_type}, train boolean, n_tokens long, n_known long, base_score double, score double")
 
 
-def trained(docs: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, Classes, int, int]:
+def trained(docs: DataFrame, rounds: int | None = None) -> tuple[DataFrame, Classes, int, int]:
     """The coded documents, the classes, and the tokens and distinct words of the training documents."""
     ship(docs.sparkSession)
     chunked, chunks = dealt(docs)
-    totals = written(summed(counted(chunked, chunks)), "totals")
+    numbers = _bucketed(numbered(chunked), "numbers", chunks)
+    totals = written(summed(counted(numbers, chunks)), "totals")
     sizes = totals.where("chunk < 0").agg(F.sum("tokens").alias("tokens"), F.sum("distinct").alias("distinct")).first()
     tokens, distinct = sizes["tokens"] or 0, sizes["distinct"] or 0
-    units = written(coded(chunked, totals, tokens, distinct), "units")
-    return units, cluster(units.where("train"), rounds), tokens, distinct
+    units = _bucketed(coded(numbers, totals, tokens, distinct), "units", chunks)
+    model, moved = _clustered(units, rounds, 1 + (chunks - 1) // RANGE_CHUNKS)
+    return classed(units, moved), model, tokens, distinct
 
 
-def scored(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def scored(docs: DataFrame, rounds: int | None = None) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     units, model, tokens, _ = trained(docs, rounds)
     return scores(units, model, tokens).select(

@@ -163,6 +163,48 @@ def test_exchange_raises_the_likelihood(spark):
     assert class_lm.cluster(units.where("train"), 8).likelihood() > first.likelihood()
 
 
+def move_of_one(before, after, own, pairs):
+    """The class to which one unit should move, straight from the likelihood."""
+    phi = class_lm._phi
+    rest = pairs.astype(float)
+    rest[:, own] -= before
+    rest[own, :] -= after
+    found = []
+    for c in range(class_lm.CLASSES):
+        table = rest.copy()
+        table[:, c] += before
+        table[c, :] += after
+        found.append(phi(table).sum() - phi(table.sum(0)).sum() - phi(table.sum(1)).sum())
+    return int(np.argmax(found)) if max(found) > found[own] + 1e-6 else own
+
+
+def test_units_move_to_their_likeliest_class():
+    rng = np.random.default_rng(3)
+    classes = class_lm.CLASSES
+    pairs = rng.integers(2000, 4000, (classes, classes))
+    for _ in range(50):
+        around = rng.integers(0, 9, (1, 2, classes)) * (rng.random((1, 2, classes)) < 0.4)
+        keys = np.flatnonzero(around.ravel())
+        own = rng.integers(0, classes, 1)
+        got = class_lm.exchanged(keys, around.ravel()[keys], own, pairs)
+        assert got[0] == move_of_one(around[0, 0], around[0, 1], own[0], pairs)
+
+
+def test_rare_words_with_one_ending_get_classes_of_their_own(spark):
+    """Words that are met a few times each and all end alike, but of which some follow ``left`` and some ``right``."""
+    rng = random.Random(6)
+    kinds = [("left", [f"x{i}same" for i in range(1500)]), ("right", [f"y{i}same" for i in range(1500)])]
+    rows = [(i, " ".join(f"{first} {rng.choice(words)}" for first, words in kinds * 15)) for i in range(140)]
+    filler = [(1000 + i, " ".join(rng.choice("abc") for _ in range(4000))) for i in range(120)]  # makes the words rare
+    units, model, _, _ = class_lm.trained(table(spark, rows + filler))
+    n = Counter()
+    for row in units.where("doc_id < 1000 AND train").collect():
+        for at, code in enumerate(np.frombuffer(row.units, "<u2")[:60]):
+            if at % 2:
+                n[int(model.of_unit[code]), at // 2 % 2] += 1
+    assert sum(max(n[c, 0], n[c, 1]) for c in range(class_lm.CLASSES)) > 0.8 * sum(n.values())
+
+
 def test_held_out_texts_gain_over_the_base(spark):
     rows = class_lm.scored(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), rounds=4).where("held_out").collect()
     assert sum(r.score for r in rows) > 0.9 * sum(r.base_score for r in rows)
