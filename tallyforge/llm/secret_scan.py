@@ -1,10 +1,12 @@
 r"""Secrets by pattern and by the entropy of sliding windows.
 
 Pattern spans come from three regular expressions. Beyond them every run of 20 or more key-like characters is a
-candidate: for its character class (hex or base64) the Shannon entropy of each window of 20 characters is computed
+candidate, and so is every hex run of 20 or more characters inside it, whatever joins it to the rest. For the class of
+a candidate (hex or base64) the Shannon entropy of each window of 20 characters is computed
 by incremental counts. When a character enters or leaves a window only its own count changes, so the window's sum
 of n * log2(n) changes by one term; a running sum of these terms over the candidate gives every window's entropy.
-Windows above the class's limit merge into spans, and an allow-list suppresses what only looks random.
+Windows above the class's limit merge into spans. What only looks random is on an allow-list: samples and sequences suppress
+the windows that overlap them, identifiers, paths of words and pictures the whole candidate.
 
 Positions are code points, ends are exclusive. Edge cases: null and empty texts have no spans; repeated rows and rows
 with null ids are scanned one by one; other columns are ignored by ``scan`` and kept by ``redacted``.
@@ -13,6 +15,7 @@ with null ids are scanned one by one; other columns are ignored by ``scan`` and
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,14 +36,16 @@ WINDOW = 20
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
 #: Bits per character that a window must reach; a random window has about 3.4 (hex) and 4.1 (base64).
 LIMITS = {"entropy_hex": 3.0, "entropy_base64": 3.9}
-#: Candidates with one of these are samples, identifiers or pictures, not secrets.
+HEX_RUN = rf"[0-9a-fA-F]{{{WINDOW},}}"
+#: What these match are samples, identifiers or pictures, not secrets. The first ones match a part, the others a whole run.
 ALLOWED = (
     r"(?i:example|sample|placeholder|changeme|dummy|redacted)",
-    r"(?i:0123456789|abcdefghij|(.)\1{7})",
+    r"(?i:0123456789|abcdefghij|(.)\1{7,})",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^(?:[a-z]+[/_-])+[a-z]+$",
-    r"^iVBORw0KGgo|^/9j/4AAQ|^R0lGOD",
+    r"^(?:iVBORw0KGgo|/9j/4AAQ|R0lGOD).*$",
 )
+ALLOWED_PARTS = ALLOWED[:2]
 #: n * log2(n) in millionths, as whole numbers: sums are exact in any order.
 TERM = [0] + [round(n * math.log2(n) * 1_000_000) for n in range(1, WINDOW + 1)]
 
@@ -70,19 +75,56 @@ def matches(docs: DataFrame) -> DataFrame:
     return rows.withColumn("end", end).withColumn("start", F.col("end") - length).where("kind = -1 OR match IS NOT NULL")
 
 
+_HEX_RUNS = "array<struct<kind:int,ahead:int,match:string>>"
+MASK = " "
+
+
+def _hex_runs(text: Column) -> Column:
+    """The hex runs of a candidate with the code points ahead of each since the one before."""
+    return F.when(text.rlike(HEX_RUN), F.transform(
+        _pieces(text, 3, HEX_RUN), lambda p: F.struct(p["kind"].alias("kind"), p["ahead"].alias("ahead"), p["match"].alias("match")))
+    ).otherwise(F.array().cast(_HEX_RUNS))
+
+
+def _masked(text: Column, pattern: str) -> Column:
+    """``text`` with a mask in place of every character that belongs to a match."""
+    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("ahead"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"))
+    return F.array_join(F.transform(zipped, lambda p: F.concat(p["ahead"], F.coalesce(F.regexp_replace(p["match"], ".", MASK), F.lit("")))), "")
+
+
 def entropy_spans(candidates: DataFrame) -> DataFrame:
     """(uid, doc_id, kind, start, end) of merged windows whose entropy reaches the limit of the class.
 
     ``candidates`` has a row per run of key-like characters: uid, doc_id, start and the run as ``match``.
     """
+    match = F.col("match")
     allowed = F.lit(False)
-    for pattern in ALLOWED:
-        allowed = allowed | F.col("match").rlike(pattern)
-    classed = candidates.where(~allowed & F.col("match").rlike("[0-9]") & F.col("match").rlike("[A-Za-z]")).select(
-        UID, "doc_id", "start", "match",
-        F.when(F.col("match").rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$"), F.lit(3)).otherwise(F.lit(4)).alias("kind"))
+    for pattern in ALLOWED[len(ALLOWED_PARTS):]:
+        allowed = allowed | match.rlike(pattern)
+    hex_only = match.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$")
+    inner = F.when(~hex_only, _hex_runs(match)).otherwise(F.array().cast(_HEX_RUNS))
+    whole = F.struct(F.when(hex_only, F.lit(3)).otherwise(F.lit(4)).alias("kind"), F.lit(0).alias("ahead"), match.alias("match"))
+    classed = candidates.where(~allowed).select(
+        UID, "doc_id", "start", F.posexplode(F.concat(F.array(whole), inner)).alias("order", "one")).select(
+        UID, "doc_id", F.col("start").alias("run_start"), "order", "one.*", "start")
+    # a hex run begins after all pieces ahead of it, the whole run at its own start
+    pieces = Window.partitionBy(UID, "doc_id", "run_start").orderBy("order")
+    upto = F.sum(F.when(F.col("order") == 0, F.lit(0)).otherwise(F.col("ahead") + F.coalesce(F.length("match"), F.lit(0)))).over(pieces)
+    placed = classed.withColumn("start", F.when(F.col("order") == 0, F.col("run_start")).otherwise(
+        F.col("run_start") + upto - F.coalesce(F.length("match"), F.lit(0))))
+    classed = placed.where(match.rlike("[0-9]") & match.rlike("[A-Za-z]")).select(UID, "doc_id", "start", "match", "kind")
     run = [UID, "doc_id", "kind", "start"]
-    characters = classed.select(*run, F.posexplode(F.split("match", "")).alias("at", "character")).where("character <> ''")
+    parts = [_masked(match, pattern) for pattern in ALLOWED_PARTS]
+    plain = F.transform(F.split(match, ""), lambda c: F.struct(c.alias("character"), F.lit(0).alias("known")))
+    masked = F.transform(
+        F.arrays_zip(F.split(match, "").alias("character"), *[F.split(part, "").alias(f"p{at}") for at, part in enumerate(parts)]),
+        lambda c: F.struct(c["character"].alias("character"), reduce(
+            Column.__or__, [c[f"p{at}"] == MASK for at in range(len(parts))]).cast("int").alias("known")))
+    some = F.lit(False)
+    for pattern in ALLOWED_PARTS:
+        some = some | match.rlike(pattern)
+    characters = classed.select(*run, F.posexplode(F.when(some, masked).otherwise(plain)).alias("at", "one")).select(
+        *run, "at", "one.*").where("character <> ''")
 
     # how often the character stands in the window that it enters, and in the one that it leaves
     same = Window.partitionBy(*run, "character").orderBy("at")
@@ -98,7 +140,9 @@ def entropy_spans(candidates: DataFrame) -> DataFrame:
     left = F.coalesce(F.sum("leaving").over(along.rowsBetween(Window.unboundedPreceding, -WINDOW)), F.lit(0))
     limit = F.when(F.col("kind") == 3, F.lit(LIMITS["entropy_hex"])).otherwise(F.lit(LIMITS["entropy_base64"]))
     entropy = F.lit(math.log2(WINDOW)) - F.col("terms") / (WINDOW * 1_000_000)
-    windows = changes.withColumn("terms", entered + left).where(F.col("at") >= WINDOW - 1).where(entropy >= limit)
+    blocked = F.sum("known").over(along.rowsBetween(-(WINDOW - 1), 0))
+    windows = changes.withColumns({"terms": entered + left, "blocked": blocked}).where(
+        F.col("at") >= WINDOW - 1).where((entropy >= limit) & (F.col("blocked") == 0))
 
     # windows that touch or overlap become one span
     gap = F.col("at") - F.lag("at").over(along) > WINDOW

@@ -184,3 +184,26 @@ def test_redaction(spark):
         want[i, new, len(new or "")] += 1
     assert Counter((r.doc_id, r.text, r.n_chars) for r in out.collect()) == want
     assert secret_scan.redacted(table(spark, [])).count() == 0 and SPACE
+
+
+def covered(spans, begin, end):
+    """Characters from begin to end that lie in a span."""
+    places = {at for s in spans.split(",") if s for at in range(int(s.split(":")[1]), int(s.split(":")[2]))}
+    return len(places & set(range(begin, end)))
+
+
+def test_joined_and_sampled_keys(spark):
+    upper, mixed, short = "9F86D081884C7D659A2FEAA0C55AD015A3BF4F1B", "9f86D081884c7D659a2feAA0c55aD015a3Bf4F1b", "9f86d081884c7d659a2f"
+    key = "q7Wm3Rz9Kx5Tb1Yc8Nd2Lp6Vf4Hj0Gs"
+    heads = [("sig=", upper), ("build-", mixed), ("/hash/", upper), ("id_", short), ("0x", upper), ("/example/v1/", key), ("sample=", upper)]
+    rows = [(at, f"see {head}{secret} end") for at, (head, secret) in enumerate(heads)]
+    ssh = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZWQyNTUxOQAAACD" + key
+    image = "iVBORw0KGgo" + key * 3
+    rows += [(50, ssh), (51, image), (52, "x-" + "0123456789abcdef" * 2)]
+    spans = {r.doc_id: r.spans for r in secret_scan.report(table(spark, rows)).collect()}
+    for at, (head, secret) in enumerate(heads):
+        assert covered(spans[at], 4 + len(head), 4 + len(head) + len(secret)) == len(secret), head
+    assert covered(spans[50], len(ssh) - len(key), len(ssh)) == len(key)
+    assert "entropy" not in spans[51] and "entropy" not in spans[52]
+    out = {r.doc_id: r.text for r in secret_scan.redacted(table(spark, rows)).collect()}
+    assert not any(secret in out[at] for at, (_, secret) in enumerate(heads))
