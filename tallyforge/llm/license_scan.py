@@ -187,8 +187,9 @@ def spans(docs: DataFrame, known: list[Template] | None = None) -> DataFrame:
     words = F.array_distinct(F.flatten(F.transform("t_places", lambda t: F.sequence(t, t + F.col("k") - 1))))
     found = found.withColumn("cover", F.when(F.col("template") >= 0, F.size(words) / length).otherwise(0.0))
     least = fact([1.0 if t.phrase else LEAST_COVER for t in known], "double")
-    tight = F.col("end") - F.col("start") <= length + LARGEST_SHIFT
-    return found.where((F.col("template") < 0) | ((F.col("cover") >= least) & tight)).select(
+    # a hit lies within the template's length of its diagonal, so a span is longer than the template by no more than
+    # its diagonals are apart: as many words as were inserted
+    return found.where((F.col("template") < 0) | (F.col("cover") >= least)).select(
         *document, "template", "start", "end", "votes", "cover")
 
 

@@ -47,6 +47,22 @@ def test_licences(spark):
     assert license_scan.scan(table(spark, [])).count() == 0
 
 
+def test_licences_with_a_word_at_each_line(spark):
+    rows = []
+    for at, (label, notice) in enumerate(license_scan.NOTICES):
+        words = notice.split()
+        lines = [" ".join(words[i:i + 12]) for i in range(0, len(words), 12)]
+        rows += [(at, "\n".join(f"rem {line}" for line in lines)), (100 + at, " filler ".join(words[i] for i in range(len(words))))]
+        # an exact copy with a stray hit two words off its own diagonal
+        rows.append((200 + at, " ".join([*words, "and", "then", *words[-4:]])))
+    by = {r.doc_id: r for r in license_scan.scan(table(spark, rows)).collect()}
+    for at, (label, notice) in enumerate(license_scan.NOTICES):
+        if len(notice.split()) > 12:
+            assert label in by[at].labels.split(",") and by[at].score > license_scan.LEAST_COVER
+            assert by[100 + at].labels == ""
+        assert label in by[200 + at].labels.split(",")
+
+
 def shingles(text, width):
     words = (text or "").encode().translate(bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))).split()
     if not words:
