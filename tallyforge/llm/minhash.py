@@ -8,7 +8,8 @@ every set, which keeps the estimate unbiased). Runs of bins form bands, equal ba
 A bucket proposes a star: its smallest node against each of the others, at most as many pairs as members. Pairs are
 confirmed on full sets. Where a member fails, it may still belong to another member of the bucket. Such buckets are compared
 through their signatures, in blocks of bounded size; only members of different components whose signatures agree in far more
-bins than chance leaves to a pair below the limit go on to their full sets. No bucket is capped.
+bins than chance leaves to a pair below the limit go on to their full sets, and so do all pairs with a small set, whose signature
+says too little. No bucket is capped.
 
 Edge cases: null and empty texts, and texts without words, are linked with nothing and stay; fewer words than a shingle
 has count as one shingle; rows with equal ids stand or fall together; a null id never names a group unless all its
@@ -36,6 +37,8 @@ BINS = BANDS * ROWS
 #: Percent of the union that linked documents have in common.
 LEAST = 80
 ATTEMPTS = 64
+#: Sets below this size go to the full comparison without the signature test: one shingle may own many of their bins.
+SMALL = 30
 #: Nodes of a bucket that are compared together.
 BLOCK = 256
 
@@ -232,7 +235,8 @@ def close_pairs(members: DataFrame, signatures: DataFrame, least: int) -> DataFr
                 fits &= block[at + 1:] != block[at]
             rest = np.flatnonzero(fits) + at + 1
             if len(rest):
-                rest = rest[(bins[rest] == bins[at]).sum(1) >= enough]
+                small = np.minimum(n[rest], n[at]) < SMALL
+                rest = rest[small | ((bins[rest] == bins[at]).sum(1) >= enough)]
                 found_a += np.minimum(node[rest], node[at]).tolist()
                 found_b += np.maximum(node[rest], node[at]).tolist()
         return found_a, found_b

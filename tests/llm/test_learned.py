@@ -132,6 +132,19 @@ def test_a_large_bucket_is_compared_in_blocks(spark, monkeypatch):
     assert got == Counter((i, c) for i, _, c in plain_components(rows, 2))
 
 
+def test_pairs_of_small_sets_go_to_the_full_comparison(spark):
+    rng = random.Random(4)
+    sets = [np.array(sorted(rng.randrange(1 << 64) for _ in range(5)), np.uint64) for _ in range(300)]
+    rows = []
+    for at, one in enumerate(sets):
+        for node, some in ((2 * at, one), (2 * at + 1, one[:4])):  # 4 of 5 in common
+            rows.append((node, len(some), (minhash.signature(some) & np.uint64(0xFF)).astype(np.uint8).tobytes()))
+    signatures = spark.createDataFrame([(a, b, bytearray(c)) for a, b, c in rows], "node long, n long, signature binary")
+    members = spark.createDataFrame([(a // 2, a, a) for a, _, _ in rows], "bucket long, node long, of_node long")
+    got = {(r.a, r.b) for r in minhash.close_pairs(members, signatures, 80).collect()}
+    assert got == {(2 * at, 2 * at + 1) for at in range(300)}
+
+
 def test_signatures_estimate_similarity():
     a = minhash.shingle_sets([prose(30, 300, 9000)], 2)[0]
     b = np.sort(np.concatenate([a[: len(a) * 9 // 10], minhash.shingle_sets([prose(31, 30, 9000)], 2)[0]]))
