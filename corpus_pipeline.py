@@ -14,8 +14,8 @@ from tallyforge.llm.common import documents, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the policy ``prose-1``; the others go."""
-    return quality_ledger.kept_rows(docs, "prose-1")
+    """Documents that pass the policy ``prose-2``; the others go."""
+    return quality_ledger.kept_rows(docs, "prose-2")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

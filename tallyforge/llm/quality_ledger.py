@@ -35,6 +35,7 @@ RULES = (
     Rule("short_or_long_words", "word_chars < 2 * n_words OR word_chars > 16 * n_words"),
     Rule("capitals", "2 * n_capitals > word_chars"),
     Rule("many_words", "n_words > 100000"),
+    Rule("duplicate_text", "10 * n_dup_chars > 3 * n_line_chars"),
 )
 BIT = {rule.name: 1 << at for at, rule in enumerate(RULES)}
 BASE_MASK = BIT["few_words"] | BIT["repeated_windows"]
@@ -43,8 +44,10 @@ BASE_MASK = BIT["few_words"] | BIT["repeated_windows"]
 POLICIES = {
     "base-1": BASE_MASK,
     "prose-1": BASE_MASK | BIT["symbols"] | BIT["duplicate_lines"] | BIT["short_or_long_words"] | BIT["capitals"],
+    # repeated lines by their share of the text: one short line repeated in a text of three lines is no reason to drop it
+    "prose-2": BASE_MASK | BIT["symbols"] | BIT["duplicate_text"] | BIT["short_or_long_words"] | BIT["capitals"],
 }
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_dup_chars", "n_line_chars")
 
 
 def _without(text: Column, characters: str) -> Column:
@@ -75,6 +78,8 @@ def measured(docs: DataFrame) -> DataFrame:
         "word_chars": F.length(F.array_join("__q_words", "")).cast("bigint"),
         "n_lines": F.size("__q_lines").cast("bigint"),
         "n_dup_lines": (F.size("__q_lines") - F.size(F.array_distinct("__q_lines"))).cast("bigint"),
+        "n_line_chars": F.length(F.array_join("__q_lines", "")).cast("bigint"),
+        "n_dup_chars": (F.length(F.array_join("__q_lines", "")) - F.length(F.array_join(F.array_distinct("__q_lines"), ""))).cast("bigint"),
     })
     return repeated_windows(df).drop("__q_words", "__q_lines")
 

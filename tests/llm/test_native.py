@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import pytest
 from helpers import SPACE, squeezed, table, texts
 from pyspark.sql import functions as F
@@ -207,3 +208,21 @@ def test_joined_and_sampled_keys(spark):
     assert "entropy" not in spans[51] and "entropy" not in spans[52]
     out = {r.doc_id: r.text for r in secret_scan.redacted(table(spark, rows)).collect()}
     assert not any(secret in out[at] for at, (_, secret) in enumerate(heads))
+
+
+def test_a_repeated_opening_line_drops_no_text(spark, tmp_path):
+    long = [" ".join(f"{w}{seed}" for w in "abcdefghijklmnopqrstuvwxyz") for seed in range(4)]
+    rows = [(1, "\n".join(["An opening line", long[0] + " " + long[1], "An opening line", long[2]])), (2, "\n".join([long[0], long[1]] * 2)),
+            (3, "\n".join(["Opening", "Opening", long[0] + " " + long[1] + " " + long[2]]))]
+    kept = corpus_pipeline.quality_rules(spark, table(spark, rows), str(tmp_path))
+    assert {r.doc_id for r in kept.collect()} == {1, 3}
+
+
+def test_clean_training_documents_pass_the_line_rule(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1 AND crc32(encode(cast(doc_id AS string), 'UTF-8')) % 5 <> 0")
+    clean = spark.read.parquet(f"{folder}/documents.parquet").join(labels.select("doc_id"), "doc_id", "left_semi")
+    bits, rest = quality_ledger.BIT, quality_ledger.POLICIES["prose-2"] & ~quality_ledger.BIT["duplicate_text"]
+    failed = [r.failed for r in quality_ledger.ledger(clean).select("failed").collect()]
+    assert len(failed) > 100 and not [f for f in failed if f & bits["duplicate_text"] and not f & rest]
+    assert [f for f in failed if f & bits["duplicate_lines"] and not f & rest]  # as prose-1 did
