@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import ship, text_of, utf8, written
+from tallyforge.llm.common import UID, ship, text_of, utf8, with_uid, written
 from tallyforge.session import fresh_path
 
 FOLDS, HELD_OUT = 7, 2
@@ -92,13 +92,16 @@ class Words:
 
 
 def dealt(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Documents with their chunk and the number of chunks. Equal texts with different ids go to different chunks."""
+    """Documents with their chunk and the number of chunks. Equal rows go to different chunks, too.
+
+    Row numbers depend on the partitions of ``docs``: the result is read once and its chunks are written.
+    """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-size // CHUNK_BYTES))
     text = text_of().cast("string")
-    return docs.select(
+    return with_uid(docs).select(
         "doc_id", text.alias("text"), in_training().alias("train"),
-        F.pmod(F.xxhash64("doc_id", text), F.lit(chunks)).cast("int").alias("chunk")), chunks
+        F.pmod(F.xxhash64(UID), F.lit(chunks)).cast("int").alias("chunk")), chunks
 
 
 def _bucketed(df: DataFrame, label: str, buckets: int) -> DataFrame:

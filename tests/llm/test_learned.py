@@ -239,6 +239,15 @@ def test_held_out_texts_gain_over_the_base(spark):
     assert sum(r.score for r in rows) > 0.9 * sum(r.base_score for r in rows)
 
 
+def test_equal_rows_are_dealt_to_many_chunks(spark, monkeypatch):
+    monkeypatch.setattr(class_lm, "CHUNK_BYTES", 400)
+    docs = table(spark, [(None, "same words again")] * 200)
+    chunked, chunks = class_lm.dealt(docs)
+    assert chunks == 8 and chunked.select("chunk").distinct().count() == 8
+    rows = class_lm.scored(docs, rounds=2).collect()
+    assert len(rows) == 200 and len({(r.n_tokens, r.n_known, r.train_tokens, round(r.score, 9)) for r in rows}) == 1
+
+
 def test_language_model_of_nothing(spark):
     assert class_lm.scored(table(spark, []), rounds=1).count() == 0
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
