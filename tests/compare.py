@@ -9,7 +9,8 @@ import os
 
 import duckdb
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels",
+          "benchmark")
 
 
 def connect(data_dir: str) -> duckdb.DuckDBPyConnection:
