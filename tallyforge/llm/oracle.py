@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 WORD = r"'[^\x20\x09-\x0D]+'"
+ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 STREAM_DEDUP = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
@@ -43,5 +44,33 @@ c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)"""
 
 
+#: Exact windows by their words joined; near ones among items all of whose words the document has, by alignments up to two words off.
+DECONTAMINATION = rf"""WITH d AS (SELECT row_number() OVER () AS u, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), {ALNUM}) AS w FROM documents),
+b AS (SELECT row_number() OVER () AS item, * FROM (SELECT DISTINCT item_id,
+  regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), {ALNUM}) AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL)
+  WHERE len(w) > 0),
+win AS (SELECT item, item_id, s, least(10, len(w)) AS span, w[s + 1:s + least(10, len(w))] AS v
+  FROM (SELECT *, unnest(range(len(w) - least(10, len(w)) + 1)) AS s FROM b)),
+grams AS (SELECT u, i, span, array_to_string(w[i + 1:i + span], ' ') AS g FROM (
+  SELECT u, w, span, unnest(range(len(w) - span + 1)) AS i FROM d, (SELECT DISTINCT span FROM win) k WHERE len(w) >= span)),
+hits AS (SELECT u, i, grams.span, item_id FROM grams JOIN win ON g = array_to_string(v, ' ') AND grams.span = win.span),
+hit AS (SELECT u, count(DISTINCT place) AS n FROM (SELECT u, unnest(range(i, i + span)) AS place FROM hits) GROUP BY u),
+named AS (SELECT u, list_sort(list(DISTINCT cast(item_id AS varchar))) AS ids FROM hits GROUP BY u),
+words AS (SELECT u, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d),
+wanted AS (SELECT item, item_id, s, span, unnest(v) AS word, unnest(range(span)) AS p FROM win),
+possible AS (SELECT u, item, s FROM (SELECT DISTINCT u, word FROM words) JOIN (
+    SELECT item, s, unnest(list_distinct(v)) AS word, len(list_distinct(v)) AS n FROM win) USING (word)
+  GROUP BY u, item, s, n HAVING count(*) = n),
+close AS (SELECT DISTINCT u, item_id FROM (SELECT u, item_id, s, item, span, pos - p + e AS place, p
+    FROM possible JOIN wanted USING (item, s) JOIN words USING (u, word), (VALUES (-2), (-1), (0), (1), (2)) off(e))
+  GROUP BY u, item_id, item, s, span, place HAVING count(DISTINCT p) = span),
+near AS (SELECT u, count(DISTINCT item_id) AS n FROM close GROUP BY u)
+SELECT doc_id, cast(len(w) AS bigint) AS n_words, coalesce(hit.n, 0) AS n_hit, cast(coalesce(len(ids), 0) AS bigint) AS n_items,
+  sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated, coalesce(near.n, 0) AS n_near
+FROM d LEFT JOIN hit ON hit.u = d.u LEFT JOIN named ON named.u = d.u LEFT JOIN near ON near.u = d.u"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_stream_dedup": STREAM_DEDUP, "op6_minhash": MINHASH, "op8_quality_ledger": QUALITY_LEDGER}
+    return {"op4_stream_dedup": STREAM_DEDUP, "op6_minhash": MINHASH, "op8_quality_ledger": QUALITY_LEDGER,
+            "op13_decontamination": DECONTAMINATION}

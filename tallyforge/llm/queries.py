@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import byte_bpe, class_lm, license_scan, minhash, packing, pu_classifier, quality_ledger, secret_scan, shards, stream_dedup
+from tallyforge.llm import byte_bpe, class_lm, license_scan, minhash, packing, positional_index, pu_classifier, quality_ledger, secret_scan, shards, stream_dedup
 from tallyforge.llm.common import documents
 from tallyforge.llm.oracle import oracle_sql  # noqa: F401
 
@@ -67,6 +67,13 @@ def op10_pu_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_classifier.scored(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = positional_index.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), slack=2)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+                        "contaminated", "n_near")
+
+
 def queries() -> dict[str, Query]:
     return {query.__name__: query for query in (
-        op1_byte_bpe, op2_license_scan, op3_class_lm, op4_stream_dedup, op5_shards, op6_minhash, op7_secret_scan, op8_quality_ledger, op9_packing, op10_pu_classifier)}
+        op1_byte_bpe, op2_license_scan, op3_class_lm, op4_stream_dedup, op5_shards, op6_minhash, op7_secret_scan, op8_quality_ledger, op9_packing, op10_pu_classifier,
+        op13_decontamination)}
