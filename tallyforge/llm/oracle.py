@@ -71,6 +71,27 @@ SELECT doc_id, cast(len(w) AS bigint) AS n_words, coalesce(hit.n, 0) AS n_hit, c
 FROM d LEFT JOIN hit ON hit.u = d.u LEFT JOIN named ON named.u = d.u LEFT JOIN near ON near.u = d.u"""
 
 
+PHRASES = rf"""WITH d AS (SELECT row_number() OVER () AS u, coalesce(lang, 'und') AS lang,
+  unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+total AS (SELECT lang, cast(sum(len(w)) AS hugeint) AS n FROM p GROUP BY lang),
+f AS (SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, m, count(*) AS f FROM (
+    SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM p, (SELECT unnest(range(1, 6)) AS m) k WHERE len(w) >= m)
+  GROUP BY lang, phrase, m HAVING count(*) >= 100),
+c AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS v FROM f WHERE m > 1),
+cut AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+s AS (SELECT cut.lang, cut.phrase, v, cut.m, k, a, h.f AS l, t.f AS r, n, (1000 * cast(a AS hugeint) * n) // (cast(h.f AS hugeint) * t.f) AS score
+  FROM cut JOIN f h ON h.lang = cut.lang AND h.phrase = array_to_string(v[1:k], ' ')
+  JOIN f t ON t.lang = cut.lang AND t.phrase = array_to_string(v[k + 1:cut.m], ' ') JOIN total ON total.lang = cut.lang
+  QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.phrase ORDER BY score, k) = 1),
+part AS (SELECT lang, a AS longer, array_to_string(v[i:i + j - 1], ' ') AS phrase FROM (
+  SELECT *, unnest(range(1, m - j + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS j FROM c))),
+covered AS (SELECT lang, phrase, max(longer) AS longer FROM part GROUP BY lang, phrase),
+kept AS (SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank FROM s
+  LEFT JOIN covered ON covered.lang = s.lang AND covered.phrase = s.phrase WHERE longer IS NULL OR 100 * longer < 100 * a)
+SELECT lang, rank, phrase, a, l, r, cast(n AS bigint) AS n, cast(score AS bigint) AS score FROM kept WHERE rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op4_stream_dedup": STREAM_DEDUP, "op6_minhash": MINHASH, "op8_quality_ledger": QUALITY_LEDGER,
-            "op13_decontamination": DECONTAMINATION}
+            "op11_phrases": PHRASES, "op13_decontamination": DECONTAMINATION}
