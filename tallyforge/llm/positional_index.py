@@ -161,7 +161,7 @@ def spans(index: DataFrame, items: DataFrame, width: int = WIDTH, slack: int = 0
     there = asked.join(lists, ["segment", "term"]).select(
         "segment", "term", F.explode(F.array_intersect("asked", "places")).alias("place"))
     met = written(tried.join(there, ["segment", "term", "place"]).groupBy("segment", "item", "d", "p").agg(
-        F.min(F.abs("off")).alias("off"), F.min("place").alias("place")), "met")
+        F.min(F.struct(F.abs("off").alias("off"), "place")).alias("best")).select("segment", "item", "d", "p", "best.*"), "met")
     named = items.select("item", "item_id", _width(F.col("words"), width).alias("span"))
 
     def runs(rows: DataFrame, exact: bool) -> DataFrame:

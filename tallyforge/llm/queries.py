@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import byte_bpe, class_lm, license_scan, minhash, packing, phrases, positional_index, pu_classifier, quality_ledger, secret_scan, shards, stream_dedup
+from tallyforge.llm import byte_bpe, class_lm, license_scan, minhash, packing, phrases, positional_index, pu_classifier, quality_ledger, secret_scan, shards, stream_dedup, token_alignment
 from tallyforge.llm.common import documents
 from tallyforge.llm.oracle import oracle_sql  # noqa: F401
 
@@ -16,6 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 RANKS = "byte_bpe_50k.tiktoken"
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +72,10 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.top(documents(spark, sf_dir))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.aligned(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), public_tokenizers.path(PIECES))
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = positional_index.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), slack=2)
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
@@ -80,4 +85,4 @@ def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {query.__name__: query for query in (
         op1_byte_bpe, op2_license_scan, op3_class_lm, op4_stream_dedup, op5_shards, op6_minhash, op7_secret_scan, op8_quality_ledger, op9_packing, op10_pu_classifier,
-        op11_phrases, op13_decontamination)}
+        op11_phrases, op12_token_alignment, op13_decontamination)}
