@@ -417,6 +417,18 @@ RANKED = """SELECT *, rank() OVER (ORDER BY total_engagement DESC) AS "rank" FRO
     count(*) FILTER (event_type = 'LIKE') AS like_count, count(*) FILTER (event_type = 'COMMENT') AS comment_count,
     count(*) FILTER (event_type = 'SHARE') AS share_count, count(*) FILTER (event_type = 'FOLLOW') AS follow_count
   FROM social WHERE event_type IN ('LIKE', 'COMMENT', 'SHARE', 'FOLLOW') AND target_user_id IS NOT NULL GROUP BY 1)"""
+# Sensor readings in seven deliveries; a reading is taken unless its hour lies behind the watermark of the deliveries before.
+DELIVERED = f"""WITH delivered AS (SELECT *, {windowed(60)} AS s, least(6, date_diff('day', DATE '2024-01-01', cast(ts AS date)) // 5
+    + CASE WHEN reading_id % 20 = 7 THEN 2 WHEN reading_id % 10 = 3 THEN 1 ELSE 0 END) AS b FROM sensor),
+  marks AS (SELECT n.b, date_trunc('milliseconds', max(ts)) - INTERVAL 6 days AS mark FROM (SELECT DISTINCT b FROM delivered) n
+    JOIN delivered d ON d.b < n.b GROUP BY n.b),
+  taken AS (SELECT delivered.* FROM delivered LEFT JOIN marks ON marks.b = delivered.b
+    WHERE mark IS NULL OR s + INTERVAL 60 minutes > mark)"""
+VERSIONS = f"""{DELIVERED}, steps AS (SELECT DISTINCT s, sensor_id, b FROM taken)
+  SELECT {span(60, 'steps.s')}, steps.sensor_id, {r('avg(temperature)', 6)} AS avg_temp, count(*) AS reading_count,
+    row_number() OVER (PARTITION BY steps.s, steps.sensor_id ORDER BY steps.b) AS version, version > 1 AS is_correction
+  FROM steps JOIN taken ON taken.s = steps.s AND taken.sensor_id = steps.sensor_id AND taken.b <= steps.b
+  GROUP BY steps.s, steps.sensor_id, steps.b"""
 TOTALS = f"""SELECT customer_id, {r('run')} AS running_total, transaction_id AS latest_transaction_id,
   amount AS latest_amount, k AS transactions_counted FROM (
     SELECT *, sum(amount) OVER w AS run, count(*) OVER w AS k FROM user_txn WHERE amount > 10000
@@ -481,6 +493,26 @@ def events() -> dict[str, str]:
             version > 1 AS is_correction
           FROM steps JOIN seen ON seen.s = steps.s AND seen.sensor_id = steps.sensor_id AND seen.b <= steps.b
           GROUP BY steps.s, steps.sensor_id, steps.b""",
+        "stream_late_readings": f"""SELECT window_start, window_end, sensor_id, avg_temp, reading_count, version FROM ({VERSIONS})
+          QUALIFY row_number() OVER (PARTITION BY window_start, sensor_id ORDER BY version DESC) = 1""",
+        "stream_window_history": VERSIONS,
+        "stream_closed_windows": f"""{DELIVERED} SELECT {span(60)}, sensor_id, {r('avg(temperature)', 6)} AS avg_temp,
+            count(*) AS reading_count FROM taken WHERE s + INTERVAL 60 minutes <= (SELECT max(ts) FROM sensor) - INTERVAL 6 days
+          GROUP BY s, sensor_id""",
+        "stream_sensor_alerts": f"""{DELIVERED},
+          half AS (SELECT delivered.*, epoch_us(ts) // 1800000000 AS slot FROM delivered LEFT JOIN marks ON marks.b = delivered.b
+            WHERE mark IS NULL OR ts > mark),
+          reached AS (SELECT sensor_id, b, max(top) OVER (PARTITION BY sensor_id ORDER BY b) AS top
+            FROM (SELECT sensor_id, b, max(slot) AS top FROM half GROUP BY ALL)),
+          stats AS (SELECT reached.sensor_id, reached.b, avg(temperature) AS m, stddev_pop(temperature) AS d, count(*) AS n
+            FROM reached JOIN half ON half.sensor_id = reached.sensor_id AND half.b <= reached.b AND slot <= top AND slot > top - 96
+            GROUP BY ALL)
+          SELECT half.sensor_id, temperature, {r('m', 3)} AS rolling_avg, {r('d', 3)} AS rolling_stddev, {r('m + 3 * d', 3)} AS threshold,
+            n AS rolling_count, ts AS event_ts
+          FROM half JOIN stats ON stats.sensor_id = half.sensor_id AND stats.b = half.b
+          WHERE n >= 10 AND d > 0 AND temperature > m + 3 * d""",
+        "reloaded_table": "SELECT * FROM user_dim",
+        "appended_table": "SELECT *, cast(id % 3 AS int) AS batch_id FROM risk",
         "sensor_anomalies": f"""SELECT reading_id, sensor_id, temperature, {r('m', 3)} AS rolling_avg,
             {r('s', 3)} AS rolling_stddev, {r('m + 3 * s', 3)} AS threshold, ts AS event_ts
           FROM (SELECT *, avg(temperature) OVER w AS m, stddev_pop(temperature) OVER w AS s, count(*) OVER w AS n FROM sensor

@@ -6,15 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tallyforge.functions import udfs
 from tallyforge.functions.numbers import tidy
 from tallyforge.operators.checks import source_counts
 from tallyforge.operators.profile import column_roles, quality_report
 from tallyforge.session import fresh_path
-from tallyforge.sources import messages, readers, schemas, updates, writers
-from tallyforge.streaming import jobs, sinks
+from tallyforge.sources import messages, readers, schemas, updates, versions, writers
+from tallyforge.sources.store import UpsertStore
+from tallyforge.streaming import jobs, sinks, state
 
 from . import churn, fraud, mart, orders, sensors, social
 from .inputs import BASE_TABLES, INPUTS, load
@@ -302,8 +303,9 @@ def _stream_viral(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def _stream_ranking(spark: SparkSession, data_dir: str) -> DataFrame:
     stream = jobs.engagement(stream_table(spark, data_dir, "events", "social"))
-    log = run_stream(spark, stream, sinks.rank_users, "complete")
-    return updates.latest_batch(log).drop("batch_id", "calculated_at")
+    path = fresh_path(spark, "ranking")
+    jobs.start(stream, sinks.rank_users(path), f"{path}-checkpoint", mode="complete").awaitTermination()
+    return versions.read(spark, path).drop("calculated_at")
 
 
 def _stream_landing(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -329,10 +331,99 @@ def _stream_sentiment(spark: SparkSession, data_dir: str) -> DataFrame:
     return ntz(run_stream(spark, stream, sinks.sentiments, "append").drop("batch_id", "processed_at"))
 
 
+# --- replays: the rows of a table arrive in several deliveries, some of them late -------
+
+DELIVERIES = 7
+#: Days since the first event, five to a delivery; a tenth of the readings comes one delivery later, another twentieth two later.
+ARRIVAL = """least(6, datediff(to_date(ts), DATE'2024-01-01') div 5
+  + CASE WHEN reading_id % 20 = 7 THEN 2 WHEN reading_id % 10 = 3 THEN 1 ELSE 0 END)"""
+LATEST = "6 days"
+
+
+def replay(spark: SparkSession, rows: DataFrame, delivery: Column, deliveries: int, start_job) -> None:
+    """Put ``rows`` into a folder delivery by delivery, and let a streaming job work off the folder after each.
+
+    ``start_job(stream)`` starts the job, always with the same checkpoint: every delivery is a micro-batch of its own, and the job is stopped and
+    taken up again between them.
+    """
+    path = fresh_path(spark, "replay")
+    rows.withColumn("__delivery", delivery).write.partitionBy("__delivery").parquet(f"{path}/staged")
+    staged = spark.read.schema(StructType([*rows.schema.fields, StructField("__delivery", IntegerType())])).parquet(f"{path}/staged")
+    for number in range(deliveries):
+        staged.where(F.col("__delivery") == number).drop("__delivery").write.mode("append").parquet(f"{path}/in")
+        start_job(spark.readStream.schema(rows.schema).parquet(f"{path}/in")).awaitTermination()
+
+
+def _sensor_replay(spark: SparkSession, data_dir: str, start_job) -> None:
+    rows = load(spark, data_dir, "sensor").withColumn("ts", F.col("ts").cast("timestamp"))
+    replay(spark, rows, F.expr(ARRIVAL).cast("int"), DELIVERIES, start_job)
+
+
+def _replayed_windows(spark: SparkSession, data_dir: str) -> UpsertStore:
+    """Hourly averages per sensor over late deliveries: rows of closed windows are dropped, open windows corrected."""
+    path = fresh_path(spark, "windows")
+    store = UpsertStore(f"{path}/store", ["window_start", "window_end", "sensor_id"], fold_every=4)
+    _sensor_replay(spark, data_dir, lambda stream: jobs.start(
+        jobs.sensor_windows(stream, LATEST, "1 hour"), store.sink(), f"{path}/checkpoint", mode="update"))
+    return store
+
+
+WINDOW = ("window_start", "window_end", "sensor_id")
+
+
+def _stream_late_readings(spark: SparkSession, data_dir: str) -> DataFrame:
+    newest = _replayed_windows(spark, data_dir).current(spark)
+    return ntz(newest.select(*WINDOW, tidy(F.col("avg_temp"), 6).alias("avg_temp"), "reading_count", "version"))
+
+
+def _stream_window_history(spark: SparkSession, data_dir: str) -> DataFrame:
+    written = _replayed_windows(spark, data_dir).history(spark)
+    return ntz(written.select(*WINDOW, tidy(F.col("avg_temp"), 6).alias("avg_temp"), "reading_count", "version", "is_correction"))
+
+
+def _stream_closed_windows(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Windows that the watermark has passed, each once."""
+    path = fresh_path(spark, "closed")
+    _sensor_replay(spark, data_dir, lambda stream: jobs.start(
+        jobs.sensor_windows(stream, LATEST, "1 hour"), updates.log_updates(f"{path}/log"), f"{path}/checkpoint"))
+    closed = updates.read_log(spark, f"{path}/log")
+    return ntz(closed.select(*WINDOW, tidy(F.col("avg_temp"), 6).alias("avg_temp"), "reading_count"))
+
+
+def _stream_sensor_alerts(spark: SparkSession, data_dir: str) -> DataFrame:
+    path = fresh_path(spark, "alerts")
+    _sensor_replay(spark, data_dir, lambda stream: jobs.start(
+        state.sensor_alerts(stream, slot="30 minutes", slots=96, delay=LATEST), sinks.alerts(f"{path}/log"), f"{path}/checkpoint"))
+    return ntz(updates.read_log(spark, f"{path}/log").drop("batch_id", "detected_at"))
+
+
 def _stream_running_totals(spark: SparkSession, data_dir: str) -> DataFrame:
-    stream = jobs.high_value(stream_table(spark, data_dir, "orders", "user_txn"))
-    log = run_stream(spark, stream, lambda path: sinks.running_totals(path, f"{path}-totals"), "append")
-    return log.drop("batch_id").withColumn("customer_id", F.col("customer_id").cast("bigint"))
+    """Transactions as messages of a topic keyed by customer, in seven deliveries."""
+    path = fresh_path(spark, "totals")
+    rows = load(spark, data_dir, "user_txn").withColumns({
+        "message_partition": F.pmod(F.xxhash64("customer_id"), F.lit(4)).cast("int"), "message_offset": F.col("transaction_id")})
+    last = rows.agg(F.max("transaction_id")).scalar()
+    delivery = F.floor(F.col("transaction_id") * DELIVERIES / (last + 1)).cast("int")
+    arrival = ["message_partition", "message_offset"]
+    replay(spark, rows, delivery, DELIVERIES, lambda stream: jobs.start(
+        state.running_totals(jobs.high_value(stream, arrival=arrival), arrival), updates.log_updates(f"{path}/log"), f"{path}/checkpoint"))
+    return updates.read_log(spark, f"{path}/log").drop("batch_id").withColumn("customer_id", F.col("customer_id").cast("bigint"))
+
+
+def _reloaded_table(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The user dimension, loaded once without some users and then anew."""
+    users, path = load(spark, data_dir, "user_dim"), fresh_path(spark, "user-dim")
+    writers.reload_table(users.where("user_id NOT LIKE '%1'"), path)
+    writers.reload_table(users, path)
+    return versions.read(spark, path)
+
+
+def _appended_table(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Risk records appended in three batches, two of them delivered twice."""
+    risk, path = load(spark, data_dir, "risk"), fresh_path(spark, "risk-table")
+    for batch in (0, 1, 1, 2, 0):
+        writers.append_checked(spark, risk.where(F.col("id") % 3 == batch), path, batch)
+    return spark.read.parquet(path)
 
 
 def queries() -> dict[str, Query]:
@@ -387,5 +478,11 @@ def queries() -> dict[str, Query]:
         "stream_enriched": _stream_enriched,
         "stream_sentiment": _stream_sentiment,
         "stream_running_totals": _stream_running_totals,
+        "stream_late_readings": _stream_late_readings,
+        "stream_window_history": _stream_window_history,
+        "stream_closed_windows": _stream_closed_windows,
+        "stream_sensor_alerts": _stream_sensor_alerts,
+        "reloaded_table": _reloaded_table,
+        "appended_table": _appended_table,
     }
     return found

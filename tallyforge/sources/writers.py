@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from . import folders, versions
 
 
 def write_partitioned(df: DataFrame, path: str, *by: str) -> None:
@@ -18,24 +22,26 @@ def refresh_partitions(df: DataFrame, path: str, *by: str) -> None:
 
 
 def reload_table(df: DataFrame, path: str) -> None:
-    """Empty the table at ``path`` and fill it with ``df``, which must not read from it."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    """Replace the rows of the table at ``path``: read it with ``versions.read``. A failed reload leaves the old rows."""
+    versions.publish(df, path)
 
 
-def append_checked(spark: SparkSession, df: DataFrame, path: str, batch_id: int) -> None:
-    """Create the table if it is missing, else append; the columns must be the table's.
+def append_checked(spark: SparkSession, df: DataFrame, path: str, batch_id: int) -> bool:
+    """Create the table if it is missing, else append; False if the batch was appended before.
 
-    Rows lie under ``batch_id=<n>``, so a retried batch replaces what it wrote before.
+    The columns must be the table's, whose schema lies beside the rows in ``_schema``; batches that are whole are listed in
+    ``_commits``. Rows lie under ``batch_id=<n>``, so a batch that failed half-way replaces what it wrote.
     """
-    try:
-        existing = spark.read.parquet(path).drop("batch_id").schema
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        existing = None
-    if existing is not None and {(f.name, f.dataType) for f in existing} != {(f.name, f.dataType) for f in df.schema}:
+    known = folders.text_of(spark, f"{path}/_schema")
+    if known is None:
+        folders.mark(spark, f"{path}/_schema", df.schema.json())
+    elif {(f.name, f.dataType) for f in StructType.fromJson(json.loads(known))} != {(f.name, f.dataType) for f in df.schema}:
         raise ValueError(f"columns differ from the table at {path}")
+    if folders.exists(spark, f"{path}/_commits/{batch_id}"):
+        return False
     write_batch(df, path, batch_id)
+    folders.mark(spark, f"{path}/_commits/{batch_id}")
+    return True
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, *by: str, format: str = "parquet") -> None:

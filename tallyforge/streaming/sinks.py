@@ -12,10 +12,10 @@ from tallyforge.operators.aggregate import rank_by_level
 from tallyforge.operators.lookup import lookup
 from tallyforge.operators.ordered import asc, number_rows, place_in_blocks
 from tallyforge.plans import social
-from tallyforge.plans.sensors import ALERT_DEVIATIONS, MIN_READINGS
+from tallyforge.sources import versions
 from tallyforge.sources.messages import merge_records, to_keyed_messages
 from tallyforge.sources.updates import current, log_updates
-from tallyforge.sources.writers import refresh_partitions, write_batch, write_dead_letters
+from tallyforge.sources.writers import write_batch, write_dead_letters
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -70,9 +70,14 @@ def keep_viral(path: str, threshold: int = social.VIRAL_LIKES) -> Sink:
     return log_updates(path, lambda batch: batch.where(F.col("like_count") >= threshold), stamped_as="detected_at")
 
 
-def rank_users(path: str) -> Sink:
-    """Rank all users of a complete-mode batch; readers take the latest batch."""
-    return log_updates(path, lambda batch: rank_by_level(batch, "total_engagement", "rank"), stamped_as="calculated_at")
+def rank_users(path: str, keep: int = 2) -> Sink:
+    """Rank all users of a complete-mode batch and publish the table (``versions.read``); ``keep`` versions stay in storage."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        ranked = rank_by_level(batch, "total_engagement", "rank").withColumn("calculated_at", F.current_timestamp())
+        versions.publish(ranked, path, batch_id, keep=keep)
+
+    return sink
 
 
 def merge(path: str, order: str, *, size: int = 1000) -> Sink:
@@ -81,14 +86,14 @@ def merge(path: str, order: str, *, size: int = 1000) -> Sink:
 
 
 def running_totals(
-    path: str, totals_path: str, *, snapshot_every: int = 20, arrival: Sequence[str] = (),
+    path: str, totals_path: str, *, arrival: Sequence[str], snapshot_every: int = 20,
     publish: Callable[[DataFrame], None] | None = None,
 ) -> Sink:
     """Running total and count per customer, one row per transaction, in the order of arrival.
 
     ``arrival`` names the columns that give this order, such as the message's partition and offset; the id breaks
-    ties. With them the totals do not depend on how the stream was cut into batches. Without them
-    rows of a batch are taken by id.
+    ties. The totals do not depend on how the stream was cut into batches. ``state.running_totals`` does the same with
+    keyed state; this form spreads a customer who fills a batch over many tasks.
 
     Sums within the batch come from the block-wise running sum, so one customer may fill
     the batch. What a customer brings from earlier batches lies in a table of totals: each
@@ -141,68 +146,23 @@ def running_totals(
     return sink
 
 
-def sensor_alerts(
-    readings_path: str,
-    alerts_path: str,
-    *,
-    as_of: Column | None = None,
-    last: str = "1 hour",
-    publish: Callable[[DataFrame], None] | None = None,
-) -> Sink:
-    """Store readings, then alert on those above mean + 3 deviations of the last hour.
+def alerts(path: str, publish: Callable[[DataFrame], None] | None = None) -> Sink:
+    """Alerts of ``state.sensor_alerts`` with the time of detection; ``publish`` receives them as keyed messages."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch.withColumn("detected_at", F.current_timestamp()), path, batch_id)
+        if publish:
+            publish(to_keyed_messages(batch.sparkSession.read.parquet(f"{path}/batch_id={batch_id}"), "sensor_id"))
+
+    return sink
 
-    The statistics cover the stored readings of the hour before ``as_of`` (default: now),
-    this batch included. Readings lie in date and hour folders, so only recent folders are
-    read. ``publish`` receives the alerts as keyed messages.
-    """
-    now = F.current_timestamp() if as_of is None else as_of
-    since = now - F.expr(f"INTERVAL {last}")
+
+def readings(path: str) -> Sink:
+    """Readings with an id and the time of arrival, by day of their event time."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.where("sensor_id IS NOT NULL AND temperature IS NOT NULL").select(
-            F.xxhash64("sensor_id", "ts", "temperature").alias("reading_id"),
-            "sensor_id",
-            "temperature",
-            F.col("ts").alias("event_ts"),
-        )
-        rows.persist()
-        try:
-            if rows.isEmpty():
-                return
-            stored = rows.withColumns({
-                "ingested_at": now,
-                "event_date": F.to_date("event_ts"),
-                "event_hour": F.hour("event_ts"),
-                "batch_id": F.lit(batch_id).cast("bigint"),
-            })
-            refresh_partitions(stored, readings_path, "event_date", "event_hour", "batch_id")
-            # both folder levels are pruned, and no file is opened for its schema
-            hour = F.expr("timestampadd(HOUR, event_hour, cast(event_date AS timestamp))")
-            recent = spark.read.schema(stored.schema).parquet(readings_path).where(
-                (hour >= F.date_trunc("hour", since)) & (F.col("event_ts") >= since)
-                & (F.col("batch_id") <= batch_id)  # a retried batch must not see later ones
-            )
-            stats = recent.groupBy("sensor_id").agg(
-                F.avg("temperature").alias("avg"),
-                F.stddev_pop("temperature").alias("std"),
-                F.count(F.lit(1)).alias("n"),
-            ).where((F.col("n") >= MIN_READINGS) & (F.col("std") > 0))
-            threshold = F.col("avg") + ALERT_DEVIATIONS * F.col("std")
-            alerts = rows.join(stats, "sensor_id").where(F.col("temperature") > threshold).select(
-                F.xxhash64("reading_id", F.lit(batch_id)).alias("alert_id"),
-                "sensor_id",
-                "temperature",
-                F.round("avg", 3).alias("rolling_avg"),
-                F.round("std", 3).alias("rolling_stddev"),
-                F.round(threshold, 3).alias("threshold"),
-                "event_ts",
-                now.alias("detected_at"),
-            )
-            write_batch(alerts, alerts_path, batch_id)
-            if publish:
-                publish(to_keyed_messages(spark.read.parquet(f"{alerts_path}/batch_id={batch_id}"), "sensor_id"))
-        finally:
-            rows.unpersist()
+        stored = batch.where("sensor_id IS NOT NULL AND temperature IS NOT NULL").withColumns({
+            "reading_id": F.xxhash64("sensor_id", "ts", "temperature"), "ingested_at": F.current_timestamp(), "event_date": F.to_date("ts")})
+        write_batch(stored, path, batch_id, "event_date")
 
     return sink

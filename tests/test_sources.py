@@ -11,7 +11,7 @@ from tallyforge.operators.profile import column_roles, duplicate_rows
 from tallyforge.plans import mart
 from tallyforge.plans.fraud import daily_fraud_report
 from tallyforge.plans.stored import create_high_risk_view, refresh_daily_report
-from tallyforge.sources import messages, readers, schemas, updates, writers
+from tallyforge.sources import messages, readers, schemas, updates, versions, writers
 
 
 def write(folder, name, lines):
@@ -190,4 +190,4 @@ def test_high_risk_view(spark):
 def test_reload_replaces_rows(spark, folder):
     for rows in ([("u1",), ("u2",)], [("u3",)]):
         writers.reload_table(spark.createDataFrame(rows, "user_id string"), f"{folder}/dim")
-    assert [r.user_id for r in spark.read.parquet(f"{folder}/dim").collect()] == ["u3"]
+    assert [r.user_id for r in versions.read(spark, f"{folder}/dim").collect()] == ["u3"]

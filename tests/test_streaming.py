@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tallyforge.plans import sensors, social
 from tallyforge.plans.inputs import load
-from tallyforge.sources import readers, schemas, updates, writers
-from tallyforge.streaming import jobs, sinks
+from tallyforge.sources import folders, readers, schemas, updates, versions, writers
+from tallyforge.sources.store import UpsertStore
+from tallyforge.streaming import jobs, sinks, state
 
 DATA = "/root/testdata/sf0.001"
 
@@ -119,7 +120,7 @@ def test_ranking_is_replaced_on_every_batch(spark, folder):
     path = drop(f"{folder}/in", [[act("LIKE", "u1"), act("FOLLOW", "u2"), act("SHARE", None)],
                                  [act("SHARE", "u1"), act("SHARE", "u1"), act("VIDEO_VIEW", "u3")]])
     run(jobs.engagement(event_stream(spark, path)), sinks.rank_users(f"{folder}/log"), folder, "complete")
-    newest = updates.latest_batch(updates.read_log(spark, f"{folder}/log")).collect()
+    newest = versions.read(spark, f"{folder}/log").collect()
     assert {(r.user_id, r.total_engagement, r["rank"]) for r in newest} == {("u1", 11, 1), ("u2", 10, 2)}
 
 
@@ -162,6 +163,7 @@ def test_viral_threshold(spark, folder):
 AMOUNTS = [("C100", 500.0), ("C200", 15000.0), ("C100", 12000.0), ("C300", 9999.99), ("C200", 22000.0),
            ("C100", 300.0), ("C100", 18000.0), ("C300", 50000.0), ("C200", 11000.0), ("C300", 7500.0)]
 TXN = schemas.table(transaction_id="bigint", customer_id="string", amount="double")
+OFFSET_TXN = schemas.table(transaction_id="bigint", customer_id="string", amount="double", offset="bigint")
 
 
 def transactions(amounts):
@@ -180,7 +182,7 @@ def test_running_totals_golden(spark, folder):
     stream = readers.stream_json_dir(spark, path, TXN, files_per_trigger=1)
     published = []
     sink = sinks.running_totals(
-        f"{folder}/log", f"{folder}/totals", publish=lambda m: published.extend(m.collect()))
+        f"{folder}/log", f"{folder}/totals", arrival=["transaction_id"], publish=lambda m: published.extend(m.collect()))
     run(jobs.high_value(stream), sink, folder)
     assert totals(updates.read_log(spark, f"{folder}/log")) == expected
     assert len(published) == 6 and {m.key for m in published} == {"C100", "C200", "C300"}
@@ -192,7 +194,8 @@ def test_running_totals_golden(spark, folder):
 def test_running_totals_over_snapshots_and_a_retry(spark, folder, snapshot_every):
     rows = transactions([("hot" if i % 3 else f"c{i % 4}", 10_001.0 + i) for i in range(40)])
     batches = [rows[n:n + 8] for n in range(0, 40, 8)]
-    sink = sinks.running_totals(f"{folder}/log", f"{folder}/totals", snapshot_every=snapshot_every)
+    sink = sinks.running_totals(
+        f"{folder}/log", f"{folder}/totals", arrival=["transaction_id"], snapshot_every=snapshot_every)
     for n, part in enumerate(batches):
         frame = spark.createDataFrame([tuple(r.values()) for r in part], TXN)
         sink(frame, n)
@@ -211,27 +214,92 @@ def test_merged_batches(spark, folder):
     assert sorted(e["transaction_id"] for r in rows for e in json.loads(r.records)) == list(range(1, 11))
 
 
-def test_sensor_alerts_and_retry(spark, folder):
-    now = F.lit("2024-01-01 01:00:00").cast("timestamp")
+def test_sensor_alerts_by_state(spark, folder):
     calm = [{"sensor_id": "s", "temperature": 20.0 + n % 3 / 10, "ts": f"2024-01-01T00:{n + 10}:00"} for n in range(40)]
-    old = [{"sensor_id": "s", "temperature": 500.0, "ts": "2023-12-31T22:00:00"}]
     few = [{"sensor_id": "t", "temperature": t, "ts": "2024-01-01T00:30:00"} for t in (20.0, 90.0)]
     gaps = [{"sensor_id": None, "temperature": 1.0, "ts": "2024-01-01T00:30:00"}, {"sensor_id": "s", "ts": "2024-01-01T00:30:00"}]
     spike = [{"sensor_id": "s", "temperature": 40.0, "ts": "2024-01-01T00:59:00"}]
-    path = drop(f"{folder}/in", [calm + old + few + gaps, spike])
+    later = [{"sensor_id": "s", "temperature": 41.0, "ts": "2024-01-01T01:49:00"}]  # only slots 00:50 to 01:49 count now
     published = []
-    sink = sinks.sensor_alerts(
-        f"{folder}/readings", f"{folder}/alerts", as_of=now, publish=lambda m: published.extend(m.collect()))
+    path = drop(f"{folder}/in", [calm + few + gaps, spike, later])
     stream = readers.stream_json_dir(spark, path, schemas.SENSOR_READING, files_per_trigger=1)
-    run(stream, sink, folder)
+    run(state.sensor_alerts(stream, delay="2 hours"), sinks.alerts(f"{folder}/alerts", lambda m: published.extend(m.collect())), folder)
     alerts = spark.read.parquet(f"{folder}/alerts").collect()
-    # the old reading lies outside the hour of the statistics but is itself compared, like any new one
-    assert sorted((a.sensor_id, a.temperature) for a in alerts) == [("s", 40.0), ("s", 500.0)]
-    assert sorted(json.loads(m.value)["temperature"] for m in published) == [40.0, 500.0] and published[0].key == "s"
-    before = spark.read.parquet(f"{folder}/readings").count()
-    sink(spark.read.schema(schemas.SENSOR_READING).json(f"{path}/001.json"), 1)  # the same batch again
-    assert spark.read.parquet(f"{folder}/readings").count() == before == 44
-    assert sorted(map(tuple, spark.read.parquet(f"{folder}/alerts").collect())) == sorted(map(tuple, alerts))
+    assert [(a.sensor_id, a.temperature, a.rolling_count) for a in alerts] == [("s", 40.0, 41)]
+    values = [r["temperature"] for r in calm] + [40.0]
+    mean = sum(values) / 41
+    deviation = (sum((v - mean) ** 2 for v in values) / 41) ** 0.5
+    assert (alerts[0].rolling_avg, alerts[0].threshold) == (round(mean, 3), round(mean + 3 * deviation, 3))
+    assert [json.loads(m.value)["temperature"] for m in published] == [40.0] and published[0].key == "s"
+    run(state.sensor_alerts(stream, delay="2 hours"), sinks.alerts(f"{folder}/alerts"), folder)  # taken up again: nothing new
+    assert spark.read.parquet(f"{folder}/alerts").count() == 1
+
+
+def test_moments_merge_like_one_pass():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    values, slots = rng.normal(50, 5, 1000), rng.integers(0, 7, 1000)
+    total = (0, 0.0, 0.0)
+    for begin in range(0, 1000, 130):
+        for found in state.moments_of(slots[begin:begin + 130], values[begin:begin + 130]).values():
+            total = state.merged(total, found)
+    assert total[0] == 1000 and abs(total[1] - values.mean()) < 1e-9 and abs(total[2] / 1000 - values.var()) < 1e-9
+
+
+@pytest.mark.parametrize("cuts", [[0, 40], [0, 1, 2, 13, 14, 30, 40]])
+def test_running_totals_by_state(spark, folder, cuts):
+    rows = transactions([("hot" if i % 3 else f"c{i % 4}", 10_001.1 + i / 7) for i in range(40)])
+    rows = [{**r, "offset": 100 - i if i % 2 else i} for i, r in enumerate(rows)]
+    rows = sorted(rows, key=lambda r: r["offset"])
+    path = drop(f"{folder}/in", [rows[a:b][::-1] for a, b in zip(cuts, cuts[1:])])  # disordered within a batch
+    stream = readers.stream_json_dir(spark, path, OFFSET_TXN, files_per_trigger=1)
+    run(state.running_totals(jobs.high_value(stream, arrival=["offset"]), ["offset"]), updates.log_updates(f"{folder}/log"), folder)
+    want, held = set(), {}
+    for r in rows:
+        if r["amount"] > 10_000:
+            total, n = held.get(r["customer_id"], (0.0, 0))
+            held[r["customer_id"]] = total, n = total + r["amount"], n + 1
+            want.add((r["transaction_id"], r["customer_id"], round(total, 2), n))
+    assert {(i, c, round(t, 2), n) for i, c, t, n in totals(updates.read_log(spark, f"{folder}/log"))} == want
+    with pytest.raises(ValueError):
+        state.running_totals(stream, [])
+
+
+def test_store_folds_its_tail(spark, folder):
+    store, log = UpsertStore(f"{folder}/store", ["a", "b"], fold_every=3), {}
+    versions_seen = []
+    for batch_id in range(20):
+        rows = [(f"k{i}" if i else None, i % 2, batch_id * 100 + i) for i in range(6) if (batch_id + i) % (i + 1) == 0]
+        frame = spark.createDataFrame(rows, "a string, b int, value int")
+        store.write(frame, batch_id)
+        if batch_id in (2, 7):
+            store.write(frame, batch_id)  # a retry, folded already or not
+        for a, b, value in rows:
+            log.setdefault((a, b), []).append(value)
+        assert len(folders.children(spark, f"{folder}/store/tail")) <= 6
+        assert len(folders.numbered(spark, f"{folder}/store/snapshot/_published")) <= 2
+        if batch_id % 6 == 5 or batch_id in (0, 3):
+            now = {(r.a, r.b): (r.value, r.version) for r in store.current(spark).collect()}
+            assert now == {key: (values[-1], len(values)) for key, values in log.items()}
+            versions_seen = {(r.a, r.b, r.version, r.value, r.is_correction) for r in store.history(spark).collect()}
+            assert versions_seen == {(*key, n, value, n > 1) for key, values in log.items() for n, value in enumerate(values, 1)}
+    plan = store.current(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan.replace("SortMerge", "Sort")  # hash aggregates and hash joins only
+
+
+def test_versions_survive_a_failed_reload(spark, folder):
+    path = f"{folder}/table"
+    assert versions.publish(spark.range(3), path) == 0
+    bad = spark.range(4).select(F.expr("CAST(CASE WHEN id = 3 THEN raise_error('lost') ELSE id END AS bigint)").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        versions.publish(bad, path)
+    assert versions.read(spark, path).count() == 3
+    for n in range(1, 6):
+        assert versions.publish(spark.range(n), path) == n
+    assert versions.publish(spark.range(99), path, 5) == 5  # a retry
+    assert versions.read(spark, path).count() == 5 and folders.numbered(spark, path, "version=") == [4, 5]
+    with pytest.raises(ValueError):
+        versions.read(spark, f"{folder}/none")
 
 
 def test_console_and_interval_trigger(spark, folder):
