@@ -42,10 +42,12 @@ ALLOWED = (
     r"(?i:example|sample|placeholder|changeme|dummy|redacted)",
     r"(?i:0123456789|abcdefghij|(.)\1{7,})",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^(?:[a-z]+[/_-])+[a-z]+$",
     r"^(?:iVBORw0KGgo|/9j/4AAQ|R0lGOD).*$",
 )
 ALLOWED_PARTS = ALLOWED[:2]
+#: A run of lower-case words joined by single signs is a path or a name: it has to match all of the first and none of the others. No
+#: expression repeats a group, which would take a level of the stack per word.
+JOINED_WORDS, NOT_JOINED_WORDS = (r"^[a-z/_-]+$", r"^[a-z]", r"[a-z]$", r"[/_-]"), (r"[/_-]{2}",)
 #: n * log2(n) in millionths, as whole numbers: sums are exact in any order.
 TERM = [0] + [round(n * math.log2(n) * 1_000_000) for n in range(1, WINDOW + 1)]
 
@@ -101,6 +103,8 @@ def entropy_spans(candidates: DataFrame) -> DataFrame:
     allowed = F.lit(False)
     for pattern in ALLOWED[len(ALLOWED_PARTS):]:
         allowed = allowed | match.rlike(pattern)
+    allowed = allowed | reduce(Column.__and__, [
+        *[match.rlike(pattern) for pattern in JOINED_WORDS], *[~match.rlike(pattern) for pattern in NOT_JOINED_WORDS]])
     hex_only = match.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$")
     inner = F.when(~hex_only, _hex_runs(match)).otherwise(F.array().cast(_HEX_RUNS))
     whole = F.struct(F.when(hex_only, F.lit(3)).otherwise(F.lit(4)).alias("kind"), F.lit(0).alias("ahead"), match.alias("match"))
@@ -153,8 +157,11 @@ def entropy_spans(candidates: DataFrame) -> DataFrame:
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """All spans of ``docs`` (with row numbers), one row each, and one row of kind -1 per document."""
-    found = matches(docs)
+    """All spans of ``docs`` (with row numbers), one row each, and one row of kind -1 per document.
+
+    The matches are written once: both kinds of spans read the same rows, and no text is matched twice.
+    """
+    found = written(matches(docs), "matches")
     value = F.regexp_extract("match", ASSIGN, 2)
     plain = found.where(f"kind < {CANDIDATE_KIND}").where((F.col("kind") != 0) | (F.length(value) >= LEAST_VALUE))
     random = entropy_spans(found.where(f"kind = {CANDIDATE_KIND}").select(UID, "doc_id", "start", "match"))

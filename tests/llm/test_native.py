@@ -226,3 +226,11 @@ def test_clean_training_documents_pass_the_line_rule(spark):
     failed = [r.failed for r in quality_ledger.ledger(clean).select("failed").collect()]
     assert len(failed) > 100 and not [f for f in failed if f & bits["duplicate_text"] and not f & rest]
     assert [f for f in failed if f & bits["duplicate_lines"] and not f & rest]  # as prose-1 did
+
+
+def test_secrets_in_very_long_runs(spark):
+    path, token = "ab/" * 100_000 + "end", "x7Gq9Lm2Zp4Rt8Vw1Yb3Nc6Kd5Jf0Hs"
+    rows = [(1, path), (2, "see " + path + " and " + token), (3, "a-b" * 50_000 + " " + "k" * 200_000), (4, "/" + "ab/" * 30), (5, "usr/lib//x/y/z/aa/bb/cc")]
+    found = {r.doc_id: r.found for r in secret_scan.scan(table(spark, rows)).collect()}
+    assert found[1] == [] and found[4] == [] and found[5] == []
+    assert [s.start for s in found[2]] == [len("see " + path + " and ")]
