@@ -125,46 +125,53 @@ def template_grams(spark: SparkSession, known: list[Template]) -> DataFrame:
     rows = [(DOCUMENT, -1, 0, 0, None)]
     for number, template in enumerate(known):
         for at, value in enumerate(gram_hashes(codes_of(template.words), template.k).tolist()):
-            words = [word.decode() for word in template.words[at:at + template.k]]
-            rows.append((value, number, at, template.k, words))
-    return spark.createDataFrame(rows, "gram long, template int, t_at int, k int, gram_words array<string>")
+            rows.append((value, number, at, template.k, b" ".join(template.words[at:at + template.k]).decode()))
+    return spark.createDataFrame(rows, "gram long, template int, t_at int, k int, gram_words string")
 
 
-def rolled(docs: DataFrame) -> DataFrame:
-    """Per document: its words in one string and the hashes of all its long, then short k-grams, and ``DOCUMENT``."""
+def rolled(docs: DataFrame, known: list[Template]) -> DataFrame:
+    """Per document: the hashes of all its long, then short k-grams, and ``DOCUMENT``; and the words of those that a template has, too."""
     ship(docs.sparkSession)
     id_type = dict(docs.dtypes)["doc_id"]
+    wanted = np.unique(np.concatenate([gram_hashes(codes_of(template.words), template.k) for template in known]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             words = [words_of(text or "") for text in batch.column("text").to_pylist()]
-            grams = []
+            grams, spelt = [], []
             for one in words:
                 codes = codes_of(one)
-                grams += [gram_hashes(codes, LONG), gram_hashes(codes, SHORT), np.array([DOCUMENT], np.int64)]
+                for k in (LONG, SHORT):
+                    grams.append(gram_hashes(codes, k))
+                    own = [None] * len(grams[-1])
+                    for at in np.flatnonzero(np.isin(grams[-1], wanted)).tolist():
+                        own[at] = b" ".join(one[at:at + k])
+                    spelt += own
+                grams.append(np.array([DOCUMENT], np.int64))
+                spelt.append(None)
             sizes = np.array([sum(map(len, grams[at:at + 3])) for at in range(0, len(grams), 3)], np.int64)
             bounds = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
             yield pa.RecordBatch.from_pydict({
                 UID: batch.column(UID),
                 "doc_id": batch.column("doc_id"),
                 "n_words": pa.array([len(one) for one in words], pa.int64()),
-                "body": pa.array([b" ".join(one).decode() for one in words], pa.string()),
                 "grams": pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(grams), pa.int64())),
+                "spelt": pa.ListArray.from_arrays(bounds, pa.array(spelt, pa.string())),
             })
 
-    schema = f"{UID} long, doc_id {id_type}, n_words long, body string, grams array<long>"
+    schema = f"{UID} long, doc_id {id_type}, n_words long, grams array<long>, spelt array<string>"
     return docs.select(UID, "doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def hits(docs: DataFrame, known: list[Template]) -> DataFrame:
     """Rows (document, template, word of the text, word of the template) whose k words are the same words."""
-    grams = rolled(docs).select(UID, "doc_id", "n_words", "body", F.posexplode("grams").alias("at", "gram"))
+    grams = rolled(docs, known).select(UID, "doc_id", "n_words", F.posexplode(F.arrays_zip("grams", "spelt")).alias("at", "one")).select(
+        UID, "doc_id", "n_words", "at", F.col("one.grams").alias("gram"), "one.spelt")
     met = grams.join(F.broadcast(template_grams(docs.sparkSession, known)), "gram")  # the templates are fixed
     n_long = F.greatest(F.col("n_words") - (LONG - 1), F.lit(0))
     place = F.when(F.col("k") == LONG, F.col("at")).otherwise(F.col("at") - n_long).cast("int")
     found = met.withColumn("place", place)
-    same = F.slice(F.split("body", " "), F.col("place") + 1, F.col("k")) == F.col("gram_words")
-    return found.where((F.col("template") < 0) | same).select(UID, "doc_id", "n_words", "template", "place", "t_at", "k")
+    return found.where((F.col("template") < 0) | (F.col("spelt") == F.col("gram_words"))).select(UID, "doc_id", "n_words", "template", "place", "t_at", "k")
 
 
 def spans(docs: DataFrame, known: list[Template] | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -296,3 +297,10 @@ def test_pipeline(spark, tmp_path):
     packed = found["pack_windows"]
     assert packed.agg({"length": "sum"}).first()[0] == sum(
         r.doc_tokens for r in packed.where("start = 0").collect())
+
+
+def test_licences_are_linear_in_their_hits(spark):
+    began = time.monotonic()
+    row = license_scan.scan(table(spark, [(1, "cc by " * 100_000)])).collect()[0]
+    assert (row.n_words, row.n_base, row.first_word, row.last_word) == (200_000, 100_000, 0, 199_998)
+    assert time.monotonic() - began < 60
