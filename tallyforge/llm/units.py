@@ -86,56 +86,64 @@ def bytes_of_ids(path: str) -> list[bytes]:
 
 
 class Encoder:
-    """Texts to packed ids (little-endian unsigned 32-bit), with a bounded memory of units."""
+    """Texts to packed ids (little-endian unsigned 32-bit), with a bounded memory of units.
+
+    A text's first unit and the others, which all begin with a space, are remembered apart; the others without that space.
+    """
 
     def __init__(self, tokenizer, token_bytes: list[bytes]):
         self.tokenizer = tokenizer
         self.lengths = np.array([len(token) for token in token_bytes], np.int64)
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {"": b""}
 
     @staticmethod
     def cut(text: str) -> list[str]:
+        """The first unit and the others, these without the space they begin with."""
         if _RUN.search(text) is None:
-            first, *rest = text.split(" ")
-            units = [" " + word for word in rest]
-            return [first, *units] if first else units
-        units, begin = [], 0
-        for found in _CUT.finditer(text):
-            if found.start():
-                units.append(text[begin:found.start()])
-                begin = found.start()
-        units.append(text[begin:])
-        return units
+            return text.split(" ")
+        starts = [found.start() for found in _CUT.finditer(text)]
+        if not starts or starts[0]:
+            starts.insert(0, -1)
+        else:
+            return ["", *[text[a + 1:b] for a, b in zip(starts, [*starts[1:], len(text)])]]
+        return [text[a + 1:b] for a, b in zip(starts, [*starts[1:], len(text)])]
+
+    def _encoded(self, units: list[str]) -> list[bytes]:
+        return [np.array(found.ids, "<u4").tobytes() for found in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
 
     def learn(self, units: list[str]) -> None:
-        """Encode units that are not known yet: those that a cut precedes in any text together, others alone."""
-        joined = [unit for unit in units if unit[0] == " " and not unit[1:2].isspace() and len(unit) > 1]
-        alone = [unit for unit in units if not (unit[0] == " " and not unit[1:2].isspace() and len(unit) > 1)]
-        for unit, found in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
-            self.known[unit] = np.array(found.ids, "<u4").tobytes()
+        """Encode units (without their space) that are not known yet: those that a cut may precede together, others alone."""
+        joined = [unit for unit in units if unit and not unit[0].isspace()]
+        alone = [unit for unit in units if not (unit and not unit[0].isspace())]
+        self.known |= zip(alone, self._encoded([" " + unit for unit in alone]))
         for begin in range(0, len(joined), TOGETHER):
             some = joined[begin:begin + TOGETHER]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.cumsum(np.fromiter((len(unit.encode()) for unit in some), np.int64, len(some)))
-            stops = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1  # no token crosses a cut
-            packed, at = ids.tobytes(), 0
-            for unit, stop in zip(some, (stops * 4).tolist()):
-                self.known[unit] = packed[at:stop]
-                at = stop
+            whole = " " + " ".join(some)
+            ids = np.array(self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum(np.fromiter(map(len, map(str.encode, some)), np.int64, len(some)) + 1)
+            stops = (np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1) * 4  # no token crosses a cut
+            packed, stops = ids.tobytes(), stops.tolist()
+            self.known |= zip(some, [packed[a:b] for a, b in zip([0, *stops], stops)])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        parts = [self.cut(text) if text else [] for text in texts]
+        parts = [self.cut(text) if text else [""] for text in texts]
+        heads = [part.pop(0) for part in parts]
         if len(self.known) > REMEMBERED:
             self.before, self.known = self.known, {}
-        known, before, new = self.known, self.before, []
-        for unit in {unit for part in parts for unit in part if unit not in known}:
-            if unit in before:
-                known[unit] = before[unit]
-            else:
-                new.append(unit)
-        self.learn(new)
-        return [b"".join([known[unit] for unit in part]) for part in parts]
+        if len(self.first) > REMEMBERED:
+            self.first = {"": b""}
+        known, before = self.known, self.before
+        new = set().union(*parts).difference(known)
+        if before:
+            old = new.intersection(before)
+            known |= zip(old, map(before.__getitem__, old))
+            new -= old
+        self.learn([*new])
+        begins = [*set(heads).difference(self.first)]
+        self.first |= zip(begins, self._encoded(begins))
+        return [self.first[head] + b"".join(map(known.__getitem__, part)) for head, part in zip(heads, parts)]
 
 
 @cache
