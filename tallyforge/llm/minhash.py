@@ -7,9 +7,8 @@ every set, which keeps the estimate unbiased). Runs of bins form bands, equal ba
 
 A bucket proposes a star: its smallest node against each of the others, at most as many pairs as members. Pairs are
 confirmed on full sets. Where a member fails, it may still belong to another member of the bucket. Such buckets are compared
-through their signatures, in blocks of bounded size; only members of different components whose signatures agree in far more
-bins than chance leaves to a pair below the limit go on to their full sets, and so do all pairs with a small set, whose signature
-says too little. No bucket is capped.
+whole, in blocks of bounded size: a task holds the full sets of a block's members, counts all intersections at once and returns
+links that join the components it sees, fewer than the block has members, so no row is made per pair. No bucket is capped.
 
 Edge cases: null and empty texts, and texts without words, are linked with nothing and stay; fewer words than a shingle
 has count as one shingle; rows with equal ids stand or fall together; a null id never names a group unless all its
@@ -24,6 +23,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,10 +37,10 @@ BINS = BANDS * ROWS
 #: Percent of the union that linked documents have in common.
 LEAST = 80
 ATTEMPTS = 64
-#: Sets below this size go to the full comparison without the signature test: one shingle may own many of their bins.
-SMALL = 30
-#: Nodes of a bucket that are compared together.
-BLOCK = 256
+#: Nodes of a bucket, and bytes of their sets, that make a block; two blocks are compared together.
+BLOCK, BLOCK_BYTES = 256, 16 << 20
+#: Shingles whose intersections are counted in one step.
+COLUMNS = 8192
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -134,12 +134,10 @@ def sketched(docs: DataFrame, words_each: int) -> DataFrame:
             columns["__llm_n"] = pa.array([len(one) for one in sets], pa.int64())
             columns["__llm_set"] = pa.array(
                 [xxhash.xxh3_128_digest(one.tobytes()) if len(one) else None for one in sets], pa.binary())
-            columns["__llm_signature"] = pa.array(
-                [None if one is None else (one & np.uint64(0xFF)).astype(np.uint8).tobytes() for one in values], pa.binary())
             columns["__llm_bands"] = pa.ListArray.from_arrays(bounds, pa.array(flat, pa.int64()))
             yield pa.RecordBatch.from_pydict(columns)
 
-    return docs.mapInArrow(run, f"{schema}, __llm_n long, __llm_set binary, __llm_signature binary, __llm_bands array<long>")
+    return docs.mapInArrow(run, f"{schema}, __llm_n long, __llm_set binary, __llm_bands array<long>")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words_each: int) -> DataFrame:
@@ -206,40 +204,75 @@ class Search:
             "of_node": F.coalesce("of_node", "node"), "of_centre": F.coalesce("of_centre", "centre")})
 
 
-def close_pairs(members: DataFrame, signatures: DataFrame, least: int) -> DataFrame:
-    """Pairs (a < b) within a bucket, of different components, whose sizes and signatures allow a link.
+def full_sets(texts: DataFrame, words_each: int) -> DataFrame:
+    """(node, shingles): the packed sorted shingle hashes of ``texts`` (node, text)."""
+    ship(texts.sparkSession)
 
-    ``members`` has bucket, node, of_node; ``signatures`` node, n and one byte per bin. A large bucket is dealt into blocks,
-    and every pair of its blocks is a group of its own of at most about 2 * BLOCK rows.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            sets = shingle_sets(batch.column("text").to_pylist(), words_each)
+            yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "shingles": pa.array([one.tobytes() for one in sets], pa.binary())})
+
+    return texts.select("node", "text").mapInArrow(run, "node long, shingles binary")
+
+
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two sets have in common; all pairs by products of incidence matrices."""
+    row = np.repeat(np.arange(len(sets)), [len(one) for one in sets])
+    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = held[column] > 1  # by two sets at least
+    column = (np.cumsum(held > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[shared][order], column[order]
+    both = np.zeros((len(sets), len(sets)), np.float64)
+    n_columns = int(column[-1]) + 1 if len(column) else 0
+    for begin in range(0, n_columns, COLUMNS):
+        low, high = np.searchsorted(column, [begin, begin + COLUMNS])
+        part = np.zeros((len(sets), min(COLUMNS, n_columns - begin)), np.float32)
+        part[row[low:high], column[low:high] - begin] = 1
+        both += part @ part.T  # whole numbers up to COLUMNS are exact
+    return both.astype(np.int64)
+
+
+def joining(linked: np.ndarray, component: np.ndarray) -> list[tuple[int, int]]:
+    """Links between members that join all components which any links join: fewer than there are components."""
+    component, found = component.copy(), []
+    for at in range(len(component)):
+        others = np.flatnonzero(linked[at] & (component != component[at]))
+        if len(others):
+            _, first = np.unique(component[others], return_index=True)
+            found += [(at, int(other)) for other in others[first]]
+            component[np.isin(component, component[others])] = component[at]
+    return found
+
+
+def block_links(members: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """(a, b, both, either): links within buckets that join all components which links within buckets join.
+
+    ``members`` has bucket, node, of_node; ``sets`` node and shingles. Of buckets with the same members one is compared. A large
+    bucket is dealt into blocks, and every two of its blocks are a group of at most about 2 * BLOCK members.
     """
     ship(members.sparkSession)
-    sizes = members.groupBy("bucket").agg((F.floor((F.count(F.lit(1)) - 1) / BLOCK) + 1).cast("int").alias("blocks"))
-    other = F.sequence(F.lit(0), F.col("blocks") - 1)
-    rows = members.join(sizes, "bucket").join(signatures, "node").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(other))
-    rows = rows.select(
-        "bucket", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
-        "block", "node", "of_node", "n", "signature")
+    own = F.xxhash64("node")
+    met = members.join(sets.select("node", F.length("shingles").alias("bytes")), "node")
+    sizes = met.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"), F.bit_xor(own).alias("x"), F.bit_xor(F.xxhash64(own, "node")).alias("y"))
+    sizes = sizes.groupBy("n", "x", "y", "bytes").agg(F.min("bucket").alias("bucket")).select(
+        "bucket", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    # with one block it meets itself, with more each meets every other
+    others = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(
+        F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: other != F.col("block")))
+    rows = members.join(sizes, "bucket").withColumn("block", F.pmod(own, F.col("blocks")).cast("int")).withColumn("other", F.explode(others))
+    rows = rows.select("bucket", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "node", "of_node")
     group = ["bucket", "one", "two"]
-    # a pair agrees in this share of bins at least, but for one in some ten millions
-    enough = BINS * (least / 100) - 5.5 * (BINS * least / 100 * (1 - least / 100)) ** 0.5
-
-    def compare(table: pa.Table) -> tuple[list, list]:
-        bins = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, BINS)
-        node, of_node, n, block = (table.column(c).to_numpy() for c in ("node", "of_node", "n", "block"))
-        found_a, found_b = [], []
-        for at in range(len(node) - 1):
-            fits = (of_node[at + 1:] != of_node[at]) & (
-                100 * np.minimum(n[at], n[at + 1:]) >= least * np.maximum(n[at], n[at + 1:]))
-            if table.column("one")[0] != table.column("two")[0]:  # pairs within a block have a group of their own
-                fits &= block[at + 1:] != block[at]
-            rest = np.flatnonzero(fits) + at + 1
-            if len(rest):
-                small = np.minimum(n[rest], n[at]) < SMALL
-                rest = rest[small | ((bins[rest] == bins[at]).sum(1) >= enough)]
-                found_a += np.minimum(node[rest], node[at]).tolist()
-                found_b += np.maximum(node[rest], node[at]).tolist()
-        return found_a, found_b
+
+    def compare(table: pa.Table) -> list[tuple[int, int, int, int]]:
+        held = [np.frombuffer(one.as_py(), np.uint64) for one in table.column("shingles")]
+        node, component = table.column("node").to_numpy(), table.column("of_node").to_numpy()
+        both, n = intersections(held), np.array([len(one) for one in held])
+        either = n[:, None] + n[None, :] - both
+        return [(*sorted((int(node[i]), int(node[j]))), int(both[i, j]), int(either[i, j]))
+                for i, j in joining(100 * both >= least * either, component)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -253,16 +286,17 @@ def close_pairs(members: DataFrame, signatures: DataFrame, least: int) -> DataFr
             starts = np.flatnonzero(np.any(keys[1:] != keys[:-1], 1)) + 1
             bounds = [0, *starts.tolist(), held.num_rows]
             last = len(bounds) - 1 if batch is None else len(bounds) - 2  # the last group may go on
-            a, b = [], []
+            found = []
             for begin, end in zip(bounds[:last], bounds[1:last + 1]):
-                if end - begin > 1:
-                    some_a, some_b = compare(held.slice(begin, end - begin))
-                    a += some_a
-                    b += some_b
+                part = held.slice(begin, end - begin)
+                if len(pa.compute.unique(part.column("of_node"))) > 1:
+                    found += compare(part)
             held = held.slice(bounds[last]) if batch is not None else None
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            columns = list(zip(*found)) or [()] * 4
+            yield pa.RecordBatch.from_pydict({name: pa.array(some, pa.int64()) for name, some in zip(("a", "b", "both", "either"), columns)})
 
-    return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, "a long, b long")
+    dealt = rows.join(sets, "node").select(*group, "node", "of_node", "shingles")
+    return dealt.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, "a long, b long, both long, either long")
 
 
 def stars(members: DataFrame) -> DataFrame:
@@ -274,7 +308,7 @@ def stars(members: DataFrame) -> DataFrame:
 def links(nodes: DataFrame, texts: DataFrame, words_each: int, least: int = LEAST) -> DataFrame | None:
     """Confirmed links (a, b) that join every component; None if no two nodes share a bucket.
 
-    ``nodes`` has node, n, signature and bands, one row per distinct set, ``texts`` node and text; both are written tables.
+    ``nodes`` has node and bands, one row per distinct set, ``texts`` node and text; both are written tables.
     """
     members = written(stars(nodes.select("node", F.explode("bands").alias("bucket"))), "buckets")
     if members.isEmpty():
@@ -289,7 +323,8 @@ def links(nodes: DataFrame, texts: DataFrame, words_each: int, least: int = LEAS
     placed = written(search.with_labels(members), "placed")
     mixed = placed.where("of_node <> of_centre").select("bucket").distinct()
     left = placed.join(mixed, "bucket", "left_semi").select("bucket", "node", "of_node")
-    search.test(close_pairs(left, nodes.select("node", "n", "signature"), least))
+    sets = written(full_sets(search.texts.join(left.select("node").distinct(), "node", "left_semi"), words_each), "full-sets")
+    search.tested.append(written(block_links(left, sets, least), "tested"))
     return search.links()
 
 
@@ -298,7 +333,7 @@ def resolved(docs: DataFrame, words_each: int = 5, least: int = LEAST) -> DataFr
     rows = written(sketched(with_uid(docs), words_each), "sketches")
     sets = written(rows.where("__llm_set IS NOT NULL").groupBy("__llm_set").agg(
         F.min(UID).alias("node"), F.min("doc_id").alias("least_id")), "sets")
-    own = {"node": UID, "n": "__llm_n", "signature": "__llm_signature", "bands": "__llm_bands"}
+    own = {"node": UID, "bands": "__llm_bands"}
     nodes = written(rows.select(*[F.col(c).alias(name) for name, c in own.items()]).join(
         sets.select("node"), "node", "left_semi"), "nodes")
     texts = rows.select(F.col(UID).alias("node"), "text")

@@ -133,17 +133,36 @@ def test_a_large_bucket_is_compared_in_blocks(spark, monkeypatch):
     assert got == Counter((i, c) for i, _, c in plain_components(rows, 2))
 
 
-def test_pairs_of_small_sets_go_to_the_full_comparison(spark):
+def test_blocks_join_what_is_linked(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "COLUMNS", 7)
     rng = random.Random(4)
-    sets = [np.array(sorted(rng.randrange(1 << 64) for _ in range(5)), np.uint64) for _ in range(300)]
-    rows = []
-    for at, one in enumerate(sets):
-        for node, some in ((2 * at, one), (2 * at + 1, one[:4])):  # 4 of 5 in common
-            rows.append((node, len(some), (minhash.signature(some) & np.uint64(0xFF)).astype(np.uint8).tobytes()))
-    signatures = spark.createDataFrame([(a, b, bytearray(c)) for a, b, c in rows], "node long, n long, signature binary")
-    members = spark.createDataFrame([(a // 2, a, a) for a, _, _ in rows], "bucket long, node long, of_node long")
-    got = {(r.a, r.b) for r in minhash.close_pairs(members, signatures, 80).collect()}
-    assert got == {(2 * at, 2 * at + 1) for at in range(300)}
+    sets, members, truth = {}, [], set()
+    for at in range(60):  # four of five in common: exactly the limit
+        one = sorted(rng.randrange(1 << 64) for _ in range(5))
+        for k in range(3):
+            sets[3 * at + k] = one if k == 0 else one[:4] if k == 1 else [rng.randrange(1 << 64), *one[1:]]
+            members += [(at, 3 * at + k, 3 * at + k), (1000 + at, 3 * at + k, 3 * at + k)]  # a second bucket with the same members
+    members += [(5000, node, node) for node in sets]
+    for i in sets:
+        for j in sets:
+            both = len(set(sets[i]) & set(sets[j]))
+            if i < j and 100 * both >= 80 * (len(set(sets[i])) + len(set(sets[j])) - both):
+                truth.add((i, j))
+    for block in (256, 16):
+        monkeypatch.setattr(minhash, "BLOCK", block)
+        got = {(r.a, r.b) for r in minhash.block_links(
+            spark.createDataFrame(members, "bucket long, node long, of_node long"),
+            spark.createDataFrame([(n, bytearray(np.sort(np.array(v, np.uint64)).tobytes())) for n, v in sets.items()], "node long, shingles binary"),
+            80).collect()}
+        assert got <= truth and {j for i, j in got} == {j for i, j in truth}
+
+
+def test_few_links_join_a_block():
+    linked = np.zeros((6, 6), bool)
+    for i, j in [(0, 1), (1, 2), (3, 4), (2, 0), (4, 5), (3, 5)]:
+        linked[i, j] = linked[j, i] = True
+    found = minhash.joining(linked, np.array([10, 11, 12, 13, 14, 14]))
+    assert len(found) == 3 and all(linked[i, j] for i, j in found)
 
 
 def test_signatures_estimate_similarity():
