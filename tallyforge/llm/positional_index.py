@@ -2,8 +2,8 @@ r"""Phrase and proximity search through a distributed positional inverted index;
 
 ``build`` stores a posting list for every word of every document. The index is dealt by document: a segment takes some megabytes
 of text and holds one row per word with all its places in the segment, so the list of a very common word is many
-bounded rows. A place is the document's number in the segment (upper 32 bits) and the word's number in the text, so
-subtracting a word's offset in a phrase keeps documents apart.
+bounded rows. A place is the document's number in the segment (upper bits) and the word's number in the text (as many lower bits as
+the segment's longest text needs and some to spare), so subtracting a word's offset in a phrase keeps documents apart.
 
 ``spans`` looks windows of items up: each window takes its two rarest words by corpus frequency, their lists are shifted by the words'
 offsets and intersected, and only the alignments left are held against the lists of the window's other words. Runs of
@@ -32,6 +32,12 @@ from tallyforge.llm.common import UID, ship, slices, with_uid, written
 WIDTH = 10
 #: Bytes of text in a segment; a longer text is a segment of its own.
 SEGMENT_BYTES = 6 << 20
+#: Words between documents that no alignment can bridge.
+GAP = 64
+#: A segment also ends where its places would pass this.
+MOST_PLACES = 1 << 31
+#: Terms or probes up to this number (some 20 MB) are broadcast, more are joined by a shuffle.
+MOST_BROADCAST = 200_000
 #: Fixed value: a word is a run of characters outside these.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _FOLDED = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -41,57 +47,79 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_FOLDED).split()
 
 
-def _segment(number: int, ids: list[pa.Array], texts: list[str | None]) -> pa.RecordBatch:
-    """The rows of one segment: its documents, then its words with their places."""
-    code: dict[bytes, int] = {}
-    found, sizes = [], []
-    for text in texts:
-        words = words_of(text)
-        for word in set(words).difference(code):
-            code[word] = len(code)
-        found.append(np.fromiter(map(code.__getitem__, words), np.uint32, len(words)))
-        sizes.append(len(words))
-    codes = np.concatenate(found) if found else np.zeros(0, np.uint32)
-    places = np.concatenate([(at << 32) + np.arange(n, dtype=np.int64) for at, n in enumerate(sizes)])
-    counts = np.bincount(codes, minlength=len(code)).astype(np.int64)
-    n_docs, n_terms = len(texts), len(code)
-    bounds = np.concatenate([np.zeros(n_docs + 1, np.int64), np.cumsum(counts)])
-    lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(places[np.argsort(codes, kind="stable")]))
-    return pa.RecordBatch.from_pydict({
-        "segment": pa.array(np.full(n_docs + n_terms, number)),
-        "doc_id": pa.concat_arrays([*ids, pa.nulls(n_terms, ids[0].type)]),
-        "ordinal": pa.concat_arrays([pa.array(np.arange(n_docs, dtype=np.int32)), pa.nulls(n_terms, pa.int32())]),
-        "term": pa.concat_arrays([pa.nulls(n_docs, pa.string()), pa.array(list(code), pa.string())]),
-        "is_term": pa.array(np.arange(n_docs + n_terms) >= n_docs),
-        "n": pa.array(np.concatenate([np.array(sizes, np.int64), counts])),
-        "places": lists,
-    })
+class Segment:
+    """Documents gathered until they make the rows of one segment."""
+
+    def __init__(self, number: int):
+        self.number, self.held, self.longest = number, 0, 0
+        self.code: dict[bytes, int] = {}
+        self.ids, self.found = [], []
+
+    def shift(self, longest: int) -> int:
+        return (max(self.longest, longest) + GAP).bit_length()
+
+    def takes(self, longest: int, documents: int) -> bool:
+        """Whether so many more documents fit, the longest of so many words."""
+        return not self.found or (self.held < SEGMENT_BYTES and (len(self.found) + documents) << self.shift(longest) <= MOST_PLACES)
+
+    def add(self, ids: pa.Array, texts: list[list[bytes]], held: int) -> None:
+        code = self.code
+        for words in texts:
+            for word in set(words).difference(code):
+                code[word] = len(code)
+            self.found.append(np.fromiter(map(code.__getitem__, words), np.uint32, len(words)))
+            self.longest = max(self.longest, len(words))
+        self.ids.append(ids)
+        self.held += held
+
+    def rows(self) -> pa.RecordBatch:
+        """The documents, then the words with their places."""
+        codes, sizes, shift = np.concatenate(self.found), [len(one) for one in self.found], self.shift(0)
+        # one document alone may need more than 32 bits: its number is 0
+        places = np.concatenate([(at << shift) + np.arange(n) for at, n in enumerate(sizes)]).astype(np.int32)
+        counts = np.bincount(codes, minlength=len(self.code)).astype(np.int64)
+        n_docs, n_terms, ids = len(sizes), len(self.code), pa.concat_arrays(self.ids)
+        bounds = np.concatenate([np.zeros(n_docs + 1, np.int64), np.cumsum(counts)])
+        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(places[np.argsort(codes, kind="stable")]))
+        return pa.RecordBatch.from_pydict({
+            "segment": pa.array(np.full(n_docs + n_terms, self.number)),
+            "shift": pa.array(np.full(n_docs + n_terms, shift, np.int32)),
+            "doc_id": pa.concat_arrays([ids, pa.nulls(n_terms, ids.type)]),
+            "ordinal": pa.concat_arrays([pa.array(np.arange(n_docs, dtype=np.int32)), pa.nulls(n_terms, pa.int32())]),
+            "term": pa.concat_arrays([pa.nulls(n_docs, pa.string()), pa.array(list(self.code), pa.string())]),
+            "is_term": pa.array(np.arange(n_docs + n_terms) >= n_docs),
+            "n": pa.array(np.concatenate([np.array(sizes, np.int64), counts])),
+            "places": lists,
+        })
 
 
 def build(docs: DataFrame) -> DataFrame:
     """The index of ``docs`` (doc_id, text), not yet written.
 
-    Rows with ``is_term`` are posting lists (segment, term, n, places), the others documents (segment, ordinal, doc_id, n).
-    Segments carry the task's number: write the index once, then read it as often as needed.
+    Rows with ``is_term`` are posting lists (segment, term, n, places), the others documents (segment, ordinal, doc_id, n); ``shift``
+    is the number of a place's lower bits. Segments carry the task's number: write the index once, then read it as often as needed.
     """
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        ids, texts, held = [], [], 0
-        for part in slices(batches, "text"):
-            ids.append(part.column("doc_id"))
-            texts += part.column("text").to_pylist()
-            held += part.column("text").nbytes
-            if held >= SEGMENT_BYTES:
-                yield _segment(number, ids, texts)
-                number, ids, texts, held = number + 1, [], [], 0
-        if texts:
-            yield _segment(number, ids, texts)
+        segment = Segment(TaskContext.get().partitionId() << 32)
+        for part in slices(batches, "text", 1 << 20):
+            texts = [words_of(text) for text in part.column("text").to_pylist()]
+            if not segment.takes(max(map(len, texts)), len(texts)):
+                yield segment.rows()
+                segment = Segment(segment.number + 1)
+            segment.add(part.column("doc_id"), texts, part.column("text").nbytes)
+        if segment.found:
+            yield segment.rows()
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        run, f"segment long, doc_id {id_type}, ordinal int, term string, is_term boolean, n long, places array<long>")
+        run, f"segment long, shift int, doc_id {id_type}, ordinal int, term string, is_term boolean, n long, places array<int>")
+
+
+def small(table: DataFrame) -> DataFrame:
+    """``table`` (written) marked for a broadcast if it has few rows; otherwise Spark chooses."""
+    return F.broadcast(table) if table.count() <= MOST_BROADCAST else table
 
 
 def items_of(table: DataFrame) -> DataFrame:
@@ -109,20 +137,20 @@ def _width(words: Column, width: int) -> Column:
 def probes(items: DataFrame, frequencies: DataFrame, width: int) -> DataFrame:
     """The windows of ``items``, those with the same two rarest words in the same places together.
 
-    item, words, low and high (first starts of the windows), place and term of the rarest word (one) and the next (two).
+    item, low (first start) and end of the windows, place and term of the rarest word (one) and the next (two).
     Windows with a word that the index lacks occur nowhere and are left out.
     """
     at = F.posexplode("words").alias("p", "term")
     known = items.select("item", at).join(frequencies, "term")
     rows = known.groupBy("item").agg(F.collect_list(F.struct("n", "p", "term")).alias("known"))
     rows = rows.join(items.select("item", "words"), "item").withColumn("span", _width(F.col("words"), width))
-    starts = rows.select("item", "words", "span", "known", F.explode(F.expr("sequence(0, size(words) - span)")).alias("w"))
+    starts = rows.select("item", "span", "known", F.explode(F.expr("sequence(0, size(words) - span)")).alias("w"))
     inside = starts.withColumn("inside", F.expr("filter(known, k -> k.p >= w AND k.p < w + span)")).where("size(inside) = span")
     rarest = inside.withColumn("rarest", F.expr("slice(array_sort(inside), 1, 2)")).withColumns({
         "one": F.expr("rarest[0]"), "two": F.expr("get(rarest, least(1, size(rarest) - 1))")})
     return rarest.groupBy("item", "one.p", "two.p", "one.term", "two.term").agg(
-        F.first("words").alias("words"), F.min("w").alias("low"), F.max(F.col("w") + F.col("span")).alias("end")).toDF(
-        "item", "p_one", "p_two", "one", "two", "words", "low", "end")
+        F.min("w").alias("low"), F.max(F.col("w") + F.col("span")).alias("end")).toDF(
+        "item", "p_one", "p_two", "one", "two", "low", "end")
 
 
 def _aligned(places: str, offset: str, slack: int) -> str:
@@ -133,14 +161,16 @@ def _aligned(places: str, offset: str, slack: int) -> str:
     return f"flatten(transform({shifted}, x -> sequence(x - {slack}, x + {slack})))"
 
 
-def alignments(lists: DataFrame, found: DataFrame, slack: int) -> DataFrame:
+def alignments(lists: DataFrame, found: DataFrame, items: DataFrame, slack: int) -> DataFrame:
     """(segment, item, d, p, term): the words that an alignment d of an item would have to put at d + p."""
+    rare = small(written(found.select("two").distinct(), "rare"))
     one = lists.select("segment", F.col("term").alias("one"), F.col("places").alias("places_one"))
-    two = lists.select("segment", F.col("term").alias("two"), F.col("places").alias("places_two"))
-    met = found.join(one, "one").join(two, ["segment", "two"]).select(
-        "segment", "item", "low", "end", "words",
+    two = lists.select("segment", F.col("term").alias("two"), F.col("places").alias("places_two")).join(rare, "two", "left_semi")
+    met = one.join(small(found), "one").join(two, ["segment", "two"]).select(
+        "segment", "item", "low", "end",
         F.explode(F.expr(f"array_intersect({_aligned('places_one', 'p_one', slack)}, {_aligned('places_two', 'p_two', slack)})")).alias("d"))
-    expected = met.select("segment", "item", "d", "low", F.posexplode(F.expr("slice(words, low + 1, end - low)")).alias("p", "term"))
+    words = F.posexplode(F.expr("slice(words, low + 1, end - low)")).alias("p", "term")
+    expected = met.join(small(items).select("item", "words"), "item").select("segment", "item", "d", "low", words)
     return expected.select("segment", "item", "d", (F.col("p") + F.col("low")).alias("p"), "term").distinct()
 
 
@@ -150,10 +180,13 @@ def spans(index: DataFrame, items: DataFrame, width: int = WIDTH, slack: int = 0
     ``index`` is a written index, ``items`` what :func:`items_of` returned. Runs with ``exact`` are all windows of ``width`` words that stand in the
     text; the others, with ``slack`` only, those whose words stand at most ``slack`` words off (exact ones included).
     """
-    terms = items.select(F.explode("words").alias("term")).distinct()
-    lists = written(index.where("is_term").join(terms, "term", "left_semi").select("segment", "term", "n", "places"), "lists")
+    if not 0 <= slack < GAP // 2:
+        raise ValueError(f"slack must lie below {GAP // 2}")
+    terms = written(items.select(F.explode("words").alias("term")).distinct(), "terms")
+    lists = written(index.where("is_term").join(small(terms), "term", "left_semi").select("segment", "term", "n", "places"), "lists")
     frequencies = lists.groupBy("term").agg(F.sum("n").alias("n"))
-    expected = written(alignments(lists, probes(items, frequencies, width), slack), "alignments")
+    found = written(probes(items, frequencies, width), "probes")
+    expected = written(alignments(lists, found, items, slack), "alignments")
     tried = expected.withColumn("off", F.explode(F.sequence(F.lit(-slack), F.lit(slack)))).withColumn(
         "place", F.col("d") + F.col("p") + F.col("off"))
     # a list is intersected once with all places that any alignment asks of it
@@ -163,15 +196,17 @@ def spans(index: DataFrame, items: DataFrame, width: int = WIDTH, slack: int = 0
     met = written(tried.join(there, ["segment", "term", "place"]).groupBy("segment", "item", "d", "p").agg(
         F.min(F.struct(F.abs("off").alias("off"), "place")).alias("best")).select("segment", "item", "d", "p", "best.*"), "met")
     named = items.select("item", "item_id", _width(F.col("words"), width).alias("span"))
+    shifts = index.where("ordinal = 0").select("segment", "shift")
 
     def runs(rows: DataFrame, exact: bool) -> DataFrame:
         alignment = ["segment", "item", "d"]
         island = F.col("p") - F.row_number().over(Window.partitionBy(*alignment).orderBy("p"))
         joined = rows.withColumn("island", island).groupBy(*alignment, "island").agg(
             F.min("p").cast("long").alias("item_first"), F.count(F.lit(1)).alias("n_words"), F.min("place").alias("place"))
-        return joined.join(named, "item").where("n_words >= span").select(
-            "segment", F.shiftright("place", 32).cast("int").alias("ordinal"), "item_id", F.lit(exact).alias("exact"),
-            F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).alias("first"), "item_first", "n_words")
+        ordinal = F.expr("shiftright(place, shift)")
+        return joined.join(named, "item").where("n_words >= span").join(shifts, "segment").select(
+            "segment", ordinal.alias("ordinal"), "item_id", F.lit(exact).alias("exact"),
+            F.expr("place - shiftleft(shiftright(place, shift), shift)").cast("long").alias("first"), "item_first", "n_words")
 
     found = runs(met.where("off = 0"), True)
     return found.unionByName(runs(met, False)) if slack else found
