@@ -5,7 +5,7 @@ the second tokenizer's); doubling all pointers at once until none moves leads ea
 which names the group. Groups therefore end where tokens of both end.
 
 Neither tokenizer lets a token reach across the place before a single space that a non-space follows. Texts are cut into units there, each
-distinct unit is encoded and aligned once by a worker, many units in one pass, and a text's groups are its units' groups in order.
+distinct unit of a chunk is encoded and aligned once, many units in one pass, and a text's groups are its units' groups in order.
 
 Links are pairs of tokens of one group. ``aligned`` counts per pair of ids the documents that hold it: chunks of some megabytes keep their
 documents' units and the units' pairs packed in one row, send their distinct pairs with counts, and receive the corpus-wide counts of
@@ -35,17 +35,15 @@ from tallyforge.llm import units
 from tallyforge.llm.common import ship, slices, written
 
 #: Bytes of text in a chunk.
-CHUNK_BYTES = 8 << 20
-#: Distinct units in each of the two generations a worker remembers.
-REMEMBERED = 120_000
+CHUNK_BYTES = 4 << 20
 #: Units that are aligned in one pass.
 TOGETHER = 20_000
+#: Units that the first tokenizer encodes as one string.
+JOINED = 2000
 #: Fixed value: the piece model's sign for a space.
 BLANK = "▁"
 _RUN = re.compile(r" (?=\s|\Z)|\A ")
 _CUT = re.compile(r"(?<! ) (?=\S)")
-#: Longer units than this are not remembered from chunk to chunk.
-LONG_UNIT = 200
 
 
 def piece_bytes(model) -> list[bytes]:
@@ -82,89 +80,79 @@ def jumped(start_a: np.ndarray, end_a: np.ndarray, start_b: np.ndarray, end_b: n
     return group[:n_a], group[n_a:]
 
 
-class Unit:
-    """What is known of a unit: tokens of either side, groups, links, their spelling, and its id pairs with counts."""
-
-    __slots__ = ("sizes", "spelt", "pairs", "times")
-
-    def __init__(self, sizes: tuple[int, int, int, int], spelt: bytes, pairs: bytes, times: bytes):
-        self.sizes, self.spelt, self.pairs, self.times = sizes, spelt, pairs, times
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size, one after another."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(starts, sizes)
 
 
 class Aligner:
+    """Both tokenizers, and the alignment of many units at once."""
+
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.a = units.tokenizer_of_file(path_a)
         self.bytes_a = units.bytes_of_ids(path_a)
-        self.a = units.Encoder(units.tokenizer_of_file(path_a), self.bytes_a)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_b = piece_bytes(self.b)
-        self.length_a = self.a.lengths
-        self.length_b = np.array([len(one) for one in self.bytes_b], np.int64)
+        self.length_a, self.length_b = (np.array([len(one) for one in table], np.int64) for table in (self.bytes_a, self.bytes_b))
         self.names = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
-        self.known: dict[str, Unit | None] = {}
-        self.before: dict[str, Unit | None] = {}
-
-    def of(self, keys: list[str]) -> list[Unit | None]:
-        """The units of ``keys`` (distinct); None where token bytes differ from the unit's."""
-        if len(self.known) > REMEMBERED:
-            self.before, self.known = self.known, {}
-        found = {key: self.known.get(key, self) for key in keys}
-        old = [key for key, one in found.items() if one is self and key in self.before]
-        for key in old:
-            found[key] = self.known[key] = self.before[key]
-        new = [key for key, one in found.items() if one is self]
-        for begin in range(0, len(new), TOGETHER):
-            some = new[begin:begin + TOGETHER]
-            for key, one in zip(some, self._learnt(some)):
-                found[key] = one
-                if len(key) <= LONG_UNIT:
-                    self.known[key] = one
-        return [found[key] for key in keys]
-
-    def _learnt(self, keys: list[str]) -> list[Unit | None]:
+
+    def _encoded_a(self, whole: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, one unit after another, and how many each unit has."""
+        joins = [len(one) > 1 and not one[1].isspace() for one in whole]
+        runs, alone = [one for one, fine in zip(whole, joins) if fine], [one for one, fine in zip(whole, joins) if not fine]
+        texts = ["".join(runs[at:at + JOINED]) for at in range(0, len(runs), JOINED)] + alone
+        ids = [np.array(one.ids, np.int64) for one in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+        ordered = np.fromiter((len(one.encode()) for one in runs + alone), np.int64, len(whole))
+        stops = np.searchsorted(np.cumsum(self.length_a[ids]), np.cumsum(ordered)) + 1  # no token crosses a cut
+        counts = np.diff(stops, prepend=0)
+        if not alone:
+            return ids, counts
+        place = np.empty(len(whole), np.int64)  # back to the order of the units
+        place[np.concatenate([np.flatnonzero(joins), np.flatnonzero(~np.array(joins))])] = np.arange(len(whole))
+        return ids[_ranges((stops - counts)[place], counts[place])], counts[place]
+
+    def __call__(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """Of each unit: whether its tokens spell it, its tokens of either side, groups and links, their spelling, and how many
+        of the pairs and times that follow are its own."""
         whole = [" " + key for key in keys]
-        self.a.learn(whole)
-        packed_a = [self.a.known.pop(one) for one in whole]
-        listed_b = self.b.encode(keys, num_threads=1)  # the model puts the space before each
-        data = [one.encode() for one in whole]
-        # a sign for space or an odd byte: the tokens do not spell the unit
-        good = [b"".join([self.bytes_b[i] for i in ids]) == one for ids, one in zip(listed_b, data)]
-        if b"".join([self.bytes_a[i] for i in np.frombuffer(b"".join(packed_a), "<u4").tolist()]) != b"".join(data):
-            good = [fine and b"".join([self.bytes_a[i] for i in np.frombuffer(ids, "<u4").tolist()]) == one
-                    for fine, ids, one in zip(good, packed_a, data)]
-        if all(good):
-            return self._aligned(packed_a, listed_b)
-        places = [at for at, fine in enumerate(good) if fine]
-        found: list[Unit | None] = [None] * len(keys)
-        if places:
-            for at, one in zip(places, self._aligned([packed_a[at] for at in places], [listed_b[at] for at in places])):
-                found[at] = one
-        return found
-
-    def _aligned(self, packed_a: list[bytes], listed_b: list[list[int]]) -> list[Unit]:
-        n = len(packed_a)
-        ids_a = np.frombuffer(b"".join(packed_a), "<u4").astype(np.int64)
-        ids_b = np.fromiter(chain.from_iterable(listed_b), np.int64)
-        of_a = np.repeat(np.arange(n), [len(one) // 4 for one in packed_a])
-        of_b = np.repeat(np.arange(n), [len(one) for one in listed_b])
+        ids_a, many_a = self._encoded_a(whole)
+        listed = self.b.encode(keys, num_threads=1)  # the model puts the space before each
+        many_b = np.fromiter(map(len, listed), np.int64, len(keys))
+        ids_b = np.fromiter(chain.from_iterable(listed), np.int64, int(many_b.sum()))
+        good, data = np.ones(len(keys), bool), "".join(whole).encode()
+        for ids, many, table in ((ids_a, many_a, self.bytes_a), (ids_b, many_b, self.bytes_b)):
+            spelt = [table[i] for i in ids.tolist()]
+            if b"".join(spelt) != data:  # a sign for space or an odd byte in some unit
+                stops = np.cumsum(many).tolist()
+                good &= [b"".join(spelt[a:b]) == one.encode() for a, b, one in zip([0, *stops], stops, whole)]
+        of_a, of_b = np.repeat(np.arange(len(keys)), many_a), np.repeat(np.arange(len(keys)), many_b)
+        keep_a, keep_b = good[of_a], good[of_b]
+        sizes, spelt, bounds, pairs, times = self._aligned(ids_a[keep_a], of_a[keep_a], ids_b[keep_b], of_b[keep_b], len(keys))
+        own = np.zeros(len(keys), object)
+        own[:] = b""
+        own[good] = spelt
+        return good, sizes, own.tolist(), np.diff(bounds), pairs, times
+
+    def _aligned(self, ids_a, of_a, ids_b, of_b, n):
+        if not len(ids_a):
+            return np.zeros((n, 4), np.int64), [], np.zeros(n + 1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         end_a, end_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
         group_a, group_b = jumped(end_a - self.length_a[ids_a], end_a, end_b - self.length_b[ids_b], end_b)
         n_groups = int(group_b[-1]) + 1
         of_group = np.zeros(n_groups, np.int64)
         of_group[group_b] = of_b
         many_a, many_b = np.bincount(group_a, minlength=n_groups), np.bincount(group_b, minlength=n_groups)
-        sizes = np.stack([np.bincount(of_a, minlength=n), np.bincount(of_b, minlength=n), np.bincount(of_group, minlength=n),
-                          np.bincount(of_group, many_a * many_b, n).astype(np.int64)], 1)
-        spelt = self._spelt(ids_a, ids_b, group_a, group_b, of_group, sizes)
-        bounds, pairs, times = self._pairs(ids_a, ids_b, group_a, group_b, of_group, n)
-        packed_pairs, packed_times = pairs.tobytes(), times.tobytes()
-        cuts = (bounds * 8).tolist()
-        return [Unit(tuple(size), text, packed_pairs[x:y], packed_times[x:y])
-                for size, text, x, y in zip(sizes.tolist(), spelt, cuts, cuts[1:])]
-
-    def _spelt(self, ids_a, ids_b, group_a, group_b, of_group, sizes) -> list[bytes]:
+        linked = np.zeros(n, np.int64)
+        np.add.at(linked, of_group, many_a * many_b)
+        sizes = np.stack([np.bincount(of_a, minlength=n), np.bincount(of_b, minlength=n), np.bincount(of_group, minlength=n), linked], 1)
+        spelt = self._spelt(ids_a, ids_b, group_a, group_b, of_group)
+        return sizes, spelt, *self._pairs(ids_a, ids_b, group_a, group_b, of_group, n)
+
+    def _spelt(self, ids_a, ids_b, group_a, group_b, of_group) -> list[bytes]:
         """``a1,a2|b1;a3|b2,b3`` for every unit."""
         n = len(ids_a) + len(ids_b)
         place_a = np.arange(len(ids_a)) + np.searchsorted(group_b, group_a, "left")
@@ -207,11 +195,6 @@ def aligner_of(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers from each start on, as many as its size, one after another."""
-    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(starts, sizes)
-
-
 class Chunk:
     """Documents gathered until they make a row: their units as numbers of the chunk, and the units' pairs."""
 
@@ -219,61 +202,67 @@ class Chunk:
         self.aligner = aligner
         self.number: dict[str, int] = {}
         self.spelt: dict[str, bytes] = {}
-        self.sizes: list[tuple[int, int, int, int]] = []
-        self.unit_pairs: list[bytes] = []
-        self.unit_times: list[bytes] = []
         self.bad: set[str] = set()
-        self.ids, self.rows, self.units, self.times, self.held = [], [], [], [], 0
+        self.sizes, self.counts, self.pairs, self.pair_times = np.zeros((0, 4), np.int64), [], [], []
+        self.ids, self.totals, self.digests, self.groups = [], [], [], []
+        self.doc_sizes, self.units, self.times, self.held = [], [], [], 0
+
+    def _learn(self, keys: list[str]) -> None:
+        for begin in range(0, len(keys), TOGETHER):
+            some = keys[begin:begin + TOGETHER]
+            good, sizes, spelt, counts, pairs, times = self.aligner(some)
+            self.number |= zip(some, range(len(self.sizes), len(self.sizes) + len(some)))
+            self.spelt |= zip(some, spelt)
+            if not good.all():
+                self.bad |= {key for key, fine in zip(some, good.tolist()) if not fine}
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.counts.append(counts)
+            self.pairs.append(pairs)
+            self.pair_times.append(times)
 
     def add(self, ids: pa.Array, texts: list[str | None], with_groups: bool) -> None:
         parts = [cut(text) if text else [] for text in texts]
-        new = [*set().union(*parts).difference(self.number, self.bad)]
-        for key, unit in zip(new, self.aligner.of(new)):
-            if unit is None:
-                self.bad.add(key)
-                continue
-            self.number[key] = len(self.sizes)
-            self.spelt[key] = unit.spelt
-            self.sizes.append(unit.sizes)
-            self.unit_pairs.append(unit.pairs)
-            self.unit_times.append(unit.times)
-        for part in parts:
-            if not part or (self.bad and not self.bad.isdisjoint(part)):
-                self.rows.append((0, 0, 0, 0, "", "" if with_groups else None))
-                self.units.append(np.zeros(0, "<u4"))
-                self.times.append(np.zeros(0, "<u4"))
-                continue
-            spelt = b";".join(map(self.spelt.__getitem__, part))
-            unit, times = np.unique(np.fromiter(map(self.number.__getitem__, part), "<u4", len(part)), return_counts=True)
-            totals = times @ np.array([self.sizes[i] for i in unit.tolist()], np.int64)
-            self.rows.append((*totals.tolist(), hashlib.sha256(spelt).hexdigest(), spelt.decode() if with_groups else None))
-            self.units.append(unit)
-            self.times.append(times.astype("<u4"))
+        self._learn([*set().union(*parts).difference(self.number)])
+        if self.bad:
+            parts = [part if self.bad.isdisjoint(part) else [] for part in parts]
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        unit = np.fromiter(map(self.number.__getitem__, chain.from_iterable(parts)), np.int64, int(lengths.sum()))
+        key, times = np.unique((np.repeat(np.arange(len(parts)), lengths) << 32) | unit, return_counts=True)
+        document, unit = key >> 32, key & 0xFFFFFFFF
+        totals = np.zeros((len(parts), 4), np.int64)
+        np.add.at(totals, document, self.sizes[unit] * times[:, None])
+        spelt = [b";".join(map(self.spelt.__getitem__, part)) for part in parts]
         self.ids.append(ids)
+        self.totals.append(totals)
+        self.digests += [hashlib.sha256(one).hexdigest() if one else "" for one in spelt]
+        self.groups += [one.decode() for one in spelt] if with_groups else [None] * len(parts)
+        self.doc_sizes.append(np.bincount(document, minlength=len(parts)))
+        self.units.append(unit)
+        self.times.append(times)
 
     def row(self, number: int) -> pa.RecordBatch:
-        counts = np.array([len(one) // 8 for one in self.unit_pairs], np.int64)
-        pairs, pair_of = np.unique(np.frombuffer(b"".join(self.unit_pairs), np.int64), return_inverse=True)
+        flat = [np.zeros(0, np.int64)]
+        counts = np.concatenate(self.counts + flat)
+        pairs, pair_of = np.unique(np.concatenate(self.pairs + flat), return_inverse=True)
         starts = np.concatenate([[0], np.cumsum(counts)])
+        sizes, doc_units, totals = np.concatenate(self.doc_sizes), np.concatenate(self.units), np.concatenate(self.totals)
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
         held = np.zeros(len(pairs), np.int64)
-        for unit in self.units:
-            some = pair_of[_ranges(starts[unit], counts[unit])]
-            held[np.unique(some)] += 1
-        n = len(self.rows)
-        bounds = np.concatenate([[0], np.cumsum([len(one) for one in self.units])]).astype("<i8")
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
-        names = ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "groups")
+        for begin, end in zip(bounds.tolist(), bounds[1:].tolist()):
+            unit = doc_units[begin:end]
+            held[np.unique(pair_of[_ranges(starts[unit], counts[unit])])] += 1
         columns = {"doc_id": pa.concat_arrays(self.ids)}
-        columns |= {name: pa.array([row[at] for row in self.rows], kind) for at, (name, kind) in enumerate(zip(names, kinds))}
+        columns |= {name: pa.array(totals[:, at].copy()) for at, name in enumerate(("n_a", "n_b", "n_groups", "n_links"))}
+        columns |= {"groups_sha256": pa.array(self.digests, pa.string()), "groups": pa.array(self.groups, pa.string())}
+        lists = {name: (len(totals), values) for name, values in columns.items()}
+        lists |= {"pair": (len(pairs), pa.array(pairs)), "held": (len(pairs), pa.array(held))}
         packed = {
-            "doc_bounds": bounds, "doc_units": np.concatenate(self.units), "doc_times": np.concatenate(self.times),
-            "unit_bounds": starts.astype("<i8"), "unit_pairs": pair_of.astype("<u4"),
-            "unit_times": np.frombuffer(b"".join(self.unit_times), np.int64)}
-        one = {name: pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), values) for name, values in columns.items()}
-        both = {"pair": pa.array(pairs), "held": pa.array(held)}
-        one |= {name: pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), values) for name, values in both.items()}
-        one |= {name: pa.array([values.tobytes()], pa.binary()) for name, values in packed.items()}
-        return pa.RecordBatch.from_pydict({"chunk": pa.array([number], pa.int64()), **one})
+            "doc_bounds": bounds.astype("<i8"), "doc_units": doc_units.astype("<u4"), "doc_times": np.concatenate(self.times).astype("<u4"),
+            "unit_bounds": starts.astype("<i8"), "unit_pairs": pair_of.astype("<u4"), "unit_times": np.concatenate(self.pair_times + flat)}
+        return pa.RecordBatch.from_pydict({
+            "chunk": pa.array([number], pa.int64()),
+            **{name: pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), values) for name, (n, values) in lists.items()},
+            **{name: pa.array([values.tobytes()], pa.binary()) for name, values in packed.items()}})
 
 
 def _schema(id_type: str) -> str:
@@ -296,7 +285,7 @@ def chunked(docs: DataFrame, path_a: str, path_b: str, with_groups: bool = False
             if chunk.held >= CHUNK_BYTES:
                 yield chunk.row(number)
                 number, chunk = number + 1, Chunk(aligner)
-        if chunk.rows:
+        if chunk.ids:
             yield chunk.row(number)
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
