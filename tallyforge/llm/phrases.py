@@ -7,7 +7,7 @@ a third of all places becomes many prefixes. Prefixes are put together into grou
 sends each group its suffixes, cut to five words, and each group builds its subtrees alone (``subtrees``): level by level, a node's
 children are its distinct next words, and a child's leaves are counted. Children below the least count hold no frequent phrase.
 
-A chunk learns the numbers of its own words and prefixes by joins on the chunk's distinct ones; no vocabulary is broadcast.
+A chunk learns the numbers of its own words and prefixes by joins on the chunk's distinct ones.
 
 Edge cases: null and empty texts and pieces hold no words; a null language counts as ``und``; repeated rows and ids count once each; an
 empty table gives an empty result; a text longer than a chunk is a chunk of its own; other columns are ignored.
@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,9 +32,13 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 #: Occurrences that a group takes at most; a prefix with more is extended. A group's suffixes are 20 bytes each.
-BUDGET = 2_000_000
+BUDGET = 1_000_000
 #: Bytes of text in a chunk.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 12 << 20
+#: Frequent words up to this number (some 50 MB) are broadcast, more are joined by a shuffle.
+MOST_BROADCAST = 500_000
+#: Groups below 0: prefixes to be extended, prefixes of five words, words that begin no frequent phrase.
+HEAVY, LEAF, NOWHERE = -1, -2, -3
 
 #: A piece ends at any of these, words are separated by space or tab.
 _ENDS, _MARK = b".,;:!?\n\x0b\x0c\r", b"."
@@ -102,7 +107,7 @@ def grouped(nodes: DataFrame, budget: int) -> DataFrame:
     placed = place_in_blocks(nodes.where(F.col("n") <= budget), [asc("node")])
     totals = number_rows(placed, [], [asc("node")], number_as="__row", sums={"__upto": "n"})
     fits = totals.withColumn("group", F.floor((F.col("__upto") - 1) / budget).cast("long")).select(*nodes.columns, "group")
-    return fits.unionByName(nodes.where(F.col("n") > budget).withColumn("group", F.lit(-1).cast("long")))
+    return fits.unionByName(nodes.where(F.col("n") > budget).withColumn("group", F.lit(HEAVY).cast("long")))
 
 
 class Walk:
@@ -129,16 +134,29 @@ def _at(stream: np.ndarray, places: np.ndarray, ahead: int) -> np.ndarray:
     return stream[np.minimum(places + ahead, len(stream) - 1)]  # the last one is a zero
 
 
+def _opened(group: pa.Table, prefixes: pa.Table) -> tuple[np.ndarray, np.ndarray, Walk]:
+    """A chunk's words as corpus-wide numbers (0: piece end or rare word), the group of each as a prefix of its own, and the longer prefixes."""
+    local = np.frombuffer(group.column("stream")[0].as_py(), "<u4")
+    single = pa.compute.equal(prefixes.column("depth"), 1)
+    first = prefixes.filter(single)
+    node, goes = np.zeros(int(local.max(initial=0)) + 1, "<u4"), np.full(int(local.max(initial=0)) + 1, NOWHERE)
+    place = first.column("word").to_numpy()
+    node[place], goes[place] = first.column("node").to_numpy(), first.column("group").to_numpy()
+    return node[local], goes[local], Walk(prefixes.filter(pa.compute.invert(single)))
+
+
 def extended(chunks: DataFrame, known: DataFrame, depth: int) -> DataFrame:
     """(chunk, parent, word, n): how often a word follows the prefixes of ``depth`` words that exceed the budget."""
 
     def count(group: pa.Table, prefixes: pa.Table) -> pa.Table:
-        walk, stream = Walk(prefixes), np.frombuffer(group.column("stream")[0].as_py(), "<u4")
-        places = np.flatnonzero(stream)
-        node = np.zeros(len(places), np.uint32)
-        for ahead in range(depth):
+        if not group.num_rows:
+            return pa.table({name: pa.array([], pa.int64()) for name in ("chunk", "parent", "word", "n")})
+        stream, goes, walk = _opened(group, prefixes)
+        places = np.flatnonzero(goes == HEAVY)
+        node = stream[places]
+        for ahead in range(1, depth):
             node, heavy = walk.step(node, _at(stream, places, ahead))
-            keep = (node > 0) & (heavy == -1)
+            keep = (node > 0) & (heavy == HEAVY)
             places, node = places[keep], node[keep]
         word = _at(stream, places, depth)
         key, counts = np.unique((node[word > 0].astype(np.uint64) << np.uint64(32)) | word[word > 0], return_counts=True)
@@ -147,76 +165,81 @@ def extended(chunks: DataFrame, known: DataFrame, depth: int) -> DataFrame:
             "parent": pa.array((key >> np.uint64(32)).astype(np.int64)), "word": pa.array((key & np.uint64(0xFFFFFFFF)).astype(np.int64)),
             "n": pa.array(counts.astype(np.int64))})
 
-    return chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
-        lambda one, other: count(one, other) if one.num_rows else _NO_PREFIXES, "chunk long, parent long, word long, n long")
-
-
-_NO_PREFIXES = pa.table({name: pa.array([], pa.int64()) for name in ("chunk", "parent", "word", "n")})
+    return chunks.groupBy("chunk").cogroup(known.groupBy("of")).applyInArrow(count, "chunk long, parent long, word long, n long")
 
 
 def partitioned(chunks: DataFrame, known: DataFrame, n_nodes: int, least: int, budget: int) -> tuple[DataFrame, list[DataFrame]]:
     """The prefixes every chunk needs, and per level the frequent prefixes of two words or more: parent, word, n, node, group.
 
-    ``chunks`` has chunk and stream, ``known`` the level of single words: chunk, parent (0), word, node, group.
+    ``known`` is the level of single words: of (their chunk), depth, parent (0), word (its place in the chunk), node, group.
     """
     levels = []
     for depth in range(1, LONGEST):
-        if known.where("depth = %d AND group = -1" % depth).isEmpty():
+        if known.where((F.col("depth") == depth) & (F.col("group") == HEAVY)).isEmpty():
             break
-        met = written(extended(chunks, known.drop("depth"), depth), "extended")
+        met = written(extended(chunks, known, depth), "extended")
         totals = met.groupBy("parent", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
         order = [desc("n"), asc("parent"), asc("word")]
         rows = written(number_rows(place_in_blocks(totals, order), [], order, number_as="node").withColumn(
             "node", F.col("node") + n_nodes), "prefixes")
         n_nodes += rows.count()
-        # numbers of groups follow those of the levels before; five words are a leaf and need no group
-        first = (known.agg(F.max("group").alias("g")).first()[0] or 0) + 1
-        fits = grouped(rows, budget if depth + 1 < LONGEST else 1 << 62).withColumn(
-            "group", F.when(F.col("group") >= 0, F.col("group") + first).otherwise(F.col("group")))
-        fits = written(fits if depth + 1 < LONGEST else fits.withColumn("group", F.lit(-2).cast("long")), "prefixes")
-        levels.append(fits.withColumn("depth", F.lit(depth + 1)))
-        back = met.select("chunk", "parent", "word").join(fits.drop("n"), ["parent", "word"])
+        if depth + 1 < LONGEST:
+            # numbers of groups follow those of the levels before
+            first = max(known.agg(F.max("group").alias("g")).first()[0], 0) + 1
+            fits = grouped(rows, budget).withColumn("group", F.when(F.col("group") == HEAVY, HEAVY).otherwise(F.col("group") + first))
+        else:
+            fits = rows.withColumn("group", F.lit(LEAF).cast("long"))
+        fits = written(fits, "prefixes")
+        levels.append(fits)
+        back = met.withColumnRenamed("chunk", "of").select("of", "parent", "word").join(fits.drop("n"), ["parent", "word"])
         known = written(known.unionByName(back.withColumn("depth", F.lit(depth + 1))), "known")
     return known, levels
 
 
 def suffixes(chunks: DataFrame, known: DataFrame) -> DataFrame:
-    """(group, suffixes): per chunk and group the suffixes of two words or more, packed, as five planes of numbers."""
+    """(group, n, suffixes): per chunk and group the n suffixes of two words or more, as compressed planes of their numbers' bytes."""
 
     def route(group: pa.Table, prefixes: pa.Table) -> pa.Table:
-        walk, stream = Walk(prefixes), np.frombuffer(group.column("stream")[0].as_py(), "<u4")
+        if not group.num_rows:
+            return pa.table({"group": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "suffixes": pa.array([], pa.binary())})
+        stream, goes, walk = _opened(group, prefixes)
         places = np.flatnonzero((stream[:-1] > 0) & (stream[1:] > 0))
-        node, goes = np.zeros(len(places), np.uint32), np.full(len(places), -1, np.int64)
-        for ahead in range(LONGEST - 1):
-            on = np.flatnonzero(goes == -1)
+        goes, node = goes[places], stream[places]
+        for ahead in range(1, LONGEST - 1):
+            on = np.flatnonzero(goes == HEAVY)
             if not len(on):
                 break
             node[on], goes[on] = walk.step(node[on], _at(stream, places[on], ahead))
-            goes[on[node[on] == 0]] = -3  # no frequent phrase begins so
+            goes[on[node[on] == 0]] = NOWHERE  # no frequent phrase begins so
         places, goes = places[goes >= 0], goes[goes >= 0]
-        order = np.argsort(goes, kind="stable")
+        # neighbours alike compress well
+        order = np.argsort((stream[places].astype(np.uint64) << np.uint64(32)) | stream[places + 1])
+        order = order[np.argsort(goes[order], kind="stable")]
         places, goes = places[order], goes[order]
-        planes = [_at(stream, places, 0)]
+        planes = np.zeros((LONGEST, len(places)), "<u4")
+        planes[0] = stream[places]
         for ahead in range(1, LONGEST):
-            planes.append(np.where(planes[-1] > 0, _at(stream, places, ahead), 0).astype("<u4"))
-        starts = np.flatnonzero(np.concatenate([[True], goes[1:] != goes[:-1]])) if len(goes) else np.zeros(0, np.int64)
-        ends = [*starts[1:].tolist(), len(goes)]
-        rows = [b"".join(plane[a:b].tobytes() for plane in planes) for a, b in zip(starts.tolist(), ends)]
-        return pa.table({"group": pa.array(goes[starts]), "suffixes": pa.array(rows, pa.binary())})
+            planes[ahead] = np.where(planes[ahead - 1] > 0, _at(stream, places, ahead), 0)
+        by_byte = planes.view(np.uint8).reshape(LONGEST, len(places), 4)
+        starts = np.flatnonzero(np.diff(goes, prepend=-1))
+        ends = np.append(starts[1:], len(goes))
+        rows = [pa.compress(np.ascontiguousarray(by_byte[:, a:b].transpose(0, 2, 1)), codec="zstd", asbytes=True)
+                for a, b in zip(starts.tolist(), ends.tolist())]
+        return pa.table({"group": pa.array(goes[starts]), "n": pa.array(ends - starts), "suffixes": pa.array(rows, pa.binary())})
 
-    return chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
-        lambda one, other: route(one, other) if one.num_rows else _NO_SUFFIXES, "group long, suffixes binary")
+    return chunks.groupBy("chunk").cogroup(known.groupBy("of")).applyInArrow(route, "group long, n long, suffixes binary")
 
 
-_NO_SUFFIXES = pa.table({"group": pa.array([], pa.int64()), "suffixes": pa.array([], pa.binary())})
+def _planes(n: int, packed: bytes) -> np.ndarray:
+    by_byte = np.frombuffer(pa.decompress(packed, n * LONGEST * 4, codec="zstd", asbytes=True), np.uint8).reshape(LONGEST, 4, n)
+    return np.ascontiguousarray(by_byte.transpose(0, 2, 1)).view("<u4").reshape(LONGEST, n)
 
 
 def subtrees(sent: DataFrame, least: int) -> DataFrame:
     """(ids, f): the phrases of two words or more, as packed 32-bit numbers, that occur ``least`` times in a group's suffixes."""
 
     def grow(group: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(one.as_py(), "<u4").reshape(LONGEST, -1) for one in group.column("suffixes")]
-        planes = [np.concatenate([part[at] for part in parts]) for at in range(LONGEST)]
+        planes = np.concatenate([_planes(n.as_py(), one.as_py()) for n, one in zip(group.column("n"), group.column("suffixes"))], 1)
         rows = np.arange(len(planes[0]))
         node = planes[0].astype(np.uint64)  # nodes of a level are numbered anew, the first level by its words
         spelt = {int(word): np.array([word], "<u4").tobytes() for word in np.unique(planes[0])}
@@ -249,21 +272,16 @@ def counts(docs: DataFrame, least: int = LEAST, budget: int = BUDGET) -> tuple[D
     sizes = written(words.groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
     frequent = numbered(words.where(F.col("n") >= least))
     of_word = written(grouped(frequent.select("node", "n"), budget).select("node", "group").join(frequent, "node"), "nodes")
-    met = written(own.select("chunk", "place", "lang", "word").join(
-        of_word.select("lang", "word", "node", "group"), ["lang", "word"]).select("chunk", "place", "node", "group"), "met")
-
-    def renumber(group: pa.Table, known: pa.Table) -> pa.Table:
-        stream = np.frombuffer(group.column("stream")[0].as_py(), "<u4")
-        node = np.zeros(int(stream.max(initial=0)) + 1, "<u4")
-        node[known.column("place").to_numpy()] = known.column("node").to_numpy()
-        return pa.table({"chunk": group.column("chunk"), "stream": pa.array([node[stream].tobytes()], pa.binary())})
-
-    empty = pa.table({"chunk": pa.array([], pa.int64()), "stream": pa.array([], pa.binary())})
-    streams = written(chunks.select("chunk", "stream").groupBy("chunk").cogroup(met.groupBy("chunk")).applyInArrow(
-        lambda one, other: renumber(one, other) if one.num_rows else empty, "chunk long, stream binary"), "streams")
-    single = met.select("chunk", F.lit(0).cast("long").alias("parent"), F.col("node").alias("word"), "node", "group", F.lit(1).alias("depth"))
-    known, levels = partitioned(streams, single, frequent.count(), least, budget)
-    found = subtrees(suffixes(streams, known.select("chunk", "parent", "word", "node", "group")), least)
+    # every word of a chunk with its number, 0 for a rare one; a dictionary is broadcast below a stated size only
+    numbers = of_word.select("lang", "word", "node", "group")
+    n_frequent = frequent.count()
+    numbers = F.broadcast(numbers) if n_frequent <= MOST_BROADCAST else numbers
+    met = written(own.select(F.col("chunk").alias("of"), "place", "lang", "word").join(numbers, ["lang", "word"], "left").select(
+        "of", F.col("place").cast("long").alias("word"), F.coalesce("node", F.lit(0)).alias("node"), F.coalesce("group", F.lit(NOWHERE)).alias("group")), "met")
+    single = met.where("node > 0").select("of", F.lit(1).alias("depth"), F.lit(0).cast("long").alias("parent"), "word", "node", "group")
+    streams = chunks.select("chunk", "stream")
+    known, levels = partitioned(streams, single, n_frequent, least, budget)
+    found = subtrees(suffixes(streams, known), least)
     found = found.unionByName(frequent.select(_packed(F.col("node")).alias("ids"), F.col("n").alias("f")))
     # prefixes that were extended, and those of five words, are in no group
     spelt = frequent.select("node", _packed(F.col("node")).alias("ids"))
