@@ -38,7 +38,7 @@ BINS = BANDS * ROWS
 LEAST = 80
 ATTEMPTS = 64
 #: Nodes of a bucket, and bytes of their sets, that make a block; two blocks are compared together.
-BLOCK, BLOCK_BYTES = 256, 16 << 20
+BLOCK, BLOCK_BYTES = 1024, 16 << 20
 #: Shingles whose intersections are counted in one step.
 COLUMNS = 8192
 
