@@ -20,11 +20,6 @@ def test_query_equals_oracle(spark, con, name):
     assert compare.differences(entry.queries()[name](spark, DATA), con, ORACLE[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(ORACLE) - set(catalog.queries())))
-def test_training_query_equals_oracle(spark, con, name):
-    assert compare.differences(entry.queries()[name](spark, DATA), con, ORACLE[name]) == []
-
-
 def test_names_match():
     assert set(catalog.queries()) <= set(ORACLE) <= set(entry.queries())
 
