@@ -162,15 +162,6 @@ def test_pointers_reach_the_end_of_long_chains():
     assert set(a.tolist()) == set(b.tolist()) == {0}
 
 
-def test_memory_of_units_is_bounded(monkeypatch):
-    monkeypatch.setattr(token_alignment, "REMEMBERED", 10)
-    aligner = token_alignment.Aligner(A, B)
-    for begin in range(0, 60, 6):
-        keys = [f"w{i}" for i in range(begin, begin + 6)]
-        assert [one.sizes for one in aligner.of(keys)] == [one.sizes for one in token_alignment.Aligner(A, B).of(keys)]
-        assert len(aligner.known) <= 16
-
-
 def test_alignment_of_nothing(spark):
     assert token_alignment.aligned(table(spark, []), A, B).count() == 0
 
