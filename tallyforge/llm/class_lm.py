@@ -5,8 +5,9 @@ exchange algorithm: each word moves to the class that raises the likelihood of t
 
 1. Documents are dealt to chunks. Each chunk numbers its distinct words; their counts, packed and split by hash, are summed
    per hash range and handed back to the chunks that asked, so a word costs one entry per chunk, not one per occurrence.
-2. Each chunk turns its documents into numbers of units and sums what depends on the words alone. Both tables are bucketed by
-   chunk, so that later steps read a chunk's documents without a shuffle.
+2. Each chunk turns its documents into numbers of units, one line of all of them in one row, training documents first, and sums
+   per document what depends on the words alone. Both tables are bucketed by chunk, so that later steps read a chunk without a
+   shuffle, and a round reads one row of it.
 3. In an exchange round every chunk counts which classes stand before and after the units of this turn, the counts are summed
    per unit in ranges of hashes, each range decides its units' moves, and the new classes go back to the chunks that have these
    units, one byte each. A unit may move once in ``TURNS`` rounds. Only the table of class bigrams is sent to every task.
@@ -18,7 +19,8 @@ probability of an unknown word (one event, as in the base score).
 
 Only class bigrams reach the driver or a closure; counts cover all documents.
 Edge cases: null and empty texts hold the end token alone; repeated rows count as often as they occur; a missing id counts
-as an empty text in the fold; without training tokens the model's score is the base score; other columns are ignored.
+as an empty text in the fold; without training tokens the model's score is the base score; a text longer than a chunk is a
+chunk's whole or more and is held in one task, as any row is; an empty table has no scores; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -104,12 +107,19 @@ def dealt(docs: DataFrame) -> tuple[DataFrame, int]:
         F.pmod(F.xxhash64(UID), F.lit(chunks)).cast("int").alias("chunk")), chunks
 
 
-def _bucketed(df: DataFrame, label: str, buckets: int) -> DataFrame:
-    """``df`` as a table in the shared folder that is read by chunk without a shuffle."""
-    name = f"llm_{uuid.uuid4().hex}"
-    df.write.format("parquet").option("compression", "zstd").option("path", fresh_path(df.sparkSession, label)).bucketBy(
-        buckets, "chunk").saveAsTable(name)
-    return df.sparkSession.table(name)
+def _bucketed(df: DataFrame, label: str, chunks: int) -> DataFrame:
+    """``df`` as a table in the shared folder that is read by chunk without a shuffle.
+
+    With fewer buckets than a shuffle has partitions, a grouping by chunk would deal the rows anew. Above the most buckets that
+    Spark allows a bucket holds several chunks, one after the other. Only the catalog's entry goes again, not the files.
+    """
+    spark, name = df.sparkSession, f"llm_{uuid.uuid4().hex}"
+    least, most = (int(spark.conf.get(f"spark.sql.{key}")) for key in ("shuffle.partitions", "sources.bucketing.maxBuckets"))
+    df.write.format("parquet").option("compression", "zstd").option("path", fresh_path(spark, label)).bucketBy(
+        min(max(chunks, least), most), "chunk").saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -202,9 +212,10 @@ def _once_hashes() -> np.ndarray:
 
 
 def coded(numbers: DataFrame, totals: DataFrame, tokens: int, distinct: int) -> DataFrame:
-    """Per document: chunk, doc_id, train, n_tokens, n_known, base_score, log_counts (of its known tokens) and ``numbers``
-    of the chunk's units. One row of a chunk, of a training document if it has any, has the hashes of these units, in order,
-    and which are shared by words seen once, packed."""
+    """Per document: chunk, doc_id, train, n_tokens, n_known, base_score, log_counts (of its known tokens) and ``begin``, where it
+    begins in its chunk's line. One row of a chunk, of a training document if it has any, has this line (numbers of the chunk's
+    units, of all documents, training documents first), ``trained``, the tokens of training documents, the hashes of the units,
+    in order, and which are shared by words seen once, packed."""
     shift = math.log10(tokens + distinct + 1)
 
     def code(texts: pa.Table, vocabulary: pa.Table) -> pa.Table:
@@ -219,18 +230,22 @@ def coded(numbers: DataFrame, totals: DataFrame, tokens: int, distinct: int) ->
         place = place.astype("<u4") | np.where(counts == 0, np.uint32(UNKNOWN), np.uint32(0)).astype("<u4")
         log_more, log_own = np.log10(counts + 1.0), np.log10(np.maximum(counts, 1))
         lines = [np.frombuffer(value, "<u4") for value in texts.column("numbers").to_pylist()]
-        train = texts.column("train").to_pylist()
-        keeper = train.index(True) if True in train else 0
-        only = lambda value: pa.array([value if at == keeper else None for at in range(len(lines))], pa.binary())
+        train = np.array(texts.column("train").to_pylist(), bool)
+        order, sizes = np.argsort(~train, kind="stable"), np.array([len(one) for one in lines], np.int64)
+        begin = np.empty(len(lines), np.int64)
+        begin[order] = np.cumsum(sizes[order]) - sizes[order]
+        only = lambda value, kind=pa.binary(): pa.array([value if at == order[0] else None for at in range(len(lines))], kind)
         return pa.table({
             "chunk": texts.column("chunk"),
             "doc_id": texts.column("doc_id"),
             "train": texts.column("train"),
-            "n_tokens": pa.array([len(one) for one in lines], pa.int64()),
+            "n_tokens": pa.array(sizes),
             "n_known": pa.array([int((counts[one] > 0).sum()) for one in lines], pa.int64()),
             "base_score": pa.array([float(log_more[one].sum()) - len(one) * shift for one in lines], pa.float64()),
             "log_counts": pa.array([float(log_own[one].sum()) for one in lines], pa.float64()),
-            "numbers": pa.array([place[one].tobytes() for one in lines], pa.binary()),
+            "begin": pa.array(begin),
+            "line": only(b"".join(place[lines[at]].tobytes() for at in order)),
+            "trained": only(int(sizes[train].sum()), pa.int64()),
             "hashes": only(units.astype("<u8").tobytes()),
             "shared": only(shared.tobytes()),
         })
@@ -238,7 +253,7 @@ def coded(numbers: DataFrame, totals: DataFrame, tokens: int, distinct: int) ->
     id_type = dict(numbers.dtypes)["doc_id"]
     return numbers.drop("counts").groupBy("chunk").cogroup(totals.where("chunk >= 0").groupBy("chunk")).applyInArrow(
         code, f"chunk int, doc_id {id_type}, train boolean, n_tokens long, n_known long, base_score double, log_counts double, "
-              "numbers binary, hashes binary, shared binary")
+              "begin long, line binary, trained long, hashes binary, shared binary")
 
 
 MOVED = "chunk int, turn int, part int, classes binary"
@@ -249,24 +264,23 @@ def _turns(hashes: np.ndarray) -> np.ndarray:
 
 
 class _Chunk:
-    """The units of a chunk with their present classes, and its training documents in one row."""
+    """The units of a chunk with their present classes, and its line, from the one row that has them."""
 
     def __init__(self, texts: pa.Table, moved: pa.Table):
-        first = lambda name, kind: np.frombuffer(next((v for v in texts.column(name).to_pylist() if v is not None), b""), kind)
-        self.hashes, self.shared = first("hashes", "<u8"), first("shared", "u1").astype(bool)
+        row = texts.filter(pa.compute.is_valid(texts.column("hashes"))).slice(0, 1)
+        first = lambda name, kind: np.frombuffer(row.column(name)[0].as_py() if row.num_rows else b"", kind)
+        self.hashes, self.shared, self.line = first("hashes", "<u8"), first("shared", "u1").astype(bool), first("line", "<u4")
         self.turns = _turns(self.hashes)
-        self.classes = ((self.hashes >> np.uint64(8)) % np.uint64(CLASSES)).astype(np.int64)
+        self.classes = ((self.hashes >> np.uint64(8)) % np.uint64(CLASSES)).astype(np.uint8)
         moved = moved.sort_by([("turn", "ascending"), ("part", "ascending")])  # a chunk's units are in order of their hashes
         turn = np.array(moved.column("turn").to_pylist(), np.int64)
         packed = moved.column("classes").to_pylist()
         for at in np.unique(turn):
             self.classes[self.turns == at] = np.frombuffer(b"".join(packed[i] for i in np.flatnonzero(turn == at)), "u1")
 
-    def line(self, texts: pa.Table) -> np.ndarray:
-        """An end before the first document; every document ends with its end."""
-        values = [v for v, train in zip(texts.column("numbers").to_pylist(), texts.column("train").to_pylist()) if train]
-        line = np.frombuffer(b"".join(values), "<u4").astype(np.int64)
-        return np.concatenate([line[-1:], line])
+    def after_an_end(self) -> np.ndarray:
+        """The line with an end before the first document; every document ends with its end."""
+        return np.concatenate([self.line[-1:], self.line])
 
 
 def _with_classes(units: DataFrame, moved: list[DataFrame], run, schema: str) -> DataFrame:
@@ -275,6 +289,12 @@ def _with_classes(units: DataFrame, moved: list[DataFrame], run, schema: str) ->
     return units.groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(run, schema)
 
 
+def _training_lines(units: DataFrame) -> DataFrame:
+    """One row per chunk: its units, and the training documents of its line."""
+    cut = F.expr(f"substring(line, 1, cast({np.dtype('<u4').itemsize} * trained as int))")
+    return units.where("hashes IS NOT NULL").select("chunk", "hashes", "shared", cut.alias("line"))
+
+
 def contexts(units: DataFrame, moved: list[DataFrame], turn: int, parts: int) -> DataFrame:
     """Per chunk and range of hashes: the units of this turn with their classes, and how often each class stands before and
     after each of them (keys are unit * 2 * CLASSES + side * CLASSES + class), all packed."""
@@ -286,11 +306,11 @@ def contexts(units: DataFrame, moved: list[DataFrame], turn: int, parts: int) ->
         if len(some):
             slot = np.full(len(own.hashes), -1, np.int64)
             slot[some] = np.arange(len(some))
-            line = own.line(texts)
+            line = own.after_an_end()
             kinds, slots = own.classes[line], slot[line]
-            here, ahead = slots[1:] >= 0, slots[:-1] >= 0
-            keys = np.concatenate([slots[1:][here] * 2 * CLASSES + kinds[:-1][here],
-                                   (slots[:-1][ahead] * 2 + 1) * CLASSES + kinds[1:][ahead]])
+            at = np.flatnonzero(slots >= 0)
+            here, ahead = at[at > 0], at[at < len(line) - 1]
+            keys = np.concatenate([slots[here] * 2 * CLASSES + kinds[here - 1], (slots[ahead] * 2 + 1) * CLASSES + kinds[ahead + 1]])
             counts = np.bincount(keys, minlength=len(some) * 2 * CLASSES)
             keys = np.flatnonzero(counts)
             counts = counts[keys]
@@ -308,13 +328,15 @@ def contexts(units: DataFrame, moved: list[DataFrame], turn: int, parts: int) ->
             "chunk": pa.array([texts.column("chunk")[0].as_py()] * len(found) if found else [], pa.int32()),
             "hashes": binary(1), "classes": binary(2), "keys": binary(3), "counts": binary(4)})
 
-    columns = units.select("chunk", "train", "numbers", "hashes", "shared")
-    return _with_classes(columns.withColumn("numbers", F.when(F.col("train"), F.col("numbers"))), moved, run,
+    return _with_classes(_training_lines(units), moved, run,
                          "part int, chunk int, hashes binary, classes binary, keys binary, counts binary")
 
 
 def _phi(x: np.ndarray) -> np.ndarray:
-    return x * np.log(np.maximum(x, 1))
+    out = np.maximum(x, 1.0)
+    np.log(out, out)
+    out *= x
+    return out
 
 
 def exchanged(keys: np.ndarray, counts: np.ndarray, own: np.ndarray, pairs: np.ndarray) -> np.ndarray:
@@ -352,8 +374,11 @@ def exchanged(keys: np.ndarray, counts: np.ndarray, own: np.ndarray, pairs: np.n
             rest[np.arange(len(x)), old[x]] -= z[:, 0]
             within = y == old[x]
             rest[within] -= other[x[within]]
-            rest = np.maximum(rest, 0)
-            sums.append(np.add.reduceat(_phi(rest + z) - _phi(rest), np.searchsorted(x, all_of), axis=0))
+            np.maximum(rest, 0, out=rest)
+            risen = _phi(rest)
+            rest += z
+            np.subtract(_phi(rest), risen, out=risen)
+            sums.append(np.add.reduceat(risen, np.searchsorted(x, all_of), axis=0))
         corner = np.tile(np.diagonal(now), (many, 1))
         corner[all_of, old] -= before[all_of, old] + after[all_of, old]
         corner = np.maximum(corner, 0)
@@ -426,14 +451,13 @@ def _measured(units: DataFrame, moved: list[DataFrame]) -> Classes:
         flat = np.zeros(CLASSES * (CLASSES + 1), np.int64)
         if texts.num_rows:
             own = _Chunk(texts, rows)
-            line = own.line(texts)
-            kinds = own.classes[line]
+            line = own.after_an_end()
+            kinds = own.classes[line].astype(np.int16)
             flat[:CLASSES ** 2] = np.bincount(kinds[:-1] * CLASSES + kinds[1:], minlength=CLASSES ** 2)
             flat[CLASSES ** 2:] = np.bincount(kinds[1:][own.shared[line[1:]]], minlength=CLASSES)
         return pa.table({"at": pa.array(range(len(flat)), pa.int32()), "n": pa.array(flat)})
 
-    columns = units.select("chunk", "train", "numbers", "hashes", "shared")
-    table = _with_classes(columns.withColumn("numbers", F.when(F.col("train"), F.col("numbers"))), moved, run, "at int, n long")
+    table = _with_classes(_training_lines(units), moved, run, "at int, n long")
     found = np.zeros(CLASSES * (CLASSES + 1), np.int64)
     for row in table.groupBy("at").agg(F.sum("n").alias("n")).collect():
         found[row["at"]] = row["n"]  # CLASSES * (CLASSES + 1) rows
@@ -471,9 +495,11 @@ def classed(units: DataFrame, moved: list[DataFrame]) -> DataFrame:
     def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return texts.append_column("units", pa.array([], pa.binary()))
-        own, lines = _Chunk(texts, rows), [np.frombuffer(v, "<u4") for v in texts.column("numbers").to_pylist()]
-        codes = [(own.classes[line & np.uint32(UNKNOWN - 1)] + CLASSES * (line >= UNKNOWN)).astype("<u2") for line in lines]
-        return texts.append_column("units", pa.array([one.tobytes() for one in codes], pa.binary()))
+        own = _Chunk(texts, rows)
+        codes = own.classes[own.line & np.uint32(UNKNOWN - 1)].astype("<u2")
+        codes[own.line >= UNKNOWN] += CLASSES
+        places = zip(texts.column("begin").to_pylist(), texts.column("n_tokens").to_pylist())
+        return texts.append_column("units", pa.array([codes[at:at + n].tobytes() for at, n in places], pa.binary()))
 
     schema = ", ".join(f"`{name}` {kind}" for name, kind in units.dtypes)
     return _with_classes(units, moved, run, f"{schema}, units binary")
