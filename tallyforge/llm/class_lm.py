@@ -346,23 +346,22 @@ def exchanged(keys: np.ndarray, counts: np.ndarray, own: np.ndarray, pairs: np.n
     counts all class bigrams. The likelihood is compared with a unit taken out of its class and put into each other one.
     Frequent units go first and see the moves before them; units are taken together up to a small share of all tokens.
     """
-    own, now = own.copy(), pairs.astype(float)
-    unit = keys // (2 * CLASSES)
-    size = np.bincount(unit, counts * (keys // CLASSES % 2 == 0), minlength=len(own))
+    own, now, around_one = own.copy(), pairs.astype(float), 2 * CLASSES
+    begins = np.searchsorted(keys, np.arange(len(own) + 1) * around_one)  # keys are in order: a unit's stand together
+    before_it = np.concatenate([[0], np.cumsum(np.where(keys % around_one < CLASSES, counts, 0), dtype=np.float64)])
+    size = before_it[begins[1:]] - before_it[begins[:-1]]
+    del before_it
     order = np.argsort(-size, kind="stable")[:np.count_nonzero(size)]  # the others have no contexts
-    rank = np.empty(len(own), np.int64)
-    rank[order] = np.arange(len(order))
-    sort = np.argsort(rank[unit], kind="stable")
-    unit, side, kind, n = rank[unit][sort], (keys // CLASSES % 2)[sort], (keys % CLASSES)[sort], counts[sort].astype(float)
-    starts = np.searchsorted(unit, np.arange(len(order) + 1))
     upto = np.cumsum(size[order])
     most = STEP_SHARE * pairs.sum()
     first = 0
     while first < len(order):
         held = upto[first - 1] if first else 0
         last = min(max(first + 1, int(np.searchsorted(upto, held + most, "right"))), first + STEP_UNITS, len(order))
-        some, these, many = order[first:last], slice(starts[first], starts[last]), last - first
-        w, s, k, b = unit[these] - first, side[these], kind[these], n[these]
+        some, many = order[first:last], last - first
+        w = np.repeat(np.arange(many), begins[some + 1] - begins[some])
+        these = np.concatenate([np.arange(begins[one], begins[one + 1]) for one in some])
+        s, k, b = (keys[these] // CLASSES % 2).astype(np.int64), (keys[these] % CLASSES).astype(np.int64), counts[these].astype(float)
         around = np.zeros((many, 2, CLASSES))
         around[w, s, k] = b
         before, after, old, all_of = around[:, 0], around[:, 1], own[some], np.arange(many)
@@ -401,6 +400,27 @@ def exchanged(keys: np.ndarray, counts: np.ndarray, own: np.ndarray, pairs: np.n
     return own
 
 
+def _merged(group: pa.Table, place: np.ndarray, ends: np.ndarray, distinct: int) -> tuple[np.ndarray, np.ndarray]:
+    """The contexts of all chunks of a range, summed: keys in order, and counts.
+
+    A task holds no more than these, their order and one copy: the chunks' keys are taken one by one, as narrow as they fit.
+    """
+    sizes = [len(value.as_buffer()) // 4 for value in group.column("keys")]
+    keys = np.empty(sum(sizes), np.uint32 if distinct * 2 * CLASSES < 1 << 32 else np.uint64)
+    counts = np.empty(len(keys), np.uint32)
+    upto = 0
+    for begin, many, key, n in zip([0, *ends[:-1]], sizes, group.column("keys"), group.column("counts")):
+        key = np.frombuffer(key.as_buffer(), "<u4")
+        keys[upto:upto + many] = place[begin + key // (2 * CLASSES)] * (2 * CLASSES) + key % (2 * CLASSES)
+        counts[upto:upto + many] = np.frombuffer(n.as_buffer(), "<u4")
+        upto += many
+    order = np.argsort(keys, kind="stable")  # runs in order, which this sort merges
+    keys, counts = keys[order], counts[order]
+    del order
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(counts, first, dtype=np.int64) if len(first) else counts.astype(np.int64)
+
+
 def _exchanged(units: DataFrame, moved: list[DataFrame], turn: int, parts: int, pairs: np.ndarray) -> DataFrame:
     """The new classes of the units of this turn, packed for the chunks that have them."""
 
@@ -409,13 +429,8 @@ def _exchanged(units: DataFrame, moved: list[DataFrame], turn: int, parts: int,
         ends = np.cumsum([len(one) for one in hashes])
         distinct, first, place = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
         classes = np.frombuffer(b"".join(group.column("classes").to_pylist()), "u1").astype(np.int64)[first]
-        keys = []
-        for begin, value in zip([0, *ends[:-1]], group.column("keys").to_pylist()):
-            key = np.frombuffer(value, "<u4").astype(np.int64)
-            keys.append(place[begin + key // (2 * CLASSES)] * 2 * CLASSES + key % (2 * CLASSES))
-        counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), "<u4")
-        keys, at = np.unique(np.concatenate(keys), return_inverse=True)
-        better = exchanged(keys, np.bincount(at, counts, len(keys)), classes, pairs).astype("u1")
+        keys, counts = _merged(group, place, ends, len(distinct))
+        better = exchanged(keys, counts, classes, pairs).astype("u1")
         return pa.table({
             "chunk": group.column("chunk"),
             "turn": pa.array([turn] * len(hashes), pa.int32()),
