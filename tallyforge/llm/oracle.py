@@ -23,12 +23,17 @@ m AS (SELECT d.doc_id, cast(len(w) AS bigint) AS n_words, cast(length(array_to_s
   cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS bigint) AS n_symbols,
   list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, {WORD})) AS lines,
   length(t) - length(regexp_replace(t, '\p{{Lu}}', '', 'g')) AS capitals, coalesce(inside.n, 0) AS n_repeat_words
-  FROM d LEFT JOIN inside ON inside.doc_id = d.doc_id)
+  FROM d LEFT JOIN inside ON inside.doc_id = d.doc_id),
+e AS (SELECT *, length(array_to_string(lines, '')) AS line_chars, length(array_to_string(list_distinct(lines), '')) AS distinct_chars FROM m),
+f AS (SELECT *, cast((n_words < 50)::int + 2 * (100 * n_repeat_words > 50 * n_words)::int + 4 * (10 * n_symbols > n_words)::int
+  + 8 * (10 * (len(lines) - len(list_distinct(lines))) > 3 * len(lines))::int
+  + 16 * (word_chars < 2 * n_words OR word_chars > 16 * n_words)::int + 32 * (2 * capitals > word_chars)::int
+  + 64 * (n_words > 100000)::int + 128 * (10 * (line_chars - distinct_chars) > 3 * line_chars)::int AS bigint) AS failed FROM e)
 SELECT doc_id, n_words, word_chars, n_symbols, cast(len(lines) - len(list_distinct(lines)) AS bigint) AS n_dup_lines, n_repeat_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > n_words
-    OR 10 * (len(lines) - len(list_distinct(lines))) > 3 * len(lines)
-    OR word_chars < 2 * n_words OR word_chars > 16 * n_words OR 2 * capitals > word_chars) AS kept FROM m"""
+    OR 10 * (line_chars - distinct_chars) > 3 * line_chars
+    OR word_chars < 2 * n_words OR word_chars > 16 * n_words OR 2 * capitals > word_chars) AS kept, failed, 'prose-2' AS policy FROM f"""
 
 MINHASH = rf"""WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), {WORD}) AS w FROM documents),

@@ -52,11 +52,15 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(documents(spark, sf_dir))
 
 
+POLICY = "prose-2"
+
+
 def op8_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = quality_ledger.ledger(documents(spark, sf_dir))
     return entries.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        (~quality_ledger.passes("base-1")).alias("base_failed"), quality_ledger.passes("prose-1").alias("kept"))
+        (~quality_ledger.passes("base-1")).alias("base_failed"), quality_ledger.passes(POLICY).alias("kept"),
+        "failed", F.lit(POLICY).alias("policy"))
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
