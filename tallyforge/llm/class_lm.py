@@ -297,7 +297,8 @@ def _training_lines(units: DataFrame) -> DataFrame:
 
 def contexts(units: DataFrame, moved: list[DataFrame], turn: int, parts: int) -> DataFrame:
     """Per chunk and range of hashes: the units of this turn with their classes, and how often each class stands before and
-    after each of them (keys are unit * 2 * CLASSES + side * CLASSES + class), all packed."""
+    after each of them, all packed: per unit its number of entries, per entry a byte ``around`` (side * CLASSES + class) and a
+    byte ``counts``. A larger count takes several entries, which are summed with those of other chunks."""
 
     def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
         own = _Chunk(texts, rows) if texts.num_rows else None
@@ -313,23 +314,34 @@ def contexts(units: DataFrame, moved: list[DataFrame], turn: int, parts: int) ->
             keys = np.concatenate([slots[here] * 2 * CLASSES + kinds[here - 1], (slots[ahead] * 2 + 1) * CLASSES + kinds[ahead + 1]])
             counts = np.bincount(keys, minlength=len(some) * 2 * CLASSES)
             keys = np.flatnonzero(counts)
-            counts = counts[keys]
+            keys, counts = in_bytes(keys, counts[keys])
+            many = np.bincount(keys // (2 * CLASSES), minlength=len(some)).astype("<u4")
+            around = (keys % (2 * CLASSES)).astype("u1")
             hashes, classes = own.hashes[some], own.classes[some]
             cuts = np.searchsorted(_part(hashes, parts), np.arange(parts + 1, dtype=np.uint64))
             ends = np.searchsorted(keys, cuts * 2 * CLASSES)
             for part in range(parts):
                 a, b, c, d = cuts[part], cuts[part + 1], ends[part], ends[part + 1]
                 if a < b:
-                    found.append((part, hashes[a:b].astype("<u8").tobytes(), classes[a:b].astype("u1").tobytes(),
-                                  (keys[c:d] - a * 2 * CLASSES).astype("<u4").tobytes(), counts[c:d].astype("<u4").tobytes()))
+                    found.append((part, hashes[a:b].astype("<u8").tobytes(), classes[a:b].tobytes(), many[a:b].tobytes(),
+                                  around[c:d].tobytes(), counts[c:d].tobytes()))
         binary = lambda at: pa.array([one[at] for one in found], pa.binary())
         return pa.table({
             "part": pa.array([one[0] for one in found], pa.int32()),
             "chunk": pa.array([texts.column("chunk")[0].as_py()] * len(found) if found else [], pa.int32()),
-            "hashes": binary(1), "classes": binary(2), "keys": binary(3), "counts": binary(4)})
+            "hashes": binary(1), "classes": binary(2), "many": binary(3), "around": binary(4), "counts": binary(5)})
 
     return _with_classes(_training_lines(units), moved, run,
-                         "part int, chunk int, hashes binary, classes binary, keys binary, counts binary")
+                         "part int, chunk int, hashes binary, classes binary, many binary, around binary, counts binary")
+
+
+def in_bytes(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of at most a byte: a key with a larger one is repeated, and its counts add up to it."""
+    most = 255
+    entries = -(-counts // most)
+    small = np.full(int(entries.sum()), most, np.uint8)
+    small[np.cumsum(entries) - 1] = counts - most * (entries - 1)
+    return np.repeat(keys, entries), small
 
 
 def _phi(x: np.ndarray) -> np.ndarray:
@@ -405,15 +417,16 @@ def _merged(group: pa.Table, place: np.ndarray, ends: np.ndarray, distinct: int)
 
     A task holds no more than these, their order and one copy: the chunks' keys are taken one by one, as narrow as they fit.
     """
-    sizes = [len(value.as_buffer()) // 4 for value in group.column("keys")]
+    sizes = [len(value.as_buffer()) for value in group.column("counts")]
     keys = np.empty(sum(sizes), np.uint32 if distinct * 2 * CLASSES < 1 << 32 else np.uint64)
-    counts = np.empty(len(keys), np.uint32)
+    counts = np.empty(len(keys), np.uint8)
     upto = 0
-    for begin, many, key, n in zip([0, *ends[:-1]], sizes, group.column("keys"), group.column("counts")):
-        key = np.frombuffer(key.as_buffer(), "<u4")
-        keys[upto:upto + many] = place[begin + key // (2 * CLASSES)] * (2 * CLASSES) + key % (2 * CLASSES)
-        counts[upto:upto + many] = np.frombuffer(n.as_buffer(), "<u4")
-        upto += many
+    columns = [group.column(name) for name in ("many", "around", "counts")]
+    for begin, end, size, many, around, n in zip([0, *ends[:-1]], ends, sizes, *columns):
+        units = np.repeat(place[begin:end] * (2 * CLASSES), np.frombuffer(many.as_buffer(), "<u4"))
+        keys[upto:upto + size] = units + np.frombuffer(around.as_buffer(), "u1")
+        counts[upto:upto + size] = np.frombuffer(n.as_buffer(), "u1")
+        upto += size
     order = np.argsort(keys, kind="stable")  # runs in order, which this sort merges
     keys, counts = keys[order], counts[order]
     del order
