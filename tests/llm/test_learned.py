@@ -239,6 +239,14 @@ def test_units_move_to_their_likeliest_class():
         assert got[0] == move_of_one(around[0, 0], around[0, 1], own[0], pairs)
 
 
+def test_counts_above_a_byte_take_several_entries():
+    keys, counts = np.array([3, 7, 8, 90]), np.array([1, 255, 256, 100_001])
+    again, small = class_lm.in_bytes(keys, counts)
+    assert small.dtype == np.uint8 and small.min() > 0 and len(small) == 1 + 1 + 2 + 393
+    assert np.array_equal(np.bincount(again, small)[keys], counts)
+    assert [len(one) for one in class_lm.in_bytes(keys[:0], counts[:0])] == [0, 0]
+
+
 def test_rare_words_with_one_ending_get_classes_of_their_own(spark):
     """Words that are met a few times each and all end alike, but of which some follow ``left`` and some ``right``."""
     rng = random.Random(6)
