@@ -5,9 +5,9 @@ exchange algorithm: each word moves to the class that raises the likelihood of t
 
 1. Documents are dealt to chunks. Each chunk numbers its distinct words; their counts, packed and split by hash, are summed
    per hash range and handed back to the chunks that asked, so a word costs one entry per chunk, not one per occurrence.
-2. Each chunk turns its documents into numbers of units, one line of all of them in one row, training documents first, and sums
+2. Each chunk turns its documents into numbers of units, one line of all of them in a few rows, training documents first, and sums
    per document what depends on the words alone. Both tables are bucketed by chunk, so that later steps read a chunk without a
-   shuffle, and a round reads one row of it.
+   shuffle, and a round reads these few rows of it.
 3. In an exchange round every chunk counts which classes stand before and after the units of this turn, the counts are summed
    per unit in ranges of hashes, each range decides its units' moves, and the new classes go back to the chunks that have these
    units, one byte each. A unit may move once in ``TURNS`` rounds. Only the table of class bigrams is sent to every task.
@@ -46,6 +46,8 @@ from tallyforge.session import fresh_path
 FOLDS, HELD_OUT = 7, 2
 #: Bytes of text per chunk: bounds a task's memory.
 CHUNK_BYTES = 16 << 20
+#: Tokens per row of a chunk's line: rows of many megabytes would need several times their size in every buffer they pass.
+PIECE = 1 << 18
 CLASSES = 32
 #: Rounds in which every unit may move once; moving all at once would overshoot.
 TURNS = 4
@@ -213,9 +215,9 @@ def _once_hashes() -> np.ndarray:
 
 def coded(numbers: DataFrame, totals: DataFrame, tokens: int, distinct: int) -> DataFrame:
     """Per document: chunk, doc_id, train, n_tokens, n_known, base_score, log_counts (of its known tokens) and ``begin``, where it
-    begins in its chunk's line. One row of a chunk, of a training document if it has any, has this line (numbers of the chunk's
-    units, of all documents, training documents first), ``trained``, the tokens of training documents, the hashes of the units,
-    in order, and which are shared by words seen once, packed."""
+    begins in its chunk's line (numbers of the chunk's units, of all documents, training documents first). The line is kept in
+    pieces of whole documents, each with its first one and all of training documents or none. The first row of a line also has
+    the hashes of the units, in order, and which are shared by words seen once. All these are packed."""
     shift = math.log10(tokens + distinct + 1)
 
     def code(texts: pa.Table, vocabulary: pa.Table) -> pa.Table:
@@ -234,7 +236,14 @@ def coded(numbers: DataFrame, totals: DataFrame, tokens: int, distinct: int) ->
         order, sizes = np.argsort(~train, kind="stable"), np.array([len(one) for one in lines], np.int64)
         begin = np.empty(len(lines), np.int64)
         begin[order] = np.cumsum(sizes[order]) - sizes[order]
-        only = lambda value, kind=pa.binary(): pa.array([value if at == order[0] else None for at in range(len(lines))], kind)
+        only = lambda value: pa.array([value if at == order[0] else None for at in range(len(lines))], pa.binary())
+        pieces: dict[int, list[bytes]] = {}
+        head, held = None, 0
+        for at in order:
+            if head is None or held >= PIECE or train[at] != train[head]:
+                head, held = at, 0
+            pieces.setdefault(head, []).append(place[lines[at]].tobytes())
+            held += len(lines[at])
         return pa.table({
             "chunk": texts.column("chunk"),
             "doc_id": texts.column("doc_id"),
@@ -244,8 +253,7 @@ def coded(numbers: DataFrame, totals: DataFrame, tokens: int, distinct: int) ->
             "base_score": pa.array([float(log_more[one].sum()) - len(one) * shift for one in lines], pa.float64()),
             "log_counts": pa.array([float(log_own[one].sum()) for one in lines], pa.float64()),
             "begin": pa.array(begin),
-            "line": only(b"".join(place[lines[at]].tobytes() for at in order)),
-            "trained": only(int(sizes[train].sum()), pa.int64()),
+            "line": pa.array([b"".join(pieces[at]) if at in pieces else None for at in range(len(lines))], pa.binary()),
             "hashes": only(units.astype("<u8").tobytes()),
             "shared": only(shared.tobytes()),
         })
@@ -253,7 +261,7 @@ def coded(numbers: DataFrame, totals: DataFrame, tokens: int, distinct: int) ->
     id_type = dict(numbers.dtypes)["doc_id"]
     return numbers.drop("counts").groupBy("chunk").cogroup(totals.where("chunk >= 0").groupBy("chunk")).applyInArrow(
         code, f"chunk int, doc_id {id_type}, train boolean, n_tokens long, n_known long, base_score double, log_counts double, "
-              "begin long, line binary, trained long, hashes binary, shared binary")
+              "begin long, line binary, hashes binary, shared binary")
 
 
 MOVED = "chunk int, turn int, part int, classes binary"
@@ -264,12 +272,15 @@ def _turns(hashes: np.ndarray) -> np.ndarray:
 
 
 class _Chunk:
-    """The units of a chunk with their present classes, and its line, from the one row that has them."""
+    """The units of a chunk with their present classes, and its line, from the rows that have them."""
 
     def __init__(self, texts: pa.Table, moved: pa.Table):
         row = texts.filter(pa.compute.is_valid(texts.column("hashes"))).slice(0, 1)
         first = lambda name, kind: np.frombuffer(row.column(name)[0].as_py() if row.num_rows else b"", kind)
-        self.hashes, self.shared, self.line = first("hashes", "<u8"), first("shared", "u1").astype(bool), first("line", "<u4")
+        self.hashes, self.shared = first("hashes", "<u8"), first("shared", "u1").astype(bool)
+        pieces = texts.filter(pa.compute.is_valid(texts.column("line"))).select(["begin", "line"])
+        lines = pieces.column("line").to_pylist()
+        self.line = np.frombuffer(b"".join(lines[at] for at in np.argsort(pieces.column("begin").to_numpy())), "<u4")
         self.turns = _turns(self.hashes)
         self.classes = ((self.hashes >> np.uint64(8)) % np.uint64(CLASSES)).astype(np.uint8)
         moved = moved.sort_by([("turn", "ascending"), ("part", "ascending")])  # a chunk's units are in order of their hashes
@@ -290,9 +301,9 @@ def _with_classes(units: DataFrame, moved: list[DataFrame], run, schema: str) ->
 
 
 def _training_lines(units: DataFrame) -> DataFrame:
-    """One row per chunk: its units, and the training documents of its line."""
-    cut = F.expr(f"substring(line, 1, cast({np.dtype('<u4').itemsize} * trained as int))")
-    return units.where("hashes IS NOT NULL").select("chunk", "hashes", "shared", cut.alias("line"))
+    """A few rows per chunk: its units, and the line of its training documents."""
+    rows = units.where("hashes IS NOT NULL OR (train AND line IS NOT NULL)")
+    return rows.select("chunk", "begin", "hashes", "shared", F.when(F.col("train"), F.col("line")).alias("line"))
 
 
 def contexts(units: DataFrame, moved: list[DataFrame], turn: int, parts: int) -> DataFrame:
