@@ -70,6 +70,71 @@ def test_rank_rows_all_equal(spark):
     assert {(r.r, r["count"]) for r in got} == {(1, 200), (201, 1)}
 
 
+@pytest.fixture
+def small_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    yield
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("blocks", [1, 4])
+def test_numbers_go_on_over_batches_nulls_and_nan(spark, small_batches, blocks):
+    rng = random.Random(2)
+    nan = float("nan")
+    rows = [(rng.choice([1.0, nan, None, -0.0, 0.0]), i, rng.choice([None, 1, 2]), rng.choice([None, nan, 4.0])) for i in range(120)]
+    frame = spark.createDataFrame(rows, "k double, id long, n int, v double").withColumn("extra", F.array("id"))
+    frame = frame.withColumn("v", F.when(F.isnan("v"), 0.5).otherwise(F.col("v")))
+    placed = ordered.place_in_blocks(frame, [ordered.asc("k"), ordered.asc("id")], blocks)
+    got = ordered.number_rows(placed, ["k"], [ordered.asc("id")], number_as="at", sums={"ran": "n", "run": "v"})
+    window = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    plain = frame.select("*", F.row_number().over(window).cast("bigint").alias("at"),
+                         F.sum("n").over(window).alias("ran"), F.sum("v").over(window).alias("run"))
+    assert got.dtypes == plain.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
+
+
+@pytest.mark.parametrize("blocks", [1, 6])
+def test_ranks_go_on_over_batches(spark, small_batches, blocks):
+    nan = float("nan")
+    rows = [("hot" if i % 3 else None, i, [nan, None, 2.0, 2.0, 1.0][i % 5]) for i in range(90)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    placed = ordered.place_in_blocks(frame, [ordered.asc("k"), ordered.desc("v"), ordered.asc("id")], blocks)
+    got = ordered.rank_rows(placed, ["k"], "v", rank_as="r")
+    plain = frame.withColumn("r", F.rank().over(Window.partitionBy("k").orderBy(ordered.desc("v"))).cast("bigint"))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_placed_rows_are_not_shuffled_again(spark):
+    wide = spark.createDataFrame(skewed(), SCHEMA).withColumn("payload", F.concat(F.lit("p"), "id"))
+    order = [ordered.asc("k"), ordered.desc("v"), ordered.asc("id")]
+    placed = ordered.place_in_blocks(wide, order, 4)
+    numbered = ordered.number_rows(placed, ["k"], order[1:], number_as="n", sums={"run": "v"})
+    for df in (numbered, ordered.rank_rows(placed, ["k"], "v", rank_as="r"), ordered.number_rows(placed, [], order, number_as="n")):
+        assert "payload" in df.columns
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            plan = df.select("*")._jdf.queryExecution().executedPlan()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        assert not [1 for node in shuffles(plan) if "payload" in node.output().mkString(",")]
+
+
+def shuffles(node):
+    """The shuffles of a physical plan."""
+    if node.nodeName() == "Exchange":
+        yield node
+    children = node.children()
+    for at in range(children.size()):
+        yield from shuffles(children.apply(at))
+
+
+def test_running_sums_take_numbers_only(spark):
+    frame = spark.createDataFrame([(1, "a")], "id long, v string")
+    placed = ordered.place_in_blocks(frame, [ordered.asc("id")], 1)
+    with pytest.raises(TypeError, match="running sum of v"):
+        ordered.number_rows(placed, [], [ordered.asc("id")], number_as="n", sums={"run": "v"})
+
+
 @pytest.mark.parametrize("n", [3, 10, 11, 19, 100, 103])
 def test_tiles_equal_ntile(spark, n):
     frame = spark.range(n).withColumn("p", F.col("id") + 1)
