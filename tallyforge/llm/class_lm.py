@@ -25,6 +25,7 @@ chunk's whole or more and is held in one task, as any row is; an empty table has
 
 from __future__ import annotations
 
+import ctypes
 import math
 import uuid
 import zlib
@@ -46,8 +47,8 @@ from tallyforge.session import fresh_path
 FOLDS, HELD_OUT = 7, 2
 #: Bytes of text per chunk: bounds a task's memory.
 CHUNK_BYTES = 16 << 20
-#: Tokens per row of a chunk's line: rows of many megabytes would need several times their size in every buffer they pass.
-PIECE = 1 << 18
+#: Tokens per row of a chunk's line (256 KB): a JVM keeps buffers of half a megabyte apart from the young ones that it frees at once.
+PIECE = 1 << 16
 CLASSES = 32
 #: Rounds in which every unit may move once; moving all at once would overshoot.
 TURNS = 4
@@ -78,6 +79,36 @@ def in_training(doc_id: str = "doc_id"):
     return F.crc32(utf8(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))) % FOLDS != HELD_OUT
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: more workers live than tasks run, and each would keep the most it ever held."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim:
+        trim(0)
+
+
+def _lean(function):
+    """A function of a group that gives memory back once its own variables are gone."""
+
+    def run(group: pa.Table) -> pa.Table:
+        out = function(group)
+        _give_back()
+        return out
+
+    return run
+
+
+def _lean_pair(function):
+    """The same for two groups of one key."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = function(left, right)
+        _give_back()
+        return out
+
+    return run
+
+
 class Words:
     """Numbers for the distinct words of a chunk."""
 
@@ -155,7 +186,7 @@ def numbered(docs: DataFrame) -> DataFrame:
 
     id_type = dict(docs.dtypes)["doc_id"]
     return docs.groupBy("chunk").applyInArrow(
-        number, f"chunk int, doc_id {id_type}, train boolean, numbers binary, hashes binary, counts binary, endings binary")
+        _lean(number), f"chunk int, doc_id {id_type}, train boolean, numbers binary, hashes binary, counts binary, endings binary")
 
 
 def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -204,7 +235,7 @@ def summed(counts: DataFrame) -> DataFrame:
         })
 
     return counts.groupBy("part").applyInArrow(
-        total, "part int, chunk int, hashes binary, totals binary, tokens long, distinct long")
+        _lean(total), "part int, chunk int, hashes binary, totals binary, tokens long, distinct long")
 
 
 @cache
@@ -260,7 +291,7 @@ def coded(numbers: DataFrame, totals: DataFrame, tokens: int, distinct: int) ->
 
     id_type = dict(numbers.dtypes)["doc_id"]
     return numbers.drop("counts").groupBy("chunk").cogroup(totals.where("chunk >= 0").groupBy("chunk")).applyInArrow(
-        code, f"chunk int, doc_id {id_type}, train boolean, n_tokens long, n_known long, base_score double, log_counts double, "
+        _lean_pair(code), f"chunk int, doc_id {id_type}, train boolean, n_tokens long, n_known long, base_score double, log_counts double, "
               "begin long, line binary, hashes binary, shared binary")
 
 
@@ -279,8 +310,9 @@ class _Chunk:
         first = lambda name, kind: np.frombuffer(row.column(name)[0].as_py() if row.num_rows else b"", kind)
         self.hashes, self.shared = first("hashes", "<u8"), first("shared", "u1").astype(bool)
         pieces = texts.filter(pa.compute.is_valid(texts.column("line"))).select(["begin", "line"])
-        lines = pieces.column("line").to_pylist()
-        self.line = np.frombuffer(b"".join(lines[at] for at in np.argsort(pieces.column("begin").to_numpy())), "<u4")
+        lines = [np.frombuffer(one.as_buffer(), "<u4") for one in pieces.column("line")]
+        in_order = [lines[at] for at in np.argsort(pieces.column("begin").to_numpy())]
+        self.line = np.concatenate([np.zeros(0, "<u4"), *in_order])
         self.turns = _turns(self.hashes)
         self.classes = ((self.hashes >> np.uint64(8)) % np.uint64(CLASSES)).astype(np.uint8)
         moved = moved.sort_by([("turn", "ascending"), ("part", "ascending")])  # a chunk's units are in order of their hashes
@@ -297,7 +329,7 @@ class _Chunk:
 def _with_classes(units: DataFrame, moved: list[DataFrame], run, schema: str) -> DataFrame:
     spark = units.sparkSession
     rows = reduce(DataFrame.unionByName, moved) if moved else spark.createDataFrame([], MOVED)
-    return units.groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(run, schema)
+    return units.groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(_lean_pair(run), schema)
 
 
 def _training_lines(units: DataFrame) -> DataFrame:
@@ -316,14 +348,16 @@ def contexts(units: DataFrame, moved: list[DataFrame], turn: int, parts: int) ->
         some = np.flatnonzero(own.turns == turn) if own else np.zeros(0, np.int64)
         found = []
         if len(some):
-            slot = np.full(len(own.hashes), -1, np.int64)
+            slot = np.full(len(own.hashes), -1, np.int32)
             slot[some] = np.arange(len(some))
             line = own.after_an_end()
             kinds, slots = own.classes[line], slot[line]
             at = np.flatnonzero(slots >= 0)
-            here, ahead = at[at > 0], at[at < len(line) - 1]
-            keys = np.concatenate([slots[here] * 2 * CLASSES + kinds[here - 1], (slots[ahead] * 2 + 1) * CLASSES + kinds[ahead + 1]])
-            counts = np.bincount(keys, minlength=len(some) * 2 * CLASSES)
+            counts = np.zeros(len(some) * 2 * CLASSES, np.int64)
+            for side, these in ((-1, at[at > 0]), (1, at[at < len(line) - 1])):  # one side after the other, for memory's sake
+                keys = slots[these].astype(np.int64) * (2 * CLASSES) + (kinds[these + side] + CLASSES * (side > 0))
+                counts += np.bincount(keys, minlength=len(counts))
+            del line, kinds, slots, at, these
             keys = np.flatnonzero(counts)
             keys, counts = in_bytes(keys, counts[keys])
             many = np.bincount(keys // (2 * CLASSES), minlength=len(some)).astype("<u4")
@@ -461,7 +495,7 @@ def _exchanged(units: DataFrame, moved: list[DataFrame], turn: int, parts: int,
             "part": group.column("part"),
             "classes": pa.array([one.tobytes() for one in np.split(better[place], ends[:-1])], pa.binary())})
 
-    return contexts(units, moved, turn, parts).groupBy("part").applyInArrow(move, MOVED)
+    return contexts(units, moved, turn, parts).groupBy("part").applyInArrow(_lean(move), MOVED)
 
 
 @dataclass
