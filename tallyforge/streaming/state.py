@@ -2,7 +2,8 @@
 
 The state lives in the stream's state store, a few numbers per key, and is committed with the batch: a retried batch
 starts from the same state, nothing is listed or re-read from earlier batches, and the cost of a batch does not depend on its number.
-A batch's rows of one key meet in one task; the source's rate limit (files or offsets per trigger) bounds them.
+A batch's rows of one key meet in one task; the source's rate limit (files or offsets per trigger) bounds them. Keys of running totals
+share a state by hash, because a call per key costs more than its rows.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tallyforge.functions.numbers import tidy
 from tallyforge.plans.sensors import ALERT_DEVIATIONS, MIN_READINGS
 
+#: States that the customers of the running totals share.
+PARTS = 512
+
 
 def moments_of(slot: np.ndarray, value: np.ndarray) -> dict[int, tuple[int, float, float]]:
     """Per slot: number, mean, and sum of squared deviations."""
@@ -84,31 +88,40 @@ def sensor_alerts(readings: DataFrame, *, slot: str = "1 minute", slots: int = 6
         F.timestamp_micros("at").alias("event_ts"))
 
 
-def running_totals(transactions: DataFrame, arrival: Sequence[str]) -> DataFrame:
+def running_totals(transactions: DataFrame, arrival: Sequence[str], parts: int = PARTS) -> DataFrame:
     """A stream of running total and count per customer, one row per transaction, in the order of arrival.
 
     ``arrival`` names the columns that give this order, such as a message's partition and offset; it is required, because without
     it totals would depend on how the stream was cut into batches. The state of a customer is total and count.
+
+    Customers are dealt to ``parts`` parts by hash, and a part's customers lie in one state, so that a batch calls Python once per part
+    instead of once per customer. A checkpoint holds the number of parts it was begun with.
     """
     if not arrival:
         raise ValueError("name the columns of the order of arrival")
     rows = transactions.select(F.col("customer_id").cast("string").alias("customer_id"), "transaction_id",
                                F.col("amount").cast("double").alias("amount"), F.struct(*arrival).alias("arrival"))
     rows = rows.select("customer_id", "transaction_id", "amount", *[F.col(f"arrival.{c}").alias(f"__by_{i}") for i, c in enumerate(arrival)])
+    rows = rows.withColumn("__part", F.pmod(F.xxhash64("customer_id"), F.lit(parts)))
     by = [f"__by_{i}" for i in range(len(arrival))]
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         frame = pd.concat(list(frames)).sort_values(by, kind="stable")
-        total, n = state.get if state.exists else (0.0, 0)
+        held = {customer: (total, n) for customer, total, n in zip(*state.get)} if state.exists else {}
+        customers, sums, counts = frame["customer_id"].tolist(), [], []
         # one by one from the total before, so that a cut between batches changes no sum
-        sums = np.cumsum(np.concatenate([[total], frame["amount"].to_numpy(float)]))[1:]
-        state.update((float(sums[-1]), n + len(frame)))
+        for customer, amount in zip(customers, frame["amount"].tolist()):
+            total, n = held.get(customer, (0.0, 0))
+            held[customer] = total + amount, n + 1
+            sums.append(total + amount)
+            counts.append(n + 1)
+        state.update((list(held), [total for total, _ in held.values()], [n for _, n in held.values()]))
         yield pd.DataFrame({
-            "customer_id": key[0], "running_total": sums, "latest_transaction_id": frame["transaction_id"].to_numpy(),
-            "latest_amount": frame["amount"].to_numpy(), "transactions_counted": n + np.arange(1, len(frame) + 1)})
+            "customer_id": customers, "running_total": sums, "latest_transaction_id": frame["transaction_id"].to_numpy(),
+            "latest_amount": frame["amount"].to_numpy(), "transactions_counted": counts})
 
     kind = rows.schema["transaction_id"].dataType.simpleString()
-    found = rows.groupBy("customer_id").applyInPandasWithState(
+    found = rows.groupBy("__part").applyInPandasWithState(
         run, f"customer_id string, running_total double, latest_transaction_id {kind}, latest_amount double, transactions_counted bigint",
-        "total double, n bigint", "append", GroupStateTimeout.NoTimeout)
+        "customer array<string>, total array<double>, n array<bigint>", "append", GroupStateTimeout.NoTimeout)
     return found.withColumn("running_total", tidy(F.col("running_total")))

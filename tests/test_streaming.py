@@ -265,6 +265,24 @@ def test_running_totals_by_state(spark, folder, cuts):
         state.running_totals(stream, [])
 
 
+def test_running_totals_call_python_once_a_part(spark, folder):
+    """Many customers of few rows: a call per customer cost more than all of its rows."""
+    rows = [{**r, "offset": i} for i, r in enumerate(transactions([(f"c{i % 300}", 10_001.0 + i) for i in range(900)]))]
+    path = drop(f"{folder}/in", [rows[:450], rows[450:]])
+    stream = readers.stream_json_dir(spark, path, OFFSET_TXN, files_per_trigger=1)
+    found = state.running_totals(jobs.high_value(stream, arrival=["offset"]), ["offset"], parts=3)
+    query = jobs.start(found, updates.log_updates(f"{folder}/log"), f"{folder}/checkpoint")
+    query.awaitTermination()
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(states) == 3
+    held, want = {}, set()
+    for r in rows:
+        total, n = held.get(r["customer_id"], (0.0, 0))
+        held[r["customer_id"]] = total, n = total + r["amount"], n + 1
+        want.add((r["transaction_id"], r["customer_id"], round(total, 2), n))
+    assert {(i, c, round(t, 2), n) for i, c, t, n in totals(updates.read_log(spark, f"{folder}/log"))} == want
+
+
 def test_store_folds_its_tail(spark, folder):
     store, log = UpsertStore(f"{folder}/store", ["a", "b"], fold_every=3), {}
     versions_seen = []
