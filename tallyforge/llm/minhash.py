@@ -328,8 +328,9 @@ def links(nodes: DataFrame, texts: DataFrame, words_each: int, least: int = LEAS
     return search.links()
 
 
-def resolved(docs: DataFrame, words_each: int = 5, least: int = LEAST) -> DataFrame:
-    """The rows of ``docs`` (written) with __llm_n, the size of the set, and __llm_group, the group's smallest doc_id."""
+def resolved(docs: DataFrame, words_each: int = 5, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
+    """The written rows of ``docs`` with their number, and per number, without the text: doc_id, __llm_set, __llm_n, the size of the
+    set, and __llm_group, the group's smallest doc_id."""
     rows = written(sketched(with_uid(docs), words_each), "sketches")
     sets = written(rows.where("__llm_set IS NOT NULL").groupBy("__llm_set").agg(
         F.min(UID).alias("node"), F.min("doc_id").alias("least_id")), "sets")
@@ -345,20 +346,24 @@ def resolved(docs: DataFrame, words_each: int = 5, least: int = LEAST) -> DataFr
         of_set = sets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         groups = of_set.groupBy("label").agg(F.min("least_id").alias("__llm_group"))
         named = of_set.join(groups, "label").select("__llm_set", "__llm_group")
-    return rows.join(named, "__llm_set", "left").withColumn(
+    return rows, rows.select(UID, "doc_id", "__llm_set", "__llm_n").join(named, "__llm_set", "left").withColumn(
         "__llm_group", F.when(F.col("__llm_set").isNull(), F.col("doc_id")).otherwise(F.col("__llm_group")))
 
 
 def groups(docs: DataFrame, words_each: int = 5, least: int = LEAST) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
-    return resolved(docs.select("doc_id", "text"), words_each, least).select(
+    return resolved(docs.select("doc_id", "text"), words_each, least)[1].select(
         "doc_id", F.col("__llm_n").alias("n_shingles"), F.col("__llm_group").alias("component_id"),
         F.col("doc_id").eqNullSafe(F.col("__llm_group")).alias("kept"))
 
 
 def kept_rows(docs: DataFrame, words_each: int = 5, least: int = LEAST) -> DataFrame:
-    """The rows of ``docs`` that name their group, with their columns; of rows alike in id and set, one."""
-    named = resolved(docs, words_each, least).where(F.col("doc_id").eqNullSafe(F.col("__llm_group")))
-    first = named.where("__llm_set IS NOT NULL").groupBy("__llm_group").agg(F.min(UID).alias("__llm_first"))
-    met = named.join(first.withColumnRenamed("__llm_group", "__llm_on"), F.col("__llm_group").eqNullSafe(F.col("__llm_on")), "left")
-    return met.where(F.col("__llm_set").isNull() | (F.col(UID) == F.col("__llm_first"))).select(*docs.columns)
+    """The rows of ``docs`` that name their group, with their columns; of rows alike in id and set, one.
+
+    Numbers alone decide which rows stay, so that the rows themselves are shuffled once.
+    """
+    rows, found = resolved(docs, words_each, least)
+    naming = found.where(F.col("__llm_set").isNotNull() & F.col("doc_id").eqNullSafe(F.col("__llm_group")))
+    stays = naming.groupBy("__llm_group").agg(F.min(UID).alias(UID)).select(UID)
+    wordless = found.where("__llm_set IS NULL").select(UID)
+    return rows.join(stays.unionByName(wordless), UID, "left_semi").select(*docs.columns)

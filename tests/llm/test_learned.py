@@ -331,3 +331,18 @@ def test_licences_are_linear_in_their_hits(spark):
     row = license_scan.scan(table(spark, [(1, "cc by " * 100_000)])).collect()[0]
     assert (row.n_words, row.n_base, row.first_word, row.last_word) == (200_000, 100_000, 0, 199_998)
     assert time.monotonic() - began < 60
+
+
+def test_near_dedup_shuffles_full_rows_once(spark):
+    """Which rows stay follows from their numbers; the texts were shuffled with the groups and again with the first of each."""
+    docs = table(spark, [(i, f"some words of text {i // 2} and a few more words behind them") for i in range(8)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = minhash.kept_rows(docs, 5)
+        plan = spark._jvm.PythonSQLUtils.explainString(kept._jdf.queryExecution(), "formatted")
+        nodes = [node for node in plan.split("\n\n") if node.lstrip().startswith("(")]
+        assert sum(") Exchange" in node.split("\n")[0] and "text#" in node for node in nodes) == 1
+        assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 4, 6]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
