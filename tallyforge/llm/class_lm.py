@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import ctypes
 import math
-import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -41,8 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import UID, ship, text_of, utf8, with_uid, written
-from tallyforge.session import fresh_path
+from tallyforge.llm.common import UID, bucketed, ship, text_of, utf8, with_uid, written
 
 FOLDS, HELD_OUT = 7, 2
 #: Bytes of text per chunk: bounds a task's memory.
@@ -140,21 +138,6 @@ def dealt(docs: DataFrame) -> tuple[DataFrame, int]:
         F.pmod(F.xxhash64(UID), F.lit(chunks)).cast("int").alias("chunk")), chunks
 
 
-def _bucketed(df: DataFrame, label: str, chunks: int) -> DataFrame:
-    """``df`` as a table in the shared folder that is read by chunk without a shuffle.
-
-    With fewer buckets than a shuffle has partitions, a grouping by chunk would deal the rows anew. Above the most buckets that
-    Spark allows a bucket holds several chunks, one after the other. Only the catalog's entry goes again, not the files.
-    """
-    spark, name = df.sparkSession, f"llm_{uuid.uuid4().hex}"
-    least, most = (int(spark.conf.get(f"spark.sql.{key}")) for key in ("shuffle.partitions", "sources.bucketing.maxBuckets"))
-    df.write.format("parquet").option("compression", "zstd").option("path", fresh_path(spark, label)).bucketBy(
-        min(max(chunks, least), most), "chunk").saveAsTable(name)
-    table = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")
-    return table
-
-
 def numbered(docs: DataFrame) -> DataFrame:
     """Per document: chunk, doc_id, train and its words as packed numbers of the chunk's distinct words.
 
@@ -604,11 +587,11 @@ def trained(docs: DataFrame, rounds: int | None = None) -> tuple[DataFrame, Clas
     """The coded documents, the classes, and the tokens and distinct words of the training documents."""
     ship(docs.sparkSession)
     chunked, chunks = dealt(docs)
-    numbers = _bucketed(numbered(chunked), "numbers", chunks)
+    numbers = bucketed(numbered(chunked), "numbers", chunks)
     totals = written(summed(counted(numbers, chunks)), "totals")
     sizes = totals.where("chunk < 0").agg(F.sum("tokens").alias("tokens"), F.sum("distinct").alias("distinct")).first()
     tokens, distinct = sizes["tokens"] or 0, sizes["distinct"] or 0
-    units = _bucketed(coded(numbers, totals, tokens, distinct), "units", chunks)
+    units = bucketed(coded(numbers, totals, tokens, distinct), "units", chunks)
     model, moved = _clustered(units, rounds, 1 + (chunks - 1) // RANGE_CHUNKS)
     return classed(units, moved), model, tokens, distinct
 

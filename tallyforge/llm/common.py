@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterator
 from functools import cache
@@ -42,6 +43,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, label: str, chunks: int = 0) -> DataFrame:
+    """``df`` as a table in the shared folder that is read by chunk without a shuffle.
+
+    With fewer buckets than a shuffle has partitions, a grouping by chunk would deal the rows anew. Above the most buckets that
+    Spark allows, or than ``chunks``, a bucket holds several chunks, one after the other. Only the catalog's entry goes again, not the files.
+    """
+    spark, name = df.sparkSession, f"llm_{uuid.uuid4().hex}"
+    least, most = (int(spark.conf.get(f"spark.sql.{key}")) for key in ("shuffle.partitions", "sources.bucketing.maxBuckets"))
+    df.write.format("parquet").option("compression", "zstd").option("path", fresh_path(spark, label)).bucketBy(
+        min(max(chunks, least), most), "chunk").saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def with_uid(df: DataFrame) -> DataFrame:
     """Rows with a number that is theirs alone. Repeated rows and missing ids stay distinct rows.
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyforge.llm.common import ship, slices, written
+from tallyforge.llm.common import bucketed, ship, slices, written
 from tallyforge.operators.ordered import asc, desc, number_rows, place_in_blocks
 
 LONGEST = 5
@@ -265,7 +265,7 @@ def counts(docs: DataFrame, least: int = LEAST, budget: int = BUDGET) -> tuple[D
 
     ``ids`` are the packed 32-bit numbers (``node``) of a phrase's words.
     """
-    chunks = written(encoded(docs), "chunks")
+    chunks = bucketed(encoded(docs), "chunks")
     own = chunks.select("chunk", F.posexplode(F.arrays_zip("lang", "word", "n")).alias("place", "w")).select(
         "chunk", (F.col("place") + 1).alias("place"), "w.*")
     words = written(own.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")

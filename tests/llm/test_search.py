@@ -239,3 +239,24 @@ def test_search_of_nothing(spark):
     assert positional_index.contamination(table(spark, []), bench(spark, items), slack=2).count() == 0
     none = positional_index.contamination(table(spark, rows), bench(spark, [])).collect()
     assert len(none) == len(rows) and not any(r.contaminated for r in none)
+
+
+def test_phrase_chunks_are_not_shuffled(spark, monkeypatch):
+    """The words of a chunk meet its prefixes at every level and once more for the suffixes; each time they were shuffled."""
+    met = []
+
+    def watched(build):
+        def run(*args):
+            met.append(build(*args))
+            return met[-1]
+        return run
+
+    for name in ("extended", "suffixes"):
+        monkeypatch.setattr(phrases, name, watched(getattr(phrases, name)))
+    docs = table(spark, [(i, "one two three four five six one two three") for i in range(12)])
+    _, _, found = phrases.counts(docs, least=2, budget=8)
+    assert found.where("f >= 12").count() > 9 and len(met) > 2
+    for one in met:
+        plan = spark._jvm.PythonSQLUtils.explainString(one._jdf.queryExecution(), "formatted")
+        nodes = [node for node in plan.split("\n\n") if node.lstrip().startswith("(")]
+        assert not [node for node in nodes if ") Exchange" in node.split("\n")[0] and "stream#" in node]
