@@ -37,6 +37,8 @@ BUDGET = 1_000_000
 CHUNK_BYTES = 12 << 20
 #: Frequent words up to this number (some 50 MB) are broadcast, more are joined by a shuffle.
 MOST_BROADCAST = 500_000
+#: How hard suffixes, most of what is shuffled, are compressed.
+LEVEL = 5
 #: Groups below 0: prefixes to be extended, prefixes of five words, words that begin no frequent phrase.
 HEAVY, LEAF, NOWHERE = -1, -2, -3
 
@@ -192,7 +194,7 @@ def partitioned(chunks: DataFrame, known: DataFrame, n_nodes: int, least: int, b
         fits = written(fits, "prefixes")
         levels.append(fits)
         back = met.withColumnRenamed("chunk", "of").select("of", "parent", "word").join(fits.drop("n"), ["parent", "word"])
-        known = written(known.unionByName(back.withColumn("depth", F.lit(depth + 1))), "known")
+        known = known.unionByName(written(back.withColumn("depth", F.lit(depth + 1)), "known"))
     return known, levels
 
 
@@ -212,9 +214,9 @@ def suffixes(chunks: DataFrame, known: DataFrame) -> DataFrame:
             node[on], goes[on] = walk.step(node[on], _at(stream, places[on], ahead))
             goes[on[node[on] == 0]] = NOWHERE  # no frequent phrase begins so
         places, goes = places[goes >= 0], goes[goes >= 0]
-        # neighbours alike compress well
-        order = np.argsort((stream[places].astype(np.uint64) << np.uint64(32)) | stream[places + 1])
-        order = order[np.argsort(goes[order], kind="stable")]
+        # neighbours alike compress well, so suffixes lie in the order of their first three words
+        pair = (stream[places].astype(np.uint64) << np.uint64(32)) | stream[places + 1]
+        order = np.lexsort((_at(stream, places, 2), pair, goes))
         places, goes = places[order], goes[order]
         planes = np.zeros((LONGEST, len(places)), "<u4")
         planes[0] = stream[places]
@@ -223,7 +225,8 @@ def suffixes(chunks: DataFrame, known: DataFrame) -> DataFrame:
         by_byte = planes.view(np.uint8).reshape(LONGEST, len(places), 4)
         starts = np.flatnonzero(np.diff(goes, prepend=-1))
         ends = np.append(starts[1:], len(goes))
-        rows = [pa.compress(np.ascontiguousarray(by_byte[:, a:b].transpose(0, 2, 1)), codec="zstd", asbytes=True)
+        codec = pa.Codec("zstd", compression_level=LEVEL)
+        rows = [codec.compress(np.ascontiguousarray(by_byte[:, a:b].transpose(0, 2, 1)), asbytes=True)
                 for a, b in zip(starts.tolist(), ends.tolist())]
         return pa.table({"group": pa.array(goes[starts]), "n": pa.array(ends - starts), "suffixes": pa.array(rows, pa.binary())})
 
@@ -272,13 +275,12 @@ def counts(docs: DataFrame, least: int = LEAST, budget: int = BUDGET) -> tuple[D
     sizes = written(words.groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
     frequent = numbered(words.where(F.col("n") >= least))
     of_word = written(grouped(frequent.select("node", "n"), budget).select("node", "group").join(frequent, "node"), "nodes")
-    # every word of a chunk with its number, 0 for a rare one; a dictionary is broadcast below a stated size only
+    # a chunk's frequent words with their numbers; a dictionary is broadcast below a stated size only
     numbers = of_word.select("lang", "word", "node", "group")
     n_frequent = frequent.count()
     numbers = F.broadcast(numbers) if n_frequent <= MOST_BROADCAST else numbers
-    met = written(own.select(F.col("chunk").alias("of"), "place", "lang", "word").join(numbers, ["lang", "word"], "left").select(
-        "of", F.col("place").cast("long").alias("word"), F.coalesce("node", F.lit(0)).alias("node"), F.coalesce("group", F.lit(NOWHERE)).alias("group")), "met")
-    single = met.where("node > 0").select("of", F.lit(1).alias("depth"), F.lit(0).cast("long").alias("parent"), "word", "node", "group")
+    single = written(own.select(F.col("chunk").alias("of"), "place", "lang", "word").join(numbers, ["lang", "word"]).select(
+        "of", F.lit(1).alias("depth"), F.lit(0).cast("long").alias("parent"), F.col("place").cast("long").alias("word"), "node", "group"), "met")
     streams = chunks.select("chunk", "stream")
     known, levels = partitioned(streams, single, n_frequent, least, budget)
     found = subtrees(suffixes(streams, known), least)
