@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.session import fresh_path
+from tallyforge.sources import folders
 
 UID = "__llm_uid"
 
@@ -43,6 +44,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Remove the files of a table of :func:`written` that nothing reads any more."""
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        folders.drop(df.sparkSession, folder)
+
+
 def bucketed(df: DataFrame, label: str, chunks: int = 0) -> DataFrame:
     """``df`` as a table in the shared folder that is read by chunk without a shuffle.
 

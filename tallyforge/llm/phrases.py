@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyforge.llm.common import bucketed, ship, slices, written
+from tallyforge.llm.common import bucketed, forget, ship, slices, written
 from tallyforge.operators.ordered import asc, desc, number_rows, place_in_blocks
 
 LONGEST = 5
@@ -195,6 +195,7 @@ def partitioned(chunks: DataFrame, known: DataFrame, n_nodes: int, least: int, b
         levels.append(fits)
         back = met.withColumnRenamed("chunk", "of").select("of", "parent", "word").join(fits.drop("n"), ["parent", "word"])
         known = known.unionByName(written(back.withColumn("depth", F.lit(depth + 1)), "known"))
+        forget(met)
     return known, levels
 
 
@@ -275,12 +276,14 @@ def counts(docs: DataFrame, least: int = LEAST, budget: int = BUDGET) -> tuple[D
     sizes = written(words.groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
     frequent = numbered(words.where(F.col("n") >= least))
     of_word = written(grouped(frequent.select("node", "n"), budget).select("node", "group").join(frequent, "node"), "nodes")
-    # a chunk's frequent words with their numbers; a dictionary is broadcast below a stated size only
+    forget(words)
+    # every word of a chunk with its number, 0 for a rare one; a dictionary is broadcast below a stated size only
     numbers = of_word.select("lang", "word", "node", "group")
     n_frequent = frequent.count()
     numbers = F.broadcast(numbers) if n_frequent <= MOST_BROADCAST else numbers
-    single = written(own.select(F.col("chunk").alias("of"), "place", "lang", "word").join(numbers, ["lang", "word"]).select(
-        "of", F.lit(1).alias("depth"), F.lit(0).cast("long").alias("parent"), F.col("place").cast("long").alias("word"), "node", "group"), "met")
+    met = written(own.select(F.col("chunk").alias("of"), "place", "lang", "word").join(numbers, ["lang", "word"], "left").select(
+        "of", F.col("place").cast("long").alias("word"), F.coalesce("node", F.lit(0)).alias("node"), F.coalesce("group", F.lit(NOWHERE)).alias("group")), "met")
+    single = met.where("node > 0").select("of", F.lit(1).alias("depth"), F.lit(0).cast("long").alias("parent"), "word", "node", "group")
     streams = chunks.select("chunk", "stream")
     known, levels = partitioned(streams, single, n_frequent, least, budget)
     found = subtrees(suffixes(streams, known), least)
