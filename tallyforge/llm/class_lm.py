@@ -8,9 +8,9 @@ exchange algorithm: each word moves to the class that raises the likelihood of t
 2. Each chunk turns its documents into numbers of units, one line of all of them in a few rows, training documents first, and sums
    per document what depends on the words alone. Both tables are bucketed by chunk, so that later steps read a chunk without a
    shuffle, and a round reads these few rows of it.
-3. In an exchange round every chunk counts which classes stand before and after the units of this turn, the counts are summed
-   per unit in ranges of hashes, each range decides its units' moves, and the new classes go back to the chunks that have these
-   units, one byte each. A unit may move once in ``TURNS`` rounds. Only the table of class bigrams is sent to every task.
+3. In an exchange round every chunk counts, in one pass, its class bigrams and which classes stand before and after the units of
+   this turn, the counts are summed per unit in ranges of hashes, each range decides its units' moves, and the new classes go back
+   to the chunks that have these units, one byte each. A unit may move once in ``TURNS`` rounds. Only the table of class bigrams is sent to every task.
    Rounds go on until the likelihood stops rising.
 
 Units: every word seen twice or more is a unit, known by its 64-bit hash; words seen once share units by their ending. An
@@ -32,6 +32,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache, reduce
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import UID, bucketed, ship, text_of, utf8, with_uid, written
+from tallyforge.llm.common import UID, bucketed, forget, ship, text_of, utf8, with_uid, written
 
 FOLDS, HELD_OUT = 7, 2
 #: Bytes of text per chunk: bounds a task's memory.
@@ -56,8 +57,12 @@ LEAST_GAIN = 1e-3
 TAIL = 1 << 13
 #: Units that are moved together have at most this share of all tokens, and are at most so many.
 STEP_SHARE, STEP_UNITS = 0.0005, 1024
+#: Counts up to this one are taken together in a step.
+SMALL = 64
 #: Chunks per hash range of the exchange.
 RANGE_CHUNKS = 4
+#: The bit of a byte, above the class, for a unit that words seen once share.
+SHARED = 7
 #: Set in the number of an unknown word beside its unit.
 UNKNOWN = 1 << 31
 #: Added to every class bigram.
@@ -122,7 +127,7 @@ class Words:
         return np.fromiter(map(xxhash.xxh3_64_intdigest, self.index), np.uint64, len(self.index))
 
     def endings(self) -> np.ndarray:
-        return np.fromiter((zlib.crc32(word[-3:]) for word in self.index), np.int64, len(self.index)) % TAIL
+        return np.fromiter(map(zlib.crc32, map(itemgetter(slice(-3, None)), self.index)), np.int64, len(self.index)) % TAIL
 
 
 def dealt(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -286,16 +291,13 @@ def _turns(hashes: np.ndarray) -> np.ndarray:
 
 
 class _Chunk:
-    """The units of a chunk with their present classes, and its line, from the rows that have them."""
+    """The units of a chunk with their present classes, and the pieces of its line in order, from the rows that have them."""
 
     def __init__(self, texts: pa.Table, moved: pa.Table):
-        row = texts.filter(pa.compute.is_valid(texts.column("hashes"))).slice(0, 1)
-        first = lambda name, kind: np.frombuffer(row.column(name)[0].as_py() if row.num_rows else b"", kind)
+        first = lambda name, kind: np.frombuffer(next((v.as_buffer() for v in texts.column(name) if v.is_valid), b""), kind)
         self.hashes, self.shared = first("hashes", "<u8"), first("shared", "u1").astype(bool)
-        pieces = texts.filter(pa.compute.is_valid(texts.column("line"))).select(["begin", "line"])
-        lines = [np.frombuffer(one.as_buffer(), "<u4") for one in pieces.column("line")]
-        in_order = [lines[at] for at in np.argsort(pieces.column("begin").to_numpy())]
-        self.line = np.concatenate([np.zeros(0, "<u4"), *in_order])
+        pieces = [(begin.as_py(), line.as_buffer()) for begin, line in zip(texts.column("begin"), texts.column("line")) if line.is_valid]
+        self.pieces = [np.frombuffer(line, "<u4") for _, line in sorted(pieces, key=lambda one: one[0])]
         self.turns = _turns(self.hashes)
         self.classes = ((self.hashes >> np.uint64(8)) % np.uint64(CLASSES)).astype(np.uint8)
         moved = moved.sort_by([("turn", "ascending"), ("part", "ascending")])  # a chunk's units are in order of their hashes
@@ -304,9 +306,31 @@ class _Chunk:
         for at in np.unique(turn):
             self.classes[self.turns == at] = np.frombuffer(b"".join(packed[i] for i in np.flatnonzero(turn == at)), "u1")
 
-    def after_an_end(self) -> np.ndarray:
-        """The line with an end before the first document; every document ends with its end."""
-        return np.concatenate([self.line[-1:], self.line])
+    def taken(self, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Class bigrams and, per class, tokens of words seen once, in one array; and the units of the turn by number, with a
+        number (unit's place * 2 * CLASSES + side * CLASSES + class) for every class that stands before or after one of them.
+
+        Pieces are taken one by one, so that what is held of them stays small. Each begins after an end and ends with one.
+        """
+        some = np.flatnonzero(self.turns == turn)
+        wide = np.uint32 if (len(some) + 1) << 8 < 1 << 32 else np.uint64
+        # looked up once per token: its class, a bit if words seen once share it, above them its place + 1 among the units of this turn
+        facts = (self.classes | self.shared.astype(np.uint8) << SHARED).astype(wide)
+        facts[some] |= np.arange(1, len(some) + 1, dtype=wide) << wide(8)
+        flat, keys = np.zeros(CLASSES * (CLASSES + 1), np.int64), [np.zeros(0, wide)]
+        for piece in self.pieces:
+            line = np.empty(len(piece) + 1, wide)
+            line[1:] = facts[piece]
+            line[0] = line[-1]
+            low = line.astype(np.uint8)
+            kinds = (low & np.uint8((1 << SHARED) - 1)).astype(np.uint16)
+            flat[:CLASSES ** 2] += np.bincount(kinds[:-1] * np.uint16(CLASSES) + kinds[1:], minlength=CLASSES ** 2)
+            flat[CLASSES ** 2:] += np.bincount(kinds[1:][low[1:] >= 1 << SHARED], minlength=CLASSES)
+            at = np.flatnonzero(line >> wide(8) != 0)
+            for side, these in ((-1, at[at > 0]), (1, at[at < len(piece)])):
+                units = (line[these] >> wide(8)) - wide(1)
+                keys.append(units * wide(2 * CLASSES) + (kinds[these + side] + np.uint16(CLASSES * (side > 0))))
+        return flat, some, np.concatenate(keys)
 
 
 def _with_classes(units: DataFrame, moved: list[DataFrame], run, schema: str) -> DataFrame:
@@ -321,28 +345,24 @@ def _training_lines(units: DataFrame) -> DataFrame:
     return rows.select("chunk", "begin", "hashes", "shared", F.when(F.col("train"), F.col("line")).alias("line"))
 
 
+CONTEXTS = "part int, chunk int, hashes binary, classes binary, many binary, around binary, counts binary"
+
+
 def contexts(units: DataFrame, moved: list[DataFrame], turn: int, parts: int) -> DataFrame:
     """Per chunk and range of hashes: the units of this turn with their classes, and how often each class stands before and
     after each of them, all packed: per unit its number of entries, per entry a byte ``around`` (side * CLASSES + class) and a
-    byte ``counts``. A larger count takes several entries, which are summed with those of other chunks."""
+    byte ``counts``. A larger count takes several entries, which are summed with those of other chunks.
+
+    Per chunk also a row of part -1 with its class ``bigrams`` and tokens of words seen once: a round reads a chunk once."""
 
     def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
-        own = _Chunk(texts, rows) if texts.num_rows else None
-        some = np.flatnonzero(own.turns == turn) if own else np.zeros(0, np.int64)
-        found = []
-        if len(some):
-            slot = np.full(len(own.hashes), -1, np.int32)
-            slot[some] = np.arange(len(some))
-            line = own.after_an_end()
-            kinds, slots = own.classes[line], slot[line]
-            at = np.flatnonzero(slots >= 0)
-            counts = np.zeros(len(some) * 2 * CLASSES, np.int64)
-            for side, these in ((-1, at[at > 0]), (1, at[at < len(line) - 1])):  # one side after the other, for memory's sake
-                keys = slots[these].astype(np.int64) * (2 * CLASSES) + (kinds[these + side] + CLASSES * (side > 0))
-                counts += np.bincount(keys, minlength=len(counts))
-            del line, kinds, slots, at, these
-            keys = np.flatnonzero(counts)
-            keys, counts = in_bytes(keys, counts[keys])
+        found, flat = [], None
+        if texts.num_rows:
+            own = _Chunk(texts, rows)
+            flat, some, keys = own.taken(turn)
+            keys.sort()
+            first = np.flatnonzero(np.concatenate([keys[:1] >= 0, keys[1:] != keys[:-1]]))
+            keys, counts = in_bytes(keys[first].astype(np.int64), np.diff(first, append=len(keys)))
             many = np.bincount(keys // (2 * CLASSES), minlength=len(some)).astype("<u4")
             around = (keys % (2 * CLASSES)).astype("u1")
             hashes, classes = own.hashes[some], own.classes[some]
@@ -353,14 +373,16 @@ def contexts(units: DataFrame, moved: list[DataFrame], turn: int, parts: int) ->
                 if a < b:
                     found.append((part, hashes[a:b].astype("<u8").tobytes(), classes[a:b].tobytes(), many[a:b].tobytes(),
                                   around[c:d].tobytes(), counts[c:d].tobytes()))
-        binary = lambda at: pa.array([one[at] for one in found], pa.binary())
+        binary = lambda at: pa.array([*[one[at] for one in found], *empty], pa.binary())
+        empty = [] if flat is None else [None]
+        n = len(found) + len(empty)
         return pa.table({
-            "part": pa.array([one[0] for one in found], pa.int32()),
-            "chunk": pa.array([texts.column("chunk")[0].as_py()] * len(found) if found else [], pa.int32()),
-            "hashes": binary(1), "classes": binary(2), "many": binary(3), "around": binary(4), "counts": binary(5)})
+            "part": pa.array([*[one[0] for one in found], *[-1 for _ in empty]], pa.int32()),
+            "chunk": pa.array([texts.column("chunk")[0].as_py()] * n if n else [], pa.int32()),
+            "hashes": binary(1), "classes": binary(2), "many": binary(3), "around": binary(4), "counts": binary(5),
+            "bigrams": pa.array([*[None] * len(found), *[flat.tolist() for _ in empty]], pa.list_(pa.int64()))})
 
-    return _with_classes(_training_lines(units), moved, run,
-                         "part int, chunk int, hashes binary, classes binary, many binary, around binary, counts binary")
+    return _with_classes(_training_lines(units), moved, run, f"{CONTEXTS}, bigrams array<bigint>")
 
 
 def in_bytes(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -379,6 +401,31 @@ def _phi(x: np.ndarray) -> np.ndarray:
     return out
 
 
+def _rise(x: np.ndarray, more: np.ndarray) -> np.ndarray:
+    x = np.maximum(x, 0)
+    return _phi(x + more) - _phi(x)
+
+
+def _risen(table: np.ndarray, y: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """``_rise`` of the rows ``y`` of ``table``. Most counts are small, so a row and a small count are taken once for all entries."""
+    small = more <= SMALL
+    codes = y[small] * SMALL + more[small] - 1
+    seen = np.flatnonzero(np.bincount(codes, minlength=CLASSES * SMALL))
+    place = np.zeros(CLASSES * SMALL, np.int64)
+    place[seen] = np.arange(len(seen))
+    large = np.flatnonzero(~small)
+    at = np.empty(len(y), np.int64)
+    at[small], at[large] = place[codes], len(seen) + np.arange(len(large))
+    rows, counts = np.concatenate([seen // SMALL, y[large]]), np.concatenate([seen % SMALL + 1, more[large]])
+    return _rise(table[rows], counts[:, None])[at]
+
+
+def _by_class(classes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The sums of ``rows`` per class."""
+    at = classes[:, None] * CLASSES + np.arange(CLASSES)
+    return np.bincount(at.ravel(), rows.ravel(), CLASSES ** 2).reshape(CLASSES, CLASSES)
+
+
 def exchanged(keys: np.ndarray, counts: np.ndarray, own: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     """The classes of units after each moved to the class with the greatest likelihood.
 
@@ -399,43 +446,42 @@ def exchanged(keys: np.ndarray, counts: np.ndarray, own: np.ndarray, pairs: np.n
         held = upto[first - 1] if first else 0
         last = min(max(first + 1, int(np.searchsorted(upto, held + most, "right"))), first + STEP_UNITS, len(order))
         some, many = order[first:last], last - first
-        w = np.repeat(np.arange(many), begins[some + 1] - begins[some])
-        these = np.concatenate([np.arange(begins[one], begins[one + 1]) for one in some])
-        s, k, b = (keys[these] // CLASSES % 2).astype(np.int64), (keys[these] % CLASSES).astype(np.int64), counts[these].astype(float)
+        old, all_of = own[some], np.arange(many)
+        entries = begins[some + 1] - begins[some]
+        these = np.arange(entries.sum()) + np.repeat(begins[some] - np.cumsum(entries) + entries, entries)
+        w, k, b = np.repeat(all_of, entries), (keys[these] % around_one).astype(np.int64), counts[these]
         around = np.zeros((many, 2, CLASSES))
-        around[w, s, k] = b
-        before, after, old, all_of = around[:, 0], around[:, 1], own[some], np.arange(many)
+        around.reshape(-1)[w * around_one + k] = b
+        before, after = around[:, 0], around[:, 1]
         sums = []
         for which, table, other in ((0, now, after), (1, now.T, before)):
-            one = s == which
-            x, y, z = w[one], k[one], b[one][:, None]
-            rest = table[y]
-            rest[np.arange(len(x)), old[x]] -= z[:, 0]
-            within = y == old[x]
-            rest[within] -= other[x[within]]
-            np.maximum(rest, 0, out=rest)
-            risen = _phi(rest)
-            rest += z
-            np.subtract(_phi(rest), risen, out=risen)
+            one = k // CLASSES == which
+            x, y, z = w[one], k[one] % CLASSES, b[one]
+            risen, out_of = _risen(table, y, z), old[x]
+            # in its own class the unit is taken out first, in its column and in its row
+            risen[np.arange(len(x)), out_of] = _rise(table[y, out_of] - z, z)
+            within = np.flatnonzero(y == out_of)
+            rest = table[y[within]] - other[x[within]]
+            rest[np.arange(len(within)), out_of[within]] -= z[within]
+            risen[within] = _rise(rest, z[within, None])
             sums.append(np.add.reduceat(risen, np.searchsorted(x, all_of), axis=0))
-        corner = np.tile(np.diagonal(now), (many, 1))
-        corner[all_of, old] -= before[all_of, old] + after[all_of, old]
-        corner = np.maximum(corner, 0)
-        both = _phi(corner + before + after) - _phi(corner + before) - _phi(corner + after) + _phi(corner)
+        gain = sums[0] + sums[1]
+        # what stands on both sides counts for the corner together
+        w, k = np.nonzero((before > 0) & (after > 0))
+        left, right = before[w, k], after[w, k]
+        corner = np.maximum(now[k, k] - np.where(k == old[w], left + right, 0), 0)
+        gain[w, k] += _phi(corner + left + right) - _phi(corner + left) - _phi(corner + right) + _phi(corner)
         # what stands before a unit counts in the rows of its own classes wherever the unit is, and so do columns
-        total, second = np.tile(now.sum(1), (many, 1)), np.tile(now.sum(0), (many, 1))
-        n_after, n_before = after.sum(1, keepdims=True), before.sum(1, keepdims=True)
-        total[all_of, old] -= n_after[:, 0]
-        second[all_of, old] -= n_before[:, 0]
-        total, second = np.maximum(total, 0), np.maximum(second, 0)
-        cost = _phi(total + n_after) - _phi(total) + _phi(second + n_before) - _phi(second)
-        gain = sums[0] + sums[1] + both - cost
+        for sizes, n in ((now.sum(1), after.sum(1)), (now.sum(0), before.sum(1))):
+            distinct, place = np.unique(n, return_inverse=True)
+            cost = _rise(np.tile(sizes, (len(distinct), 1)), distinct[:, None])[place]
+            cost[all_of, old] = _rise(sizes[old] - n, n)
+            gain -= cost
         new = gain.argmax(1)
         moves = np.flatnonzero(gain[all_of, new] > gain[all_of, old] + 1e-6)
         own[some[moves]] = new[moves]
-        for classes, sign in ((old[moves], -1), (new[moves], 1)):
-            np.add.at(now.T, classes, sign * before[moves])
-            np.add.at(now, classes, sign * after[moves])
+        now += _by_class(new[moves], after[moves]) - _by_class(old[moves], after[moves])
+        now += (_by_class(new[moves], before[moves]) - _by_class(old[moves], before[moves])).T
         first = last
     return own
 
@@ -462,8 +508,8 @@ def _merged(group: pa.Table, place: np.ndarray, ends: np.ndarray, distinct: int)
     return keys[first], np.add.reduceat(counts, first, dtype=np.int64) if len(first) else counts.astype(np.int64)
 
 
-def _exchanged(units: DataFrame, moved: list[DataFrame], turn: int, parts: int, pairs: np.ndarray) -> DataFrame:
-    """The new classes of the units of this turn, packed for the chunks that have them."""
+def _exchanged(found: DataFrame, turn: int, pairs: np.ndarray) -> DataFrame:
+    """The new classes of the units of this turn, from their ``contexts``, packed for the chunks that have them."""
 
     def move(group: pa.Table) -> pa.Table:
         hashes = [np.frombuffer(v, "<u8") for v in group.column("hashes").to_pylist()]
@@ -478,7 +524,7 @@ def _exchanged(units: DataFrame, moved: list[DataFrame], turn: int, parts: int,
             "part": group.column("part"),
             "classes": pa.array([one.tobytes() for one in np.split(better[place], ends[:-1])], pa.binary())})
 
-    return contexts(units, moved, turn, parts).groupBy("part").applyInArrow(_lean(move), MOVED)
+    return found.where("part >= 0").drop("bigrams").groupBy("part").applyInArrow(_lean(move), MOVED)
 
 
 @dataclass
@@ -500,24 +546,13 @@ class Classes:
         return (np.log10(pairs / pairs.sum(1, keepdims=True)), np.log10((1 - unknown) / size), np.log10(unknown))
 
 
-def _measured(units: DataFrame, moved: list[DataFrame]) -> Classes:
-    """Class bigrams and once-seen tokens of an assignment."""
-
-    def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
-        flat = np.zeros(CLASSES * (CLASSES + 1), np.int64)
-        if texts.num_rows:
-            own = _Chunk(texts, rows)
-            line = own.after_an_end()
-            kinds = own.classes[line].astype(np.int16)
-            flat[:CLASSES ** 2] = np.bincount(kinds[:-1] * CLASSES + kinds[1:], minlength=CLASSES ** 2)
-            flat[CLASSES ** 2:] = np.bincount(kinds[1:][own.shared[line[1:]]], minlength=CLASSES)
-        return pa.table({"at": pa.array(range(len(flat)), pa.int32()), "n": pa.array(flat)})
-
-    table = _with_classes(_training_lines(units), moved, run, "at int, n long")
-    found = np.zeros(CLASSES * (CLASSES + 1), np.int64)
-    for row in table.groupBy("at").agg(F.sum("n").alias("n")).collect():
-        found[row["at"]] = row["n"]  # CLASSES * (CLASSES + 1) rows
-    return Classes(np.arange(2 * CLASSES) % CLASSES, found[:CLASSES ** 2].reshape(CLASSES, CLASSES), found[CLASSES ** 2:])
+def _measured(found: DataFrame) -> Classes:
+    """Class bigrams and once-seen tokens of the assignment that ``contexts`` counted."""
+    flat = np.zeros(CLASSES * (CLASSES + 1), np.int64)
+    entries = found.where("part < 0").select(F.posexplode("bigrams").alias("at", "n"))
+    for row in entries.groupBy("at").agg(F.sum("n").alias("n")).collect():
+        flat[row["at"]] = row["n"]  # CLASSES * (CLASSES + 1) rows
+    return Classes(np.arange(2 * CLASSES) % CLASSES, flat[:CLASSES ** 2].reshape(CLASSES, CLASSES), flat[CLASSES ** 2:])
 
 
 def _clustered(units: DataFrame, rounds: int | None, parts: int) -> tuple[Classes, list[DataFrame]]:
@@ -525,18 +560,20 @@ def _clustered(units: DataFrame, rounds: int | None, parts: int) -> tuple[Classe
     moved: dict[int, DataFrame] = {}
     best, kept, sweep, turn = None, [], -math.inf, 0
     while True:
-        now = _measured(units, list(moved.values()))
+        found = written(contexts(units, list(moved.values()), turn % TURNS, parts), "contexts")
+        now = _measured(found)
         if best is None or now.likelihood() > best.likelihood():
             best, kept = now, list(moved.values())
+        done = turn == rounds
         if turn % TURNS == 0 and rounds is None:
-            if best.likelihood() - sweep <= LEAST_GAIN * abs(best.likelihood()):
-                break
+            done = best.likelihood() - sweep <= LEAST_GAIN * abs(best.likelihood())
             sweep = best.likelihood()
-        if turn == rounds:
-            break
-        moved[turn % TURNS] = written(_exchanged(units, list(moved.values()), turn % TURNS, parts, now.pairs), "classes")
+        if not done:
+            moved[turn % TURNS] = written(_exchanged(found, turn % TURNS, now.pairs), "classes")
+        forget(found)
+        if done:
+            return best, kept
         turn += 1
-    return best, kept
 
 
 def cluster(train: DataFrame, rounds: int | None = None) -> Classes:
@@ -552,8 +589,9 @@ def classed(units: DataFrame, moved: list[DataFrame]) -> DataFrame:
         if not texts.num_rows:
             return texts.append_column("units", pa.array([], pa.binary()))
         own = _Chunk(texts, rows)
-        codes = own.classes[own.line & np.uint32(UNKNOWN - 1)].astype("<u2")
-        codes[own.line >= UNKNOWN] += CLASSES
+        line = np.concatenate([np.zeros(0, "<u4"), *own.pieces])
+        codes = own.classes[line & np.uint32(UNKNOWN - 1)].astype("<u2")
+        codes[line >= UNKNOWN] += CLASSES
         places = zip(texts.column("begin").to_pylist(), texts.column("n_tokens").to_pylist())
         return texts.append_column("units", pa.array([codes[at:at + n].tobytes() for at, n in places], pa.binary()))
 

@@ -239,6 +239,47 @@ def test_units_move_to_their_likeliest_class():
         assert got[0] == move_of_one(around[0, 0], around[0, 1], own[0], pairs)
 
 
+def test_a_round_reads_a_chunk_once(spark, monkeypatch):
+    """What stands around the units of a turn and all class bigrams come from one pass, also over many chunks and pieces."""
+    monkeypatch.setattr(class_lm, "CHUNK_BYTES", 3000)
+    monkeypatch.setattr(class_lm, "PIECE", 100)
+    passes, found, read = [], [], class_lm._with_classes
+    monkeypatch.setattr(class_lm, "_with_classes", lambda *given: passes.append(1) or read(*given))
+    keep = lambda table: found.append([r.asDict() for r in table.collect()])
+    forget = class_lm.forget
+    monkeypatch.setattr(class_lm, "forget", lambda table: keep(table) or forget(table))
+    rng = random.Random(8)
+    units, model, tokens, _ = class_lm.trained(table(spark, [(i, " ".join(rng.choice("abcdefghijk") for _ in range(60))) for i in range(150)]), rounds=3)
+    assert len(passes) == 3 + 1 + 1  # three rounds, the last likelihood, the coded documents
+    classes, texts_of = class_lm.CLASSES, {}
+    want, around = np.zeros((classes, classes), int), 0
+    for row in units.where("train").orderBy("begin").collect():
+        texts_of.setdefault(row.chunk, []).extend(np.frombuffer(row.units, "<u2"))
+    assert len(texts_of) > 1
+    for line in texts_of.values():
+        np.add.at(want, ([line[-1], *line[:-1]], line), 1)
+    assert np.array_equal(model.pairs, want) and want.sum() == tokens
+    for turn, rows in enumerate(found):
+        own = sum(np.frombuffer(r["counts"], "u1").sum() for r in rows if r["part"] >= 0)
+        bigrams = np.sum([r["bigrams"][:classes ** 2] for r in rows if r["part"] < 0], 0)
+        assert bigrams.sum() == tokens and len([r for r in rows if r["part"] < 0]) >= len(texts_of)
+        around += own if turn < class_lm.TURNS else 0
+    assert around == 2 * tokens  # every token is of one turn's unit and stands between two others
+
+
+def test_units_moved_together_go_where_each_goes_alone():
+    """Many units of a step, with small and large counts: none sees the others' moves."""
+    rng = np.random.default_rng(4)
+    classes, n = class_lm.CLASSES, 200
+    pairs = rng.integers(1 << 20, 1 << 21, (classes, classes))
+    around = rng.integers(1, 9, (n, 2, classes)) * (rng.random((n, 2, classes)) < 0.3)
+    around[::7] *= 40
+    around[:, :, 0] += 1
+    keys, own = np.flatnonzero(around.ravel()), rng.integers(0, classes, n)
+    got = class_lm.exchanged(keys, around.ravel()[keys], own, pairs)
+    assert [move_of_one(b, a, c, pairs) for (b, a), c in zip(around, own)] == got.tolist()
+
+
 def test_counts_above_a_byte_take_several_entries():
     keys, counts = np.array([3, 7, 8, 90]), np.array([1, 255, 256, 100_001])
     again, small = class_lm.in_bytes(keys, counts)
