@@ -25,7 +25,6 @@ chunk's whole or more and is held in one task, as any row is; an empty table has
 
 from __future__ import annotations
 
-import ctypes
 import math
 import zlib
 from collections import defaultdict
@@ -41,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import UID, bucketed, forget, ship, text_of, utf8, with_uid, written
+from tallyforge.llm.common import UID, bucketed, forget, lean, lean_pair, ship, text_of, utf8, with_uid, written
 
 FOLDS, HELD_OUT = 7, 2
 #: Bytes of text per chunk: bounds a task's memory.
@@ -82,36 +81,6 @@ def in_training(doc_id: str = "doc_id"):
     return F.crc32(utf8(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))) % FOLDS != HELD_OUT
 
 
-def _give_back() -> None:
-    """Return freed memory to the system: more workers live than tasks run, and each would keep the most it ever held."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
-    if trim:
-        trim(0)
-
-
-def _lean(function):
-    """A function of a group that gives memory back once its own variables are gone."""
-
-    def run(group: pa.Table) -> pa.Table:
-        out = function(group)
-        _give_back()
-        return out
-
-    return run
-
-
-def _lean_pair(function):
-    """The same for two groups of one key."""
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = function(left, right)
-        _give_back()
-        return out
-
-    return run
-
-
 class Words:
     """Numbers for the distinct words of a chunk."""
 
@@ -174,7 +143,7 @@ def numbered(docs: DataFrame) -> DataFrame:
 
     id_type = dict(docs.dtypes)["doc_id"]
     return docs.groupBy("chunk").applyInArrow(
-        _lean(number), f"chunk int, doc_id {id_type}, train boolean, numbers binary, hashes binary, counts binary, endings binary")
+        lean(number), f"chunk int, doc_id {id_type}, train boolean, numbers binary, hashes binary, counts binary, endings binary")
 
 
 def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -223,7 +192,7 @@ def summed(counts: DataFrame) -> DataFrame:
         })
 
     return counts.groupBy("part").applyInArrow(
-        _lean(total), "part int, chunk int, hashes binary, totals binary, tokens long, distinct long")
+        lean(total), "part int, chunk int, hashes binary, totals binary, tokens long, distinct long")
 
 
 @cache
@@ -279,7 +248,7 @@ def coded(numbers: DataFrame, totals: DataFrame, tokens: int, distinct: int) ->
 
     id_type = dict(numbers.dtypes)["doc_id"]
     return numbers.drop("counts").groupBy("chunk").cogroup(totals.where("chunk >= 0").groupBy("chunk")).applyInArrow(
-        _lean_pair(code), f"chunk int, doc_id {id_type}, train boolean, n_tokens long, n_known long, base_score double, log_counts double, "
+        lean_pair(code), f"chunk int, doc_id {id_type}, train boolean, n_tokens long, n_known long, base_score double, log_counts double, "
               "begin long, line binary, hashes binary, shared binary")
 
 
@@ -336,7 +305,7 @@ class _Chunk:
 def _with_classes(units: DataFrame, moved: list[DataFrame], run, schema: str) -> DataFrame:
     spark = units.sparkSession
     rows = reduce(DataFrame.unionByName, moved) if moved else spark.createDataFrame([], MOVED)
-    return units.groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(_lean_pair(run), schema)
+    return units.groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(lean_pair(run), schema)
 
 
 def _training_lines(units: DataFrame) -> DataFrame:
@@ -524,7 +493,7 @@ def _exchanged(found: DataFrame, turn: int, pairs: np.ndarray) -> DataFrame:
             "part": group.column("part"),
             "classes": pa.array([one.tobytes() for one in np.split(better[place], ends[:-1])], pa.binary())})
 
-    return found.where("part >= 0").drop("bigrams").groupBy("part").applyInArrow(_lean(move), MOVED)
+    return found.where("part >= 0").drop("bigrams").groupBy("part").applyInArrow(lean(move), MOVED)
 
 
 @dataclass

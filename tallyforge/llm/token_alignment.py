@@ -8,8 +8,8 @@ Neither tokenizer lets a token reach across the place before a single space that
 distinct unit of a chunk is encoded and aligned once, many units in one pass, and a text's groups are its units' groups in order.
 
 Links are pairs of tokens of one group. ``aligned`` counts per pair of ids the documents that hold it: chunks of some megabytes keep their
-documents' units and the units' pairs packed in one row, send their distinct pairs with counts, and receive the corpus-wide counts of
-just these pairs back.
+documents' units and the units' pairs packed, as narrow as the numbers fit and in rows of a bounded size, send their distinct pairs with
+counts, and receive the corpus-wide counts of just these pairs back. Chunks lie bucketed, so that this does not shuffle them.
 
 Edge cases: null and empty texts, and texts whose joined token bytes are not the space and the text (the piece model reads U+2581 as a space),
 have no tokens and zeros; repeated rows are documents of their own; an empty table gives an empty result; other columns are
@@ -27,15 +27,22 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm import units
-from tallyforge.llm.common import ship, slices, written
+from tallyforge.llm.common import bucketed, give_back, lean_pair, ship, slices, written
 
 #: Bytes of text in a chunk.
 CHUNK_BYTES = 4 << 20
+#: Bytes of a chunk's numbers in a row: a JVM keeps buffers of half a megabyte apart from the young ones that it frees at once.
+PIECE = 256 << 10
+#: Documents of a chunk that a worker returns at once.
+BATCH = 4096
+#: Chunks that lie in one bucket.
+BUCKET_CHUNKS = 4
 #: Units that are aligned in one pass.
 TOGETHER = 20_000
 #: Units that the first tokenizer encodes as one string.
@@ -240,7 +247,8 @@ class Chunk:
         self.units.append(unit)
         self.times.append(times)
 
-    def row(self, number: int) -> pa.RecordBatch:
+    def rows(self, number: int) -> Iterator[pa.RecordBatch]:
+        """The chunk as rows of :func:`chunked`."""
         flat = [np.zeros(0, np.int64)]
         counts = np.concatenate(self.counts + flat)
         pairs, pair_of = np.unique(np.concatenate(self.pairs + flat), return_inverse=True)
@@ -251,29 +259,56 @@ class Chunk:
         for begin, end in zip(bounds.tolist(), bounds[1:].tolist()):
             unit = doc_units[begin:end]
             held[np.unique(pair_of[_ranges(starts[unit], counts[unit])])] += 1
-        columns = {"doc_id": pa.concat_arrays(self.ids)}
-        columns |= {name: pa.array(totals[:, at].copy()) for at, name in enumerate(("n_a", "n_b", "n_groups", "n_links"))}
-        columns |= {"groups_sha256": pa.array(self.digests, pa.string()), "groups": pa.array(self.groups, pa.string())}
-        lists = {name: (len(totals), values) for name, values in columns.items()}
-        lists |= {"pair": (len(pairs), pa.array(pairs)), "held": (len(pairs), pa.array(held))}
-        packed = {
-            "doc_bounds": bounds.astype("<i8"), "doc_units": doc_units.astype("<u4"), "doc_times": np.concatenate(self.times).astype("<u4"),
-            "unit_bounds": starts.astype("<i8"), "unit_pairs": pair_of.astype("<u4"), "unit_times": np.concatenate(self.pair_times + flat)}
-        return pa.RecordBatch.from_pydict({
-            "chunk": pa.array([number], pa.int64()),
-            **{name: pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), values) for name, (n, values) in lists.items()},
-            **{name: pa.array([values.tobytes()], pa.binary()) for name, values in packed.items()}})
+
+        ids = pa.concat_arrays(self.ids)
+        empty = {"doc_id": ids.type, "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(),
+                 "groups_sha256": pa.string(), "groups": pa.string(), "pair": pa.list_(pa.int64()), "held": pa.list_(pa.int64()),
+                 "type": pa.string(), "data": pa.binary()}
+
+        def batch(kind: str, places, n: int, **columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({
+                "chunk": pa.array([number] * n, pa.int64()), "kind": pa.array([kind] * n, pa.string()), "place": pa.array(places, pa.int64()),
+                **{name: columns.get(name, pa.nulls(n, of)) for name, of in empty.items()}})
+
+        for begin in range(0, len(ids), BATCH):
+            some = slice(begin, begin + BATCH)
+            n = len(ids[some])
+            named = {name: pa.array(totals[some, at].copy()) for at, name in enumerate(("n_a", "n_b", "n_groups", "n_links"))}
+            yield batch("document", np.arange(begin, begin + n), n, doc_id=ids[some], **named,
+                        groups_sha256=pa.array(self.digests[some], pa.string()), groups=pa.array(self.groups[some], pa.string()))
+        for begin, end in _cuts(len(pairs), pairs.itemsize + held.itemsize):
+            offsets = pa.array([0, end - begin], pa.int32())
+            yield batch("pairs", [begin], 1, pair=pa.ListArray.from_arrays(offsets, pa.array(pairs[begin:end])),
+                        held=pa.ListArray.from_arrays(offsets, pa.array(held[begin:end])))
+        for name, values in (("doc_sizes", sizes), ("doc_units", doc_units), ("doc_times", np.concatenate(self.times)), ("unit_sizes", counts),
+                             ("unit_pairs", pair_of), ("unit_times", np.concatenate(self.pair_times + flat))):
+            values = _narrow(values)
+            for begin, end in _cuts(len(values), values.itemsize):
+                yield batch(name, [begin], 1, type=pa.array([values.dtype.str]), data=pa.array([values[begin:end].tobytes()], pa.binary()))
+
+
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """The numbers, none below zero, in the fewest bytes that hold them all."""
+    most = int(values.max(initial=0))
+    return values.astype(next(kind for kind in ("<u1", "<u2", "<u4", "<i8") if most <= np.iinfo(kind).max))
+
+
+def _cuts(n: int, size: int) -> list[tuple[int, int]]:
+    """Where the pieces of ``n`` entries of ``size`` bytes begin and end."""
+    each = PIECE // size
+    return [(begin, min(begin + each, n)) for begin in range(0, n, each)]
 
 
 def _schema(id_type: str) -> str:
-    return (f"chunk long, doc_id array<{id_type}>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-            "groups_sha256 array<string>, groups array<string>, pair array<long>, held array<long>, doc_bounds binary, doc_units binary, "
-            "doc_times binary, unit_bounds binary, unit_pairs binary, unit_times binary")
+    return (f"chunk long, kind string, place long, doc_id {id_type}, n_a long, n_b long, n_groups long, n_links long, "
+            "groups_sha256 string, groups string, pair array<long>, held array<long>, type string, data binary")
 
 
 def chunked(docs: DataFrame, path_a: str, path_b: str, with_groups: bool = False) -> DataFrame:
-    """One row per chunk: its documents' counts and digests (and groups), its distinct pairs and the documents that hold each, and what they
-    are made of, packed. Not yet written."""
+    """The rows of each chunk, by ``kind``. Not yet written.
+
+    ``document``: a document's counts and digest (and groups). ``pairs``: some of the chunk's distinct pairs and the documents that hold each.
+    The others have what these are made of, packed: ``data`` are numbers of ``type``. ``place`` is that of a row's first entry in its chunk."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,10 +318,13 @@ def chunked(docs: DataFrame, path_a: str, path_b: str, with_groups: bool = False
             chunk.add(part.column("doc_id"), part.column("text").to_pylist(), with_groups)
             chunk.held += part.column("text").nbytes
             if chunk.held >= CHUNK_BYTES:
-                yield chunk.row(number)
+                yield from chunk.rows(number)
                 number, chunk = number + 1, Chunk(aligner)
+                give_back()
         if chunk.ids:
-            yield chunk.row(number)
+            yield from chunk.rows(number)
+        del chunk
+        give_back()
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, _schema(id_type))
@@ -310,8 +348,7 @@ def links(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
 def groups(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links and groups: ``a1,a2|b1;a3|b2,b3`` in order."""
-    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups"]
-    return chunked(docs, path_a, path_b, True).select(F.explode(F.arrays_zip(*names)).alias("row")).select("row.*")
+    return chunked(docs, path_a, path_b, True).where("kind = 'document'").select("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups")
 
 
 def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -319,27 +356,37 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     ``n_best`` are the links whose pair is held by as many documents as any pair of its first id; ``count_sum`` adds these numbers up over all links.
     """
-    chunks = written(chunked(docs, path_a, path_b), "aligned")
-    own = chunks.select(F.col("chunk").alias("of"), F.posexplode("pair").alias("place", "pair"))
-    back = own.join(pair_counts(chunks), "pair").select("of", "place", "n_docs", (F.col("n_docs") == F.col("highest")).alias("best"))
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    chunks = bucketed(chunked(docs, path_a, path_b), "aligned", size // (CHUNK_BYTES * BUCKET_CHUNKS))
+    own = chunks.select(F.col("chunk").alias("of"), F.col("place").alias("begin"), F.posexplode("pair").alias("at", "pair"))
+    counts = own.join(pair_counts(chunks), "pair").select(
+        "of", (F.col("begin") + F.col("at")).alias("place"), "n_docs", (F.col("n_docs") == F.col("highest")).alias("best"))
     names = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
 
-    def finish(group: pa.Table, counts: pa.Table) -> pa.Table:
-        row = {name: group.column(name).combine_chunks() for name in group.column_names}
-        packed = {name: np.frombuffer(row[name][0].as_buffer(), kind) for name, kind in (
-            ("doc_bounds", "<i8"), ("doc_units", "<u4"), ("doc_times", "<u4"), ("unit_bounds", "<i8"), ("unit_pairs", "<u4"), ("unit_times", "<i8"))}
+    def finish(chunk: pa.Table, counts: pa.Table) -> pa.Table:
+        kinds, packed = chunk.column("kind"), {}
+        for name in ("doc_sizes", "doc_units", "doc_times", "unit_sizes", "unit_pairs", "unit_times"):
+            pieces = chunk.filter(pa.compute.equal(kinds, name)).sort_by("place")
+            kind = pieces.column("type")[0].as_py() if pieces.num_rows else "<i8"
+            packed[name] = np.concatenate([np.zeros(0, kind), *[np.frombuffer(one.as_buffer(), kind) for one in pieces.column("data")]])
         place = counts.column("place").to_numpy()
         found = {}
         for name, value in (("n_best", counts.column("best").to_numpy().astype(np.int64)), ("count_sum", counts.column("n_docs").to_numpy())):
             of_pair = np.zeros(len(place), np.int64)
             of_pair[place] = value
-            upto = np.concatenate([[0], np.cumsum(of_pair[packed["unit_pairs"]] * packed["unit_times"])])
-            of_unit = np.diff(upto[packed["unit_bounds"]])
-            upto = np.concatenate([[0], np.cumsum(of_unit[packed["doc_units"]] * packed["doc_times"])])
-            found[name] = pa.array(np.diff(upto[packed["doc_bounds"]]))
-        return pa.table({**{name: row[name].flatten() for name in names}, **found})
+            of_unit = _sums(of_pair[packed["unit_pairs"]] * packed["unit_times"], packed["unit_sizes"])
+            found[name] = pa.array(_sums(of_unit[packed["doc_units"]] * packed["doc_times"], packed["doc_sizes"]))
+        documents = chunk.filter(pa.compute.equal(kinds, "document")).sort_by("place")
+        return pa.table({**{name: documents.column(name) for name in names}, **found})
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long"
-    rows = chunks.drop("pair", "held", "groups").groupBy("chunk").cogroup(back.groupBy("of")).applyInArrow(finish, schema)
+    rows = chunks.where("kind <> 'pairs'").drop("pair", "held", "groups").groupBy("chunk").cogroup(counts.groupBy("of")).applyInArrow(
+        lean_pair(finish), schema)
     return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The sums of runs of these sizes, one after another."""
+    upto = np.concatenate([[0], np.cumsum(values)])
+    return np.diff(upto[np.cumsum(sizes, dtype=np.int64)], prepend=0)

@@ -162,6 +162,19 @@ def test_pointers_reach_the_end_of_long_chains():
     assert set(a.tolist()) == set(b.tolist()) == {0}
 
 
+def test_no_row_of_a_chunk_is_large(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7))
+    rows = [(i, " ".join(word() for _ in range(40))) for i in range(2000)] + [(2000, "again " * 500), (None, None)]
+    docs = table(spark, rows).coalesce(1)
+    found = token_alignment.chunked(docs, A, B).toArrow()
+    assert len(set(found.column("chunk").to_pylist())) == 1
+    assert max(found.slice(at, 1).nbytes for at in range(found.num_rows)) < 400_000  # what the documents are made of takes over a megabyte
+    want, held = plain_alignment(rows)
+    assert Counter(tuple(row) for row in token_alignment.aligned(docs, A, B).collect()) == want
+    assert {(r.a, r.b): r.n_docs for r in token_alignment.links(docs, A, B).collect()} == held
+
+
 def test_alignment_of_nothing(spark):
     assert token_alignment.aligned(table(spark, []), A, B).count() == 0
 
